@@ -17,7 +17,7 @@ from stockweave.operators import changes, quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
 from stockweave.plans.registry import MODELS, Models
-from stockweave.session import plan_bytes, prepare, shared_dir
+from stockweave.session import materialize, plan_bytes, prepare, shared_dir
 from stockweave.sources.landing import GIVEN, landing_table
 from stockweave.streaming.funnel import current_counts, daily_counts, funnel_stream
 from stockweave.streaming.upsert import UpsertSink, last_batch, upsert_stream
@@ -533,23 +533,29 @@ def latest_model_version(m: Models) -> DataFrame:
     return forecast.latest_version(runs, "method", "version", "ended")
 
 
+def _stored_split(m: Models) -> tuple[DataFrame, DataFrame]:
+    """The split over a written feature table: training passes over it many times."""
+    table = materialize(m.ref("demand_features"))
+    return forecast.train_test(table, "product_id", "event_timestamp")
+
+
 @query
 def rf_demand_forecast(m: Models) -> DataFrame:
-    train, test = _split(m)
+    train, test = _stored_split(m)
     scored = forecast.fit_forest(train).transform(test)
     return scored.select("product_id", "event_timestamp", "quantity", "prediction")
 
 
 @query
 def poisson_lambda(m: Models) -> DataFrame:
-    train, test = _split(m)
+    train, test = _stored_split(m)
     scored = forecast.poisson_lambda(forecast.fit_poisson(train), test)
     return scored.select("product_id", "event_timestamp", "quantity", "poisson_lambda")
 
 
 @query
 def quantile_demand_forecast(m: Models) -> DataFrame:
-    train, test = _split(m)
+    train, test = _stored_split(m)
     fitted = forecast.fit_median_trees(train)
     scored = forecast.quantile_forecast(fitted, train, test, "promo_active_flag")
     return scored.select("product_id", "event_timestamp", "quantity", "P10", "P50", "P90")

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array  # noqa: F401  (for callers that unpack features)
 from pyspark.ml.regression import (
     GBTRegressor,
     GeneralizedLinearRegression,

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from stockweave.functions.exprs import MONEY, round_half_up
 from stockweave.operators.running import running_total
-from stockweave.plans.risk import scenario_array
+from stockweave.plans.risk import (
+    DEFAULT_INVENTORY_RISK,
+    DEFAULT_SUPPLIER_DELAY,
+    QUANTILE_WEIGHTS,
+    scenario_array,
+)
 
 # Fixed values of the planning rules.
 STOCK_PER_KNOWN_MATERIAL = 800.0
@@ -150,23 +155,22 @@ def expected_requirements(
 ) -> DataFrame:
     """Expected net need and delay probability per material.
 
-    Expectation is linear, so the scenarios collapse to two numbers per product
-    before the explosion: the expected yield-adjusted demand and the delay
-    mass. The mass adds up over the products that share a material, and may
-    exceed one.
+    Quantile, supplier and inventory states are independent, so the expectation
+    over the twelve scenarios factors: expected demand times expected yield
+    loss, and a delay mass equal to the delay probability. One row per product
+    enters the explosion instead of twelve. The mass adds up over the products
+    that share a material, and may exceed one.
     """
-    delay = F.lit(0.0)
-    units = F.lit(0.0)
-    scenarios = scenario_array()
-    for i in range(12):
-        s = scenarios[i]
-        rate = F.when(s["inv_state"] == "AtRisk", AT_RISK_YIELD).otherwise(1.0)
-        units = units + s["probability"] * s["demand_qty"] / rate
-        delay = delay + F.when(s["supplier_state"] == "Delayed", s["probability"]).otherwise(0.0)
+    demand = F.lit(0.0)
+    for quantile, weight in QUANTILE_WEIGHTS.items():
+        demand = demand + F.coalesce(quantile, F.lit(0.0)) * weight
+    risk = F.coalesce("p_inv_risk", F.lit(DEFAULT_INVENTORY_RISK))
+    delay = F.coalesce("p_sup_delay", F.lit(DEFAULT_SUPPLIER_DELAY))
+    units = demand * ((1.0 - risk) + risk / AT_RISK_YIELD)
     expected = outlook.select(
         "product_id",
-        round_half_up(units, 6).cast("decimal(24,6)").alias("_units"),
-        round_half_up(delay, 8).cast("decimal(12,8)").alias("_delay"),
+        units.cast("decimal(24,10)").alias("_units"),
+        delay.cast("decimal(16,14)").alias("_delay"),
     )
     parts = bom.select(
         "product_id",

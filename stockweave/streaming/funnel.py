@@ -8,12 +8,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def daily_counts(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """(traffic_date, traffic_source, sessions) per day; state per day and type."""
+    """(traffic_date, traffic_source, sessions) per day; state per day and type.
+
+    Stream windows are cut on UTC days. The wall clock of the session's zone is
+    shifted onto UTC first and back after, so days are days of that zone.
+    """
+    zone = F.current_timezone()
     return (
-        events.withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 day").alias("w"), F.col("event_type").alias("traffic_source"))
+        events.withColumn("_at", F.from_utc_timestamp(F.col("ts").cast("timestamp"), zone))
+        .withWatermark("_at", delay)
+        .groupBy(F.window("_at", "1 day").alias("w"), F.col("event_type").alias("traffic_source"))
         .agg(F.count("*").alias("sessions"))
-        .select(F.col("w.start").cast("date").alias("traffic_date"), "traffic_source", "sessions")
+        .select(
+            F.to_utc_timestamp("w.start", zone).cast("date").alias("traffic_date"),
+            "traffic_source",
+            "sessions",
+        )
     )
 
 
