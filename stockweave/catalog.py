@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.functions.exprs import MONEY
+from stockweave.functions.exprs import exact_sum
 from stockweave.operators import changes, quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
@@ -431,7 +431,7 @@ def procurement_cheapest(m: Models) -> DataFrame:
 def procurement_cheapest_budget(m: Models) -> DataFrame:
     return procurement_cheapest(m).agg(
         F.count("*").alias("n_materials"),
-        F.sum(F.col("total_cost").cast(MONEY)).cast("double").alias("total_budget"),
+        exact_sum("total_cost").alias("total_budget"),
     )
 
 

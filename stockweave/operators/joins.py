@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockweave.session import materialize, plan_bytes
+from stockweave.session import fits_broadcast, materialize, plan_bytes
 
 # A key holding more than this share of the rows is hot; so at most 200 are.
 HOT_SHARE = 1 / 200
@@ -32,8 +32,11 @@ def left_join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     A NULL key matches nothing, but all of them would hash to one partition.
     A second equi-key, which for NULL keys is a bucket no right row carries,
-    spreads them; the first equi-key keeps the meaning exact.
+    spreads them; the first equi-key keeps the meaning exact. A right side
+    small enough to be broadcast needs none of this: the left stays in place.
     """
+    if fits_broadcast(right):
+        return left.join(right, key, "left")
     others = [F.col(c) for c in left.columns if c != key]
     bucket = F.concat(
         F.lit("null-"), F.pmod(F.xxhash64(*others), F.lit(NULL_SPREAD)).cast("string")

@@ -7,7 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockweave.functions.exprs import month_of, round_half_up, safe_div, sample_std
+from stockweave.functions.exprs import (
+    exact_sum,
+    fixed,
+    month_of,
+    round_half_up,
+    safe_div,
+    sample_std,
+    unfixed,
+)
 from stockweave.operators.joins import as_of_join, latest_per_entity
 from stockweave.plans.registry import model
 
@@ -123,11 +131,8 @@ def demand_features(
     )
     daily = sold.groupBy("product_id", "order_date").agg(
         F.sum("quantity").alias("quantity"),
-        (F.sum(F.col("unit_price").cast("decimal(18,6)")).cast("double") / F.count("unit_price"))
-        .alias("unit_price"),
-        F.coalesce(F.sum(F.col("discount_amount").cast("decimal(18,4)")), F.lit(0))
-        .cast("double")
-        .alias("discount_amount"),
+        (exact_sum("unit_price", 6) / F.count("unit_price")).alias("unit_price"),
+        F.coalesce(exact_sum("discount_amount"), F.lit(0.0)).alias("discount_amount"),
         F.max(F.col("promo_id").isNotNull().cast("int")).alias("promo_active_flag"),
     )
     margin = (F.col("price") - F.col("cogs")) / F.nullif("price", F.lit(0.0)) * 100.0
@@ -215,8 +220,7 @@ def oee_features(logs: DataFrame, created: str = "2024-02-01 00:00:00") -> DataF
         scrap = F.lit(DEFAULT_SCRAP)
 
     def mean(value):
-        fixed = F.sum(value.cast("decimal(18,8)")).cast("double")
-        return round_half_up(fixed / F.count(value), 8)
+        return round_half_up(exact_sum(value, 8) / F.count(value), 8)
 
     daily = logs.groupBy(
         F.col(line_column).cast("string").alias("line_name"),
@@ -225,8 +229,8 @@ def oee_features(logs: DataFrame, created: str = "2024-02-01 00:00:00") -> DataF
     recent = Window.partitionBy("line_name").orderBy("_day").rowsBetween(-13, 0)
 
     def rolling(c: str):
-        fixed = F.sum(F.col(c).cast("decimal(18,8)")).over(recent).cast("double")
-        return round_half_up(fixed / F.count(c).over(recent), 6)
+        total = unfixed(F.sum(fixed(c, 8)).over(recent), 8).cast("double")
+        return round_half_up(total / F.count(c).over(recent), 6)
 
     return daily.select(
         "line_name",

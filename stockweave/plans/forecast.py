@@ -14,7 +14,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.functions.exprs import round_half_up
+from stockweave.functions.exprs import exact_sum, round_half_up
 from stockweave.plans.features import DEMAND_FEATURES, TARGET
 
 SEED = 42
@@ -152,7 +152,7 @@ def accuracy(scored: DataFrame, actual: str, predicted: str, *group: str) -> Dat
     relative, squared = error_terms(actual, predicted)
 
     def mean(c: Column) -> Column:
-        return F.sum(c.cast("decimal(28,8)")).cast("double") / F.count("*")
+        return exact_sum(c, 8) / F.count("*")
 
     return scored.groupBy(*group).agg(
         F.count("*").alias("n_rows"),

@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.functions.exprs import (
-    MONEY,
     at_least_zero,
     days_from,
     exact_sum,
+    fixed,
     iso_weekday,
     month_of,
     pct,
     round_half_up,
     safe_div,
+    unfixed,
 )
 from stockweave.operators.changes import since_mark, upsert
 from stockweave.operators.joins import left_join_many, left_join_spread, literal_date
@@ -334,11 +335,11 @@ def fct_logistics_delivery_performance(fulfillment: DataFrame, customers: DataFr
             F.count("shipping_transit_days").alias("transit_n"),
             F.sum("total_fulfillment_days").alias("total"),
             F.count("total_fulfillment_days").alias("total_n"),
-            F.sum(F.col("shipping_fee").cast(MONEY)).alias("fee"),
+            F.sum(fixed("shipping_fee")).alias("fee"),
             F.sum("returned_qty").alias("items"),
-            F.sum(F.col("refund_amount").cast(MONEY)).alias("refund"),
+            F.sum(fixed("refund_amount")).alias("refund"),
             F.sum("is_returned_flag").alias("flags"),
-            F.sum(F.col("customer_rating").cast("decimal(18,8)")).alias("stars"),
+            F.sum(fixed("customer_rating", 8)).alias("stars"),
             F.count("customer_rating").alias("stars_n"),
         )
     )
@@ -355,11 +356,13 @@ def fct_logistics_delivery_performance(fulfillment: DataFrame, customers: DataFr
             mean("proc", "proc_n").alias("avg_warehouse_processing_days"),
             mean("transit", "transit_n").alias("avg_carrier_transit_days"),
             mean("total", "total_n").alias("avg_total_fulfillment_days"),
-            F.sum("fee").cast("double").alias("total_logistics_revenue"),
+            unfixed(F.sum("fee")).cast("double").alias("total_logistics_revenue"),
             F.sum("items").alias("total_returned_items"),
-            F.sum("refund").cast("double").alias("total_reverse_logistics_refunds"),
+            unfixed(F.sum("refund")).cast("double").alias("total_reverse_logistics_refunds"),
             pct(F.sum("flags"), F.sum("n")).alias("return_rate_pct"),
-            mean("stars", "stars_n").alias("regional_csat_rating"),
+            round_half_up(
+                safe_div(unfixed(F.sum("stars"), 8), F.sum("stars_n")), 2
+            ).alias("regional_csat_rating"),
         )
     )
 

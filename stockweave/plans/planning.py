@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.functions.exprs import MONEY, round_half_up
+from stockweave.functions.exprs import exact_sum, round_half_up
 from stockweave.operators.running import running_total
 from stockweave.plans.risk import (
     DEFAULT_INVENTORY_RISK,
@@ -56,12 +56,12 @@ def net_requirements(
     without a bill of materials drop out.
     """
     parts = bom.select("product_id", F.trim("rm_id").alias("rm_id"), "quantity_required")
-    need = (F.col("quantity_required") * F.col("qty")).cast(MONEY)
-    gross = demand.join(parts, "product_id").groupBy("rm_id").agg(F.sum(need).alias("_gross"))
+    need = F.col("quantity_required") * F.col("qty")
+    gross = demand.join(parts, "product_id").groupBy("rm_id").agg(exact_sum(need).alias("_gross"))
     known = materials.select(
         F.trim("rm_id").alias("rm_id"), F.lit(STOCK_PER_KNOWN_MATERIAL).alias("_stock")
     ).dropDuplicates(["rm_id"])
-    g = F.col("_gross").cast("double")
+    g = F.col("_gross")
     stock = F.coalesce("_stock", F.lit(0.0))
     net = g + g * safety_stock_pct - stock
     return gross.join(known, "rm_id", "left").select(
@@ -256,7 +256,7 @@ def procurement_budget(plan: DataFrame) -> DataFrame:
     saved = F.when(penalty < 0, -penalty).otherwise(0.0)
 
     def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0)).cast("double")
+        return F.coalesce(exact_sum(c), F.lit(0.0))
 
     return plan.agg(
         F.count("*").alias("n_materials"),

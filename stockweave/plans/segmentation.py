@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.functions.exprs import MONEY, month_of, round_half_up, safe_div, sample_std
+from stockweave.functions.exprs import (
+    fixed,
+    month_of,
+    round_half_up,
+    safe_div,
+    sample_std,
+    unfixed,
+)
 from stockweave.operators.running import running_total
 from stockweave.plans.features import delivered_items
 from stockweave.plans.registry import model
@@ -25,7 +32,7 @@ def monthly_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
     return (
         delivered_items(items, orders, "quantity", "unit_price", "discount_amount")
         .groupBy("product_id", month_of("order_date").alias("year_month"))
-        .agg(F.sum("quantity").alias("qty"), F.sum(net.cast(MONEY)).alias("revenue"))
+        .agg(F.sum("quantity").alias("qty"), F.sum(fixed(net)).alias("revenue"))
     )
 
 
@@ -41,7 +48,7 @@ def abc_xyz(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFra
         monthly_sales(items, orders)
         .groupBy("product_id")
         .agg(
-            F.sum("revenue").cast(MONEY).alias("_revenue"),
+            unfixed(F.sum("revenue")).cast("decimal(38,4)").alias("_revenue"),
             F.count("*").alias("_months"),
             F.sum(qty).alias("total_qty"),
             F.sum(qty.cast("decimal(38,0)") * qty).cast("decimal(38,0)").alias("_squares"),

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 # Target bytes of one shuffle partition before adaptive execution coalesces.
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 
+# Inputs of this size range may be dealt out to idle cores, see spread_small.
+SPREAD_FROM_BYTES = 512 * 1024
+SPREAD_TO_BYTES = 256 * 1024 * 1024
+
 # Adaptive execution carries three jobs here: it picks broadcast joins from
 # measured sizes, splits skewed join partitions, and coalesces small ones.
 # The forced skew join accepts one extra shuffle rather than one endless task.
@@ -24,8 +28,14 @@ _SETTINGS = {
 }
 
 
+_PREPARED = "spark.stockweave.prepared"
+
+
 def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the runtime settings, leaving anything the caller chose untouched."""
+    if spark.conf.get(_PREPARED, None):
+        return spark
+    spark.conf.set(_PREPARED, "true")
     chosen = spark.conf.getAll
     for key, value in _SETTINGS.items():
         if key not in chosen:
@@ -43,6 +53,28 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size limit lets it broadcast this frame."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return plan_bytes(df) <= limit
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Deal a small input that sits in few files out to all cores, by ``key``.
+
+    A file with one row group is one task however many cores wait. Inputs with
+    as many files as cores, and large ones, are left as they are: there the
+    scan is parallel already and a shuffle of raw rows would only cost.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if not SPREAD_FROM_BYTES <= plan_bytes(df) <= SPREAD_TO_BYTES:
+        return df
+    if len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, for checkpoints and cut points.
 

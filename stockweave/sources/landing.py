@@ -10,12 +10,19 @@ stock, materials without quotes.
 
 from __future__ import annotations
 
+import functools
 import string
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from stockweave.session import spread_small
 
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# The fact tables among them, and the key most work on them is grouped by.
+SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+
 LANDING_SQL: dict[str, str] = {
     "products": """
 select p_partkey as product_id, ' ' || p_name || ' ' as product_name, p_type as category,
@@ -205,8 +212,20 @@ def inputs_of(statement: str) -> list[str]:
     return sorted({name for _, name, _, _ in string.Formatter().parse(statement) if name})
 
 
+@functools.lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
+def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; its footer is read once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.schema(_schema(spark, path)).parquet(path)
+    return spread_small(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+
+
 def landing_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One landing table over the given Parquet files of ``sf_dir``."""
     statement = LANDING_SQL[name]
-    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in inputs_of(statement)}
+    frames = {t: given_table(spark, sf_dir, t) for t in inputs_of(statement)}
     return spark.sql(statement, **frames)
