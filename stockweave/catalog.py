@@ -311,16 +311,8 @@ def features_point_in_time(m: Models) -> DataFrame:
     probes = m.ref("stg_returns").select(
         "return_id", "product_id", F.col("return_date").cast("timestamp_ntz").alias("asked_at")
     )
-    return features.DEMAND_VIEW.at(probes, m.ref("demand_features"), "asked_at").select(
-        "return_id",
-        "product_id",
-        "asked_at",
-        "event_timestamp",
-        "list_price",
-        "rolling_mean_demand_7d",
-        "rolling_std_demand_7d",
-        "lag_demand_1d",
-    )
+    wanted = ("list_price", "rolling_mean_demand_7d", "rolling_std_demand_7d", "lag_demand_1d")
+    return features.DEMAND_VIEW.at(probes, m.ref("demand_features"), "asked_at", wanted)
 
 
 @query
@@ -330,14 +322,8 @@ def oee_point_in_time(m: Models) -> DataFrame:
     probes = m.ref("maintenance_orders").join(lines, "equipment_id").select(
         "order_id", "line_name", F.col("start_date").cast("timestamp_ntz").alias("asked_at")
     )
-    return features.OEE_VIEW.at(probes, m.ref("oee_features"), "asked_at", slices=3).select(
-        "order_id",
-        "line_name",
-        "asked_at",
-        "event_timestamp",
-        "avg_oee_last_14d",
-        "scrap_reject_rate_pct",
-    )
+    wanted = ("avg_oee_last_14d", "scrap_reject_rate_pct")
+    return features.OEE_VIEW.at(probes, m.ref("oee_features"), "asked_at", wanted, slices=3)
 
 
 @query

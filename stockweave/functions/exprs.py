@@ -70,18 +70,6 @@ def at_least_zero(c: Column) -> Column:
     return F.when(c < 0, F.lit(0).cast("double")).otherwise(c)
 
 
-def clean(c: str | Column) -> Column:
-    return F.trim(col(c))
-
-
-def clean_lower(c: str | Column) -> Column:
-    return F.lower(F.trim(col(c)))
-
-
-def blank_to_null(c: str | Column) -> Column:
-    return F.nullif(F.trim(col(c)), F.lit(""))
-
-
 def sample_std(n: Column, total: Column, squares: Column) -> Column:
     """Sample standard deviation from exact integer moments; NULL below two rows."""
     numerator = n.cast("decimal(38,0)") * squares.cast("decimal(38,0)") - total.cast(

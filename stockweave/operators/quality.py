@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockweave.functions.exprs import month_of
+from stockweave.functions.exprs import exact_sum, month_of
 
 
 def not_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -136,7 +136,7 @@ def mass_check(
     df: DataFrame, group: str, probability: str = "probability", tolerance: float = 1e-4
 ):
     """Groups and whether their probabilities sum to one: (group, total, ok)."""
-    total = F.sum(F.col(probability).cast("decimal(20,12)")).cast("double")
+    total = exact_sum(probability, 12)
     return (
         df.groupBy(group)
         .agg(F.round(total, 8).alias("total_probability"))

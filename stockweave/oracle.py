@@ -532,7 +532,7 @@ cross join (values (1, 'OnTime', 'Healthy'), (2, 'Delayed', 'Healthy'), (3, 'OnT
                    (4, 'Delayed', 'AtRisk')) s(j, sup, inv)""",
     "demand_scenarios": f"""
 select 'SCN_' || product_id || '_' || no as scenario_id, product_id, quantile, demand_qty,
-       sup as supplier_state, inv as inv_state, {rnd("p", 10)} as probability
+       sup as supplier_state, inv as inv_state, p as probability
 from scenario_rows""",
     "scenario_mass_check": """
 select product_id, round(cast(sum(cast(probability as decimal(20,12))) as double), 8)
@@ -569,9 +569,9 @@ qualify row_number() over (partition by rm_id order by qty * unit_price, scenari
 select count(*) as n_materials, {money("total_cost")} as total_budget from procurement_cheapest""",
     "scenario_bom_explosion": f"""
 select b.rm_id, s.product_id, 'SCN_' || s.product_id || '_' || s.no as scenario_id,
-       {rnd("s.p", 10)} as probability,
-       {rnd("s.demand_qty * b.quantity_required / case s.inv when 'AtRisk' then 0.85e0 else 1e0 end",
-            4)} as gross_req,
+       s.p as probability,
+       s.demand_qty * b.quantity_required / case s.inv when 'AtRisk' then 0.85e0 else 1e0 end
+         as gross_req,
        s.sup as supplier_state, s.inv as inv_state
 from scenario_rows s join l_bom b using (product_id)""",
     "expected_needs": f"""

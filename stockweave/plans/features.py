@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -68,8 +69,15 @@ class FeatureView:
     event_ts: str = "event_timestamp"
     created_ts: str = "created_timestamp"
 
-    def at(self, probes: DataFrame, table: DataFrame, probe_ts: str, slices: int = 1) -> DataFrame:
-        """The values known for each probe at its own time."""
+    def at(
+        self,
+        probes: DataFrame,
+        table: DataFrame,
+        probe_ts: str,
+        features: Sequence[str] | None = None,
+        slices: int = 1,
+    ) -> DataFrame:
+        """The values known for each probe at its own time; all features unless named."""
         return as_of_join(
             probes,
             table,
@@ -77,7 +85,7 @@ class FeatureView:
             probe_ts,
             self.event_ts,
             self.created_ts,
-            self.features,
+            features or self.features,
             self.ttl_days,
             slices,
         )

@@ -140,10 +140,8 @@ def scenario_bom_explosion(outlook: DataFrame, bom: DataFrame) -> DataFrame:
             F.concat_ws("_", F.lit("SCN"), F.col("product_id"), s["scenario_no"]).alias(
                 "scenario_id"
             ),
-            round_half_up(s["probability"], 10).alias("probability"),
-            round_half_up(s["demand_qty"] * F.col("quantity_required") / rate, 4).alias(
-                "gross_req"
-            ),
+            s["probability"].alias("probability"),
+            (s["demand_qty"] * F.col("quantity_required") / rate).alias("gross_req"),
             s["supplier_state"].alias("supplier_state"),
             s["inv_state"].alias("inv_state"),
         )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockweave.functions.exprs import round_half_up
 from stockweave.plans.registry import model
 
 HEALTHY, AT_RISK = "S1_Healthy", "S2_AtRisk"
@@ -31,16 +30,6 @@ DEFAULT_SUPPLIER_DELAY = 0.10
 QUANTILE_WEIGHTS = {"P10": 0.20, "P50": 0.60, "P90": 0.20}
 
 
-def _grid(rows: dict[tuple[str, str], Column]) -> Column:
-    """Four (from_state, to_state, p) structs to explode beside a row."""
-    return F.array(
-        *[
-            F.struct(F.lit(a).alias("from_state"), F.lit(b).alias("to_state"), p.alias("p"))
-            for (a, b), p in rows.items()
-        ]
-    )
-
-
 def transition_counts(inventory: DataFrame) -> DataFrame:
     """Counts of the four moves between consecutive snapshots of a product.
 
@@ -81,48 +70,35 @@ def transition_counts(inventory: DataFrame) -> DataFrame:
 def inventory_markov(inventory: DataFrame) -> DataFrame:
     """The 2x2 inventory state matrix in long form, with the counts behind it."""
     counts = {
-        (HEALTHY, HEALTHY): F.col("hh"),
-        (HEALTHY, AT_RISK): F.col("hr"),
-        (AT_RISK, HEALTHY): F.col("rh"),
-        (AT_RISK, AT_RISK): F.col("rr"),
+        (HEALTHY, HEALTHY): ("hh", "hh + hr"),
+        (HEALTHY, AT_RISK): ("hr", "hh + hr"),
+        (AT_RISK, HEALTHY): ("rh", "rh + rr"),
+        (AT_RISK, AT_RISK): ("rr", "rh + rr"),
     }
-    rows = {}
-    for (a, b), n in counts.items():
-        left = counts[(a, HEALTHY)] + counts[(a, AT_RISK)]
-        rows[(a, b)] = (
-            F.when(F.col("seen") == 0, F.lit(THEORETICAL[(a, b)]))
-            .when(left == 0, F.lit(ABSORBING[(a, b)]))
-            .otherwise(n / left.cast("double"))
-        )
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("from_state"),
-                F.lit(b).alias("to_state"),
-                counts[(a, b)].alias("n_transitions"),
-                p.alias("p"),
-            )
-            for (a, b), p in rows.items()
-        ]
+    cells = ", ".join(
+        f"'{a}', '{b}', {n}, case when seen = 0 then {THEORETICAL[a, b]}D "
+        f"when {out} = 0 then {ABSORBING[a, b]}D else {n} / cast({out} as double) end"
+        for (a, b), (n, out) in counts.items()
+    )
+    return transition_counts(inventory).selectExpr(
+        f"stack(4, {cells}) as (from_state, to_state, n_transitions, p)"
     )
-    return transition_counts(inventory).select(F.explode(cells).alias("c")).select("c.*")
 
 
 @model("risk", "suppliers")
 def supplier_markov(suppliers: DataFrame) -> DataFrame:
     """On-time / delayed matrix per supplier; a delay makes the next one likelier."""
-    r = F.coalesce("reliability_score", F.lit(DEFAULT_RELIABILITY))
-    cells = _grid(
-        {
-            (ON_TIME, ON_TIME): r,
-            (ON_TIME, DELAYED): 1.0 - r,
-            (DELAYED, ON_TIME): r * 0.8,
-            (DELAYED, DELAYED): 1.0 - r * 0.8,
-        }
+    r = f"coalesce(reliability_score, {DEFAULT_RELIABILITY}D)"
+    cells = {
+        (ON_TIME, ON_TIME): r,
+        (ON_TIME, DELAYED): f"1D - {r}",
+        (DELAYED, ON_TIME): f"{r} * 0.8D",
+        (DELAYED, DELAYED): f"1D - {r} * 0.8D",
+    }
+    rows = ", ".join(f"'{a}', '{b}', {p}" for (a, b), p in cells.items())
+    return suppliers.selectExpr(
+        "trim(supplier_id) as supplier_id", f"stack(4, {rows}) as (from_state, to_state, p)"
     )
-    return suppliers.select(
-        F.trim("supplier_id").alias("supplier_id"), F.explode(cells).alias("c")
-    ).select("supplier_id", "c.*")
 
 
 def inventory_risk(matrix: DataFrame, state: str = HEALTHY) -> Column:
@@ -157,25 +133,23 @@ def scenario_array() -> Column:
     delayed/at risk. A literal array beside each product replaces a product
     with a grid table: no join, no shuffle.
     """
-    delay = F.coalesce("p_sup_delay", F.lit(DEFAULT_SUPPLIER_DELAY))
-    risk = F.coalesce("p_inv_risk", F.lit(DEFAULT_INVENTORY_RISK))
-    states = [("OnTime", "Healthy"), ("Delayed", "Healthy"), ("OnTime", "AtRisk"), ("Delayed", "AtRisk")]
-    rows = []
-    for quantile, weight in QUANTILE_WEIGHTS.items():
-        for supplier_state, inventory_state in states:
-            p_supplier = delay if supplier_state == "Delayed" else 1.0 - delay
-            p_inventory = risk if inventory_state == "AtRisk" else 1.0 - risk
-            rows.append(
-                F.struct(
-                    F.lit(len(rows) + 1).alias("scenario_no"),
-                    F.lit(quantile).alias("quantile"),
-                    F.coalesce(quantile, F.lit(0.0)).alias("demand_qty"),
-                    F.lit(supplier_state).alias("supplier_state"),
-                    F.lit(inventory_state).alias("inv_state"),
-                    (F.lit(weight) * p_supplier * p_inventory).alias("probability"),
-                )
-            )
-    return F.array(*rows)
+    delay = f"coalesce(p_sup_delay, {DEFAULT_SUPPLIER_DELAY}D)"
+    risk = f"coalesce(p_inv_risk, {DEFAULT_INVENTORY_RISK}D)"
+    supplier = {"OnTime": f"(1D - {delay})", "Delayed": delay}
+    stock = {"Healthy": f"(1D - {risk})", "AtRisk": risk}
+    cases = [
+        (quantile, weight, s, i)
+        for quantile, weight in QUANTILE_WEIGHTS.items()
+        for i in stock
+        for s in supplier
+    ]
+    rows = ", ".join(
+        f"named_struct('scenario_no', {no}, 'quantile', '{quantile}', "
+        f"'demand_qty', coalesce({quantile}, 0D), 'supplier_state', '{s}', 'inv_state', '{i}', "
+        f"'probability', {weight}D * {supplier[s]} * {stock[i]})"
+        for no, (quantile, weight, s, i) in enumerate(cases, start=1)
+    )
+    return F.expr(f"array({rows})")
 
 
 def demand_scenarios(outlook: DataFrame) -> DataFrame:
@@ -189,5 +163,5 @@ def demand_scenarios(outlook: DataFrame) -> DataFrame:
         "s.demand_qty",
         "s.supplier_state",
         "s.inv_state",
-        round_half_up(F.col("s.probability"), 10).alias("probability"),
+        "s.probability",
     )

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.functions.exprs import blank_to_null, clean, clean_lower
 from stockweave.operators.running import ordinal
 from stockweave.plans.registry import MODELS, Model
 
@@ -77,21 +76,21 @@ REQUIRED: dict[str, tuple[str, ...]] = {
     "web_traffic": ("date",),
 }
 
-_TEXT = {"text": clean, "code": clean_lower, "blankable": blank_to_null}
+_TEXT = {"text": "trim({0})", "code": "lower(trim({0}))", "blankable": "nullif(trim({0}), '')"}
 
 
-def _column(declared: str) -> Column:
+def _column(declared: str) -> str:
     name, kind, *source = declared.split()
-    raw = source[0].strip("<>") if source else name
-    value = _TEXT[kind](raw) if kind in _TEXT else F.col(raw).cast(kind)
-    return value.alias(name)
+    raw = f"`{source[0].strip('<>') if source else name}`"
+    value = _TEXT[kind].format(raw) if kind in _TEXT else f"cast({raw} as {kind})"
+    return f"{value} as {name}"
 
 
 def stage(df: DataFrame, table: str) -> DataFrame:
     """Apply the staging rules of ``table`` to its landing frame."""
-    for c in REQUIRED[table]:
-        df = df.where(F.col(c).isNotNull())
-    return df.select(*[_column(c) for c in STAGING[table]])
+    if REQUIRED[table]:
+        df = df.where(" and ".join(f"`{c}` is not null" for c in REQUIRED[table]))
+    return df.selectExpr(*[_column(c) for c in STAGING[table]])
 
 
 def _register() -> None:
