@@ -17,7 +17,7 @@ from stockweave.operators import changes, quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
 from stockweave.plans.registry import MODELS, Models
-from stockweave.session import materialize, plan_bytes, prepare, shared_dir
+from stockweave.session import materialize, plan_bytes, prepare, shared_dir, spread_small
 from stockweave.sources.landing import GIVEN, landing_table
 from stockweave.streaming.funnel import current_counts, daily_counts, funnel_stream
 from stockweave.streaming.upsert import UpsertSink, last_batch, upsert_stream
@@ -521,7 +521,7 @@ def latest_model_version(m: Models) -> DataFrame:
 
 def _stored_split(m: Models) -> tuple[DataFrame, DataFrame]:
     """The split over a written feature table: training passes over it many times."""
-    table = materialize(m.ref("demand_features"))
+    table = spread_small(materialize(m.ref("demand_features")), "event_timestamp")
     return forecast.train_test(table, "product_id", "event_timestamp")
 
 
