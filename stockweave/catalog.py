@@ -18,7 +18,7 @@ from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
 from stockweave.plans.registry import MODELS, Models
 from stockweave.session import materialize, plan_bytes, prepare, shared_dir, spread_small
-from stockweave.sources.landing import GIVEN, landing_table
+from stockweave.sources.landing import GIVEN, given_table, landing_table
 from stockweave.streaming.funnel import current_counts, daily_counts, funnel_stream
 from stockweave.streaming.upsert import UpsertSink, last_batch, upsert_stream
 
@@ -93,15 +93,19 @@ def models_over(spark: SparkSession, sf_dir: str) -> Models:
 
 
 def input_bytes(spark: SparkSession, sf_dir: str) -> int:
-    return sum(plan_bytes(spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in GIVEN)
+    return sum(plan_bytes(given_table(spark, sf_dir, t)) for t in GIVEN)
+
+
+def ready(spark: SparkSession, sf_dir: str) -> Models:
+    prepare(spark, sf_dir, lambda: input_bytes(spark, sf_dir))
+    return models_over(spark, sf_dir)
 
 
 def query(fn: Callable[[Models], DataFrame]) -> Callable[[Models], DataFrame]:
     """Register ``fn(models)`` under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        prepare(spark)
-        return fn(models_over(spark, sf_dir))
+        return fn(ready(spark, sf_dir))
 
     QUERIES[fn.__name__] = run
     return fn
@@ -111,8 +115,7 @@ def _register_models() -> None:
     for name in MODELS:
 
         def run(spark: SparkSession, sf_dir: str, name: str = name) -> DataFrame:
-            prepare(spark)
-            return models_over(spark, sf_dir).ref(name)
+            return ready(spark, sf_dir).ref(name)
 
         QUERIES[name] = run
 
@@ -574,14 +577,11 @@ def stream_upsert(m: Models) -> DataFrame:
 
 def _register_funnel() -> None:
     def stream_daily_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-        prepare(spark)
+        ready(spark, sf_dir)
         root = _stream_folder(spark)
-        path = f"{sf_dir}/events.parquet"
-        events = (
-            spark.readStream.schema(spark.read.parquet(path).schema)
-            .option("pathGlobFilter", "events.parquet")
-            .parquet(sf_dir)
-        )
+        schema = given_table(spark, sf_dir, "events").schema
+        # A glob names the table whether it is one file or a folder of files.
+        events = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
         funnel_stream(daily_counts(events), f"{root}/counts", f"{root}/ck").awaitTermination()
         return current_counts(spark, f"{root}/counts")
 

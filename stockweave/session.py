@@ -7,6 +7,7 @@ import math
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,22 +30,31 @@ _SETTINGS = {
 
 
 _PREPARED = "spark.stockweave.prepared"
+_SIZED = "spark.stockweave.sized"
 
 
-def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply the runtime settings, leaving anything the caller chose untouched."""
-    if spark.conf.get(_PREPARED, None):
+def prepare(
+    spark: SparkSession, source: str = "session", input_bytes: Callable[[], int] | None = None
+) -> SparkSession:
+    """Apply the runtime settings, leaving anything the caller chose untouched.
+
+    With ``input_bytes`` the number of shuffle partitions follows the size of
+    ``source``, unless the caller set it: the default of 200 would mean
+    partitions of hundreds of gigabytes at the sizes this is built for.
+    """
+    if spark.conf.get(_PREPARED, None) == source:
         return spark
-    spark.conf.set(_PREPARED, "true")
+    spark.conf.set(_PREPARED, source)
     chosen = spark.conf.getAll
     for key, value in _SETTINGS.items():
         if key not in chosen:
             spark.conf.set(key, value)
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if input_bytes and "spark.sql.shuffle.partitions" not in chosen and initial not in chosen:
+    partitions = "spark.sql.shuffle.partitions"
+    if input_bytes is not None and (partitions not in chosen or _SIZED in chosen):
         cores = spark.sparkContext.defaultParallelism
-        wanted = math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES)
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(cores, wanted)))
+        wanted = math.ceil(input_bytes() / SHUFFLE_PARTITION_BYTES)
+        spark.conf.set(partitions, str(max(cores, wanted)))
+        spark.conf.set(_SIZED, "true")
     return spark
 
 

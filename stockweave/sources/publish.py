@@ -179,7 +179,7 @@ def upsert_partitions(
     Returns the touched values; there are at most as many as partitions.
     """
     target = spark.read.parquet(path)
-    incoming = require_unique(source, key)
+    incoming = materialize(require_unique(source, key))
     left = target.join(incoming.select(key), key, "left_semi").select(partition_column)
     touched = [
         row[0]

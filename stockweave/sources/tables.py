@@ -22,7 +22,7 @@ class TableSpec:
 
     @property
     def columns(self) -> list[str]:
-        return self.schema.fieldNames()
+        return [field.split()[0] for field in self.ddl.split(",")]
 
     @property
     def landing_name(self) -> str:

@@ -5,13 +5,21 @@ import pytest
 from stockweave.catalog import models_over
 from stockweave.operators import quality
 from stockweave.operators.joins import literal_date
+from stockweave.plans import marts
 from stockweave.plans.registry import MODELS, Models, layer_order, run_layer
 from stockweave.plans.staging import harmonise_cross_reference, harmonise_maintenance
+from stockweave.sources.facts import advance_fact, create_fact
 from stockweave.sources.ingest import ingest, ingest_all, ingest_upsert
 from stockweave.sources.publish import AuditFailed, Lakehouse, upsert_partitions
 from stockweave.sources.readers import lower_columns, read_csv, read_csv_raw
 from stockweave.sources.tables import DAILY_LOAD, TABLES
-from stockweave.streaming.upsert import UpsertSink, last_batch, upsert_stream
+from stockweave.streaming.upsert import (
+    UpsertSink,
+    last_batch,
+    last_per_key,
+    partition_upsert_stream,
+    upsert_stream,
+)
 
 
 @pytest.fixture
@@ -111,6 +119,20 @@ def test_upsert_touches_only_its_partitions(spark, tmp_path):
     assert {p.name for p in (tmp_path / "facts" / "month=1").iterdir()} == untouched
 
 
+def test_fact_advances_in_place(spark, sf_dir, tmp_path):
+    models = models_over(spark, sf_dir)
+    orders, items = models.ref("stg_orders"), models.ref("int_order_items_discounted")
+    path = str(tmp_path / "fct")
+    first = orders.where("order_date <= date'1999-06-10'")
+    create_fact(marts.fct_sales_orders(first, items), path)
+    months = advance_fact(spark, path, marts.fct_sales_orders, orders, items)
+    assert min(months).isoformat() == "1999-06-01"
+    full = marts.fct_sales_orders(orders, items)
+    got = spark.read.parquet(path).select(*full.columns)
+    assert got.count() == full.count()
+    assert got.exceptAll(full).count() == 0
+
+
 def test_layers_build_in_order(lake, spark, sf_dir):
     assert layer_order("dim")[0].startswith("dim_")
     inline = models_over(spark, sf_dir)
@@ -150,6 +172,23 @@ def test_stream_upsert_applies_batches_in_turn(spark, tmp_path):
     assert sorted(tuple(r) for r in sink.table(second).collect()) == got
 
 
+def test_stream_upsert_by_partition(spark, tmp_path):
+    path, changes = str(tmp_path / "t"), str(tmp_path / "changes")
+    ddl = "k int, v string, month int"
+    spark.createDataFrame([(1, "a", 1), (2, "b", 2)], ddl).write.partitionBy("month").parquet(path)
+    spark.createDataFrame([(2, "B", 2), (3, "c", 3)], ddl).write.parquet(changes)
+    stream = spark.readStream.schema(ddl).parquet(changes)
+    partition_upsert_stream(stream, path, "k", "month", str(tmp_path / "ck")).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "month").collect())
+    assert got == [(1, "a", 1), (2, "B", 2), (3, "c", 3)]
+
+
+def test_last_change_per_key(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k int, v string, at int")
+    got = sorted((r["k"], r["v"]) for r in last_per_key(df, "k", "at").collect())
+    assert got == [(1, "b"), (2, "c")]
+
+
 def test_models_only_use_declared_names():
     for m in MODELS.values():
         assert all(r in MODELS or r in TABLES for r in m.refs)
