@@ -217,7 +217,7 @@ select i.snapshot_date, i.year, i.month, i.product_id, p.product_name, p.categor
             when i.overstock_flag = 1 then 'EXCESS_OVERSTOCK'
             else 'HEALTHY_BUFFER' end as supply_chain_action_status,
        case when 1 in (i.reorder_flag, i.stockout_flag)
-            then greatest(cast(round(i.units_sold * 1.5e0 - i.stock_on_hand) as integer), 0)
+            then greatest(cast(round(i.units_sold * 1.5e0 - i.stock_on_hand) as bigint), 0)
             else 0 end as recommended_reorder_qty
 from stg_inventory i left join dim_products p using (product_id)""",
     "rpt_daily_category_sales_performance": f"""
@@ -651,8 +651,8 @@ from (select m as method, cast(year(event_timestamp) as integer) as year, event_
       where held) x""",
     "forecast_accuracy": f"""
 select method, count(*) as n_rows,
-       {rnd("cast(sum(cast(ape as decimal(28,8))) as double) / count(*) * 1e2", 2)} as mape_pct,
-       {rnd("sqrt(cast(sum(cast(se as decimal(28,8))) as double) / count(*))", 2)} as rmse
+       {rnd("avg(ape) * 1e2", 2)} as mape_pct,
+       {rnd("sqrt(avg(se))", 2)} as rmse
 from naive_errors group by method""",
     "best_forecast_run": "select * from forecast_accuracy order by mape_pct, method limit 1",
     "promotion_gate": """

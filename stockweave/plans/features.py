@@ -168,9 +168,10 @@ def demand_features(
         return days.rowsBetween(-(n - 1), 0)
 
     q = F.col("quantity")
+    square = q.cast("decimal(18,0)") * q.cast("decimal(18,0)")
     weekday = F.weekday("order_date")
     deviation = sample_std(
-        F.count(q).over(last_rows(7)), F.sum(q).over(last_rows(7)), F.sum(q * q).over(last_rows(7))
+        F.count(q).over(last_rows(7)), F.sum(q).over(last_rows(7)), F.sum(square).over(last_rows(7))
     )
     features = joined.select(
         "product_id",

@@ -442,7 +442,7 @@ def fct_supplier_replenishment_alert(inventory: DataFrame, products: DataFrame)
             "reorder_flag",
             round_half_up(F.col("units_sold") / 30.0, 2).alias("daily_burn_rate"),
             status.alias("supply_chain_action_status"),
-            F.when(low | out, wanted.cast("int")).otherwise(0).alias("recommended_reorder_qty"),
+            F.when(low | out, wanted.cast("bigint")).otherwise(0).alias("recommended_reorder_qty"),
         )
     )
 

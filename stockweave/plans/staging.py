@@ -19,7 +19,7 @@ STAGING: dict[str, tuple[str, ...]] = {
     "geography": ("zip int", "city text", "region text", "district text"),
     "inventory": (
         "snapshot_date date", "product_id bigint", "stock_on_hand int", "units_received int",
-        "units_sold int", "stockout_days int", "days_of_supply double", "fill_rate double",
+        "units_sold bigint", "stockout_days int", "days_of_supply double", "fill_rate double",
         "stockout_flag int", "overstock_flag int", "reorder_flag int", "sell_through_rate double",
         "product_name text", "category text", "segment text", "year int", "month int",
     ),
@@ -45,7 +45,7 @@ STAGING: dict[str, tuple[str, ...]] = {
     ),
     "returns": (
         "return_id text", "order_id bigint", "product_id bigint", "return_date date",
-        "return_reason text", "return_quantity int", "refund_amount double",
+        "return_reason text", "return_quantity bigint", "refund_amount double",
     ),
     "reviews": (
         "review_id text", "order_id bigint", "product_id bigint", "customer_id bigint",
@@ -54,7 +54,7 @@ STAGING: dict[str, tuple[str, ...]] = {
     "sales": ("sales_date date <date>", "revenue double", "cogs double"),
     "shipments": ("order_id bigint", "ship_date date", "delivery_date date", "shipping_fee double"),
     "web_traffic": (
-        "traffic_date date <date>", "sessions int", "unique_visitors int", "page_views int",
+        "traffic_date date <date>", "sessions bigint", "unique_visitors bigint", "page_views bigint",
         "bounce_rate double", "avg_session_duration_sec double", "traffic_source text",
     ),
 }

@@ -89,7 +89,7 @@ select 'R' || cast(l_orderkey as string) || '-' || cast(l_partkey as string) as
        max(cast(o_orderdate as date)) + cast(10 + l_orderkey % 20 as int) as return_date,
        case l_partkey % 3 when 0 then 'damaged' when 1 then 'wrong_item' else 'changed_mind'
        end as return_reason,
-       cast(sum(cast(l_quantity as int)) as int) as return_quantity,
+       cast(sum(cast(l_quantity as int)) as bigint) as return_quantity,
        cast(sum(cast(l_extendedprice * (1e0 - l_discount) as decimal(18,4))) as double) as refund_amount
 from {lineitem} join {orders} on l_orderkey = o_orderkey
 where l_returnflag = 'R' group by l_orderkey, l_partkey""",
@@ -118,7 +118,7 @@ select snapshot_date, product_id,
 from (select l_partkey as product_id, cast(year(o_orderdate) as int) as year,
              cast(month(o_orderdate) as int) as month,
              max(last_day(cast(o_orderdate as date))) as snapshot_date,
-             cast(sum(cast(l_quantity as int)) as int) as units_sold,
+             cast(sum(cast(l_quantity as int)) as bigint) as units_sold,
              cast(case when (l_partkey + month(o_orderdate)) % 9 = 0
                        then 1 + l_partkey % 12 else 0 end as int) as stockout_days
       from {lineitem} join {orders} on l_orderkey = o_orderkey
@@ -129,9 +129,9 @@ select cast(o_orderdate as date) as date,
        cast(sum(cast(o_totalprice as decimal(18,2))) as double) * 6e-1 as cogs
 from {orders} group by cast(o_orderdate as date)""",
     "web_traffic": """
-select cast(ts as date) - 10227 as date, cast(count(*) as int) as sessions,
-       cast(count(distinct user_id) as int) as unique_visitors,
-       cast(count(*) * 3 as int) as page_views,
+select cast(ts as date) - 10227 as date, count(*) as sessions,
+       count(distinct user_id) as unique_visitors,
+       count(*) * 3 as page_views,
        sum(case when value < 10 then 1e0 else 0e0 end) / count(*) as bounce_rate,
        cast(sum(cast(value as decimal(18,2))) as double) / count(*) as avg_session_duration_sec,
        event_type as traffic_source

@@ -84,7 +84,7 @@ TABLES: dict[str, TableSpec] = {
             "returns",
             "sales",
             "return_id string, order_id bigint, product_id bigint, return_date date, "
-            "return_reason string, return_quantity int, refund_amount double",
+            "return_reason string, return_quantity bigint, refund_amount double",
             ("return_id",),
         ),
         TableSpec("sales", "sales", "date date, revenue double, cogs double", ("date",)),
@@ -98,7 +98,7 @@ TABLES: dict[str, TableSpec] = {
             "inventory",
             "supply_chain",
             "snapshot_date date, product_id bigint, stock_on_hand int, units_received int, "
-            "units_sold int, stockout_days int, days_of_supply double, fill_rate double, "
+            "units_sold bigint, stockout_days int, days_of_supply double, fill_rate double, "
             "stockout_flag int, overstock_flag int, reorder_flag int, sell_through_rate double, "
             "product_name string, category string, segment string, year int, month int",
             ("snapshot_date", "product_id"),
@@ -113,7 +113,7 @@ TABLES: dict[str, TableSpec] = {
         TableSpec(
             "web_traffic",
             "marketing",
-            "date date, sessions int, unique_visitors int, page_views int, bounce_rate double, "
+            "date date, sessions bigint, unique_visitors bigint, page_views bigint, bounce_rate double, "
             "avg_session_duration_sec double, traffic_source string",
             ("date", "traffic_source"),
         ),
