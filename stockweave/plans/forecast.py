@@ -139,8 +139,10 @@ def quantile_forecast(
     return scored.select(*rows.columns, *quantiles)
 
 
-def accuracy(scored: DataFrame, actual: str, predicted: str, *group: str) -> DataFrame:
-    """MAPE in percent and RMSE per group, both to two digits.
+def accuracy(
+    scored: DataFrame, actual: str, predicted: str, *group: str, also: Sequence[Column] = ()
+) -> DataFrame:
+    """MAPE in percent and RMSE per group, both to two digits; ``also`` adds aggregates.
 
     A zero actual makes the relative error astronomically large, as the usual
     definition has it, so these means stay in floating point.
@@ -151,6 +153,7 @@ def accuracy(scored: DataFrame, actual: str, predicted: str, *group: str) -> Dat
         F.count("*").alias("n_rows"),
         F.round(F.avg(relative) * 100.0, 2).alias("mape_pct"),
         F.round(F.sqrt(F.avg((y - p) * (y - p))), 2).alias("rmse"),
+        *also,
     )
 
 

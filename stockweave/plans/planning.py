@@ -16,6 +16,7 @@ from stockweave.plans.risk import (
     QUANTILE_WEIGHTS,
     scenario_array,
 )
+from stockweave.session import materialize
 
 # Fixed values of the planning rules.
 STOCK_PER_KNOWN_MATERIAL = 800.0
@@ -377,6 +378,7 @@ def full_plan(
     settings: PlanSettings,
 ) -> dict[str, DataFrame]:
     """Net needs, procurement, schedule and their summary for a demand table."""
+    demand = materialize(demand)  # read by needs, schedule and summary
     needs = net_requirements(demand, bom, materials, settings.safety_stock_pct)
     purchases = procurement_cheapest(needs, quotes, settings.max_lead_days)
     schedule = production_schedule(

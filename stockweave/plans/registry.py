@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stockweave.session import materialize
 from stockweave.sources.tables import TABLES
 
 # Build order of the layers; reports come last because they read facts.
@@ -67,6 +68,11 @@ class Models:
             return self._source(name)
         raise KeyError(f"no model or table named {name}")
 
+    def keep(self, name: str) -> DataFrame:
+        """Write a model once for all that read it from here on in this plan."""
+        self._frames[name] = materialize(self.ref(name))
+        return self._frames[name]
+
     def build(self, name: str) -> DataFrame:
         declared = MODELS[name]
         return declared.build(*[self.ref(r) for r in declared.refs])

@@ -26,18 +26,22 @@ X_BELOW, Y_BELOW = 0.5, 1.0
 SINGLE_MONTH_CV = 2.0
 
 
+@model("shared", "stg_order_items", "stg_orders")
 def monthly_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Delivered quantity and net revenue per product and month with sales."""
     net = F.col("quantity") * F.col("unit_price") - F.coalesce("discount_amount", F.lit(0.0))
     return (
         delivered_items(items, orders, "quantity", "unit_price", "discount_amount")
         .groupBy("product_id", month_of("order_date").alias("year_month"))
-        .agg(F.sum("quantity").alias("qty"), F.sum(fixed(net)).alias("revenue"))
+        .agg(
+            F.sum("quantity").alias("qty"),
+            unfixed(F.sum(fixed(net))).cast("decimal(38,4)").alias("revenue"),
+        )
     )
 
 
-@model("segmentation", "stg_order_items", "stg_orders", "stg_products")
-def abc_xyz(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+@model("segmentation", "monthly_sales", "stg_products")
+def abc_xyz(monthly: DataFrame, products: DataFrame) -> DataFrame:
     """One row per sold product with its revenue rank class and variability class.
 
     The cumulative share is a running total over all products, so it is built
@@ -45,10 +49,9 @@ def abc_xyz(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFra
     """
     qty = F.col("qty")
     per_sku = (
-        monthly_sales(items, orders)
-        .groupBy("product_id")
+        monthly.groupBy("product_id")
         .agg(
-            unfixed(F.sum("revenue")).cast("decimal(38,4)").alias("_revenue"),
+            F.sum("revenue").cast("decimal(38,4)").alias("_revenue"),
             F.count("*").alias("_months"),
             F.sum(qty).alias("total_qty"),
             F.sum(qty.cast("decimal(38,0)") * qty).cast("decimal(38,0)").alias("_squares"),

@@ -157,7 +157,8 @@ def test_abc_boundaries_ties_and_single_month(spark):
     lines = [(1, 1, 10, 7.0), (1, 2, 10, 0.9)]  # 79 of 100 -> A
     lines += [(2, 1, 1, 15.0)]  # reaches 94 -> B, crosses 80
     lines += [(3, 1, 1, 3.0), (4, 1, 1, 3.0)]  # equal revenue: lower id first
-    out = segmentation.abc_xyz(*sales(spark, lines))
+    items, orders, names = sales(spark, lines)
+    out = segmentation.abc_xyz(segmentation.monthly_sales(items, orders), names)
     got = rows(out.select("product_id", "abc_class", "xyz_class", "cv"))
     assert got == [(1, "A", "X", 0.0), (2, "B", "Z", 2.0), (3, "C", "Z", 2.0), (4, "C", "Z", 2.0)]
     cumulated = rows(out.select("product_id", "cum_rev_pct"))
