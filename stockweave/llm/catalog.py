@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import simhash
+from stockweave.llm import rules, secret_spans, simhash
 from stockweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +30,36 @@ def op1_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+@query
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = secret_spans.find(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "row.doc_id",
+        *[count(kind) for kind in ("assign", "access", "hex")],
+        F.sha2(secret_spans.spans_text("base"), 256).alias("base_sha256"),
+        secret_spans.spans_text("all_spans").alias("spans"),
+    )
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the quality rules for all documents."""
+    return rules.judge(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        F.round("class_distance", 6).alias("class_distance"),
+        F.round("word_distance", 6).alias("word_distance"),
+    )
