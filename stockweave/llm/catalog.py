@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import rules, secret_spans, simhash
+from stockweave.llm import ordinal, rules, secret_spans, simhash
 from stockweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,20 @@ def op1_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and selection of all documents, by a model fitted on the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal.train(docs, table(spark, sf_dir, "labels"))
+    found = ordinal.scored(docs, model)
+    return found.select(
+        "row.doc_id",
+        F.round("grade", 6).alias("expected_grade"),
+        F.round("p_top", 6).alias("p_top"),
+        "kept",
+    )
+
+
 @query
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""

@@ -76,20 +76,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _leaf_rows(unique: DataFrame, total: int, radius: int, leaf_size: int) -> DataFrame:
     """(leaf, fp): every fingerprint in its home leaf and the leaves it overlaps, per segment."""
-    spark = unique.sparkSession
     order = F.xxhash64("fp")
     sample = unique.select("fp").orderBy(order, "fp").limit(SAMPLE_ROWS).toPandas()["fp"]
     sample = sample.to_numpy(dtype=np.int64).view(np.uint64)
     near = radius // len(SEGMENTS)
-    shared = spark.sparkContext.broadcast(
-        [build_tree(sample, total, leaf_size, mask, near) for mask in SEGMENTS]
-    )
+    trees = [build_tree(sample, total, leaf_size, mask, near) for mask in SEGMENTS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
             base = 0
-            for tree in shared.value:
+            for tree in trees:
                 index, leaf = tree.route(fps.view(np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(leaf + base), pa.array(fps[index])], ["leaf", "fp"]
