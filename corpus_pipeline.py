@@ -5,23 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockweave.llm import simhash
+from stockweave.llm import decontaminate, ordinal, packing, secret_spans, simhash
 from stockweave.llm.common import ready, table
 from stockweave.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of the best grade is too small go."""
+    model = ordinal.train(docs, table(spark, sf_dir, "labels"))
+    return ordinal.scored(docs, model).where("kept").select("row.*")
+
+
 def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component stays."""
     ready(spark)
     return simhash.one_per_group(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("simhash_neardup", simhash_neardup)]
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage that leaks a test item go."""
+    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("hits") == 0).select("row.*")
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; no document goes. ``n_chars`` follows the text."""
+    ready(spark)
+    clean = secret_spans.redact(docs)
+    length = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
+    return clean.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per bin with the documents packed in it."""
+    ready(spark)
+    return packing.bins_of(packing.pack(docs))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_classifier),
+    ("simhash_neardup", simhash_neardup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("best_fit_packing", best_fit_packing),
+]
 
-# The classifier is trained, so SQL cannot state the rows; tests use brute force.
+# The classifier is trained and fingerprints need XXH64, so SQL cannot state the
+# rows; tests compare the stages with brute force.
 ORACLE_SQL: str | None = None
 
 

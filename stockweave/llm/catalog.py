@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import ordinal, rules, secret_spans, simhash
+from stockweave.llm import decontaminate, ordinal, packing, rules, secret_spans, simhash
 from stockweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,20 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, test item) such that a passage of the document leaks the item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in bins: one row per bin with its documents."""
+    return packing.bins_of(packing.pack(table(spark, sf_dir, "documents")))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for all documents."""
