@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import decontaminate, ordinal, packing, rules, secret_spans, simhash
+from stockweave.llm import decontaminate, ordinal, packing, rules, secret_spans, simhash, warc
 from stockweave.llm.common import table
+from stockweave.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,32 @@ def op1_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives and read back."""
+    folder = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.page_digests(warc.read(spark, folder))
+
+
+ORACLES["op2_warc"] = """
+with p as (
+    select page_id, coalesce(html, '') as payload,
+           cast(octet_length(encode(coalesce(html, ''))) as bigint) as payload_bytes,
+           sha1(coalesce(html, '')) as payload_digest
+    from pages
+), q as (
+    select *, case when payload_bytes >= 1000
+                   then max(page_id) over (partition by payload_digest) end as last
+    from p
+)
+select page_id, payload_bytes, payload_digest,
+       case when last is not null and page_id is distinct from last
+            then 'revisit' else 'response' end as record_type,
+       case when last is not null and page_id is distinct from last then last end as refers_to
+from q"""
+
+
 @query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and selection of all documents, by a model fitted on the labels."""
