@@ -8,7 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import decontaminate, ordinal, packing, rules, secret_spans, simhash, warc
+from stockweave.llm import (
+    decontaminate,
+    htmltext,
+    ordinal,
+    packing,
+    rules,
+    secret_spans,
+    simhash,
+    warc,
+)
 from stockweave.llm.common import table
 from stockweave.session import shared_dir
 
@@ -60,6 +69,12 @@ select page_id, payload_bytes, payload_digest,
 from q"""
 
 
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and selection of all documents, by a model fitted on the labels."""
