@@ -13,6 +13,7 @@ from stockweave.llm import (
     htmltext,
     ordinal,
     packing,
+    pii,
     rules,
     secret_spans,
     simhash,
@@ -105,6 +106,23 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(k: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == k))).cast("long")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, test item) such that a passage of the document leaks the item."""
