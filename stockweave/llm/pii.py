@@ -68,7 +68,7 @@ _ATOM = rf"(?:\b(?:{_SPELLED})\b|[0-9])"
 
 # An at or dot in brackets, with the space around it.
 _BRACKETED = re.compile(
-    rf"\x20{{0,3}}[\[({{<]\x20{{0,2}}(?:(?P<at>{_AT})|(?P<dot>{_DOT}))\x20{{0,2}}[\])}}>]\x20{{0,3}}", re.IGNORECASE
+    rf"[\[({{<]\x20{{0,2}}(?:(?P<at>{_AT})|(?P<dot>{_DOT}))\x20{{0,2}}[\])}}>]\x20{{0,3}}", re.IGNORECASE
 )
 # The words, where a local part and a domain of at least two labels stand around them.
 _WORDED = re.compile(
@@ -198,7 +198,10 @@ def _signs(text: str, low: str) -> list[tuple[int, int, str]]:
     out = []
     if any(c in text for c in "[({<") and any(w in low for w in (*AT_WORDS, *DOT_WORDS)):
         for m in _BRACKETED.finditer(text):
-            out.append((m.start(), m.end(), "@" if m["at"] else "."))
+            start, free = m.start(), out[-1][1] if out else 0
+            while start > max(free, m.start() - 3) and text[start - 1] == " ":
+                start -= 1
+            out.append((start, m.end(), "@" if m["at"] else "."))
     return out
 
 
@@ -213,7 +216,22 @@ def _words(text: str, low: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _may_spell(low: str) -> bool:
+    """Whether a spelled digit stands next to, or one word away from, another digit."""
+    for c in ",;/()-.+":
+        low = low.replace(c, " ")
+    words = low.split()
+    spelled = [k for k, w in enumerate(words) if w in SPELLED]
+    for k in spelled:
+        for w in (*words[k + 1 : k + 3], *words[max(0, k - 2) : k]):
+            if w in SPELLED or w[0] in "0123456789" or w[-1] in "0123456789":
+                return True
+    return False
+
+
 def _digits(text: str) -> list[tuple[int, int, str]]:
+    if not _may_spell(text.lower()):
+        return []
     out = []
     for m in _RUN.finditer(text):
         if not _SPELLED_WORD.search(m[0]):
