@@ -44,37 +44,39 @@ CLASSES = (
 )
 
 
-def _class_counts(text: Column) -> tuple[list[Column], Column]:
-    """Code points of each class, and those of none."""
-    counts, rest = [], text
-    for _, pattern in CLASSES:
-        shorter = F.regexp_replace(rest, pattern, "")
-        counts.append(F.char_length(rest) - F.char_length(shorter))
-        rest = shorter
-    return counts, F.char_length(rest)
-
-
-def _repeated_words(hashes: Column) -> Column:
-    """Words covered by windows whose hash occurs again, from the array of window hashes."""
-    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+def _with_repeated_words(df: DataFrame) -> DataFrame:
+    """Adds ``n_repeat_words``: words covered by windows whose hash occurs again.
+
+    ``windows`` has the hash of every window. Each step that a later one reads
+    twice is a column of its own, NULL for texts without a repeated window.
+    """
+    repeats = F.size(F.array_distinct("windows")) < F.size("windows")
+    placed = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    df = df.withColumn("placed", F.when(repeats, F.array_sort(placed)))
     none = F.array(F.lit(None).cast("struct<h:bigint,i:int>"))
-    before = F.zip_with(
-        F.concat(placed, none),
-        F.concat(none, placed),
-        lambda a, b: F.struct(a.alias("own"), (a["h"] == b["h"]).alias("same")),
+    pairs = F.zip_with(
+        F.concat("placed", none),
+        F.concat(none, "placed"),
+        lambda a, b: F.struct(
+            a["i"].alias("i"), F.coalesce(a["h"] == b["h"], F.lit(False)).alias("same")
+        ),
     )  # element k: window k, whether it equals window k - 1; one more at the end
+    df = df.withColumn("pairs", pairs)
     marked = F.zip_with(
-        before,
-        F.slice(before, 2, F.size(before)),
-        lambda a, b: F.when(F.coalesce(a["same"], F.lit(False)) | F.coalesce(b["same"], F.lit(False)), a["own"]["i"]),
+        "pairs",
+        F.slice("pairs", 2, F.size("pairs")),
+        lambda a, b: F.when(a["same"] | F.coalesce(b["same"], F.lit(False)), a["i"]),
     )
-    starts = F.array_sort(F.filter(marked, lambda i: i.isNotNull()))
+    df = df.withColumn("starts", F.array_sort(F.filter(marked, lambda i: i.isNotNull())))
     steps = F.zip_with(
-        starts,
-        F.slice(starts, 2, F.size(starts)),
+        "starts",
+        F.slice("starts", 2, F.size("starts")),
         lambda a, b: F.least(F.coalesce(b - a, F.lit(WINDOW)), F.lit(WINDOW)),
     )
-    return F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    covered = F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop(
+        "windows", "placed", "pairs", "starts"
+    )
 
 
 def counts(
@@ -87,14 +89,26 @@ def counts(
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     lang = F.col(f"`{lang_col}`")
+    blanks = F.lit(" \t\n\x0b\x0c\r")
     parts = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         text.alias("text"),
+        F.btrim(text, blanks).alias("inner"),
         F.when(lang.isin(*COMMON_WORDS), lang).otherwise(F.lit("other")).alias("lang_key"),
     )
-    parts = parts.withColumn(
-        "words", F.filter(F.split("text", f"[{SPACE}]+"), lambda w: w != "")
-    ).withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(f"[^{SPACE}]")))
+    parts = parts.withColumns(
+        {
+            "words": F.when(F.col("inner") != "", F.split("inner", f"[{SPACE}]+")).otherwise(
+                F.array().cast("array<string>")
+            ),
+            "lines": F.filter(F.split("text", "\n"), lambda x: x.rlike(f"[^{SPACE}]")),
+            "left0": F.col("text"),
+        }
+    )
+    # What is left of the text after each class; a column of its own each, read twice.
+    for k, (_, pattern) in enumerate(CLASSES):
+        parts = parts.withColumn(f"left{k + 1}", F.regexp_replace(f"left{k}", pattern, ""))
+    sizes = [F.char_length(f"left{k}").cast("long") for k in range(len(CLASSES) + 1)]
     n = F.size("words")
     windows = F.when(
         n > WINDOW,
@@ -102,37 +116,40 @@ def counts(
             F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW))
         ),
     ).otherwise(F.array().cast("array<long>"))
-    classes, rest = _class_counts(F.col("text"))
+    rest = f"left{len(CLASSES)}"
     parts = parts.withColumns(
         {
             "windows": windows,
-            "line": F.concat(F.lit(" "), F.array_join(F.transform("words", F.lower), "  "), F.lit(" ")),
-            "classes": F.array(*[c.cast("long") for c in classes], rest.cast("long")),
+            "line": F.lower(F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" "))),
+            "classes": F.array(*[a - b for a, b in zip(sizes, sizes[1:])], sizes[-1]),
+            "n_symbols": (
+                F.char_length(rest) - F.char_length(F.translate(rest, SYMBOLS, ""))
+            ).cast("long"),
         }
     )
+    parts = _with_repeated_words(parts)
     lists = F.create_map(
         *[x for k, v in COMMON_WORDS.items() for x in (F.lit(k), F.lit(v.split()))]
     )
     line = F.col("line")
-    common = F.transform(
-        lists[F.col("lang_key")],
-        lambda w: (
-            (F.char_length(line) - F.char_length(F.replace(line, F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
-            / (F.char_length(w) + 2)
-        ).cast("long"),
-    )
+
+    def occurrences(word: Column) -> Column:
+        spaced = F.concat(F.lit(" "), word, F.lit(" "))
+        without = F.replace(line, spaced, F.lit(""))
+        return (
+            (F.octet_length(line) - F.octet_length(without)) / F.octet_length(spaced)
+        ).cast("long")
+
+    common = F.transform(lists[F.col("lang_key")], occurrences)
+    space = [name for name, _ in CLASSES].index("space")
     return parts.select(
         "id",
         "lang_key",
         n.cast("long").alias("n_words"),
-        F.char_length(F.translate("text", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.char_length("text") - F.char_length(F.translate("text", SYMBOLS, "")))
-        .cast("long")
-        .alias("n_symbols"),
+        (F.char_length("text") - F.get("classes", F.lit(space))).cast("long").alias("word_chars"),
+        "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size(F.array_distinct("windows")) == F.size("windows"), F.lit(0).cast("long"))
-        .otherwise(_repeated_words(F.col("windows")))
-        .alias("n_repeat_words"),
+        "n_repeat_words",
         "classes",
         F.coalesce(common, F.array().cast("array<long>")).alias("common"),
     )
