@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stockweave.llm import (
     decontaminate,
     htmltext,
+    licenses,
     ordinal,
     packing,
     pii,
@@ -76,6 +77,13 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses in all documents: one row per place."""
+    found = licenses.matches(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", F.explode("licenses").alias("hit")).select("doc_id", "hit.*")
+
+
 @query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and selection of all documents, by a model fitted on the labels."""
