@@ -272,7 +272,9 @@ class WarcReader(DataSourceReader):
             if f.type == pafs.FileType.File and f.size and f.base_name[:1] not in "._"
         ]
 
-    def read(self, partition: Archives) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Archives | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # a folder without archives
+            return
         fs, path = _filesystem(partition.path)
         with fs.open_input_file(path) as raw:
             stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
