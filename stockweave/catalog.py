@@ -17,10 +17,12 @@ from stockweave.operators import changes, quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
 from stockweave.plans.registry import MODELS, Models
-from stockweave.session import materialize, plan_bytes, prepare, shared_dir, spread_small
-from stockweave.sources.landing import GIVEN, given_table, landing_table
+from stockweave.session import materialize, prepare, shared_dir
+from stockweave.sources.landing import given_table, landing_table
+from stockweave.sources.publish import Lakehouse
+from stockweave.streaming.funnel import LAYER as FUNNEL_LAYER
 from stockweave.streaming.funnel import current_counts, daily_counts, funnel_stream
-from stockweave.streaming.upsert import UpsertSink, last_batch, upsert_stream
+from stockweave.streaming.upsert import upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,13 +94,8 @@ def models_over(spark: SparkSession, sf_dir: str) -> Models:
     return Models(spark, lambda name: landing_table(spark, sf_dir, name))
 
 
-def input_bytes(spark: SparkSession, sf_dir: str) -> int:
-    return sum(plan_bytes(given_table(spark, sf_dir, t)) for t in GIVEN)
-
-
 def ready(spark: SparkSession, sf_dir: str) -> Models:
-    prepare(spark, sf_dir, lambda: input_bytes(spark, sf_dir))
-    return models_over(spark, sf_dir)
+    return models_over(prepare(spark), sf_dir)
 
 
 def query(fn: Callable[[Models], DataFrame]) -> Callable[[Models], DataFrame]:
@@ -191,7 +188,7 @@ def _two_loads(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
 def incremental_sales_orders(m: Models) -> DataFrame:
     first, later = _two_loads(m.ref("stg_orders"))
     items = m.ref("int_order_items_discounted")
-    loaded = marts.fct_sales_orders(first, items)
+    loaded = materialize(marts.fct_sales_orders(first, items))
     return marts.incremental(loaded, marts.fct_sales_orders, later, items)
 
 
@@ -199,14 +196,14 @@ def incremental_sales_orders(m: Models) -> DataFrame:
 def incremental_order_fulfillment(m: Models) -> DataFrame:
     first, later = _two_loads(m.ref("stg_orders"))
     others = [m.ref(f"stg_{t}") for t in ("payments", "shipments", "returns", "reviews")]
-    loaded = marts.fct_order_fulfillment(first, *others)
+    loaded = materialize(marts.fct_order_fulfillment(first, *others))
     return marts.incremental(loaded, marts.fct_order_fulfillment, later, *others)
 
 
 def _three_snapshots(first: DataFrame, second: DataFrame, key: str, check: list[str]) -> DataFrame:
     """First load, changed load, and a rerun of the changed load that must add nothing."""
     history = changes.scd2_apply(changes.scd2_empty(first), first, key, check, RUNS[0])
-    history = changes.scd2_apply(history, second, key, check, RUNS[1])
+    history = materialize(changes.scd2_apply(materialize(history), second, key, check, RUNS[1]))
     return changes.scd2_apply(history, second, key, check, RUNS[2])
 
 
@@ -530,7 +527,7 @@ def latest_model_version(m: Models) -> DataFrame:
 
 def _stored_split(m: Models) -> tuple[DataFrame, DataFrame]:
     """The split over a written feature table: training passes over it many times."""
-    table = spread_small(materialize(m.ref("demand_features")), "event_timestamp")
+    table = materialize(m.ref("demand_features"))
     return forecast.train_test(table, "product_id", "event_timestamp")
 
 
@@ -559,37 +556,71 @@ def quantile_demand_forecast(m: Models) -> DataFrame:
 # --- streams ---------------------------------------------------------------------
 
 
-def _stream_folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+def _temporary_lake(spark: SparkSession) -> Lakehouse:
+    """A lakehouse of its own for one query, below the shared folder."""
+    name = uuid.uuid4().hex
+    return Lakehouse(spark, f"{shared_dir(spark).rstrip('/')}/lake-{name}", environment=f"q{name}")
+
+
+def _rows_of(lake: Lakehouse, layer: str, table: str) -> DataFrame:
+    """The published rows, read from their folders; the catalog entries go."""
+    rows = lake.read(layer, table)
+    lake.spark.sql(f"DROP DATABASE {lake.database(layer)} CASCADE")
+    return rows
+
+
+@query
+def upsert_orders_partitioned(m: Models) -> DataFrame:
+    """The change batch of ``upsert_orders`` merged into orders stored by month.
+
+    Orders without a month, and orders that move to another month, are among
+    them; the rows must still be those of ``upsert_orders``.
+    """
+    lake = _temporary_lake(m.spark)
+    month = F.when(F.col("order_status") != "cancelled", F.trunc("order_date", "MM"))
+    orders = m.ref("stg_orders")
+    lake.publish(orders.withColumn("month", month), "landing", "orders", partition_by=("month",))
+    batch = changed_orders(orders).withColumn("month", F.add_months(month, 1))
+    lake.upsert_partitions(batch, "landing", "orders", "order_id", "month")
+    return _rows_of(lake, "landing", "orders").drop("month")
 
 
 @query
 def stream_upsert(m: Models) -> DataFrame:
     """The change batch of ``upsert_orders`` arriving as files, merged as a stream."""
-    spark, root = m.spark, _stream_folder(m.spark)
-    orders = m.ref("stg_orders")
-    changed_orders(orders).write.parquet(f"{root}/changes")
-    sink = UpsertSink(spark, f"{root}/orders", "order_id")
-    sink.start_from(orders)
+    spark, lake = m.spark, _temporary_lake(m.spark)
+    orders = m.ref("stg_orders").withColumn("month", F.trunc("order_date", "MM"))
+    lake.publish(orders, "landing", "orders", partition_by=("month",))
+    changed_orders(orders).write.parquet(f"{lake.root}/changes")
     arriving = (
         spark.readStream.schema(orders.schema)
         .option("maxFilesPerTrigger", 1000)
-        .parquet(f"{root}/changes")
+        .parquet(f"{lake.root}/changes")
+    )
+    running = upsert_stream(
+        arriving, lake, "landing", "orders", "order_id", "month", f"{lake.root}/checkpoint"
     )
-    running = upsert_stream(arriving, sink, f"{root}/checkpoint")
     running.awaitTermination()
-    return sink.table(last_batch(running))
+    return _rows_of(lake, "landing", "orders").drop("month")
 
 
 def _register_funnel() -> None:
     def stream_daily_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Events arriving in several micro-batches that overlap in time."""
         ready(spark, sf_dir)
-        root = _stream_folder(spark)
-        schema = given_table(spark, sf_dir, "events").schema
-        # A glob names the table whether it is one file or a folder of files.
-        events = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
-        funnel_stream(daily_counts(events), f"{root}/counts", f"{root}/ck").awaitTermination()
-        return current_counts(spark, f"{root}/counts")
+        lake = _temporary_lake(spark)
+        events = given_table(spark, sf_dir, "events")
+        events.repartition(3, "event_id").write.parquet(f"{lake.root}/events")
+        arriving = (
+            spark.readStream.schema(events.schema)
+            .option("maxFilesPerTrigger", 1)
+            .parquet(f"{lake.root}/events")
+        )
+        running = funnel_stream(daily_counts(arriving), lake, f"{lake.root}/checkpoint")
+        running.awaitTermination()
+        rows = current_counts(lake)
+        spark.sql(f"DROP DATABASE {lake.database(FUNNEL_LAYER)} CASCADE")
+        return rows
 
     QUERIES["stream_daily_funnel"] = stream_daily_funnel
 

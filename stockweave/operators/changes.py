@@ -7,27 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.session import materialize
+
 EPOCH = "1900-01-01"
 
 
-def require_unique(df: DataFrame, key: str) -> DataFrame:
-    """Make a frame fail at run time when a key repeats, as MERGE does."""
-    repeated = df.groupBy(key).count().where(F.col("count") > 1)
-    message = F.concat(F.lit(f"more than one source row for {key} = "), F.col(key).cast("string"))
-    checked = repeated.select(F.raise_error(message).cast("boolean").alias("_bad"))
-    # The check rides along as a one-row subquery: one pass, no driver decision.
-    bad = checked.agg(F.count("_bad").alias("_n")).scalar()
-    return df.where(bad == 0)
+def checked_batch(source: DataFrame, key: str) -> DataFrame:
+    """A change batch written once and tested on the copy, as MERGE would test it.
+
+    Raises if a key is NULL or repeats: a NULL key matches nothing, so a rerun
+    would add its row again.
+    """
+    stored = materialize(source)
+    counted = stored.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    wrong = counted.where(F.col(key).isNull() | (F.col("n") > 1)).limit(1).collect()
+    if wrong and wrong[0][key] is None:
+        raise ValueError(f"source row without {key}")
+    if wrong:
+        raise ValueError(f"more than one source row for {key} = {wrong[0][key]}")
+    return stored
+
+
+def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """``upsert`` with a batch that is checked already."""
+    return target.join(batch.select(key), key, "left_anti").unionByName(batch)
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Matched rows take the source's columns, unmatched source rows are added.
 
-    A NULL key matches nothing, so such rows of either side are kept as they are.
+    The source is planned once; its NULL and repeated keys are refused. Target
+    rows without a key match nothing and are kept.
     """
-    incoming = require_unique(source, key)
-    kept = target.join(source.select(key), key, "left_anti")
-    return kept.unionByName(incoming)
+    return merged(target, checked_batch(source, key), key)
 
 
 def high_water_mark(target: DataFrame, column: str) -> Column:
@@ -66,8 +78,10 @@ def scd2_apply(
 
     A key whose checked columns differ (NULL-safe) from its open row gets that
     row closed at ``run_ts`` and a new open row; an unseen key gets an open
-    row; a key gone from the source keeps its open row. One join of the open
-    rows with the source decides everything; closed rows never shuffle.
+    row; a key gone from the source keeps its open row. NULL and repeated source
+    keys are refused. One join of the open rows with the source decides
+    everything; closed rows never shuffle. The history is read twice, so keep it
+    stored between runs.
     """
     now = F.lit(run_ts).cast("timestamp_ntz")
     columns = [c for c in source.columns]
@@ -76,7 +90,7 @@ def scd2_apply(
     old = F.struct(*[F.col(c) for c in history.columns]).alias("_old")
     new = F.struct(*[F.col(c) for c in columns]).alias("_new")
     both = open_rows.select(key, old).join(
-        require_unique(source, key).select(key, new), key, "full"
+        checked_batch(source, key).select(key, new), key, "full"
     )
     same = F.lit(True)
     for c in check:

@@ -15,12 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockweave.session import fits_broadcast, materialize, plan_bytes
+from stockweave.session import materialize
 
 # A key holding more than this share of the rows is hot; so at most 200 are.
 HOT_SHARE = 1 / 200
-# Below this estimated size one task can take a whole side: no need to look.
-HOT_SCAN_BYTES = 4 * 1024**3
 # Copies of the left rows of a hot key, each meeting its part of the right rows.
 HOT_SALTS = 64
 # Shuffle targets over which left rows without a key are spread.
@@ -32,11 +30,10 @@ def left_join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     A NULL key matches nothing, but all of them would hash to one partition.
     A second equi-key, which for NULL keys is a bucket no right row carries,
-    spreads them; the first equi-key keeps the meaning exact. A right side
-    small enough to be broadcast needs none of this: the left stays in place.
+    spreads them; the first equi-key keeps the meaning exact. The bucket is one
+    more projected column, so it is always there: Spark picks the join by sizes
+    it measures at run time, and a broadcast join is none the worse for it.
     """
-    if fits_broadcast(right):
-        return left.join(right, key, "left")
     others = [F.col(c) for c in left.columns if c != key]
     bucket = F.concat(
         F.lit("null-"), F.pmod(F.xxhash64(*others), F.lit(NULL_SPREAD)).cast("string")
@@ -61,7 +58,7 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, fraction: float
 
 
 def left_join_many(
-    left: DataFrame, right: DataFrame, key: str, scan_bytes: int = HOT_SCAN_BYTES, **sampling
+    left: DataFrame, right: DataFrame, key: str, **sampling
 ) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` where ``right`` may repeat a key.
 
@@ -70,8 +67,6 @@ def left_join_many(
     is an inner one and can be salted: right rows scatter over the salts and
     the left rows are copied to each. All other keys take the plain left join.
     """
-    if plan_bytes(right) < scan_bytes:
-        return left.join(right, key, "left")
     hot = hot_keys(right, key, **sampling)
     if not hot:
         return left.join(right, key, "left")

@@ -662,6 +662,7 @@ select method, max(year) as latest_version, arg_max(year, (ts, year)) as last_ev
 from naive_errors group by method""",
     # --- streams ---------------------------------------------------------------------------
     "stream_upsert": "select * from upsert_orders",
+    "upsert_orders_partitioned": "select * from upsert_orders",
     "stream_daily_funnel": """
 select cast(ts as date) as traffic_date, event_type as traffic_source, count(*) as sessions
 from events group by all""",

@@ -39,7 +39,7 @@ def train_test(features: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _vector(columns: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(columns), outputCol="_x", handleInvalid="skip")
+    return VectorAssembler(inputCols=list(columns), outputCol="_x", handleInvalid="error")
 
 
 def fit_forest(

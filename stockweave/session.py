@@ -1,4 +1,4 @@
-"""Session settings the plans rely on, plan size estimates and durable cut points."""
+"""Session settings the plans rely on, and durable cut points owned by a run."""
 
 from __future__ import annotations
 
@@ -7,16 +7,13 @@ import math
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Target bytes of one shuffle partition before adaptive execution coalesces.
-SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-
-# Inputs of this size range may be dealt out to idle cores, see spread_small.
-SPREAD_FROM_BYTES = 512 * 1024
-SPREAD_TO_BYTES = 256 * 1024 * 1024
+SHUFFLE_PARTITION_BYTES = 1024 * 1024 * 1024
 
 # Adaptive execution carries three jobs here: it picks broadcast joins from
 # measured sizes, splits skewed join partitions, and coalesces small ones.
@@ -29,60 +26,27 @@ _SETTINGS = {
 }
 
 
-_PREPARED = "spark.stockweave.prepared"
-_SIZED = "spark.stockweave.sized"
-
-
-def prepare(
-    spark: SparkSession, source: str = "session", input_bytes: Callable[[], int] | None = None
-) -> SparkSession:
-    """Apply the runtime settings, leaving anything the caller chose untouched.
-
-    With ``input_bytes`` the number of shuffle partitions follows the size of
-    ``source``, unless the caller set it: the default of 200 would mean
-    partitions of hundreds of gigabytes at the sizes this is built for.
-    """
-    if spark.conf.get(_PREPARED, None) == source:
-        return spark
-    spark.conf.set(_PREPARED, source)
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings, leaving anything the caller chose untouched."""
     chosen = spark.conf.getAll
     for key, value in _SETTINGS.items():
         if key not in chosen:
             spark.conf.set(key, value)
-    partitions = "spark.sql.shuffle.partitions"
-    if input_bytes is not None and (partitions not in chosen or _SIZED in chosen):
-        cores = spark.sparkContext.defaultParallelism
-        wanted = math.ceil(input_bytes() / SHUFFLE_PARTITION_BYTES)
-        spark.conf.set(partitions, str(max(cores, wanted)))
-        spark.conf.set(_SIZED, "true")
     return spark
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size limit lets it broadcast this frame."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return plan_bytes(df) <= limit
-
-
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Deal a small input that sits in few files out to all cores, by ``key``.
+def suggested_partitions(*inputs: DataFrame) -> int:
+    """Shuffle partitions for a job over these inputs, about a gigabyte each.
 
-    A file with one row group is one task however many cores wait. Inputs with
-    as many files as cores, and large ones, are left as they are: there the
-    scan is parallel already and a shuffle of raw rows would only cost.
+    For a job to put into ``spark.sql.shuffle.partitions`` before it starts:
+    adaptive execution merges small partitions, but cannot add any. The sizes
+    are Catalyst's estimates of the inputs; no job runs.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if not SPREAD_FROM_BYTES <= plan_bytes(df) <= SPREAD_TO_BYTES:
-        return df
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, key)
+    cores = inputs[0].sparkSession.sparkContext.defaultParallelism
+    total = sum(
+        int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs
+    )
+    return max(cores, math.ceil(total / SHUFFLE_PARTITION_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -105,13 +69,39 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_run_folders: list[str] = []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[str]:
+    """A run: cut points made inside go to its own folder, deleted when it ends.
+
+    Results must be written or collected inside, as they may read the cuts.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    _run_folders.append(folder)
+    try:
+        yield folder
+    finally:
+        _run_folders.remove(folder)
+        delete_folder(spark, folder)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Unlike a cached frame the copy survives lost executors, and unlike an RDD
     checkpoint it keeps columnar pruning and true sizes for join planning.
+    Inside ``run_scope`` the copy goes when the run ends; otherwise the caller
+    of the query owns what lies in ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    root = _run_folders[-1] if _run_folders else shared_dir(spark).rstrip("/")
+    path = f"{root}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

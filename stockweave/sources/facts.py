@@ -1,31 +1,29 @@
-"""Order facts kept as month-partitioned Parquet and advanced in place."""
+"""Order facts kept as month-partitioned tables and advanced in place."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from stockweave.functions.exprs import month_of
 from stockweave.operators.changes import since_mark
-from stockweave.sources.publish import upsert_partitions
+from stockweave.sources.publish import Lakehouse
 
 MONTH = "order_month"
+LAYER = "fact"
 
 
-def create_fact(fact: DataFrame, path: str) -> None:
-    """First load, one folder per order month."""
-    (
-        fact.withColumn(MONTH, month_of("order_date"))
-        .hint("rebalance", MONTH)
-        .write.partitionBy(MONTH)
-        .parquet(path)
+def create_fact(lake: Lakehouse, name: str, fact: DataFrame) -> DataFrame:
+    """First load, one partition per order month."""
+    return lake.publish(
+        fact.withColumn(MONTH, month_of("order_date")), LAYER, name, partition_by=(MONTH,)
     )
 
 
 def advance_fact(
-    spark: SparkSession,
-    path: str,
+    lake: Lakehouse,
+    name: str,
     build: Callable[..., DataFrame],
     orders: DataFrame,
     *others: DataFrame,
@@ -36,7 +34,7 @@ def advance_fact(
     Returns the months rewritten. All other months are neither read, but for
     their keys, nor written.
     """
-    target = spark.read.parquet(path)
+    target = lake.read(LAYER, name)
     recent = since_mark(orders, target, "order_date", lookback_days)
     fresh = build(recent, *others).withColumn(MONTH, month_of("order_date"))
-    return upsert_partitions(spark, path, fresh, "order_id", MONTH)
+    return lake.upsert_partitions(fresh, LAYER, name, "order_id", MONTH)

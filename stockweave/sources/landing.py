@@ -16,12 +16,9 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from stockweave.session import spread_small
 
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-# The fact tables among them, and the key most work on them is grouped by.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 LANDING_SQL: dict[str, str] = {
     "products": """
@@ -220,8 +217,7 @@ def _schema(spark: SparkSession, path: str) -> StructType:
 def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; its footer is read once per session."""
     path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.schema(_schema(spark, path)).parquet(path)
-    return spread_small(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def landing_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,27 +1,33 @@
-"""Write-audit-publish: tables are views over the Parquet folder of one run.
+"""Write-audit-publish: tables are views over the Parquet folders of runs.
 
 Each run writes its own folder, so a reader never sees a half-written table
 and nothing is overwritten while it is read. Publishing replaces the view,
-which the catalog does in one step. A branch is a second set of views: making
-one copies pointers, merging one moves them.
+which the catalog does in one step. A table partitioned by a column may consist
+of several folders: an upsert writes the partitions it touches to a new folder
+and points the view at the old folders without them, plus the new one. A branch
+is a second set of views: making one copies pointers, merging one moves them.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from stockweave.operators.changes import require_unique, upsert
-from stockweave.session import materialize
+from stockweave.operators.changes import checked_batch, merged
 
 log = logging.getLogger(__name__)
 
 MAIN = "main"
 _LOCATION = "stockweave.location"
+# Folders a table may consist of before an upsert writes it anew as one.
+MAX_FOLDERS = 16
 
 
 class AuditFailed(RuntimeError):
@@ -34,6 +40,19 @@ def database_name(layer: str, branch: str = MAIN, environment: str = "") -> str:
     return name if branch == MAIN else f"{name}__{branch}"
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _without(gone: Sequence[str | None], column: str, kind: str) -> str:
+    """SQL predicate: rows outside the partitions ``gone``, given as text, NULL for None."""
+    values = [f"CAST({_text(v)} AS {kind})" for v in gone if v is not None]
+    name = f"`{column}`"
+    inside = f"{name} IN ({', '.join(values)})" if values else "false"
+    return f"CASE WHEN {name} IS NULL THEN {str(None not in gone).lower()} ELSE NOT {inside} END"
+
+
 class Lakehouse:
     """Publishes and reads tables of layer databases below one storage root."""
 
@@ -47,17 +66,33 @@ class Lakehouse:
         return database_name(layer, self.branch, self.environment)
 
     def location(self, layer: str, table: str) -> str | None:
-        """The folder a published table points to, None when there is none."""
+        """What a published table points to (see ``folders``), None when there is none."""
         name = f"{self.database(layer)}.{table}"
         if not self.spark.catalog.tableExists(name):
             return None
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {name} ('{_LOCATION}')").collect()
         return rows[0]["value"]
 
+    def folders(self, layer: str, table: str) -> dict | None:
+        """``schema``, ``partition`` and ``parts``: (folder, partitions gone from it)."""
+        location = self.location(layer, table)
+        return None if location is None else json.loads(location)
+
     def read(self, layer: str, table: str) -> DataFrame | None:
-        if self.location(layer, table) is None:
+        """The published rows, with the types they were published with."""
+        found = self.folders(layer, table)
+        if found is None:
             return None
-        return self.spark.table(f"{self.database(layer)}.{table}")
+        schema = StructType.fromJson(found["schema"])
+
+        def part(path: str, gone: list) -> DataFrame:
+            df = self.spark.read.schema(schema).parquet(path)
+            if not gone:
+                return df
+            column = found["partition"]
+            return df.where(_without(gone, column, schema[column].dataType.simpleString()))
+
+        return reduce(DataFrame.unionByName, [part(p, gone) for p, gone in found["parts"]])
 
     def stage(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
@@ -70,14 +105,37 @@ class Lakehouse:
         writer.partitionBy(*partition_by).parquet(path)
         return path
 
-    def point(self, layer: str, table: str, path: str) -> None:
+    def point(self, layer: str, table: str, location: str) -> None:
+        """Make the view of a table show what ``location`` names."""
+        found = json.loads(location)
+        schema = StructType.fromJson(found["schema"])
+        columns = ", ".join(
+            f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema
+        )
+        column = found["partition"]
+        selects = [
+            # Types first: a folder's partition values are read back by their looks.
+            f"SELECT * FROM (SELECT {columns} FROM parquet.`{path}`)"
+            + (
+                f" WHERE {_without(gone, column, schema[column].dataType.simpleString())}"
+                if gone
+                else ""
+            )
+            for path, gone in found["parts"]
+        ]
         database = self.database(layer)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {database}.{table} TBLPROPERTIES ('{_LOCATION}' = '{path}') "
-            f"AS SELECT * FROM parquet.`{path}`"
+            f"CREATE OR REPLACE VIEW {database}.{table} "
+            f"TBLPROPERTIES ('{_LOCATION}' = {_text(location)}) AS {' UNION ALL '.join(selects)}"
         )
 
+    @staticmethod
+    def _location(schema: StructType, partition: str | None, parts: list) -> str:
+        # Parquet drops nullability; a stored schema says what a read gives.
+        kept = StructType([type(f)(f.name, f.dataType, True) for f in schema])
+        return json.dumps({"schema": kept.jsonValue(), "partition": partition, "parts": parts})
+
     def publish(
         self,
         df: DataFrame,
@@ -100,14 +158,64 @@ class Lakehouse:
                     raise AuditFailed(f"{table}: {row['test_name']} found {row['failures']} rows")
                 if row["status"] == "warn":
                     log.warning("%s: %s found %s rows", table, row["test_name"], row["failures"])
-        self.point(layer, table, path)
-        return self.spark.table(f"{self.database(layer)}.{table}")
+        column = partition_by[0] if len(partition_by) == 1 else None
+        self.point(layer, table, self._location(df.schema, column, [[path, []]]))
+        return self.read(layer, table)
 
     def upsert(self, source: DataFrame, layer: str, table: str, key: str) -> DataFrame:
-        """Merge ``source`` into the published table as a new version."""
+        """Merge ``source`` into the published table as a new version.
+
+        A table partitioned by one column goes by ``upsert_partitions``: only the
+        partitions it touches are written. Others are written anew.
+        """
+        found = self.folders(layer, table)
+        if found is not None and found["partition"] is not None:
+            self.upsert_partitions(source, layer, table, key, found["partition"])
+            return self.read(layer, table)
+        batch = checked_batch(source, key)
         current = self.read(layer, table)
-        merged = require_unique(source, key) if current is None else upsert(current, source, key)
-        return self.publish(merged, layer, table)
+        return self.publish(batch if current is None else merged(current, batch, key), layer, table)
+
+    def upsert_partitions(
+        self, source: DataFrame, layer: str, table: str, key: str, column: str
+    ) -> list:
+        """Upsert into a table partitioned by ``column``; only touched partitions are written.
+
+        A row may move to another partition, so the one its old version sits in
+        is touched as well. The touched partitions, NULL's included, are written
+        to a new folder and the pointer moves once: readers see the version
+        before or the one after, whatever fails in between, and a rerun starts
+        from the same state. Repeated and NULL keys are refused. Returns the
+        touched values; there are at most as many as partitions.
+        """
+        batch = checked_batch(source, key)
+        found = self.folders(layer, table)
+        if found is None:
+            self.publish(batch, layer, table, partition_by=(column,))
+            return [row[0] for row in batch.select(column).distinct().collect()]
+        if found["partition"] != column:
+            raise ValueError(f"{table} is not partitioned by {column}")
+        target = self.read(layer, table)
+        batch = batch.select(*target.columns)
+        left = target.join(batch.select(key), key, "left_semi").select(column)
+        values = left.unionByName(batch.select(column)).distinct()
+        rows = values.select(column, F.col(column).cast("string").alias("_text")).collect()
+        touched, texts = [r[column] for r in rows], [r["_text"] for r in rows]
+        if not touched:
+            return []
+        fresh = merged(target.where(self._within(column, touched)), batch, key)
+        path = self.stage(fresh, layer, table, (column,))
+        parts = [[p, sorted({*gone, *texts}, key=str)] for p, gone in found["parts"]]
+        schema = StructType.fromJson(found["schema"])
+        self.point(layer, table, self._location(schema, column, [*parts, [path, []]]))
+        if len(parts) + 1 > MAX_FOLDERS:
+            self.publish(self.read(layer, table), layer, table, partition_by=(column,))
+        return touched
+
+    @staticmethod
+    def _within(column: str, values: Sequence) -> Column:
+        known = F.coalesce(F.col(column).isin([v for v in values if v is not None]), F.lit(False))
+        return known | F.col(column).isNull() if None in values else known
 
     # --- branches ---------------------------------------------------------
 
@@ -166,41 +274,3 @@ def merge_into(source: DataFrame, table: str, key: str) -> None:
         .insertAll()
         .merge()
     )
-
-
-def upsert_partitions(
-    spark: SparkSession, path: str, source: DataFrame, key: str, partition_column: str
-) -> list:
-    """Upsert into partitioned Parquet, rewriting only the partitions it touches.
-
-    A row may move to another partition, so those its old version sits in are
-    touched as well. The new content is written aside first: the partitions are
-    never read while they are replaced, and a rerun starts from the same state.
-    Returns the touched values; there are at most as many as partitions.
-    """
-    target = spark.read.parquet(path)
-    incoming = materialize(require_unique(source, key))
-    left = target.join(incoming.select(key), key, "left_semi").select(partition_column)
-    touched = [
-        row[0]
-        for row in left.unionByName(incoming.select(partition_column)).distinct().collect()
-    ]
-    affected = target.where(F.col(partition_column).isin(touched))
-    staged = materialize(upsert(affected, incoming, key))
-    (
-        staged.hint("rebalance", partition_column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_column)
-        .parquet(path)
-    )
-    kept = {row[0] for row in staged.select(partition_column).distinct().collect()}
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for value in touched:
-        # Dynamic overwrite leaves partitions alone that got no rows.
-        if value not in kept:
-            files.delete(
-                spark._jvm.org.apache.hadoop.fs.Path(folder, f"{partition_column}={value}"), True
-            )
-    return touched

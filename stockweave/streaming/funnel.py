@@ -1,43 +1,49 @@
-"""Daily event counts per type over a stream, late events included up to a day."""
+"""Daily event counts per type over a stream, late events included however late."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stockweave.sources.publish import Lakehouse
 
-def daily_counts(events: DataFrame, delay: str = "1 day") -> DataFrame:
+LAYER = "streams"
+TABLE = "daily_counts"
+# Days and types have one row each, so months make few and small partitions.
+MONTH = "traffic_month"
+KEY = "count_key"
+
+
+def daily_counts(events: DataFrame) -> DataFrame:
     """(traffic_date, traffic_source, sessions) per day; state per day and type.
 
-    Stream windows are cut on UTC days. The wall clock of the session's zone is
-    shifted onto UTC first and back after, so days are days of that zone.
+    There is no watermark: the state has one row per day and type, bounded by the
+    calendar, and a watermark would drop late events from an exact count. Events
+    without a time count under a NULL day.
     """
-    zone = F.current_timezone()
-    return (
-        events.withColumn("_at", F.from_utc_timestamp(F.col("ts").cast("timestamp"), zone))
-        .withWatermark("_at", delay)
-        .groupBy(F.window("_at", "1 day").alias("w"), F.col("event_type").alias("traffic_source"))
-        .agg(F.count("*").alias("sessions"))
-        .select(
-            F.to_utc_timestamp("w.start", zone).cast("date").alias("traffic_date"),
-            "traffic_source",
-            "sessions",
-        )
+    day = F.col("ts").cast("timestamp").cast("date").alias("traffic_date")
+    return events.groupBy(day, F.col("event_type").alias("traffic_source")).agg(
+        F.count("*").alias("sessions")
     )
 
 
-def funnel_stream(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed counts of each micro-batch to that batch's own folder.
+def funnel_stream(counts: DataFrame, lake: Lakehouse, checkpoint: str) -> StreamingQuery:
+    """Keep the newest count per day and type in a published table keyed by both.
 
-    A replayed batch overwrites its folder, so the files stay exact.
+    A micro-batch brings whole new counts for the days it changed and rewrites
+    their months only; a replayed batch brings the same counts again.
     """
+    keyed = counts.withColumn(
+        KEY, F.to_json(F.struct("traffic_date", "traffic_source"))
+    ).withColumn(MONTH, F.trunc("traffic_date", "MM"))
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        own = Lakehouse(batch.sparkSession, lake.root, lake.branch, lake.environment)
+        own.upsert_partitions(batch, LAYER, TABLE, KEY, MONTH)
 
     return (
-        counts.writeStream.outputMode("update")
+        keyed.writeStream.outputMode("update")
         .foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -45,10 +51,7 @@ def funnel_stream(counts: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def current_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The newest count per day and type over all batches."""
-    return (
-        spark.read.parquet(path)
-        .groupBy("traffic_date", "traffic_source")
-        .agg(F.max_by("sessions", "batch").alias("sessions"))
-    )
+def current_counts(lake: Lakehouse) -> DataFrame | None:
+    """The counts as the last finished micro-batch left them; None before any."""
+    table = lake.read(LAYER, TABLE)
+    return None if table is None else table.drop(KEY, MONTH)

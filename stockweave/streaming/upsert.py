@@ -1,44 +1,12 @@
-"""Keyed upsert of a change stream into a table, one version per micro-batch."""
+"""Keyed upsert of a change stream into a published, partitioned table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stockweave.operators.changes import upsert
-from stockweave.sources.publish import upsert_partitions
-
-
-class UpsertSink:
-    """Version ``n`` of the table is version ``n - 1`` with micro-batch ``n`` merged in.
-
-    A batch that is replayed after a failure reads the same version and
-    overwrites the same folder, so each change is applied exactly once. With an
-    ``order`` column a key may change several times in one batch: the last
-    change counts.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, key: str, order: str | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.key = key
-        self.order = order
-
-    def _folder(self, version: int) -> str:
-        return f"{self.root}/version={version}"
-
-    def start_from(self, initial: DataFrame) -> None:
-        initial.write.mode("overwrite").parquet(self._folder(-1))
-
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        current = batch.sparkSession.read.parquet(self._folder(batch_id - 1))
-        batch = last_per_key(batch, self.key, self.order) if self.order else batch
-        merged = upsert(current, batch.select(*current.columns), self.key)
-        merged.write.mode("overwrite").parquet(self._folder(batch_id))
-
-    def table(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(self._folder(version))
+from stockweave.sources.publish import Lakehouse
 
 
 def last_per_key(changes: DataFrame, key: str, order: str) -> DataFrame:
@@ -48,26 +16,29 @@ def last_per_key(changes: DataFrame, key: str, order: str) -> DataFrame:
     return changes.groupBy(key).agg(newest).select(key, "_row.*")
 
 
-def upsert_stream(changes: DataFrame, sink: UpsertSink, checkpoint: str) -> StreamingQuery:
-    return (
-        changes.writeStream.foreachBatch(sink.apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def partition_upsert_stream(
-    changes: DataFrame, path: str, key: str, partition_column: str, checkpoint: str
+def upsert_stream(
+    changes: DataFrame,
+    lake: Lakehouse,
+    layer: str,
+    table: str,
+    key: str,
+    partition_column: str,
+    checkpoint: str,
+    order: str | None = None,
 ) -> StreamingQuery:
-    """Upsert a change stream into partitioned Parquet, touched partitions only.
+    """Upsert a change stream into a partitioned table, touched partitions only.
 
-    The form for large tables: work per micro-batch follows the partitions it
-    touches, not the table. Upserts repeat safely, so a replayed batch is fine.
+    Work per micro-batch follows the partitions it touches. Upserts repeat
+    safely, so a batch replayed after a failure changes nothing, and the result
+    is what the table's pointer shows: a restart without new files finds it
+    there. With an ``order`` column a key may change several times in a batch:
+    the last change counts. Without one a repeated key stops the stream.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert_partitions(batch.sparkSession, path, batch, key, partition_column)
+        own = Lakehouse(batch.sparkSession, lake.root, lake.branch, lake.environment)
+        batch = last_per_key(batch, key, order) if order else batch
+        own.upsert_partitions(batch, layer, table, key, partition_column)
 
     return (
         changes.writeStream.foreachBatch(apply)
@@ -75,9 +46,3 @@ def partition_upsert_stream(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def last_batch(query: StreamingQuery) -> int:
-    """Number of the last micro-batch a finished query committed, -1 without any."""
-    progress = query.lastProgress
-    return -1 if progress is None else int(progress["batchId"])

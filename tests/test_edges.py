@@ -320,36 +320,48 @@ def test_net_requirements(spark):
 # --- schedule ----------------------------------------------------------------------
 
 
-def dealt(demand, lines, locked, shifts, rate):
-    """The dealing rule as a loop, for comparison."""
-    turn, out = 0, []
-    for product, qty in demand:
-        while qty > 0:
-            line = lines[turn % len(lines)]
-            if line in locked:
-                turn += 1
-                continue
-            out.append((product, line, shifts[turn % len(shifts)], min(qty, rate)))
-            qty -= rate
-            turn += 1
-    return out
-
-
-@pytest.mark.parametrize("locked", [[], ["B"], ["A", "D"]])
-def test_schedule_equals_the_loop(spark, monkeypatch, locked):
-    monkeypatch.setattr(planning, "BATCH_BLOCK", 3)
-    lines, shifts = ["A", "B", "C", "D", "E"], ["S1", "S2", "S3"]
-    demand = [(7, 95.0), (3, 10.0), (5, 1000.0), (1, 4.5)]
+# Demand 25, 10 and 4.5 at 10 a batch on lines A to C, shifts S1 and S2, by locked lines.
+SCHEDULES = {
+    (): [
+        (7, "A", "S1", 10.0),
+        (7, "B", "S2", 10.0),
+        (7, "C", "S1", 5.0),
+        (3, "A", "S2", 10.0),
+        (1, "B", "S1", 4.5),
+    ],
+    ("B",): [
+        (7, "A", "S1", 10.0),
+        (7, "C", "S1", 10.0),
+        (7, "A", "S2", 5.0),
+        (3, "C", "S2", 10.0),
+        (1, "A", "S1", 4.5),
+    ],
+    ("A", "C"): [
+        (7, "B", "S2", 10.0),
+        (7, "B", "S1", 10.0),
+        (7, "B", "S2", 5.0),
+        (3, "B", "S1", 10.0),
+        (1, "B", "S2", 4.5),
+    ],
+}
+
+
+@pytest.mark.parametrize("locked", sorted(SCHEDULES))
+def test_schedule(spark, monkeypatch, locked):
+    monkeypatch.setattr(planning, "BATCH_BLOCK", 2)
     df = spark.createDataFrame(
-        [(p, q, i) for i, (p, q) in enumerate(demand)], "product_id bigint, qty double, seq bigint"
+        [(7, 25.0, 0), (3, 10.0, 1), (1, 4.5, 2)], "product_id bigint, qty double, seq bigint"
     )
     lockouts = spark.createDataFrame(
         [(x, D(2024, 1, 5)) for x in locked] + [("C", D(2024, 1, 6))],
         "line_name string, lockout_date date",
     )
-    out = planning.production_schedule(df, lockouts, "2024-01-05", lines, shifts, 10.0)
+    out = planning.production_schedule(
+        df, lockouts, "2024-01-05", ["A", "B", "C"], ["S1", "S2"], 10.0
+    )
     got = rows(out.select("batch_no", "product_id", "assigned_line", "shift_name", "scheduled_qty"))
-    assert [r[1:] for r in got] == dealt(demand, lines, locked, shifts, 10.0)
+    assert [r[1:] for r in got] == SCHEDULES[locked]
+    assert [r[0] for r in got] == list(range(got[0][0], got[0][0] + len(got)))
 
 
 def test_all_lines_locked(spark):
@@ -381,6 +393,15 @@ def test_upsert_rejects_repeated_source_key(spark):
         changes.upsert(target, source, "k").collect()
 
 
+def test_null_source_keys_are_refused(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(None, "x"), (2, "y")], "k int, v string")
+    with pytest.raises(ValueError, match="without k"):
+        changes.upsert(target, source, "k")
+    with pytest.raises(ValueError, match="without k"):
+        changes.scd2_apply(changes.scd2_empty(source), source, "k", ["v"], "2000-01-01 00:00:00")
+
+
 def test_high_water_mark_ignores_late_old_rows(spark):
     target = spark.createDataFrame([(1, D(2000, 1, 1)), (2, D(2000, 1, 5))], "k int, d date")
     source = spark.createDataFrame(

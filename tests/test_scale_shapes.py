@@ -48,7 +48,7 @@ def test_hot_right_key(spark, monkeypatch, no_broadcast):
     copies = [(3, "same")] * 300 + [(k, f"r{k}") for k in range(0, 40, 2)]
     right = spark.createDataFrame(copies, "k int, r string")
     assert joins.hot_keys(right, "k", share=0.2, fraction=1.0) == [3]
-    got = joins.left_join_many(left, right, "k", scan_bytes=0, share=0.2, fraction=1.0)
+    got = joins.left_join_many(left, right, "k", share=0.2, fraction=1.0)
     assert rows(got) == rows(left.join(right, "k", "left"))
 
 

@@ -1,5 +1,7 @@
 """Readers, publishing, branches, partition upserts, layer runs and streams."""
 
+import datetime as dt
+
 import pytest
 
 from stockweave.catalog import models_over
@@ -10,16 +12,15 @@ from stockweave.plans.registry import MODELS, Models, layer_order, run_layer
 from stockweave.plans.staging import harmonise_cross_reference, harmonise_maintenance
 from stockweave.sources.facts import advance_fact, create_fact
 from stockweave.sources.ingest import ingest, ingest_all, ingest_upsert
-from stockweave.sources.publish import AuditFailed, Lakehouse, upsert_partitions
+from stockweave.sources.publish import AuditFailed, Lakehouse
 from stockweave.sources.readers import lower_columns, read_csv, read_csv_raw
 from stockweave.sources.tables import DAILY_LOAD, TABLES
-from stockweave.streaming.upsert import (
-    UpsertSink,
-    last_batch,
-    last_per_key,
-    partition_upsert_stream,
-    upsert_stream,
-)
+from stockweave.streaming import funnel
+from stockweave.streaming.upsert import last_per_key, upsert_stream
+
+
+def D(*ymd):
+    return dt.datetime(*ymd)
 
 
 @pytest.fixture
@@ -105,34 +106,98 @@ def test_branches(lake, spark):
         lake.drop_branch("main")
 
 
-def test_upsert_touches_only_its_partitions(spark, tmp_path):
-    path = str(tmp_path / "facts")
+DDL = "k int, v string, p string"
+
+
+def table_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_upsert_touches_only_its_partitions(lake, spark):
     start = spark.createDataFrame(
-        [(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", 3)], "k int, v string, month int"
+        [(1, "a", "1"), (2, "b", "1"), (3, "c", "2"), (4, "d", "3"), (5, "e", None), (6, "f", None)], DDL
     )
-    start.write.partitionBy("month").parquet(path)
-    untouched = {p.name for p in (tmp_path / "facts" / "month=1").iterdir()}
-    source = spark.createDataFrame([(4, "D", 2), (5, "e", 4)], "k int, v string, month int")
-    assert sorted(upsert_partitions(spark, path, source, "k", "month")) == [2, 3, 4]
-    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "month").collect())
-    assert got == [(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "D", 2), (5, "e", 4)]
-    assert {p.name for p in (tmp_path / "facts" / "month=1").iterdir()} == untouched
+    lake.publish(start, "fact", "t", partition_by=("p",))
+    before = lake.folders("fact", "t")["parts"][0][0]
+    source = spark.createDataFrame([(4, "D", "2"), (7, "g", "x:y z'\\%"), (8, "h", None), (5, "E", "2")], DDL)
+    touched = lake.upsert_partitions(source, "fact", "t", "k", "p")
+    assert sorted(touched, key=str) == ["2", "3", None, "x:y z'\\%"]
+    want = [
+        (1, "a", "1"), (2, "b", "1"), (3, "c", "2"), (4, "D", "2"), (5, "E", "2"), (6, "f", None),
+        (7, "g", "x:y z'\\%"), (8, "h", None),
+    ]
+    assert table_rows(lake.read("fact", "t")) == sorted(want, key=str)
+    view = spark.table(f"{lake.database('fact')}.t").select("k", "v", "p")
+    assert table_rows(view) == sorted(want, key=str)
+    (old, gone), (new, none) = lake.folders("fact", "t")["parts"]
+    assert old == before and set(gone) == {"2", "3", None, "x:y z'\\%"} and none == []
+    # The new folder has the touched partitions only, the rows of partition 1 stay where they were.
+    assert not spark.read.schema(DDL).parquet(new).where("p = '1'").count()
+    lake.upsert_partitions(source, "fact", "t", "k", "p")
+    assert table_rows(lake.read("fact", "t")) == sorted(want, key=str)
+
+
+def test_upsert_by_partition_fails_whole(lake, spark, monkeypatch):
+    lake.publish(spark.createDataFrame([(1, "a", "1"), (2, "b", None)], DDL), "fact", "t", partition_by=("p",))
+    before = table_rows(lake.read("fact", "t"))
+    for bad, message in (([(1, "x", "1"), (1, "y", "1")], "more than one"), ([(None, "x", "1")], "without k")):
+        with pytest.raises(ValueError, match=message):
+            lake.upsert_partitions(spark.createDataFrame(bad, DDL), "fact", "t", "k", "p")
+    change = spark.createDataFrame([(1, "A", "2")], DDL)
+    with monkeypatch.context() as crash:
+        crash.setattr(Lakehouse, "point", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake.upsert_partitions(change, "fact", "t", "k", "p")
+    assert table_rows(lake.read("fact", "t")) == before
+    lake.upsert_partitions(change, "fact", "t", "k", "p")
+    assert table_rows(lake.read("fact", "t")) == [(1, "A", "2"), (2, "b", None)]
+    assert lake.upsert_partitions(change.limit(0), "fact", "t", "k", "p") == []
+
+
+def test_many_upserts_are_folded(lake, spark, monkeypatch):
+    monkeypatch.setattr("stockweave.sources.publish.MAX_FOLDERS", 2)
+    lake.publish(spark.createDataFrame([(0, "a", "0")], DDL), "fact", "t", partition_by=("p",))
+    for k in range(1, 4):
+        # A partitioned table is upserted by partition by the plain call as well.
+        lake.upsert(spark.createDataFrame([(k, "b", str(k))], DDL), "fact", "t", "k")
+    assert table_rows(lake.read("fact", "t")) == [(0, "a", "0")] + [(k, "b", str(k)) for k in (1, 2, 3)]
+    assert len(lake.folders("fact", "t")["parts"]) <= 2
+    dev = lake.create_branch("dev")
+    dev.upsert(spark.createDataFrame([(0, "z", "9")], DDL), "fact", "t", "k")
+    assert lake.read("fact", "t").where("k = 0").first()["v"] == "a"
+    lake.merge_branch("dev")
+    assert lake.read("fact", "t").where("k = 0").first()["p"] == "9"
 
 
-def test_fact_advances_in_place(spark, sf_dir, tmp_path):
+def test_fact_advances_in_place(lake, spark, sf_dir):
     models = models_over(spark, sf_dir)
     orders, items = models.ref("stg_orders"), models.ref("int_order_items_discounted")
-    path = str(tmp_path / "fct")
     first = orders.where("order_date <= date'1999-06-10'")
-    create_fact(marts.fct_sales_orders(first, items), path)
-    months = advance_fact(spark, path, marts.fct_sales_orders, orders, items)
+    create_fact(lake, "sales", marts.fct_sales_orders(first, items))
+    months = advance_fact(lake, "sales", marts.fct_sales_orders, orders, items)
     assert min(months).isoformat() == "1999-06-01"
     full = marts.fct_sales_orders(orders, items)
-    got = spark.read.parquet(path).select(*full.columns)
+    got = lake.read("fact", "sales").select(*full.columns)
     assert got.count() == full.count()
     assert got.exceptAll(full).count() == 0
 
 
+def test_a_finished_run_leaves_nothing(spark, tmp_path):
+    from pathlib import Path
+
+    from stockweave.session import materialize, run_scope, shared_dir
+
+    root = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(root.iterdir())
+    with run_scope(spark) as folder:
+        df = materialize(materialize(spark.range(3)))
+        assert df.count() == 3 and Path(folder).is_dir()
+    with pytest.raises(RuntimeError), run_scope(spark):
+        materialize(spark.range(3))
+        raise RuntimeError
+    assert set(root.iterdir()) == before
+
+
 def test_layers_build_in_order(lake, spark, sf_dir):
     assert layer_order("dim")[0].startswith("dim_")
     inline = models_over(spark, sf_dir)
@@ -149,38 +214,39 @@ def test_layers_build_in_order(lake, spark, sf_dir):
     assert lake.read("dim", "dim_customers").count() == inline.ref("dim_customers").count()
 
 
-def test_stream_upsert_applies_batches_in_turn(spark, tmp_path):
-    sink = UpsertSink(spark, str(tmp_path / "t"), "k")
-    sink.start_from(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
-    changes = str(tmp_path / "changes")
-    checkpoint = str(tmp_path / "ck")
+def test_stream_upsert_and_restart(lake, spark, tmp_path):
+    ddl = "k int, v string, at int, p int"
+    changes, checkpoint = str(tmp_path / "changes"), str(tmp_path / "ck")
+    lake.publish(spark.createDataFrame([(1, "a", 0, 1), (2, "b", 0, 2)], ddl), "fact", "t", partition_by=("p",))
 
     def arrive(data):
-        spark.createDataFrame(data, "k int, v string").coalesce(1).write.mode("append").parquet(changes)
-        stream = spark.readStream.schema("k int, v string").parquet(changes)
-        query = upsert_stream(stream, sink, checkpoint)
-        query.awaitTermination()
-        return last_batch(query)
-
-    first = arrive([(2, "B")])
-    second = arrive([(2, "BB"), (3, "C")])
-    assert second > first
-    got = sorted(tuple(r) for r in sink.table(second).collect())
-    assert got == [(1, "a"), (2, "BB"), (3, "C")]
-    # Replaying the last batch changes nothing.
-    sink.apply(spark.createDataFrame([(2, "BB"), (3, "C")], "k int, v string"), second)
-    assert sorted(tuple(r) for r in sink.table(second).collect()) == got
-
-
-def test_stream_upsert_by_partition(spark, tmp_path):
-    path, changes = str(tmp_path / "t"), str(tmp_path / "changes")
-    ddl = "k int, v string, month int"
-    spark.createDataFrame([(1, "a", 1), (2, "b", 2)], ddl).write.partitionBy("month").parquet(path)
-    spark.createDataFrame([(2, "B", 2), (3, "c", 3)], ddl).write.parquet(changes)
-    stream = spark.readStream.schema(ddl).parquet(changes)
-    partition_upsert_stream(stream, path, "k", "month", str(tmp_path / "ck")).awaitTermination()
-    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "month").collect())
-    assert got == [(1, "a", 1), (2, "B", 2), (3, "c", 3)]
+        if data:
+            spark.createDataFrame(data, ddl).coalesce(1).write.mode("append").parquet(changes)
+        stream = spark.readStream.schema(ddl).parquet(changes)
+        upsert_stream(stream, lake, "fact", "t", "k", "p", checkpoint, "at").awaitTermination()
+        return table_rows(lake.read("fact", "t").select("k", "v", "p"))
+
+    assert arrive([(2, "x", 1, 2), (2, "B", 2, 2)]) == [(1, "a", 1), (2, "B", 2)]
+    after = arrive([(2, "BB", 3, 3), (3, "C", 3, None)])
+    assert after == [(1, "a", 1), (2, "BB", 3), (3, "C", None)]
+    assert arrive([]) == after  # a restart without new files
+
+
+def test_late_events_count(lake, spark, tmp_path):
+    ddl = "ts timestamp_ntz, event_type string"
+    path, checkpoint = str(tmp_path / "events"), str(tmp_path / "ck")
+
+    def arrive(*days):
+        rows = [(D(2024, 1, day), "view") for day in days]
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(ddl).parquet(path)
+        funnel.funnel_stream(funnel.daily_counts(stream), lake, checkpoint).awaitTermination()
+
+    arrive(10, 10)
+    arrive(11)
+    arrive(5, 10)
+    got = sorted(map(tuple, funnel.current_counts(lake).collect()))
+    assert [(r[0].day, r[1], r[2]) for r in got] == [(5, "view", 1), (10, "view", 3), (11, "view", 1)]
 
 
 def test_last_change_per_key(spark):
