@@ -85,6 +85,22 @@ EXTRA_TESTS = (
         date_field="return_date",
         lookback_months=6,
     ),
+    # A known region outside ASIA for all customers of the other channels, but for two.
+    quality.DataTest(
+        "stg_customers",
+        "orphans",
+        "zip",
+        helper="stg_geography",
+        check_column="region",
+        where="acquisition_channel <> 'BUILDING'",
+        helper_where="region <> 'ASIA'",
+        threshold=2,
+    ),
+    quality.DataTest("payments", "unique", "order_id"),
+    quality.DataTest("shipments", "unique", "order_id"),
+    quality.DataTest("stg_orders", "max_update", "order_date", "error", lookback_days=15),
+    quality.DataTest("stg_web_traffic", "freshness", "traffic_date", max_age_days=30),
+    quality.DataTest("demand_scenarios", "mass", "product_id", "error"),
 )
 
 QUERIES: dict[str, Query] = {}
@@ -293,7 +309,11 @@ def audit_results(m: Models) -> DataFrame:
     # from the written table.
     for fact in ("fct_sales_orders", "fct_order_fulfillment"):
         m.keep(fact)
-    return quality.audit(DATA_TESTS + EXTRA_TESTS, m.ref, literal_date(AS_OF))
+
+    def ref(name: str) -> DataFrame:
+        return demand_scenarios(m) if name == "demand_scenarios" else m.ref(name)
+
+    return quality.audit(DATA_TESTS + EXTRA_TESTS, ref, literal_date(AS_OF))
 
 
 @query

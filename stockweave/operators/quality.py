@@ -148,19 +148,38 @@ def mass_check(
 
 @dataclass(frozen=True)
 class DataTest:
-    """A declared data test; ``severity`` decides what a failure is called."""
+    """A declared data test; ``severity`` decides what a failure is called.
+
+    A test fails when its failures exceed ``threshold``. ``where`` and
+    ``helper_where`` are SQL filters of the two sides. Kinds:
+
+    * ``unique``, ``not_null``: values that repeat, rows without one
+    * ``orphans``: rows whose ``helper`` row is missing or lacks ``check_column``
+    * ``monthly_duplicates``: months of the look-back in which a code repeats
+    * ``max_update``: 1 if the newest date of the look-back is older than
+      ``lookback_days``
+    * ``freshness``: 1 if the newest date is older than ``max_age_days``, or there is none
+    * ``mass``: groups whose probabilities do not sum to one
+    """
 
     table: str
-    kind: str  # unique | not_null | orphans | monthly_duplicates
+    kind: str
     column: str
     severity: str = "warn"
     helper: str | None = None
     date_field: str | None = None
     lookback_months: int = 3
+    helper_key: str | None = None
+    check_column: str | None = None
+    where: str | None = None
+    helper_where: str | None = None
+    threshold: int = 0
+    lookback_days: int | None = None
+    max_age_days: int = 0
 
     @property
     def name(self) -> str:
-        return f"{self.kind}_{self.table}_{self.column}"
+        return f"{self.kind}_{self.table}_{self.column}" + ("_filtered" if self.where else "")
 
 
 def _outcome(test: DataTest, failures: Column) -> Column:
@@ -170,7 +189,7 @@ def _outcome(test: DataTest, failures: Column) -> Column:
         F.lit(test.table).alias("table_name"),
         F.lit(test.severity).alias("severity"),
         failures.cast("bigint").alias("failures"),
-        F.when(failures > 0, bad).otherwise(F.lit("pass")).alias("status"),
+        F.when(failures > test.threshold, bad).otherwise(F.lit("pass")).alias("status"),
     )
 
 
@@ -178,36 +197,71 @@ def _result(test: DataTest, counted: DataFrame) -> DataFrame:
     return counted.select(_outcome(test, F.col("failures")).alias("o")).select("o.*")
 
 
+def _key_counts(df: DataFrame, key: str) -> DataFrame:
+    """Values that repeat and rows without one, from one group-by: (repeated, missing)."""
+    n = F.col("n")
+    return (
+        df.groupBy(F.col(key).alias("k"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.count_if(F.col("k").isNotNull() & (n > 1)).alias("repeated"),
+            F.coalesce(F.sum(F.when(F.col("k").isNull(), n)), F.lit(0)).alias("missing"),
+        )
+    )
+
+
+def _single(test: DataTest, ref, as_of: Column) -> DataFrame:
+    """(failures) of a test that shares its scan with no other."""
+    df = ref(test.table)
+    n_rows = F.count(F.lit(1)).alias("failures")
+    if test.where is not None:
+        df = df.where(test.where)
+    if test.kind == "orphans":
+        helper = ref(test.helper)
+        if test.helper_where is not None:
+            helper = helper.where(test.helper_where)
+        counted = orphan_count(df, test.column, helper, test.helper_key, test.check_column)
+        return counted.withColumnRenamed("null_count", "failures")
+    if test.kind == "monthly_duplicates":
+        months = monthly_duplicates(df, test.date_field, test.column, as_of, test.lookback_months)
+        return months.agg(n_rows)
+    if test.kind == "max_update":
+        stale = stale_since(df, test.column, as_of, test.lookback_months, test.lookback_days)
+        return stale.agg(n_rows)
+    if test.kind == "freshness":
+        age = freshness(df, test.column, as_of, test.max_age_days, test.max_age_days)
+        return age.select((F.col("status") != "pass").cast("int").alias("failures"))
+    if test.kind == "mass":
+        return mass_check(df, test.column).agg(F.count_if(F.col("is_valid") == 0).alias("failures"))
+    raise ValueError(f"unknown test kind {test.kind}")
+
+
 def audit(tests: Sequence[DataTest], ref, as_of: Column) -> DataFrame:
     """Run declared tests: one row per test with its failures and status.
 
-    ``ref`` resolves a table name to a frame. The not-null tests of a table
-    share one scan.
+    ``ref`` resolves a table name to a frame. Unique and not-null tests of one
+    key share a group-by; the other not-null tests of a table share one scan.
     """
     results = []
-    by_table: dict[str, list[DataTest]] = {}
+    keyed: dict[tuple, list[DataTest]] = {}
     for test in tests:
-        if test.kind == "not_null":
-            by_table.setdefault(test.table, []).append(test)
-        elif test.kind == "unique":
-            counted = duplicated_values(ref(test.table), test.column).agg(
-                F.count("*").alias("failures")
-            )
-            results.append(_result(test, counted))
-        elif test.kind == "orphans":
-            counted = orphan_count(ref(test.table), test.column, ref(test.helper))
-            results.append(_result(test, counted.withColumnRenamed("null_count", "failures")))
-        elif test.kind == "monthly_duplicates":
-            months = monthly_duplicates(
-                ref(test.table), test.date_field, test.column, as_of, test.lookback_months
-            )
-            results.append(_result(test, months.agg(F.count("*").alias("failures"))))
+        if test.kind in ("unique", "not_null"):
+            keyed.setdefault((test.table, test.where, test.column), []).append(test)
         else:
-            raise ValueError(f"unknown test kind {test.kind}")
-    for table, group in by_table.items():
-        counts = ref(table).agg(
-            *[F.count_if(F.col(t.column).isNull()).alias(t.column) for t in group]
-        )
+            results.append(_result(test, _single(test, ref, as_of)))
+    scans: dict[tuple, list[DataTest]] = {}
+    for (table, where, column), group in keyed.items():
+        if all(t.kind == "not_null" for t in group):
+            scans.setdefault((table, where), []).extend(group)
+            continue
+        df = ref(table) if where is None else ref(table).where(where)
+        found = {"unique": F.col("repeated"), "not_null": F.col("missing")}
+        outcomes = F.array(*[_outcome(t, found[t.kind]) for t in group])
+        counts = _key_counts(df, column)
+        results.append(counts.select(F.explode(outcomes).alias("o")).select("o.*"))
+    for (table, where), group in scans.items():
+        df = ref(table) if where is None else ref(table).where(where)
+        counts = df.agg(*[F.count_if(F.col(t.column).isNull()).alias(t.column) for t in group])
         outcomes = F.array(*[_outcome(t, F.col(t.column)) for t in group])
         results.append(counts.select(F.explode(outcomes).alias("o")).select("o.*"))
     return reduce(DataFrame.unionByName, results)

@@ -671,6 +671,8 @@ from events group by all""",
 
 def _test_sql(test) -> str:
     table = test.table if test.table in VIEWS else f"l_{test.table}"
+    if test.where is not None:
+        table = f"(select * from {table} where {test.where})"
     c = test.column
     if test.kind == "unique":
         counted = f"select count(*) as n from (select {c} from {table} where {c} is not null group by {c} having count(*) > 1) d"
@@ -678,10 +680,26 @@ def _test_sql(test) -> str:
         counted = f"select count(*) - count({c}) as n from {table}"
     elif test.kind == "orphans":
         helper = test.helper if test.helper in VIEWS else f"l_{test.helper}"
+        key = test.helper_key or c
+        helper_where = test.helper_where or "true"
         counted = (
-            f"select count(*) as n from {table} t left join (select distinct {c} from {helper}) h "
-            f"on t.{c} = h.{c} where h.{c} is null"
+            f"select count(*) as n from {table} t left join (select distinct {key} as k, "
+            f"{test.check_column or key} as v from {helper} where {helper_where}) h "
+            f"on t.{c} = h.k where h.v is null"
         )
+    elif test.kind == "max_update":
+        counted = (
+            f"select count(*) as n from (select max({c}) as newest from {table} "
+            f"where {c} >= date '2001-05-01') d "
+            f"where newest < date '2001-08-01' - {test.lookback_days}"
+        )
+    elif test.kind == "freshness":
+        counted = (
+            f"select case when newest is null or date_diff('day', newest, date '2001-08-01') "
+            f"> {test.max_age_days} then 1 else 0 end as n from (select max({c}) as newest from {table}) d"
+        )
+    elif test.kind == "mass":
+        counted = "select count(*) as n from scenario_mass_check where is_valid = 0"
     else:
         counted = (
             f"select count(*) as n from (select date_trunc('month', {test.date_field}) as m "
@@ -691,8 +709,8 @@ def _test_sql(test) -> str:
     bad = "fail" if test.severity == "error" else "warn"
     return (
         f"select '{test.name}' as test_name, '{test.table}' as table_name, "
-        f"'{test.severity}' as severity, n as failures, "
-        f"case when n > 0 then '{bad}' else 'pass' end as status from ({counted}) x"
+        f"'{test.severity}' as severity, cast(n as bigint) as failures, "
+        f"case when n > {test.threshold} then '{bad}' else 'pass' end as status from ({counted}) x"
     )
 
 
