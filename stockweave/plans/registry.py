@@ -11,7 +11,7 @@ from stockweave.session import materialize
 from stockweave.sources.tables import TABLES
 
 # Build order of the layers; reports come last because they read facts.
-LAYERS = ("staging", "intermediate", "dim", "fact", "daily_reports")
+LAYERS = ("staging", "intermediate", "dim", "fact", "daily_reports", "features")
 
 Ref = Callable[[str], DataFrame]
 

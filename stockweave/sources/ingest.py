@@ -66,7 +66,7 @@ def main(argv: list[str] | None = None) -> None:
         source = JdbcSource(args.jdbc_url, args.jdbc_user, args.jdbc_password)
 
         def read(spec: TableSpec):
-            return source.read(spark, spec.name, spec.group)
+            return source.read_table(spark, spec)
 
     else:
         parser.error("name a source: --csv-dir or --jdbc-url")

@@ -43,10 +43,13 @@ def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
     go together with their values, so the other columns keep their meaning.
     """
     df = spark.read.csv(path, header=True, inferSchema=False)
-    names = spark.read.text(path).limit(1).first()[0].split(",")
+    # The reader itself splits the header line, quoted commas included.
+    head = spark.read.csv(path, header=False, inferSchema=False).first()
+    if head is None:
+        return df
     seen: set[str] = set()
     keep = []
-    for position, name in enumerate(n.strip().strip('"') for n in names):
+    for position, name in enumerate((n or "").strip() for n in head):
         if name not in seen:
             seen.add(name)
             keep.append((position, name))
@@ -96,6 +99,23 @@ class JdbcSource:
             properties=self._properties(),
         )
 
+    def bounds(self, spark: SparkSession, table: str, schema: str, column: str) -> tuple:
+        """Least and greatest value of a column, asked of the database."""
+        query = f"(select min({column}) as lo, max({column}) as hi from {schema}.{table}) as b"
+        row = spark.read.jdbc(self.url, query, properties=self._properties()).first()
+        return row["lo"], row["hi"]
+
+    def read_table(self, spark: SparkSession, spec: TableSpec, stripes: int = 64) -> DataFrame:
+        """A declared table, in stripes of its stripe column where it has one and rows."""
+        if spec.stripe_column is None:
+            return self.read(spark, spec.name, spec.group)
+        lower, upper = self.bounds(spark, spec.name, spec.group, spec.stripe_column)
+        if lower is None:
+            return self.read(spark, spec.name, spec.group)
+        return self.read(
+            spark, spec.name, spec.group, spec.stripe_column, lower, upper, stripes
+        )
+
     def write(self, df: DataFrame, table: str, schema: str = "public", mode: str = "overwrite"):
         df.write.jdbc(self.url, f"{schema}.{table}", mode=mode, properties=self._properties())
 

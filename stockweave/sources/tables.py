@@ -24,6 +24,13 @@ class TableSpec:
     def columns(self) -> list[str]:
         return [field.split()[0] for field in self.ddl.split(",")]
 
+    @property
+    def stripe_column(self) -> str | None:
+        """The first key column that can be cut into stripes: a number or a date."""
+        kinds = ("int", "bigint", "date")
+        found = [c for c in self.key if self.schema[c].dataType.simpleString() in kinds]
+        return found[0] if found else None
+
     @property
     def landing_name(self) -> str:
         return f"{self.group}_{self.name}"

@@ -13,7 +13,7 @@ from stockweave.plans.staging import harmonise_cross_reference, harmonise_mainte
 from stockweave.sources.facts import advance_fact, create_fact
 from stockweave.sources.ingest import ingest, ingest_all, ingest_upsert
 from stockweave.sources.publish import AuditFailed, Lakehouse
-from stockweave.sources.readers import lower_columns, read_csv, read_csv_raw
+from stockweave.sources.readers import JdbcSource, lower_columns, read_csv, read_csv_raw
 from stockweave.sources.tables import DAILY_LOAD, TABLES
 from stockweave.streaming import funnel
 from stockweave.streaming.upsert import last_per_key, upsert_stream
@@ -53,6 +53,26 @@ def test_repeated_header_keeps_the_first(spark, tmp_path):
     assert tuple(df.first()) == ("L1", "S1", "ST1")
 
 
+def test_quoted_header_and_empty_file(spark, tmp_path):
+    path = tmp_path / "logs.csv"
+    path.write_text('LINE,"A, B",LINE\nL1,x,y\n')
+    df = read_csv_raw(spark, str(path))
+    assert df.columns == ["LINE", "A, B"] and tuple(df.first()) == ("L1", "x")
+    (tmp_path / "empty.csv").write_text("")
+    assert read_csv_raw(spark, str(tmp_path / "empty.csv")).columns == []
+
+
+def test_jdbc_tables_are_striped(spark, monkeypatch):
+    asked = []
+    source = JdbcSource("jdbc:x", "u", "p")
+    monkeypatch.setattr(JdbcSource, "bounds", lambda self, *a: (1, 99))
+    monkeypatch.setattr(JdbcSource, "read", lambda self, spark, *a: asked.append(a))
+    source.read_table(spark, TABLES["orders"])
+    source.read_table(spark, TABLES["promotions"])
+    orders, promotions = TABLES["orders"], TABLES["promotions"]
+    assert asked == [("orders", orders.group, "order_id", 1, 99, 64), ("promotions", promotions.group)]
+
+
 def test_manufacturing_extracts(spark):
     raw = spark.createDataFrame([(" 7 ", None, "E1")], "ORDER string, DESCRIPTION string, EQUIPMENT_ID string")
     assert harmonise_maintenance(raw).first().asDict() == {
