@@ -18,7 +18,7 @@ from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
 from stockweave.plans.registry import MODELS, Models, run_layer
 from stockweave.sources.ingest import LANDING, ingest
-from stockweave.session import materialize, prepare, shared_dir
+from stockweave.session import materialize, prepare, run_folder
 from stockweave.sources.landing import given_table, landing_table
 from stockweave.sources.publish import Lakehouse
 from stockweave.sources.readers import read_csv
@@ -676,9 +676,9 @@ def features_stored_point_in_time(m: Models) -> DataFrame:
 
 
 def _temporary_lake(spark: SparkSession) -> Lakehouse:
-    """A lakehouse of its own for one query, below the shared folder."""
+    """A lakehouse of its own for one query, below the run's folder."""
     name = uuid.uuid4().hex
-    return Lakehouse(spark, f"{shared_dir(spark).rstrip('/')}/lake-{name}", environment=f"q{name}")
+    return Lakehouse(spark, f"{run_folder(spark)}/lake-{name}", environment=f"q{name}")
 
 
 def _rows_of(lake: Lakehouse, layer: str, table: str) -> DataFrame:

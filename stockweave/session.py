@@ -92,6 +92,11 @@ def run_scope(spark: SparkSession) -> Iterator[str]:
         delete_folder(spark, folder)
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of the current run, or the shared one outside of any."""
+    return _run_folders[-1] if _run_folders else shared_dir(spark).rstrip("/")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -101,7 +106,6 @@ def materialize(df: DataFrame) -> DataFrame:
     of the query owns what lies in ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    root = _run_folders[-1] if _run_folders else shared_dir(spark).rstrip("/")
-    path = f"{root}/cut-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
