@@ -21,7 +21,7 @@ from stockweave.llm import (
     warc,
 )
 from stockweave.llm.common import table
-from stockweave.session import shared_dir
+from stockweave.session import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +48,7 @@ def op1_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as archives and read back."""
-    folder = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    folder = f"{run_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(table(spark, sf_dir, "pages"), folder)
     return warc.page_digests(warc.read(spark, folder))
 

@@ -35,7 +35,7 @@ BLOCK = 8
 MIN_SEGMENT = 64
 # Text bytes of the items in one index; more items are searched in further passes.
 INDEX_BYTES = 8 * 1024 * 1024
-_CACHED = 400_000
+_CACHED = 200_000
 _MARKS = ".,;:!?()[]{}\"'«»…#*$%&|<>-"
 _EPS = 1e-9
 

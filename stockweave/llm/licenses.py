@@ -25,7 +25,7 @@ RUN = 3
 WINNOW = 2
 BAND = 12
 MIN_COVERAGE = 0.75
-_CACHED = 400_000
+_CACHED = 200_000
 _MARKS = ".,;:!?()[]{}\"'«»“”‘’…#*$%&|<>/-"
 _WORD = re.compile(r"\S+")
 

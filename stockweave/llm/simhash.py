@@ -19,7 +19,9 @@ WORDS = 4
 RADIUS = 4
 SEED = 42
 LEAF_SIZE = 4096
-SAMPLE_ROWS = 32768
+# The trees are built on this many fingerprints per leaf, within these bounds.
+LEAF_SAMPLE = 32
+SAMPLE_ROWS = (4096, 262144)
 # A leaf beyond this many words is compared in blocks that spread over tasks.
 BLOCK_SIZE = 16384
 
@@ -77,7 +79,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _leaf_rows(unique: DataFrame, total: int, radius: int, leaf_size: int) -> DataFrame:
     """(leaf, fp): every fingerprint in its home leaf and the leaves it overlaps, per segment."""
     order = F.xxhash64("fp")
-    sample = unique.select("fp").orderBy(order, "fp").limit(SAMPLE_ROWS).toPandas()["fp"]
+    rows = min(max(total * LEAF_SAMPLE // leaf_size, SAMPLE_ROWS[0]), SAMPLE_ROWS[1])
+    sample = unique.select("fp").orderBy(order, "fp").limit(rows).toPandas()["fp"]
     sample = sample.to_numpy(dtype=np.int64).view(np.uint64)
     near = radius // len(SEGMENTS)
     trees = [build_tree(sample, total, leaf_size, mask, near) for mask in SEGMENTS]
@@ -109,7 +112,8 @@ def fingerprint_links(
     placed = materialize(_leaf_rows(unique, unique.count(), radius, leaf_size))
     sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
     parts = F.ceil(F.col("n") / F.lit(block)).cast("long")
-    placed = placed.join(sizes.select("leaf", parts.alias("parts")), "leaf")
+    # One row per leaf, and a leaf has eight sampled fingerprints: a bounded broadcast.
+    placed = placed.join(F.broadcast(sizes.select("leaf", parts.alias("parts"))), "leaf")
     own = F.pmod(F.xxhash64("fp"), F.col("parts"))
     placed = placed.select(
         "leaf",
