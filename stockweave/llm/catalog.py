@@ -160,3 +160,162 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("class_distance", 6).alias("class_distance"),
         F.round("word_distance", 6).alias("word_distance"),
     )
+
+
+def _quality_rules_sql() -> str:
+    """The rules once more, exploded: windows and words are rows here."""
+    space = "[\\x20\\x09-\\x0D]+"
+    steps, left = [], "t"
+    for k, (_, pattern) in enumerate(rules.CLASSES):
+        pattern = pattern.replace("'", "''")
+        steps.append(f"s{k + 1} as (select *, regexp_replace({left}, '{pattern}', '', 'g') as left{k + 1} from s{k})")
+        left = f"left{k + 1}"
+    n = len(rules.CLASSES)
+    names = ["t", *[f"left{k + 1}" for k in range(n)]]
+    sizes = ", ".join(f"length({a}) - length({b})" for a, b in zip(names, names[1:]))
+    lists = " union all ".join(
+        f"select '{lang}' as lang_key, '{words}' as list" for lang, words in rules.COMMON_WORDS.items()
+    )
+    symbols = " - ".join(["0", *[f"(length(t) - length(replace(t, '{c}', '')))" for c in rules.SYMBOLS]])
+
+    def distance(kind: str) -> str:
+        half = "case when {0} > 0 then {0} * log2({0} / (({0} + {1}) / 2)) else 0 end"
+        terms = half.format("p", "q") + " + " + half.format("q", "p")
+        return f"""
+select rid, sqrt(greatest(sum({terms}) / 2, 0)) as distance from (
+    select h.rid, h.share / {rules.UNIT}e0 as p, coalesce(r.part / nullif(r.whole, 0), 0) as q
+    from {kind}_share h join {kind}_ref r using (lang_key, k)) group by rid"""
+
+    def reference(kind: str) -> str:
+        return f"""
+select lang_key, k, cast(sum(share) as double) as part,
+       cast(sum(sum(share)) over (partition by lang_key) as double) as whole
+from {kind}_share join base using (rid, lang_key) where not base_failed group by lang_key, k"""
+
+    return f"""
+with s0 as (
+    select row_number() over () as rid, doc_id, coalesce(text, '') as t,
+           case when lang in ({", ".join(f"'{x}'" for x in rules.COMMON_WORDS)}) then lang else 'other' end as lang_key,
+           [x for x in string_split_regex(coalesce(text, ''), '{space}') if x <> ''] as words,
+           [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] as lines
+    from documents
+), {", ".join(steps)},
+windows as (
+    select rid, i, array_to_string(words[i:i + {rules.WINDOW - 1}], ' ') as w
+    from (select rid, words, unnest(range(1, len(words) - {rules.WINDOW - 2})) as i from s0)
+), repeated as (
+    select rid, count(distinct place) as n from (
+        select rid, unnest(range(i, i + {rules.WINDOW})) as place from (
+            select rid, i, count(*) over (partition by rid, w) as n from windows) where n > 1)
+    group by rid
+), base as (
+    select *, n_words < {rules.MIN_WORDS} or 100 * n_repeat_words > {rules.MAX_REPEAT_PCT} * n_words as base_failed from (
+        select s{n}.rid, doc_id, lang_key, cast(len(words) as bigint) as n_words,
+               cast(length(array_to_string(words, '')) as bigint) as word_chars,
+               cast(-({symbols}) as bigint) as n_symbols,
+               cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+               cast(coalesce(r.n, 0) as bigint) as n_repeat_words
+        from s{n} left join repeated r on r.rid = s{n}.rid)
+), class_counts as (
+    select rid, lang_key, unnest([{sizes}, length({names[-1]})]) as x, unnest(range({n + 1})) as k from s{n}
+), class_share as (
+    select rid, lang_key, k, cast(case when sum(x) over (partition by rid) > 0
+           then round(x * {rules.UNIT}e0 / sum(x) over (partition by rid)) else 0 end as bigint) as share
+    from class_counts
+), listed as (
+    select lang_key, unnest(string_split(list, ' ')) as w, unnest(range(len(string_split(list, ' ')))) as k
+    from ({lists})
+), word_counts as (
+    select s.rid, s.lang_key, l.k, coalesce(c.n, 0) as x
+    from s0 s join listed l using (lang_key)
+    left join (select rid, w, count(*) as n from (select rid, unnest([lower(x) for x in words]) as w from s0)
+               group by rid, w) c on c.rid = s.rid and c.w = l.w
+), word_share as (
+    select rid, lang_key, k, sum(x) over (partition by rid) as n_common,
+           cast(case when sum(x) over (partition by rid) > 0
+           then round(x * {rules.UNIT}e0 / sum(x) over (partition by rid)) else 0 end as bigint) as share
+    from word_counts
+), class_ref as ({reference("class")}), word_ref as ({reference("word")}),
+class_distance as ({distance("class")}), word_distance as ({distance("word")}),
+met as (
+    select b.*, coalesce(c.distance, 0) as cd, case when w.n >= {rules.MIN_COMMON_WORDS} then coalesce(d.distance, 0) else 0 end as wd
+    from base b left join class_distance c using (rid) left join word_distance d using (rid)
+    left join (select rid, max(n_common) as n from word_share group by rid) w using (rid)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and not (n_words >= {rules.MIN_JUDGED_WORDS}
+           and (cd > {rules.MAX_CLASS_DISTANCE} or wd > {rules.MAX_WORD_DISTANCE})) as kept,
+       cast(round(cd, 6) as double) as class_distance, cast(round(wd, 6) as double) as word_distance
+from met"""
+
+
+ORACLES["op10_quality_rules"] = _quality_rules_sql()
+
+
+def _secret_scans_sql() -> str:
+    """Secrets once more: pieces, matches and windows are rows here."""
+    q = secret_spans
+
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def placed(name: str, pattern: str, group: int) -> str:
+        p = quoted(pattern)
+        return f"""
+{name}_pieces as (
+    select rid, unnest(regexp_extract_all(t, {p}, 0)) as m, unnest(regexp_extract_all(t, {p}, {group})) as g,
+           unnest(range(len(regexp_extract_all(t, {p}, 0)))) as i,
+           unnest(string_split_regex(t, {p})[1:len(regexp_extract_all(t, {p}, 0))]) as piece
+    from d where regexp_matches(t, {p})
+), {name} as (
+    select *, sum(length(m) + length(piece)) over (partition by rid order by i) as stop,
+           stop - length(m) as start from {name}_pieces
+)"""
+
+    def of_class(k: int) -> str:
+        digit, upper, lower = (f"regexp_matches(m, '[{x}]')" for x in ("0-9", "A-Z", "a-z"))
+        mixed = f"{digit} and {upper} and {lower}"
+        return (
+            f"regexp_full_match(m, '[0-9A-Fa-f]+') and {digit} and regexp_matches(m, '[A-Fa-f]')",
+            f"regexp_full_match(m, '[A-Za-z0-9]+') and {mixed}",
+            mixed,
+        )[k]
+
+    which = "case " + " ".join(f"when {of_class(k)} then {k}" for k in range(3)) + " end"
+    least = "case k " + " ".join(f"when {k} then {bits}e0" for k, (_, _, bits) in enumerate(q.CLASSES)) + " end"
+    names = "case k " + " ".join(f"when {k} then '{name}'" for k, (name, _, _) in enumerate(q.CLASSES)) + " end"
+    joined = "coalesce(string_agg(kind || ':' || start || ':' || stop, ',' order by start, ord), '')"
+    return f"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+{placed("assign", q.ASSIGN, 2)}, {placed("access", q.ACCESS, 0)}, {placed("hex", q.HEX, 0)},
+{placed("candidate", q.CANDIDATE, 0)},
+usable as (
+    select rid, i, m, start, {which} as k from candidate
+    where {which} is not null and not regexp_matches(m, {quoted(q.ALLOWED)})
+      and not regexp_matches(right(piece, {q.CONTEXT}), {quoted(q.ALLOWED_BEFORE)})
+), windows as (
+    select *, unnest(range(length(m) - {q.WINDOW - 1})) as pos from usable
+), letters as (
+    select rid, i, k, start, pos, c, count(*) as n from (
+        select rid, i, k, start, pos, unnest(string_split(m[pos + 1:pos + {q.WINDOW}], '')) as c from windows)
+    group by all
+), hot as (
+    select rid, i, k, start, pos from letters group by all
+    having log2({q.WINDOW}e0) - sum(n * log2(n)) / {q.WINDOW} >= {least} - 1e-12
+), spans as (
+    select rid, 'assign' as kind, 0 as ord, start, stop from assign where length(g) >= {q.ASSIGN_LEAST}
+    union all select rid, 'access', 1, start, stop from access
+    union all select rid, 'hex', 2, start, stop from hex
+    union all select rid, {names}, 3 + k, start + min(pos), start + max(pos) + {q.WINDOW} from hot group by rid, i, k, start
+), folded as (
+    select rid, count_if(ord = 0) as n_assign, count_if(ord = 1) as n_access, count_if(ord = 2) as n_hex,
+           coalesce(string_agg(kind || ':' || start || ':' || stop, ',' order by start, ord) filter (ord < 3), '') as base,
+           {joined} as spans
+    from spans group by rid
+)
+select doc_id, cast(coalesce(n_assign, 0) as bigint) as n_assign, cast(coalesce(n_access, 0) as bigint) as n_access,
+       cast(coalesce(n_hex, 0) as bigint) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join folded using (rid)"""
+
+
+ORACLES["op6_secret_scans"] = _secret_scans_sql()

@@ -2,8 +2,10 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import duckdb
+
 from stockweave.llm import rules
-from stockweave.llm.catalog import QUERIES
+from stockweave.llm.catalog import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -75,6 +77,18 @@ def test_distances_and_verdict(spark):
     assert not any(r.kept for r in rules.judge(short).collect())
 
 
+def test_sql(spark, tmp_path, sf_dir):
+    """The SQL gives the same rows, odd texts included."""
+    odd = [(k, t, "fr" if k % 3 else None, None, None) for k, t in enumerate(TEXTS)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.unionByName(spark.createDataFrame(odd, docs.schema)).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    df = QUERIES["op10_quality_rules"](spark, str(tmp_path))
+    want = con.execute(f"select {', '.join(df.columns)} from ({ORACLES['op10_quality_rules']})").fetchall()
+    assert sorted(map(str, (tuple(r) for r in df.collect()))) == sorted(map(str, want))
+
+
 def test_query(spark, sf_dir):
     df = QUERIES["op10_quality_rules"](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()

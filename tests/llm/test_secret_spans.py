@@ -3,10 +3,11 @@ import math
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 
 from stockweave.llm import secret_spans
-from stockweave.llm.catalog import QUERIES
+from stockweave.llm.catalog import ORACLES, QUERIES
 
 ASSIGN = re.compile(
     r"((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"
@@ -107,6 +108,17 @@ def test_redact_keeps_rows_and_clean_texts(found, spark):
     assert secret_spans.redact(empty).collect() == []
 
 
+def test_sql(spark, tmp_path, found):
+    """The SQL gives the same rows, odd texts included."""
+    docs, _ = found
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    df = QUERIES["op6_secret_scans"](spark, str(tmp_path))
+    want = con.execute(f"select {', '.join(df.columns)} from ({ORACLES['op6_secret_scans']})").fetchall()
+    assert sorted(map(str, (tuple(r) for r in df.collect()))) == sorted(map(str, want))
+
+
 def test_query(spark, sf_dir):
     q = QUERIES["op6_secret_scans"](spark, sf_dir)
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
