@@ -337,8 +337,11 @@ def audit_first_findings(m: Models) -> DataFrame:
 @query
 def features_point_in_time(m: Models) -> DataFrame:
     """What was known about a product's demand when an item came back."""
-    probes = m.ref("stg_returns").select(
-        "return_id", "product_id", F.col("return_date").cast("timestamp_ntz").alias("asked_at")
+    # Written once: the lookup reads the probes for their times and again for the answer.
+    probes = materialize(
+        m.ref("stg_returns").select(
+            "return_id", "product_id", F.col("return_date").cast("timestamp_ntz").alias("asked_at")
+        )
     )
     wanted = ("list_price", "rolling_mean_demand_7d", "rolling_std_demand_7d", "lag_demand_1d")
     return features.DEMAND_VIEW.at(probes, m.ref("demand_features"), "asked_at", wanted)
