@@ -206,7 +206,8 @@ def train(
                 b, s = features(t)
                 yield pd.DataFrame({"id": [i], "b": [sorted(b)], "s": [s], "g": [g]})
 
-    rows = texts.mapInPandas(measured, "id long, b array<int>, s array<double>, g int")
+    kind = dict(texts.dtypes)["id"]
+    rows = texts.mapInPandas(measured, f"id {kind}, b array<int>, s array<double>, g int")
     first = rows.groupBy("id").agg(F.min(F.struct("g", "s", "b")).alias("r"))  # repeated rows once
     found = first.orderBy("id").collect()
     return fit([(r.r.b, r.r.s, r.r.g) for r in found])

@@ -55,13 +55,14 @@ SPELLED = {
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6",
     "siete": "7", "ocho": "8", "nueve": "9",
 }
-AT_WORDS = ("at", "ät", "arroba", "chez", "klammeraffe", "@")
+AT_WORDS = ("at", "ät", "arroba", "arobase", "klammeraffe", "@")
 DOT_WORDS = ("dot", "punkt", "punto", "point", ".")
+# Words that stand for the signs without brackets, together only: "at this point" is no address.
+WORD_PAIRS = (("at|ät|klammeraffe", "dot|punkt"), ("arroba", "punto"), ("arobase", "point"))
 PLUS_WORDS = ("plus", "más")
 
 _AT = "|".join(map(re.escape, AT_WORDS))
 _DOT = "|".join(map(re.escape, DOT_WORDS))
-_WORD_AT = "|".join(AT_WORDS[:-1])
 _WORD_DOT = "|".join(DOT_WORDS[:-1])
 _SPELLED = "|".join(sorted(SPELLED, key=len, reverse=True))
 _ATOM = rf"(?:\b(?:{_SPELLED})\b|[0-9])"
@@ -71,12 +72,15 @@ _BRACKETED = re.compile(
     rf"[\[({{<]\x20{{0,2}}(?:(?P<at>{_AT})|(?P<dot>{_DOT}))\x20{{0,2}}[\])}}>]\x20{{0,3}}", re.IGNORECASE
 )
 # The words, where a local part and a domain of at least two labels stand around them.
-_WORDED = re.compile(
-    rf"[a-z0-9._%+-]{{1,64}}(?P<at>\x20+(?:{_WORD_AT})\x20+|\x20?@\x20?)"
-    rf"[a-z0-9-]{{1,63}}(?:(?:\x20+(?:{_WORD_DOT})\x20+|\.)[a-z0-9-]{{1,63}})*"
-    rf"(?:\x20+(?:{_WORD_DOT})\x20+)[a-z0-9-]{{2,63}}",
-    re.IGNORECASE,
-)
+_LABEL = r"[a-z0-9-]{1,63}"
+_WORDED = [
+    re.compile(
+        rf"[a-z0-9._%+-]{{1,64}}(?P<at>\x20+(?:{at})\x20+|\x20?@\x20?)"
+        rf"{_LABEL}(?:(?:\x20+(?:{dot})\x20+|\.){_LABEL})*\x20+(?:{dot})\x20+[a-z]{{2,24}}\b",
+        re.IGNORECASE,
+    )
+    for at, dot in WORD_PAIRS
+]
 _WORDED_DOT = re.compile(rf"\x20+(?:{_WORD_DOT})\x20+", re.IGNORECASE)
 # Runs of spelled and plain digits, at least four, with the signs and words between them.
 _BETWEEN = rf"(?:[\x20,;/()-]|\b(?:{_WORD_DOT})\b|\.){{0,4}}"
@@ -206,14 +210,16 @@ def _signs(text: str, low: str) -> list[tuple[int, int, str]]:
 
 
 def _words(text: str, low: str) -> list[tuple[int, int, str]]:
-    if not any(f" {w} " in low for w in DOT_WORDS[:-1]):
-        return []
     out = []
-    for m in _WORDED.finditer(text):
-        out.append((m.start("at"), m.end("at"), "@"))
-        for d in _WORDED_DOT.finditer(text, m.end("at"), m.end()):
-            out.append((d.start(), d.end(), "."))
-    return out
+    for (_, dots), pattern in zip(WORD_PAIRS, _WORDED):
+        if not any(f" {w} " in low for w in dots.split("|")):
+            continue
+        for m in pattern.finditer(text):
+            out.append((m.start("at"), m.end("at"), "@"))
+            for d in _WORDED_DOT.finditer(text, m.end("at"), m.end()):
+                out.append((d.start(), d.end(), "."))
+    out.sort()
+    return [x for k, x in enumerate(out) if not k or out[k - 1][1] <= x[0]]
 
 
 def _may_spell(low: str) -> bool:

@@ -53,6 +53,8 @@ def test_base_as_the_patterns(text):
     [
         ("write to jane.doe (at) example [dot] com now", 0, "jane.doe (at) example [dot] com"),
         ("write to jane at example dot co dot uk now", 0, "jane at example dot co dot uk"),
+        ("escribe a juan arroba correo punto es hoy", 0, "juan arroba correo punto es"),
+        ("MAX AT FIRMA PUNKT DE", 0, "MAX AT FIRMA PUNKT DE"),
         ("ping jаne@examplе.com today", 0, "jаne@examplе.com"),
         ("ping jane​@example.com today", 0, "jane​@example.com"),
         ("１２７.0.0.1", 1, "１２７.0.0.1"),
@@ -78,6 +80,7 @@ def test_disguises_map_back(text, kind, hidden):
         "un des deux de la trois un un",
         "der Punkt ist at all",
         "see (at) and [dot]",
+        "we arrived at this point in time, aller chez paul point final",
     ],
 )
 def test_plain_words_stay(text):
