@@ -178,5 +178,8 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("_body") == F.col("_keep_body")
     )
     kept = marked.join(chosen, same, "left_semi").withColumn("_id", F.col(f"_row.`{id_col}`"))
-    first = F.min_by("_row", F.xxhash64("_row")).alias("_row")
+    # Rows that differ in columns without a hash (maps) only are alike here.
+    hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    order = F.xxhash64(*[F.col(f"_row.`{c}`") for c in hashed])
+    first = F.min_by("_row", order).alias("_row")
     return kept.groupBy("_id", "_body").agg(first).select("_row.*")

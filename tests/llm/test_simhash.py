@@ -113,6 +113,8 @@ def test_rows(spark):
     assert sorted(map(tuple, kept.collect())) == [(2, "", "x"), (4, "A  b c D", "y")]
     assert simhash.components(docs.limit(0)).collect() == []
     assert simhash.one_per_group(docs.limit(0)).collect() == []
+    mapped = docs.selectExpr("*", "map(1, fp) as `a.b`")
+    assert simhash.one_per_group(mapped).count() == 2
     unnamed = docs.where("doc_id is null")
     assert [tuple(r) for r in simhash.one_per_group(unnamed).collect()] == [(None, " ", "x")]
 
