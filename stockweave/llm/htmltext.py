@@ -6,8 +6,9 @@ smoothed by a Gaussian, is high where the article is; lines above a threshold
 are clustered into regions and the regions with article text are kept. Markup
 that never is article text (menus, headers, footers, sidebars, notices,
 adverts, forms, comments of readers, scripts, styles) is left out by its element
-or its class before the ratios are taken, and inside an ``article`` or ``main``
-element the markup itself states the region, so every line there is kept.
+or its class before the ratios are taken. An ``article`` or ``main`` element is a
+prior: its lines weigh more, and lines outside it weigh by their length, so a
+body outside wins over a teaser inside.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ MEAN_SHARE = 0.25
 # Lines this close to a cluster (in lines) join it if they are text and not links.
 GAP = 2
 MAX_LINK_SHARE = 0.5
+# Prior of the lines in an article or main element; lines outside have half weight at so many characters.
+REGION_WEIGHT = 8.0
+OUTSIDE_CHARS = 100.0
 
 # Elements that hold no article text, elements that end a line, and
 # elements without content.
@@ -189,23 +193,32 @@ def content_lines(lines: list[tuple[str, int, int, bool]]) -> list[bool]:
     """Which lines are article text."""
     if not lines:
         return []
-    stated = [region for _, _, _, region in lines]
-    if any(stated):
-        return stated
+    sizes = np.array([len(text) for text, *_ in lines], dtype=float)
     ratios = np.array([len(text) / max(1, tags) for text, tags, _, _ in lines])
-    links = np.array([chars / len(text) for text, _, chars, _ in lines])
+    links = np.array([chars for _, _, chars, _ in lines]) / sizes
+    stated = np.array([region for *_, region in lines])
+    if not (links[stated] <= MAX_LINK_SHARE).any():
+        stated[:] = False  # a region of links only is no article
     smoothed = smooth(ratios, SIGMA)
-    high = (smoothed >= MEAN_SHARE * smoothed.mean()) & (links <= MAX_LINK_SHARE)
+    usable = stated | (links <= MAX_LINK_SHARE)
+    # Where the page states a region, lines outside need evidence of their own: their length.
+    prior = np.ones(len(lines))
+    if stated.any():
+        prior = np.where(stated, REGION_WEIGHT, sizes / (sizes + OUTSIDE_CHARS))
+    least = MEAN_SHARE * (smoothed * np.minimum(prior, 1)).mean()
+    high = (smoothed * prior >= least) & usable
     if not high.any():
         return [False] * len(lines)
-    # Clusters grow over lines next to them, so short paragraphs and titles inside stay.
+    # Clusters grow over lines next to them, so short paragraphs and titles inside stay; not over
+    # the edge of a region.
     grown = high.copy()
-    for at in np.flatnonzero(high):
-        grown[max(0, at - GAP) : at + GAP + 1] = True
+    for part in (stated, ~stated):
+        for at in np.flatnonzero(high & part):
+            near = slice(max(0, at - GAP), at + GAP + 1)
+            grown[near] |= part[near]
     first, last = np.flatnonzero(grown)[[0, -1]]
-    inside = np.zeros(len(lines), dtype=bool)
-    inside[first : last + 1] = True  # an article is one stretch: text between clusters belongs to it
-    return list((grown | inside) & (links <= MAX_LINK_SHARE))
+    grown[first : last + 1] = True  # an article is one stretch: text between clusters belongs to it
+    return list(grown & usable)
 
 
 def main_text(html: str | None) -> str:

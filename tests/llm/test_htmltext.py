@@ -70,3 +70,19 @@ def test_query_on_given_pages(spark, sf_dir):
         text = "\n".join(" ".join(b) for b in blocks if b)
         assert got[r.page_id].text == text and got[r.page_id].n_chars == len(text)
         assert got[r.page_id].url == r.url
+
+
+@pytest.mark.parametrize(
+    "page, kept, gone",
+    [
+        # a body beside one teaser
+        ("<article><a href=x>Teaser</a></article><div>" + f"<p>{PARAGRAPH}</p>" * 6 + "</div>", 6, "Teaser"),
+        # a body partly outside its element, before and after it
+        (f"<p>{PARAGRAPH}</p><main>" + f"<p>{PARAGRAPH}</p>" * 9 + f"</main><p>{PARAGRAPH}</p><div>Tail</div><div>end</div><div>x</div>", 11, "x"),
+        # short lines outside stay outside
+        (f"<div>One short advert here.</div><article><h1>T</h1><p>{PARAGRAPH}</p></article><p>Imprint</p>", 1, "Imprint"),
+    ],
+)
+def test_method_decides_beside_stated_regions(page, kept, gone):
+    blocks = htmltext.main_text(page).split("\n")
+    assert blocks.count(PARAGRAPH.strip()) == kept and gone not in blocks
