@@ -3,10 +3,12 @@
 The page is parsed as a stream of events. Every block of the page is one line,
 with its text and the tags met in it. The text-to-tag ratio of the lines,
 smoothed by a Gaussian, is high where the article is; lines above a threshold
-are clustered into regions and the regions with article text are kept. Markup
-that never is article text (menus, headers, footers, sidebars, notices,
-adverts, forms, comments of readers, scripts, styles) is left out by its element
-or its class before the ratios are taken. An ``article`` or ``main`` element is a
+are clustered into regions and the regions with article text are kept. Scripts,
+styles and controls are left out. Lines in other markup that seldom is article
+text (menus, headers, footers, sidebars, notices, adverts, forms, comments of
+readers), by its element or its class, bear a penalty and join no cluster of
+others; an element that holds the article or most of the page's text is a layout
+wrapper and bears none. An ``article`` or ``main`` element is a
 prior: its lines weigh more, and lines outside it weigh by their length, so a
 body outside wins over a teaser inside.
 """
@@ -14,8 +16,10 @@ body outside wins over a teaser inside.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +37,20 @@ MAX_LINK_SHARE = 0.5
 # Prior of the lines in an article or main element; lines outside have half weight at so many characters.
 REGION_WEIGHT = 8.0
 OUTSIDE_CHARS = 100.0
+# Weight of a line in unwanted markup.
+PENALTY = 0.01
+# An unwanted element with this share of the page's text is a wrapper, unless a region outside
+# it has this one.
+WRAPPER_SHARE = 0.5
+REGION_SHARE = 0.25
 
-# Elements that hold no article text, elements that end a line, and
-# elements without content.
+# Elements that hold no article text, those that seldom do, elements that end a
+# line, and elements without content.
 SKIPPED = frozenset(
-    "script style noscript template svg math head title nav footer aside form button select "
-    "textarea iframe object embed canvas audio video map dialog menu".split()
+    "script style noscript template svg math head title button select textarea iframe object "
+    "embed canvas audio video map".split()
 )
+SELDOM = frozenset("nav footer aside dialog menu".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
@@ -78,13 +89,25 @@ UNWANTED_OUTSIDE = re.compile(
 SPACES = re.compile(r"\s+")
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    link_chars: int
+    region: bool
+    unwanted: bool
+
+
 class Lines(HTMLParser):
-    """Collects (text, tags, link characters, in a region) per block of a page."""
+    """Collects a Line per block of a page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.stack: list[tuple[str, bool]] = []  # element, whether it starts a skipped part
+        self.lines: list[tuple[str, int, int, bool, tuple[int, ...]]] = []
+        self.stack: list[tuple[str, bool, int | None]] = []  # element, whether it is skipped, its mark
+        self.marks: list[int] = []  # open unwanted elements
+        self.wrappers: set[int] = set()  # unwanted elements that hold a region
+        self.by_class: set[int] = set()  # unwanted for a word, or a form
+        self.made = 0
         self.skips = 0
         self.regions = 0
         self.links = 0
@@ -96,13 +119,15 @@ class Lines(HTMLParser):
         if self.parts:
             text = SPACES.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.lines.append((text, self.tags, self.link_chars, self.regions > 0))
+                marks = tuple(self.marks)
+                self.lines.append((text, self.tags, self.link_chars, self.regions > 0, marks))
                 self.tags = 0
         self.parts = []
         self.link_chars = 0
 
     def _unwanted(self, tag: str, attrs: list) -> bool:
-        if tag in SKIPPED:
+        """Whether the element's name, class, id or role is that of other text."""
+        if tag in SELDOM or tag == "form":
             return True
         if tag == "header":  # the header of an article holds its title
             return not self.regions
@@ -119,9 +144,11 @@ class Lines(HTMLParser):
         return False
 
     def _pop(self) -> None:
-        tag, skip = self.stack.pop()
-        if tag in BLOCKS:
+        tag, skip, mark = self.stack.pop()
+        if tag in BLOCKS or mark is not None:
             self.end_line()
+        if mark is not None:
+            self.marks.remove(mark)
         self.skips -= skip
         self.regions -= tag in REGIONS
         self.links -= tag == "a"
@@ -149,8 +176,18 @@ class Lines(HTMLParser):
             if tag == "br":
                 self.parts.append(" ")
             return
-        skip = self._unwanted(tag, attrs)
-        self.stack.append((tag, skip))
+        skip, mark = tag in SKIPPED, None
+        if not skip and not self.skips:
+            if tag in REGIONS:
+                self.wrappers.update(self.marks)
+            elif self._unwanted(tag, attrs):
+                self.end_line()
+                mark = self.made
+                self.made += 1
+                self.marks.append(mark)
+                if tag not in SELDOM:
+                    self.by_class.add(mark)
+        self.stack.append((tag, skip, mark))
         self.skips += skip
         self.regions += tag in REGIONS
         self.links += tag == "a"
@@ -173,12 +210,28 @@ class Lines(HTMLParser):
             if self.links:
                 self.link_chars += len(data)
 
-    def finish(self) -> list[tuple[str, int, int, bool]]:
+    def _excused(self) -> set[int]:
+        """Unwanted elements that wrap the article."""
+        total = stated = 0
+        held: Counter = Counter()  # characters in each
+        for text, _, link_chars, region, marks in self.lines:
+            size = len(text) - link_chars
+            total += size
+            stated += size if region else 0
+            for mark in marks:
+                held[mark] += size
+        excused = set(self.wrappers)
+        if stated < REGION_SHARE * total:
+            excused |= {m for m in self.by_class if held[m] > WRAPPER_SHARE * total}
+        return excused
+
+    def finish(self) -> list[Line]:
         self.close()
         while self.stack:
             self._pop()
         self.end_line()
-        return self.lines
+        excused = self._excused()
+        return [Line(*line, not excused.issuperset(marks)) for *line, marks in self.lines]
 
 
 def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -189,14 +242,33 @@ def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach : reach + len(ratios)] / inside
 
 
-def content_lines(lines: list[tuple[str, int, int, bool]]) -> list[bool]:
+def outside_weight(size):
+    """Weight of lines of ``size`` characters that no region holds."""
+    return size / (size + OUTSIDE_CHARS)
+
+
+def content_lines(lines: list[Line]) -> list[bool]:
     """Which lines are article text."""
+    keep, least = _clustered([x for x in lines if not x.unwanted])
+    rest = iter(keep)
+    return [_stands_alone(x, least) if x.unwanted else next(rest) for x in lines]
+
+
+def _stands_alone(line: Line, least: float) -> bool:
+    """Whether a line in unwanted markup reaches the threshold in spite of the penalty."""
+    weight = PENALTY if line.region else PENALTY * outside_weight(len(line.text))
+    ratio = len(line.text) / max(1, line.tags)
+    return weight * ratio >= least and line.link_chars <= MAX_LINK_SHARE * len(line.text)
+
+
+def _clustered(lines: list[Line]) -> tuple[list[bool], float]:
+    """Which of the lines without penalty are article text, and the threshold."""
     if not lines:
-        return []
-    sizes = np.array([len(text) for text, *_ in lines], dtype=float)
-    ratios = np.array([len(text) / max(1, tags) for text, tags, _, _ in lines])
-    links = np.array([chars for _, _, chars, _ in lines]) / sizes
-    stated = np.array([region for *_, region in lines])
+        return [], np.inf
+    sizes = np.array([len(x.text) for x in lines], dtype=float)
+    ratios = np.array([len(x.text) / max(1, x.tags) for x in lines])
+    links = np.array([x.link_chars for x in lines]) / sizes
+    stated = np.array([x.region for x in lines])
     if not (links[stated] <= MAX_LINK_SHARE).any():
         stated[:] = False  # a region of links only is no article
     smoothed = smooth(ratios, SIGMA)
@@ -204,11 +276,11 @@ def content_lines(lines: list[tuple[str, int, int, bool]]) -> list[bool]:
     # Where the page states a region, lines outside need evidence of their own: their length.
     prior = np.ones(len(lines))
     if stated.any():
-        prior = np.where(stated, REGION_WEIGHT, sizes / (sizes + OUTSIDE_CHARS))
+        prior = np.where(stated, REGION_WEIGHT, outside_weight(sizes))
     least = MEAN_SHARE * (smoothed * np.minimum(prior, 1)).mean()
     high = (smoothed * prior >= least) & usable
     if not high.any():
-        return [False] * len(lines)
+        return [False] * len(lines), least
     # Clusters grow over lines next to them, so short paragraphs and titles inside stay; not over
     # the edge of a region.
     grown = high.copy()
@@ -218,7 +290,7 @@ def content_lines(lines: list[tuple[str, int, int, bool]]) -> list[bool]:
             grown[near] |= part[near]
     first, last = np.flatnonzero(grown)[[0, -1]]
     grown[first : last + 1] = True  # an article is one stretch: text between clusters belongs to it
-    return list(grown & usable)
+    return list(grown & usable), least
 
 
 def main_text(html: str | None) -> str:
@@ -228,7 +300,7 @@ def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html)
     lines = parser.finish()
-    return "\n".join(text for (text, *_), keep in zip(lines, content_lines(lines)) if keep)
+    return "\n".join(x.text for x, keep in zip(lines, content_lines(lines)) if keep)
 
 
 def extract(

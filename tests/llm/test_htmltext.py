@@ -86,3 +86,24 @@ def test_query_on_given_pages(spark, sf_dir):
 def test_method_decides_beside_stated_regions(page, kept, gone):
     blocks = htmltext.main_text(page).split("\n")
     assert blocks.count(PARAGRAPH.strip()) == kept and gone not in blocks
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ("<div class='content-sidebar-wrap'><main>", "</main><div class=sidebar>side</div></div>"),
+        ("<div class='container sidebar-right'><article>", "</article></div>"),
+        ("<form id=aspnetForm><div class=page><main>", "</main></div></form>"),
+        ("<form id=aspnetForm><div class=page>", "</div></form>"),
+        ("<div class='content-sidebar-wrap'>", "<div class=ad>Buy it now.</div></div>"),
+        ("<nav><main>", "</main></nav>"),
+    ],
+)
+def test_wrappers_with_the_article_stay(start, end):
+    page = f"<nav><a href=x>Home</a></nav>{start}<h1>T</h1>" + f"<p>{PARAGRAPH}</p>" * 5 + f"{end}<footer>f</footer>"
+    assert htmltext.main_text(page) == "\n".join(["T"] + [PARAGRAPH.strip()] * 5)
+
+
+def test_longer_comments_stay_out():
+    page = f"<article><p>{PARAGRAPH}</p></article><div class=comments>" + f"<p>{PARAGRAPH}</p>" * 2 + "</div>"
+    assert htmltext.main_text(page) == PARAGRAPH.strip()
