@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.llm.nearcopies import near_copies
+
 CAPACITY = 2048
 SHARD_DOCS = 4096
 BYTES_PER_TOKEN = 4
@@ -129,8 +131,9 @@ def token_estimate(text: Column) -> Column:
 
 
 def normal_text_cluster(text: Column) -> Column:
-    """Key of the texts that are equal but for case and white space."""
-    return F.xxhash64(F.lower(F.regexp_replace(F.trim(text), r"\s+", " ")))
+    """Key of the texts that are equal but for case and white space; NULL for NULL."""
+    key = F.xxhash64(F.lower(F.regexp_replace(F.trim(text), r"\s+", " ")))
+    return F.when(text.isNotNull(), key)
 
 
 def pack(
@@ -146,15 +149,17 @@ def pack(
 
     A row longer than ``capacity`` is cut into parts 0, 1, ... of full capacity
     and a rest; shorter ones are part 0 whole. Sizes default to an estimate from
-    the bytes of ``text``, sources to ``source``, clusters to texts equal but for
-    case and white space. NULL sources and clusters conflict with nothing; NULL
+    the bytes of ``text``, sources to ``source``, clusters to the components of
+    near copies of ``text`` (0.8 of the five-word shingles; case and white space
+    play no part). NULL sources and clusters conflict with nothing; NULL
     texts and ids are packed like others, a size under 1 takes one place.
     Repeated rows are separate pieces of one cluster. Every row comes out; an
     empty table gives an empty one.
     """
     size = token_estimate(F.col("text")) if size is None else size
     source = F.col("source") if source is None else source
-    cluster = normal_text_cluster(F.col("text")) if cluster is None else cluster
+    near = cluster is None
+    cluster = normal_text_cluster(F.col("text")) if near else cluster
     shards = max(1, -(-docs.count() // shard_docs))
     whole = docs.select(
         F.col(f"`{id_col}`").alias("id"),
@@ -163,6 +168,11 @@ def pack(
         cluster.alias("cluster"),
         F.xxhash64(f"`{id_col}`", size, cluster).alias("key"),
     )
+    if near:
+        found = near_copies(docs, cluster).withColumnRenamed("node", "cluster")
+        whole = whole.join(found, "cluster", "left").withColumn(
+            "cluster", F.coalesce("component", "cluster")
+        )
     last = F.greatest(F.floor((F.col("total") - 1) / capacity), F.lit(0)).cast("int")
     pieces = whole.select(
         "id", "total", "source", "cluster", "key", F.explode(F.sequence(F.lit(0), last)).alias("part")

@@ -94,3 +94,34 @@ def test_query(spark, sf_dir):
     _, by_bin = checked(docs, packing.pack(docs), packing.CAPACITY)
     bins = QUERIES["op9_best_fit_packing"](spark, sf_dir).collect()
     assert sorted(sorted(r.doc_ids) for r in bins) == sorted(sorted(x.id for x in own) for own in by_bin.values())
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_near_copies_of_other_sources_stay_apart(spark, sf_dir):
+    rng = random.Random(5)
+    rows = []
+    for k in range(60):
+        words = [f"w{rng.randrange(500)}" for _ in range(60)]
+        for c in range(4):  # one word changed at the end, so at least 0.8 of the shingles are shared
+            own = words[:-1] + [f"x{c}"] if c else words
+            rows.append((4 * k + c, " ".join(own), f"s{k}-{c}"))
+    rows += [(1000 + k, None, None) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    packed = packing.pack(docs).collect()
+    group = {r.id: r.cluster for r in packed}
+    bins = {r.id: (r.shard, r.bin) for r in packed}
+    for k in range(60):
+        assert len({group[4 * k + c] for c in range(4)}) == 1 and len({bins[4 * k + c] for c in range(4)}) == 4
+    assert len(set(group.values())) == 61 and group[1000] is None
+    # all pairs of the given documents by brute force
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    own = {r.id: r.cluster for r in packing.pack(given).collect()}
+    sets = sorted((r.doc_id, shingles(r.text)) for r in given.collect() if r.text and r.text.split())
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if len(x & y) >= 0.8 * len(x | y):
+                assert own[a] == own[b]
