@@ -20,13 +20,15 @@ from __future__ import annotations
 import math
 from bisect import bisect_left
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.session import materialize
+
 THRESHOLD = 0.6
 OVERLAP = 0.7
 NGRAM = 3
@@ -109,18 +111,40 @@ class Index:
         self.__post_init__()
 
 
-def build(items: list[tuple[object, str]], threshold: float, overlap: float) -> Index | None:
-    """The index of (id, text) items; items without a word are left out."""
+@dataclass
+class Statistics:
+    """Of all items: number, mean length, words of the longest, items with each term."""
+
+    n: int
+    mean: float
+    longest: int
+    spread: dict[str, int]
+
+
+def build(
+    items: list[tuple[object, str]],
+    threshold: float,
+    overlap: float,
+    of_all: Statistics | None = None,
+) -> Index | None:
+    """The index of (id, text) items; items without a word are left out.
+
+    ``of_all`` are the statistics of the benchmark that ``items`` is a part of;
+    without it they are a whole benchmark.
+    """
     parts = [(i, *split_item(t)) for i, t in items if t and t.split()]
     if not parts:
         return None
     words = [q if q is a else q + a for _, q, a in parts]
     order = sorted(range(len(parts)), key=lambda k: (words[k], str(parts[k][0])))
     parts, words = [parts[k] for k in order], [words[k] for k in order]
-    n, mean = len(parts), sum(map(len, words)) / len(parts)
+    n = len(parts)
     spread = Counter(t for w in words for t in set(w))
     terms = {t: k for k, t in enumerate(sorted(spread))}
-    idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in spread.items()}
+    if of_all is None:
+        of_all = Statistics(n, sum(map(len, words)) / n, max(map(len, words)), spread)
+    mean, counts = of_all.mean, {t: of_all.spread[t] for t in spread}
+    idf = {t: math.log(1 + (of_all.n - c + 0.5) / (c + 0.5)) for t, c in counts.items()}
     postings = [([], []) for _ in terms]
     frequent = sorted(terms, key=lambda t: (-spread[t], t))
     for k, w in enumerate(words):
@@ -162,7 +186,7 @@ def build(items: list[tuple[object, str]], threshold: float, overlap: float) ->
         postings=postings,
         questions=[numbered(q) for _, q, _ in parts],
         answers=[numbered(a) for _, _, a in parts],
-        segment=max(MIN_SEGMENT, max(map(len, words))),
+        segment=max(MIN_SEGMENT, of_all.longest),
         threshold=threshold,
         overlap=overlap,
         essential=essential,
@@ -283,13 +307,29 @@ def search(index: Index, texts: list[str | None]) -> list[list[dict]]:
     return [[b[k] for k in sorted(b)] for b in best]
 
 
-def _passes(items: DataFrame, id_col: str, text_col: str, index_bytes: int) -> list[DataFrame]:
-    """The items in parts of about ``index_bytes`` of text."""
+def _parts(items: DataFrame, id_col: str, text_col: str, index_bytes: int) -> tuple[DataFrame, int]:
+    """(id, text, part) of the items, in parts of about ``index_bytes`` of text, and their number."""
     items = items.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(total / index_bytes))
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(parts))
-    return [items.where(part == k) for k in range(parts)]
+    return items.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(parts))), parts
+
+
+def _spread(items: DataFrame) -> tuple[Statistics, DataFrame]:
+    """Statistics of all items, without the terms, and (part, term, n): all items with a part's terms."""
+
+    @F.pandas_udf("array<string>")
+    def words(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [normal(w) for w in (t or "").lower().split()])
+
+    worded = materialize(items.select("part", words("text").alias("words")).where(F.size("words") > 0))
+    size = F.size("words")
+    n, total, longest = worded.agg(F.count(size), F.sum(size), F.max(size)).first()
+    each = worded.select("part", F.explode(F.array_distinct("words")).alias("term"))
+    by_part = each.groupBy("part", "term").agg(F.count(F.lit(1)).alias("own"))
+    by_term = by_part.groupBy("term").agg(F.sum("own").alias("n"))
+    counts = materialize(by_part.join(by_term, "term").select("part", "term", "n"))
+    return Statistics(n, total / n if n else 0.0, longest or 0, {}), counts
 
 
 def matches(
@@ -309,8 +349,9 @@ def matches(
     of the runs of three words of the question and of the answer. NULL and blank
     texts and items match nothing; repeated items are found each; repeated rows
     give repeated rows. Empty documents give an empty table, an empty benchmark
-    empty hits. BM25 statistics are those of one index, which holds
-    ``index_bytes`` of item text; a larger benchmark takes a pass for each part.
+    empty hits. An index holds ``index_bytes`` of item text; a larger benchmark
+    takes a pass for each part, one after the other, with the BM25 statistics and
+    the passage length of all items, so hits do not depend on ``index_bytes``.
     """
     item_type = dict(items.dtypes)[item_id_col]
     schema = (
@@ -318,19 +359,39 @@ def matches(
         "answer_overlap:double,first_word:int>>"
     )
 
-    def searcher(index: Index) -> Column:
+    def searcher(index: Index, text: Column) -> Column:
         @F.pandas_udf(schema)
         def hits(texts: pd.Series) -> pd.Series:
             return pd.Series(search(index, texts.tolist()), dtype=object)
 
-        return hits(F.col(f"row.`{text_col}`").cast("string"))
+        return hits(text.cast("string"))
 
-    found = []
-    for part in _passes(items, item_id_col, item_text_col, index_bytes):
+    def index_of(part: DataFrame, of_all: Statistics | None = None) -> Index | None:
         rows = sorted(((r.id, r.text) for r in part.collect() if r.text), key=lambda r: (str(r[0]), r[1]))
-        index = build(rows, threshold, overlap)
-        if index is not None:
-            found.append(searcher(index))
+        return build(rows, threshold, overlap, of_all)
+
     none = F.array().cast(schema)
     out = docs.select(F.struct("*").alias("row"))
-    return out.withColumn("hits", F.concat(*found) if found else none)
+    text = F.col(f"row.`{text_col}`")
+    rows, parts = _parts(items, item_id_col, item_text_col, index_bytes)
+    if parts == 1:
+        index = index_of(rows)
+        return out.withColumn("hits", none if index is None else searcher(index, text))
+    # Hits depend on the text only: each pass writes those it finds, by the hash of the text.
+    of_all, counts = _spread(rows)
+    key = F.sha2(text.cast("string"), 256)
+    found = None
+    for k in range(parts):
+        terms = {r.term: r.n for r in counts.where(F.col("part") == k).collect()}
+        index = index_of(rows.where(F.col("part") == k), replace(of_all, spread=terms))
+        if index is None:
+            continue
+        hits = out.select(key.alias("key"), searcher(index, text).alias("hits"))
+        hits = materialize(hits.where(F.size("hits") > 0))
+        own = hits.groupBy("key").agg(F.first("hits").alias("hits"))
+        found = own if found is None else found.unionByName(own)
+    if found is None:
+        return out.withColumn("hits", none)
+    found = found.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+    joined = out.withColumn("key", key).join(found, "key", "left")
+    return joined.select("row", F.coalesce("hits", none).alias("hits"))

@@ -86,3 +86,23 @@ def test_query(spark, sf_dir):
     assert got == want
     leaked = {(r.doc_id, i) for r in docs for i, t in items if t in r.text}
     assert leaked <= {(d, i) for d, i, *_ in got}
+
+
+def test_hits_do_not_depend_on_the_parts(spark):
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(10)]
+    texts = [
+        " ".join(rng.choice(common) if rng.random() < 0.6 else f"w{rng.randrange(60)}" for _ in range(rng.randrange(8, 90)))
+        for _ in range(40)
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = []
+    for d in range(60):
+        own = [w for w in texts[d % 40].split() if rng.random() > 0.25]
+        rows.append((d, " ".join(["x"] * rng.randrange(150) + own)))
+    docs = spark.createDataFrame([*rows, rows[0], (99, None)], "doc_id long, text string")
+    got = [
+        sorted((r.row.doc_id, sorted(map(tuple, r.hits))) for r in dc.matches(docs, items, overlap=0.2, index_bytes=n).collect())
+        for n in (dc.INDEX_BYTES, 3000)
+    ]
+    assert sum(len(h) for _, h in got[0]) > 20 and got[0] == got[1]
