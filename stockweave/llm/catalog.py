@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from stockweave.llm import (
     decontaminate,
+    hardneg,
     htmltext,
     licenses,
     ordinal,
     packing,
     pii,
+    resample,
     rules,
     secret_spans,
     simhash,
+    toxicity,
     warc,
 )
 from stockweave.llm.common import table
@@ -162,6 +165,35 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark texts, and the draw."""
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").cast("long").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive among all embeddings."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hardneg.quantized(table(spark, sf_dir, "embeddings"), moved)
+    return hardneg.mine(rows, F.col("id") % 100 == 0)
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, and the number of toxic passages."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        F.col("id").alias("doc_id"),
+        (toxicity.fold(F.col("id")) == toxicity.HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 def _quality_rules_sql() -> str:
     """The rules once more, exploded: windows and words are rows here."""
     space = "[\\x20\\x09-\\x0D]+"
@@ -319,3 +351,84 @@ from d left join folded using (rid)"""
 
 
 ORACLES["op6_secret_scans"] = _secret_scans_sql()
+
+
+def _resampling_sql() -> str:
+    """The resampling once more: features are rows, CRC-32 is folded over bytes by its table."""
+    r = resample
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    low, high = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def words(name: str, key: str) -> str:
+        text = f"translate(coalesce(text, ''), '{high}', '{low}')"
+        return f"select {key}, regexp_extract_all({text}, '{word}') as words from {name}"
+
+    # the 256 entries of the CRC-32 table, by eight shifts of the reflected polynomial
+    steps = ["t0 as (select b, b::bigint as c from range(256) s(b))"]
+    steps += [
+        f"t{k + 1} as (select b, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end as c from t{k})"
+        for k in range(8)
+    ]
+    return f"""
+with {", ".join(steps)},
+crc_table as (select list(c order by b) as c from t8),
+d as ({words("documents", "row_number() over () as rid, doc_id")}),
+b as ({words("benchmark", "item_id")}),
+features as (
+    select 1 as own, rid, unnest(words) as w from d
+    union all select 0, 0, unnest(words) from b
+), named as (
+    select w, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(octet_length(encode(w))::bigint),
+            lambda i: ('0x' || substr(hex(encode(w)), 2 * i::int + 1, 2))::bigint)),
+        lambda h, x: xor(h >> 8, c[(xor(h, x) & 255) + 1])), 4294967295) % {r.BUCKETS} as bucket
+    from (select distinct w from features), crc_table
+), counts as (
+    select bucket, sum(own)::double as s, sum(1 - own)::double as t from features join named using (w) group by bucket
+), totals as (select coalesce(sum(s), 0) as all_s, coalesce(sum(t), 0) as all_t from counts),
+gains as (
+    select bucket, floor({r.GAIN_UNIT} * ln((t + 1) * (all_s + {r.BUCKETS}) / ((s + 1) * (all_t + {r.BUCKETS}))))::bigint as gain
+    from counts, totals
+), weights as (
+    select rid, count(*) as n, sum(gain)::bigint as weight
+    from features join named using (w) join gains using (bucket) where own = 1 group by rid
+), scored as (
+    select rid, doc_id, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+           weight_or_0 + floor(-{r.GAIN_UNIT} * ln(-ln((h + 0.5) / 4294967296)))::bigint as score
+    from (select d.rid, doc_id, n, weight, coalesce(weight, 0) as weight_or_0,
+                 ('0x' || substr(sha256('{r.SEED}:' || doc_id), 1, 8))::bigint::double as h
+          from d left join weights using (rid))
+), placed as (
+    select rid, row_number() over (order by score desc, doc_id, n_features) as place, count(*) over () as n
+    from scored where n_features >= {r.LEAST_WORDS} and score is not null
+)
+select doc_id, n_features, weight, score::bigint as score,
+       case when place <= {r.PERCENT} * n // 100 then place::bigint end as rank
+from scored left join placed using (rid)"""
+
+
+ORACLES["op11_importance_resampling"] = _resampling_sql()
+
+ORACLES["op12_hard_negatives"] = """
+with r as (
+    select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+    select a.id as anchor, o.id as other, a.label = o.label as same,
+           list_inner_product(a.v, o.v)::bigint as score
+    from r a join r o on a.id <> o.id where a.id % 100 = 0
+), p as (
+    select anchor, other as positive, score as positive_score from s where same
+    qualify row_number() over (partition by anchor order by score desc, other) <= 5
+)
+select anchor as anchor_id, positive as positive_id, negative as negative_id, rank::int as rank,
+       positive_score, negative_score
+from (
+    select p.*, s.other as negative, s.score as negative_score,
+           row_number() over (partition by anchor, positive order by s.score desc, s.other) as rank
+    from p join s using (anchor)
+    where not same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score
+) where rank <= 10"""
