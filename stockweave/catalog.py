@@ -726,6 +726,36 @@ def stream_upsert(m: Models) -> DataFrame:
     return _rows_of(lake, "landing", "orders").drop("month")
 
 
+@query
+def stream_upsert_ordered(m: Models) -> DataFrame:
+    """Changes of orders that arrive out of order over three batches of a stream.
+
+    Every order has three changes, a fifth of them only two. Each batch brings
+    one change per order, and which one differs by order, so newer changes come
+    before older ones. Each change moves its order by a month.
+    """
+    spark, lake = m.spark, _temporary_lake(m.spark)
+    first = m.ref("stg_orders").withColumn("month", F.trunc("order_date", "MM"))
+    first = materialize(first.withColumn("change_no", F.lit(0)))
+    lake.publish(first, "landing", "orders", partition_by=("month",))
+    for step in range(3):
+        number = F.pmod(F.col("order_id") + step, F.lit(3)).cast("int") + 1
+        changed = first.withColumn("change_no", number)
+        changed = changed.where((F.col("order_id") % 5 != 0) | (number < 3)).withColumns(
+            {
+                "order_status": F.concat_ws("-", "order_status", "change_no"),
+                "month": F.add_months("month", F.col("change_no")),
+            }
+        )
+        changed.write.mode("append").parquet(f"{lake.root}/changes")
+        arriving = spark.readStream.schema(first.schema).parquet(f"{lake.root}/changes")
+        upsert_stream(
+            arriving, lake, "landing", "orders", "order_id", "month",
+            f"{lake.root}/checkpoint", "change_no",
+        ).awaitTermination()
+    return _rows_of(lake, "landing", "orders")
+
+
 def _register_funnel() -> None:
     def stream_daily_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Events arriving in several micro-batches that overlap in time."""

@@ -33,6 +33,16 @@ def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return target.join(batch.select(key), key, "left_anti").unionByName(batch)
 
 
+def not_older(target: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
+    """The rows of ``batch`` that are not older than the target's row of their key.
+
+    A NULL order is older than any other; of equal ones the batch's row counts.
+    """
+    old = target.join(batch.select(key), key, "left_semi").select(key, F.col(order).alias("_at"))
+    newer = F.coalesce(F.col(order) >= F.col("_at"), F.col("_at").isNull())
+    return batch.join(old, key, "left").where(newer).select(*batch.columns)
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Matched rows take the source's columns, unmatched source rows are added.
 

@@ -679,6 +679,12 @@ from split_rows where held""",
     "features_stored_point_in_time": "select * from features_point_in_time",
     # --- streams ---------------------------------------------------------------------------
     "stream_upsert": "select * from upsert_orders",
+    "stream_upsert_ordered": """
+select * replace (concat_ws('-', order_status, cast(change_no as varchar)) as order_status,
+                  cast(month + to_months(change_no) as date) as month)
+from (select *, cast(date_trunc('month', order_date) as date) as month,
+             case when order_id % 5 = 0 then 2 else 3 end as change_no
+      from stg_orders)""",
     "upsert_orders_partitioned": "select * from upsert_orders",
     "stream_daily_funnel": """
 select cast(ts as date) as traffic_date, event_type as traffic_source, count(*) as sessions

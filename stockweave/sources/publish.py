@@ -2,10 +2,11 @@
 
 Each run writes its own folder, so a reader never sees a half-written table
 and nothing is overwritten while it is read. Publishing replaces the view,
-which the catalog does in one step. A table partitioned by a column may consist
-of several folders: an upsert writes the partitions it touches to a new folder
-and points the view at the old folders without them, plus the new one. A branch
-is a second set of views: making one copies pointers, merging one moves them.
+which the catalog does in one step. A table partitioned by a column is one
+ordinary partitioned folder: an upsert overwrites the partitions it touches by
+Spark's dynamic partition overwrite, from rows written aside first. A branch
+is a second set of views: making one copies pointers, merging one moves them. A
+folder belongs to one branch; another branch that upserts it writes its own.
 """
 
 from __future__ import annotations
@@ -14,20 +15,21 @@ import json
 import logging
 import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stockweave.operators.changes import checked_batch, merged
+from stockweave.operators.changes import checked_batch, merged, not_older
+from stockweave.session import delete_folder, materialize
 
 log = logging.getLogger(__name__)
 
 MAIN = "main"
 _LOCATION = "stockweave.location"
-# Folders a table may consist of before an upsert writes it anew as one.
-MAX_FOLDERS = 16
+# What Spark names the partition of NULL.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class AuditFailed(RuntimeError):
@@ -45,14 +47,6 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _without(gone: Sequence[str | None], column: str, kind: str) -> str:
-    """SQL predicate: rows outside the partitions ``gone``, given as text, NULL for None."""
-    values = [f"CAST({_text(v)} AS {kind})" for v in gone if v is not None]
-    name = f"`{column}`"
-    inside = f"{name} IN ({', '.join(values)})" if values else "false"
-    return f"CASE WHEN {name} IS NULL THEN {str(None not in gone).lower()} ELSE NOT {inside} END"
-
-
 class Lakehouse:
     """Publishes and reads tables of layer databases below one storage root."""
 
@@ -66,33 +60,24 @@ class Lakehouse:
         return database_name(layer, self.branch, self.environment)
 
     def location(self, layer: str, table: str) -> str | None:
-        """What a published table points to (see ``folders``), None when there is none."""
+        """What a published table points to (see ``version``), None when there is none."""
         name = f"{self.database(layer)}.{table}"
         if not self.spark.catalog.tableExists(name):
             return None
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {name} ('{_LOCATION}')").collect()
         return rows[0]["value"]
 
-    def folders(self, layer: str, table: str) -> dict | None:
-        """``schema``, ``partition`` and ``parts``: (folder, partitions gone from it)."""
+    def version(self, layer: str, table: str) -> dict | None:
+        """``schema``, ``partition`` column, ``path`` and ``owner`` branch of a published table."""
         location = self.location(layer, table)
         return None if location is None else json.loads(location)
 
     def read(self, layer: str, table: str) -> DataFrame | None:
         """The published rows, with the types they were published with."""
-        found = self.folders(layer, table)
+        found = self.version(layer, table)
         if found is None:
             return None
-        schema = StructType.fromJson(found["schema"])
-
-        def part(path: str, gone: list) -> DataFrame:
-            df = self.spark.read.schema(schema).parquet(path)
-            if not gone:
-                return df
-            column = found["partition"]
-            return df.where(_without(gone, column, schema[column].dataType.simpleString()))
-
-        return reduce(DataFrame.unionByName, [part(p, gone) for p, gone in found["parts"]])
+        return self.spark.read.schema(StructType.fromJson(found["schema"])).parquet(found["path"])
 
     def stage(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
@@ -109,32 +94,24 @@ class Lakehouse:
         """Make the view of a table show what ``location`` names."""
         found = json.loads(location)
         schema = StructType.fromJson(found["schema"])
+        # Types are cast: partition values of a folder are read back by their looks.
         columns = ", ".join(
             f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema
         )
-        column = found["partition"]
-        selects = [
-            # Types first: a folder's partition values are read back by their looks.
-            f"SELECT * FROM (SELECT {columns} FROM parquet.`{path}`)"
-            + (
-                f" WHERE {_without(gone, column, schema[column].dataType.simpleString())}"
-                if gone
-                else ""
-            )
-            for path, gone in found["parts"]
-        ]
         database = self.database(layer)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {database}.{table} "
-            f"TBLPROPERTIES ('{_LOCATION}' = {_text(location)}) AS {' UNION ALL '.join(selects)}"
+            f"TBLPROPERTIES ('{_LOCATION}' = {_text(location)}) "
+            f"AS SELECT {columns} FROM parquet.`{found['path']}`"
         )
 
-    @staticmethod
-    def _location(schema: StructType, partition: str | None, parts: list) -> str:
+    def _location(self, schema: StructType, partition: str | None, path: str) -> str:
         # Parquet drops nullability; a stored schema says what a read gives.
         kept = StructType([type(f)(f.name, f.dataType, True) for f in schema])
-        return json.dumps({"schema": kept.jsonValue(), "partition": partition, "parts": parts})
+        return json.dumps(
+            {"schema": kept.jsonValue(), "partition": partition, "path": path, "owner": self.branch}
+        )
 
     def publish(
         self,
@@ -159,7 +136,7 @@ class Lakehouse:
                 if row["status"] == "warn":
                     log.warning("%s: %s found %s rows", table, row["test_name"], row["failures"])
         column = partition_by[0] if len(partition_by) == 1 else None
-        self.point(layer, table, self._location(df.schema, column, [[path, []]]))
+        self.point(layer, table, self._location(df.schema, column, path))
         return self.read(layer, table)
 
     def upsert(self, source: DataFrame, layer: str, table: str, key: str) -> DataFrame:
@@ -168,7 +145,7 @@ class Lakehouse:
         A table partitioned by one column goes by ``upsert_partitions``: only the
         partitions it touches are written. Others are written anew.
         """
-        found = self.folders(layer, table)
+        found = self.version(layer, table)
         if found is not None and found["partition"] is not None:
             self.upsert_partitions(source, layer, table, key, found["partition"])
             return self.read(layer, table)
@@ -177,41 +154,87 @@ class Lakehouse:
         return self.publish(batch if current is None else merged(current, batch, key), layer, table)
 
     def upsert_partitions(
-        self, source: DataFrame, layer: str, table: str, key: str, column: str
+        self, source: DataFrame, layer: str, table: str, key: str, column: str, order: str | None = None
     ) -> list:
         """Upsert into a table partitioned by ``column``; only touched partitions are written.
 
         A row may move to another partition, so the one its old version sits in
-        is touched as well. The touched partitions, NULL's included, are written
-        to a new folder and the pointer moves once: readers see the version
-        before or the one after, whatever fails in between, and a rerun starts
-        from the same state. Repeated and NULL keys are refused. Returns the
-        touched values; there are at most as many as partitions.
+        is touched as well. With an ``order`` column of the table, a row replaces
+        its old version only if that is not newer, whatever batch it came in; a
+        NULL order is older than any. Repeated and NULL keys are refused. Returns
+        the touched values; there are at most as many as partitions.
+
+        The new rows of the touched partitions (NULL's included) are written
+        aside, then put in place by dynamic partition overwrite. A crash before
+        that leaves the table as it was; one in the middle leaves some partitions
+        new, and the next upsert first puts the rest in place. One writer at a
+        time; readers that start in between see the partitions done so far.
         """
         batch = checked_batch(source, key)
-        found = self.folders(layer, table)
+        found = self.version(layer, table)
         if found is None:
             self.publish(batch, layer, table, partition_by=(column,))
             return [row[0] for row in batch.select(column).distinct().collect()]
         if found["partition"] != column:
             raise ValueError(f"{table} is not partitioned by {column}")
+        self._put_in_place(found)
         target = self.read(layer, table)
         batch = batch.select(*target.columns)
+        if order is not None:
+            batch = materialize(not_older(target, batch, key, order))
         left = target.join(batch.select(key), key, "left_semi").select(column)
-        values = left.unionByName(batch.select(column)).distinct()
-        rows = values.select(column, F.col(column).cast("string").alias("_text")).collect()
-        touched, texts = [r[column] for r in rows], [r["_text"] for r in rows]
+        touched = [r[0] for r in left.unionByName(batch.select(column)).distinct().collect()]
         if not touched:
             return []
-        fresh = merged(target.where(self._within(column, touched)), batch, key)
-        path = self.stage(fresh, layer, table, (column,))
-        parts = [[p, sorted({*gone, *texts}, key=str)] for p, gone in found["parts"]]
-        schema = StructType.fromJson(found["schema"])
-        self.point(layer, table, self._location(schema, column, [*parts, [path, []]]))
-        if len(parts) + 1 > MAX_FOLDERS:
-            self.publish(self.read(layer, table), layer, table, partition_by=(column,))
+        if found["owner"] != self.branch:
+            self.publish(merged(target, batch, key), layer, table, partition_by=(column,))
+            return touched
+        aside = self._aside(found)
+        merged(target.where(self._within(column, touched)), batch, key).write.mode("overwrite").parquet(
+            f"{aside}/rows"
+        )
+        values = left.unionByName(batch.select(column)).distinct()
+        values.coalesce(1).write.mode("overwrite").parquet(f"{aside}/touched")
+        self._put_in_place(found)
         return touched
 
+    @staticmethod
+    def _aside(found: dict) -> str:
+        return f"{found['path']}-aside"
+
+    def _put_in_place(self, found: dict) -> None:
+        """Overwrite the partitions written aside, if any; a second time changes nothing."""
+        aside, column = self._aside(found), found["partition"]
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{aside}/touched/_SUCCESS")
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return
+        schema = StructType.fromJson(found["schema"])
+        rows = self.spark.read.schema(schema).parquet(f"{aside}/rows")
+        # Partition values are few, and their names are what the folders are named by.
+        name = F.coalesce(F.col(column).cast("string"), F.lit(_NULL_PARTITION))
+        touched = self.spark.read.schema(StructType([schema[column]])).parquet(f"{aside}/touched")
+        names = touched.select(name.alias("name")).distinct()
+        emptied = names.join(rows.select(name.alias("name")).distinct(), "name", "left_anti")
+        (
+            rows.hint("rebalance", column)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(column)
+            .parquet(found["path"])
+        )
+        self._drop_partitions(found["path"], column, {r["name"] for r in emptied.collect()})
+        self.spark.catalog.refreshByPath(found["path"])
+        delete_folder(self.spark, aside)
+
+    def _drop_partitions(self, path: str, column: str, names: set[str]) -> None:
+        """Delete the partitions that have no row any more: an overwrite does not see them."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in files.listStatus(root) if names else ():
+            name, _, value = status.getPath().getName().partition("=")
+            if name == column and unquote(value) in names:
+                files.delete(status.getPath(), True)
+
     @staticmethod
     def _within(column: str, values: Sequence) -> Column:
         known = F.coalesce(F.col(column).isin([v for v in values if v is not None]), F.lit(False))
@@ -249,11 +272,18 @@ class Lakehouse:
         return made
 
     def merge_branch(self, branch: str) -> None:
-        """Point this branch's tables at the versions of ``branch``."""
+        """Point this branch's tables at the versions of ``branch``.
+
+        Their folders then belong to this branch.
+        """
         other = self.on_branch(branch)
         for layer in self._known():
             for table in other._tables(layer):
-                self.point(layer, table, other.location(layer, table))
+                found = other.version(layer, table)
+                schema = StructType.fromJson(found["schema"])
+                location = self._location(schema, found["partition"], found["path"])
+                self.point(layer, table, location)
+                other.point(layer, table, location)
 
     def drop_branch(self, branch: str) -> None:
         if branch == MAIN:

@@ -10,9 +10,13 @@ from stockweave.sources.publish import Lakehouse
 
 
 def last_per_key(changes: DataFrame, key: str, order: str) -> DataFrame:
-    """Reduce a batch to the newest change per key before it is merged."""
+    """Reduce a batch to the newest change per key before it is merged.
+
+    Of changes of equal order the one of greatest hash counts, so a replayed
+    batch gives the same rows.
+    """
     rest = [c for c in changes.columns if c != key]
-    newest = F.max_by(F.struct(*rest), order).alias("_row")
+    newest = F.max_by(F.struct(*rest), F.struct(order, F.xxhash64(*rest))).alias("_row")
     return changes.groupBy(key).agg(newest).select(key, "_row.*")
 
 
@@ -29,16 +33,17 @@ def upsert_stream(
     """Upsert a change stream into a partitioned table, touched partitions only.
 
     Work per micro-batch follows the partitions it touches. Upserts repeat
-    safely, so a batch replayed after a failure changes nothing, and the result
-    is what the table's pointer shows: a restart without new files finds it
-    there. With an ``order`` column a key may change several times in a batch:
-    the last change counts. Without one a repeated key stops the stream.
+    safely, so a batch replayed after a failure changes nothing, and a restart
+    without new files finds the table as it is. With an ``order`` column, which
+    the table keeps, changes may come in any order and a key several times in a
+    batch: in the end every key has its newest change. Without one a repeated key
+    stops the stream, and later batches overwrite earlier ones.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         own = Lakehouse(batch.sparkSession, lake.root, lake.branch, lake.environment)
         batch = last_per_key(batch, key, order) if order else batch
-        own.upsert_partitions(batch, layer, table, key, partition_column)
+        own.upsert_partitions(batch, layer, table, key, partition_column, order)
 
     return (
         changes.writeStream.foreachBatch(apply)

@@ -1,8 +1,10 @@
 """Readers, publishing, branches, partition upserts, layer runs and streams."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from stockweave.catalog import models_over
 from stockweave.operators import quality
@@ -138,7 +140,8 @@ def test_upsert_touches_only_its_partitions(lake, spark):
         [(1, "a", "1"), (2, "b", "1"), (3, "c", "2"), (4, "d", "3"), (5, "e", None), (6, "f", None)], DDL
     )
     lake.publish(start, "fact", "t", partition_by=("p",))
-    before = lake.folders("fact", "t")["parts"][0][0]
+    path = Path(lake.version("fact", "t")["path"].removeprefix("file:"))
+    before = {f for f in (path / "p=1").iterdir()}
     source = spark.createDataFrame([(4, "D", "2"), (7, "g", "x:y z'\\%"), (8, "h", None), (5, "E", "2")], DDL)
     touched = lake.upsert_partitions(source, "fact", "t", "k", "p")
     assert sorted(touched, key=str) == ["2", "3", None, "x:y z'\\%"]
@@ -149,10 +152,10 @@ def test_upsert_touches_only_its_partitions(lake, spark):
     assert table_rows(lake.read("fact", "t")) == sorted(want, key=str)
     view = spark.table(f"{lake.database('fact')}.t").select("k", "v", "p")
     assert table_rows(view) == sorted(want, key=str)
-    (old, gone), (new, none) = lake.folders("fact", "t")["parts"]
-    assert old == before and set(gone) == {"2", "3", None, "x:y z'\\%"} and none == []
-    # The new folder has the touched partitions only, the rows of partition 1 stay where they were.
-    assert not spark.read.schema(DDL).parquet(new).where("p = '1'").count()
+    # The files of partition 1 stay as they were, partition 3 is written in place, nothing is left aside.
+    assert {f for f in (path / "p=1").iterdir()} == before
+    assert lake.version("fact", "t")["path"].endswith(path.name)
+    assert [p.name for p in path.parent.iterdir()] == [path.name]
     lake.upsert_partitions(source, "fact", "t", "k", "p")
     assert table_rows(lake.read("fact", "t")) == sorted(want, key=str)
 
@@ -164,29 +167,53 @@ def test_upsert_by_partition_fails_whole(lake, spark, monkeypatch):
         with pytest.raises(ValueError, match=message):
             lake.upsert_partitions(spark.createDataFrame(bad, DDL), "fact", "t", "k", "p")
     change = spark.createDataFrame([(1, "A", "2")], DDL)
+    after = [(1, "A", "2"), (2, "b", None)]
     with monkeypatch.context() as crash:
-        crash.setattr(Lakehouse, "point", lambda *a: 1 / 0)
+        crash.setattr(DataFrameWriter, "partitionBy", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             lake.upsert_partitions(change, "fact", "t", "k", "p")
     assert table_rows(lake.read("fact", "t")) == before
     lake.upsert_partitions(change, "fact", "t", "k", "p")
-    assert table_rows(lake.read("fact", "t")) == [(1, "A", "2"), (2, "b", None)]
+    assert table_rows(lake.read("fact", "t")) == after
     assert lake.upsert_partitions(change.limit(0), "fact", "t", "k", "p") == []
 
 
-def test_many_upserts_are_folded(lake, spark, monkeypatch):
-    monkeypatch.setattr("stockweave.sources.publish.MAX_FOLDERS", 2)
-    lake.publish(spark.createDataFrame([(0, "a", "0")], DDL), "fact", "t", partition_by=("p",))
-    for k in range(1, 4):
-        # A partitioned table is upserted by partition by the plain call as well.
-        lake.upsert(spark.createDataFrame([(k, "b", str(k))], DDL), "fact", "t", "k")
-    assert table_rows(lake.read("fact", "t")) == [(0, "a", "0")] + [(k, "b", str(k)) for k in (1, 2, 3)]
-    assert len(lake.folders("fact", "t")["parts"]) <= 2
+def test_an_overwrite_cut_short_is_finished(lake, spark, monkeypatch):
+    """Partition 1 loses its only row; the crash leaves it there, the next upsert removes it."""
+    start = [(1, "a", "1"), (2, "b", None), (3, "c", "3")]
+    lake.publish(spark.createDataFrame(start, DDL), "fact", "t", partition_by=("p",))
+    with monkeypatch.context() as crash:
+        crash.setattr(Lakehouse, "_drop_partitions", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake.upsert_partitions(spark.createDataFrame([(1, "A", "2")], DDL), "fact", "t", "k", "p")
+    lake.upsert_partitions(spark.createDataFrame([(3, "C", "3")], DDL), "fact", "t", "k", "p")
+    assert table_rows(lake.read("fact", "t")) == [(1, "A", "2"), (2, "b", None), (3, "C", "3")]
+
+
+def test_branches_upsert_their_own_folder(lake, spark):
+    lake.publish(spark.createDataFrame([(0, "a", "0"), (1, "b", "1")], DDL), "fact", "t", partition_by=("p",))
     dev = lake.create_branch("dev")
+    # A partitioned table is upserted by partition by the plain call as well.
     dev.upsert(spark.createDataFrame([(0, "z", "9")], DDL), "fact", "t", "k")
-    assert lake.read("fact", "t").where("k = 0").first()["v"] == "a"
+    dev.upsert(spark.createDataFrame([(1, "y", "1")], DDL), "fact", "t", "k")
+    assert table_rows(lake.read("fact", "t")) == [(0, "a", "0"), (1, "b", "1")]
     lake.merge_branch("dev")
-    assert lake.read("fact", "t").where("k = 0").first()["p"] == "9"
+    dev.upsert(spark.createDataFrame([(1, "x", "1")], DDL), "fact", "t", "k")
+    assert table_rows(lake.read("fact", "t")) == [(0, "z", "9"), (1, "y", "1")]
+    assert table_rows(dev.read("fact", "t")) == [(0, "z", "9"), (1, "x", "1")]
+
+
+def test_older_changes_of_a_later_batch_do_not_win(lake, spark):
+    ddl = "k int, v string, at int, p int"
+    lake.publish(spark.createDataFrame([(1, "a", 5, 1), (2, "b", None, 1)], ddl), "fact", "t", partition_by=("p",))
+
+    def arrive(*rows):
+        lake.upsert_partitions(spark.createDataFrame(rows, ddl), "fact", "t", "k", "p", "at")
+        return table_rows(lake.read("fact", "t"))
+
+    assert arrive((1, "old", 4, 2), (2, "B", 1, 2)) == [(1, "a", 5, 1), (2, "B", 1, 2)]
+    assert arrive((1, "same", 5, 3), (2, "null", None, 1)) == [(1, "same", 5, 3), (2, "B", 1, 2)]
+    assert arrive((1, "x", 4, 9)) == [(1, "same", 5, 3), (2, "B", 1, 2)]
 
 
 def test_fact_advances_in_place(lake, spark, sf_dir):
@@ -203,8 +230,6 @@ def test_fact_advances_in_place(lake, spark, sf_dir):
 
 
 def test_a_finished_run_leaves_nothing(spark, tmp_path):
-    from pathlib import Path
-
     from stockweave.session import materialize, run_scope, shared_dir
 
     root = Path(shared_dir(spark).removeprefix("file:"))
