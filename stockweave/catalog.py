@@ -574,8 +574,7 @@ def poisson_lambda(m: Models) -> DataFrame:
 @query
 def quantile_demand_forecast(m: Models) -> DataFrame:
     train, test = _stored_split(m)
-    fitted = forecast.fit_median_trees(train)
-    scored = forecast.quantile_forecast(fitted, train, test, "promo_active_flag")
+    scored = forecast.quantile_forecast(forecast.fit_quantiles(train), test)
     return scored.select("product_id", "event_timestamp", "quantity", "P10", "P50", "P90")
 
 
@@ -614,15 +613,59 @@ def boosted_rate_check(m: Models) -> DataFrame:
     return _checked(scored, ["boosted_rate"], F.col("boosted_rate") < forecast.LAMBDA_FLOOR)
 
 
+# How far the share of held-out demand up to a quantile may lie from it, in points.
+COVERAGE_POINTS = 3.0
+
+
 @query
 def quantile_check(m: Models) -> DataFrame:
-    """Every held-out row has ordered quantiles, none below zero."""
+    """Every held-out row has ordered quantiles, none below zero, and the shares are right.
+
+    ``p10_off`` and ``p90_off`` say whether the share of demand up to the quantile
+    is further from 10 and 90 % than ``COVERAGE_POINTS``; that takes a few
+    thousand rows to tell.
+    """
     p10, p50, p90 = F.col("P10"), F.col("P50"), F.col("P90")
-    return _checked(
-        quantile_demand_forecast(m), ["P10", "P50", "P90"], (p10 < 0) | (p10 > p50) | (p50 > p90)
+    scored = materialize(quantile_demand_forecast(m))
+    missing = p10.isNull() | p50.isNull() | p90.isNull() | F.isnan(p50)
+
+    def off(name: str, percent: float) -> Column:
+        share = F.count_if(F.col("quantity") <= F.col(name)) * 100.0 / F.count(F.lit(1))
+        return (F.abs(share - percent) > COVERAGE_POINTS).cast("int").alias(f"{name.lower()}_off")
+
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.count_if(missing).alias("n_missing"),
+        F.count_if((p10 < 0) | (p10 > p50) | (p50 > p90)).alias("n_wrong"),
+        off("P10", 10.0),
+        off("P90", 90.0),
     )
 
 
+@query
+def stored_model_check(m: Models) -> DataFrame:
+    """Runs of two forests are stored; the best one that may serve is loaded and scores.
+
+    Its forecasts must be those of the forest that was stored. The limit lets
+    both serve, so the better one must be the champion.
+    """
+    root = f"{run_folder(m.spark)}/models-{uuid.uuid4().hex}"
+    train, test = _stored_split(m)
+    kept = {}
+    for version, depth in ((1, 2), (2, 8)):
+        fitted = forecast.fit_forest(train, trees=20, depth=depth)
+        figures = forecast.accuracy(fitted.transform(test), "quantity", "prediction").first()
+        forecast.save_run(m.spark, fitted, root, "demand", version, figures.asDict())
+        kept[version] = (figures["mape_pct"], fitted)
+    best = min(kept.values(), key=lambda x: x[0])[1]
+    served = forecast.champion(m.spark, root, "demand", limit=float("inf"))
+    refused = forecast.champion(m.spark, root, "demand", limit=0.0)
+    both = best.transform(test).withColumnRenamed("prediction", "_stored").drop("_x")
+    wrong = F.col("prediction") != F.col("_stored")
+    checked = _checked(served.transform(both), ["prediction"], wrong)
+    return checked.withColumn("n_refused", F.lit(int(refused is None)))
+
+
 # --- loads and stored layers -----------------------------------------------------
 
 

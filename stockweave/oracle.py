@@ -671,7 +671,12 @@ from split_rows where held""",
 select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) as n_wrong
 from split_rows where held""",
     "quantile_check": """
-select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) as n_wrong
+select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) as n_wrong,
+       cast(0 as int) as p10_off, cast(0 as int) as p90_off
+from split_rows where held""",
+    "stored_model_check": """
+select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) as n_wrong,
+       cast(1 as int) as n_refused
 from split_rows where held""",
     # --- loads and stored layers -----------------------------------------------------------
     "landing_roundtrip": "select * from l_orders",

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressor,
     GeneralizedLinearRegression,
+    LinearRegression,
+    LinearRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave.functions.exprs import round_half_up
 from stockweave.plans.features import DEMAND_FEATURES, TARGET
+from stockweave.session import materialize
 
 SEED = 42
 TEST_SHARE_OF_TEN = 2
@@ -23,6 +28,13 @@ LAMBDA_FLOOR = 0.1
 MAPE_LIMIT = 25.0
 # The floor of a relative error's denominator: the double epsilon.
 EPSILON = 2.220446049250313e-16
+# Rows a tree of the forest is grown on, in the mean: each draws its own share of the table.
+ROWS_PER_TREE = 10_000
+LEAST_PER_LEAF = 10
+QUANTILES = (0.1, 0.5, 0.9)
+# Rounds of reweighting, and the residual under which weights stop growing, halved each round.
+ROUNDS = 6
+FIRST_REACH, LEAST_REACH = 0.25, 0.01
 
 
 def split_bucket(*key: str) -> Column:
@@ -47,13 +59,22 @@ def fit_forest(
     columns: Sequence[str] = DEMAND_FEATURES,
     trees: int = 100,
     depth: int = 12,
+    rows_per_tree: int = ROWS_PER_TREE,
 ) -> PipelineModel:
+    """A forest over binned features; every tree grows on a sample of its own.
+
+    The features are cut into bins once. A tree draws ``rows_per_tree`` rows in
+    the mean out of all of them, so the statistics of a level, which Spark adds
+    up over the executors, follow the trees and not the table.
+    """
     forest = RandomForestRegressor(
         featuresCol="_x",
         labelCol=TARGET,
         predictionCol="prediction",
         numTrees=trees,
         maxDepth=depth,
+        minInstancesPerNode=LEAST_PER_LEAF,
+        subsamplingRate=min(1.0, rows_per_tree / max(1, train.count())),
         seed=SEED,
         # Node statistics of a level are grouped into passes of this size.
         maxMemoryInMB=1024,
@@ -126,41 +147,99 @@ def sku_quantiles(monthly: DataFrame) -> DataFrame:
     )
 
 
-def fit_median_trees(train: DataFrame, columns: Sequence[str] = DEMAND_FEATURES) -> PipelineModel:
-    """Boosted trees on absolute error: a conditional median."""
-    trees = GBTRegressor(
-        featuresCol="_x",
-        labelCol=TARGET,
-        predictionCol="prediction",
-        lossType="absolute",
-        maxIter=100,
-        stepSize=0.05,
-        maxDepth=5,
-        seed=SEED,
+@dataclass
+class QuantileModel:
+    """One linear model of the logarithm per quantile, with the shift of its intercept."""
+
+    columns: tuple[str, ...]
+    models: list[LinearRegressionModel]
+    shifts: list[float]
+
+
+def _residual_quantiles(rows: DataFrame, columns: Sequence[str], quantiles: Sequence[float]) -> list[float]:
+    """The quantile of ``_y`` minus each column, one for each of ``quantiles``; one pass."""
+    parts = [
+        F.percentile_approx(F.col("_y") - F.col(c), q, 10_000).alias(f"_{i}")
+        for i, (c, q) in enumerate(zip(columns, quantiles))
+    ]
+    return [0.0 if x is None else x for x in rows.agg(*parts).first()]
+
+
+def fit_quantiles(
+    train: DataFrame,
+    columns: Sequence[str] = DEMAND_FEATURES,
+    quantiles: Sequence[float] = QUANTILES,
+    rounds: int = ROUNDS,
+) -> QuantileModel:
+    """Linear quantile regressions of ``log1p`` of the demand, by the pinball loss.
+
+    Quantiles keep under a monotone transform, so the logarithm costs nothing.
+    The loss of a residual r is majorised at the current fit by a parabola: with
+    reach a = |r| + e a weighted least-squares fit of y + (2q - 1) a under
+    weights 1 / a lowers it. Each round is one pass whose sums Spark adds up over
+    the executors; e is halved from round to round. The intercept is then moved
+    to the residuals' own quantile, which is the exact minimum in that direction.
+    """
+    seen = materialize(
+        _vector(columns).transform(train).select("_x", F.log1p(TARGET).alias("_y"))
+    )
+    fitter = LinearRegression(
+        featuresCol="_x", labelCol="_z", weightCol="_w", predictionCol="_p", solver="normal"
     )
-    return Pipeline(stages=[_vector(columns), trees]).fit(train)
+    start = fitter.fit(seen.withColumns({"_z": F.col("_y"), "_w": F.lit(1.0)}))
+    shifts = _residual_quantiles(start.transform(seen), ["_p"] * len(quantiles), quantiles)
+    models = []
+    for q, shift in zip(quantiles, shifts):
+        fitted = start
+        for k in range(rounds):
+            e = max(FIRST_REACH * 0.5**k, LEAST_REACH)
+            residual = F.col("_y") - F.col("_p") - F.lit(shift if k == 0 else 0.0)
+            reach = F.abs(residual) + e
+            fitted = fitter.fit(
+                fitted.transform(seen)
+                .withColumns({"_w": 1 / reach, "_z": F.col("_y") + (2 * q - 1) * reach})
+                .drop("_p")
+            )
+        models.append(fitted)
+    scored, names = seen, []
+    for i, fitted in enumerate(models):
+        names.append(f"_p{i}")
+        scored = fitted.transform(scored).withColumnRenamed("_p", names[-1])
+    return QuantileModel(tuple(columns), models, _residual_quantiles(scored, names, quantiles))
 
 
-def quantile_forecast(
-    fitted: PipelineModel, train: DataFrame, rows: DataFrame, segment: str
-) -> DataFrame:
-    """P10/P50/P90 as the median forecast plus residual quantiles of its segment."""
-    residual = F.round(F.col(TARGET) - F.col("prediction"), 2)
-    spread = (
-        fitted.transform(train)
-        .groupBy(segment)
-        .agg(
-            F.percentile_approx(residual, [0.1, 0.5, 0.9], F.lit(10_000)).alias("_r"),
-        )
+def quantile_forecast(fitted: QuantileModel, rows: DataFrame) -> DataFrame:
+    """P10/P50/P90 of every row, in order and never below zero.
+
+    Lines of different quantiles may cross far from the data; sorting the three
+    values is the usual remedy and loses no coverage.
+    """
+    scored = _vector(fitted.columns).transform(rows)
+    for i, (model, shift) in enumerate(zip(fitted.models, fitted.shifts)):
+        scored = model.transform(scored).withColumn(f"_p{i}", F.col("_p") + F.lit(shift)).drop("_p")
+    sized = [F.greatest(F.expm1(f"_p{i}"), F.lit(0.0)) for i in range(len(fitted.models))]
+    ordered = scored.withColumn("_q", F.array_sort(F.array(*sized)))
+    names = [f"P{math.floor(100 * q + 0.5)}" for q in QUANTILES]
+    return ordered.select(
+        *rows.columns, *[F.element_at("_q", i + 1).alias(name) for i, name in enumerate(names)]
     )
-    scored = fitted.transform(rows).join(spread, segment, "left")
-    quantiles = [
-        F.greatest(
-            F.col("prediction") + F.coalesce(F.element_at("_r", i + 1), F.lit(0.0)), F.lit(0.0)
-        ).alias(name)
-        for i, name in enumerate(("P10", "P50", "P90"))
-    ]
-    return scored.select(*rows.columns, *quantiles)
+
+
+def save_run(
+    spark: SparkSession, fitted: PipelineModel, root: str, name: str, version: int, metrics: dict[str, float]
+) -> None:
+    """Store a fitted pipeline and, once it is whole, its line in the table of runs."""
+    fitted.write().overwrite().save(f"{root}/{name}/version={version}")
+    line = [(name, version, float(metrics["mape_pct"]), float(metrics["rmse"]))]
+    ddl = "model string, version int, mape_pct double, rmse double"
+    spark.createDataFrame(line, ddl).write.mode("append").parquet(f"{root}/runs")
+
+
+def champion(spark: SparkSession, root: str, name: str, limit: float = MAPE_LIMIT) -> PipelineModel | None:
+    """The stored pipeline of least MAPE among those good enough to serve, None without one."""
+    runs = promotion_gate(spark.read.parquet(f"{root}/runs").where(F.col("model") == name), limit)
+    best = runs.where("is_champion = 1").orderBy("mape_pct", F.desc("version")).limit(1).collect()
+    return PipelineModel.load(f"{root}/{name}/version={best[0]['version']}") if best else None
 
 
 def accuracy(
