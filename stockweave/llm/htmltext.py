@@ -47,9 +47,13 @@ REGION_SHARE = 0.25
 # Elements that hold no article text, those that seldom do, elements that end a
 # line, and elements without content.
 SKIPPED = frozenset(
-    "script style noscript template svg math head title button select textarea iframe object "
-    "embed canvas audio video map".split()
+    "script style noscript template svg head title button select textarea iframe object "
+    "embed canvas audio video map annotation annotation-xml".split()
 )
+# What may stand in a head; what may stand in a select. Anything else ends them, and a block ends
+# an iframe, which holds no markup, or a button left open.
+IN_HEAD = frozenset("head base basefont bgsound link meta title style script noscript noframes template".split())
+IN_SELECT = frozenset("option optgroup hr script template".split())
 SELDOM = frozenset("nav footer aside dialog menu".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
@@ -60,6 +64,7 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 REGIONS = frozenset(("article", "main"))
+ENDS_BUTTON = BLOCKS - {"div", "center", "li", "dd", "dt"}
 # A p ends where one of these begins; items and cells end where their like begins.
 CLOSES_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt", "option", "body", "html"}
 SIBLINGS = {
@@ -78,7 +83,7 @@ UNWANTED = re.compile(
     r"breadcrumbs?|sidebar\w*|side-bar|aside|widget\w*|footer|site-?footer|site-?header|"
     r"topbar|toolbar|cookies?|consent|gdpr|notice\w*|alert|popup|modal|overlay|"
     r"newsletter|subscri\w*|signup|login|share|sharing|social\w*|comments?|comment-\w+|disqus\w*|"
-    r"respond|replies|related|recommend\w*|pagination|pager|skip-?link|copyright|legal|search\w*|"
+    r"respond|replies|related(?!-?works?)|recommend\w*|pagination|pager|skip-?link|copyright|legal|search\w*|"
     r"navigation|contentinfo|complementary|dialog|form)(?=$|[\s_-])",
     re.IGNORECASE,
 )
@@ -107,6 +112,7 @@ class Lines(HTMLParser):
         self.marks: list[int] = []  # open unwanted elements
         self.wrappers: set[int] = set()  # unwanted elements that hold a region
         self.by_class: set[int] = set()  # unwanted for a word, or a form
+        self.left_open: set[int] = set()  # unwanted elements without an end tag of their own
         self.made = 0
         self.skips = 0
         self.regions = 0
@@ -143,12 +149,14 @@ class Lines(HTMLParser):
                     return True
         return False
 
-    def _pop(self) -> None:
+    def _pop(self, own: bool = False) -> None:
         tag, skip, mark = self.stack.pop()
         if tag in BLOCKS or mark is not None:
             self.end_line()
         if mark is not None:
             self.marks.remove(mark)
+            if not own:
+                self.left_open.add(mark)
         self.skips -= skip
         self.regions -= tag in REGIONS
         self.links -= tag == "a"
@@ -159,12 +167,28 @@ class Lines(HTMLParser):
             tag = self.stack[at][0]
             if tag in wanted:
                 while len(self.stack) > at:
-                    self._pop()
+                    self._pop(len(self.stack) == at + 1)
                 return
             if tag in stop:
                 return
 
+    def _end_skipped(self, tag: str) -> None:
+        """Close a head, select, iframe or button in which ``tag`` cannot stand."""
+        while self.stack:
+            inside = self.stack[-1][0]
+            if not (
+                (inside == "head" and tag not in IN_HEAD)
+                or (inside == "select" and tag not in IN_SELECT)
+                or (inside in ("option", "optgroup") and tag not in IN_SELECT)
+                or (inside == "iframe" and tag in BLOCKS)
+                or (inside == "button" and (tag in ENDS_BUTTON or tag == "button"))
+            ):
+                return
+            self._pop()
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.skips:
+            self._end_skipped(tag)
         if tag in CLOSES_P:
             self._close_to(("p",), BLOCKS - {"p"})
         elif tag in SIBLINGS:
@@ -205,6 +229,8 @@ class Lines(HTMLParser):
             self._close_to((tag,), BLOCKS - {tag})
 
     def handle_data(self, data: str) -> None:
+        if self.skips and self.stack[-1][0] == "head" and not data.isspace():
+            self._pop()  # text ends the head as well
         if not self.skips:
             self.parts.append(data)
             if self.links:
@@ -230,9 +256,21 @@ class Lines(HTMLParser):
         while self.stack:
             self._pop()
         self.end_line()
+        self._shorten()
         excused = self._excused()
         return [Line(*line, not excused.issuperset(marks)) for *line, marks in self.lines]
 
+    def _shorten(self) -> None:
+        """Unwanted elements without an end tag hold one line: where they end is not known."""
+        if not self.left_open:
+            return
+        met: set[int] = set()
+        for i, (*line, marks) in enumerate(self.lines):
+            if marks:
+                gone = met.intersection(marks)
+                met.update(self.left_open.intersection(marks))
+                self.lines[i] = (*line, tuple(m for m in marks if m not in gone))
+
 
 def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
     """Gaussian smoothing with the weights that fall inside the page."""
@@ -288,19 +326,20 @@ def _clustered(lines: list[Line]) -> tuple[list[bool], float]:
         for at in np.flatnonzero(high & part):
             near = slice(max(0, at - GAP), at + GAP + 1)
             grown[near] |= part[near]
-    first, last = np.flatnonzero(grown)[[0, -1]]
-    grown[first : last + 1] = True  # an article is one stretch: text between clusters belongs to it
-    return list(grown & usable), least
+    first, last = np.flatnonzero(grown & usable)[[0, -1]]
+    # An article is one stretch: what stands between its clusters belongs to it, a paragraph that
+    # is one link as well.
+    return [first <= i <= last for i in range(len(lines))], least
 
 
 def main_text(html: str | None) -> str:
-    """The article of a page, blocks joined by newlines; empty for NULL or no text."""
+    """The article of a page, blocks joined by two newlines; empty for NULL or no text."""
     if not html:
         return ""
     parser = Lines()
     parser.feed(html)
     lines = parser.finish()
-    return "\n".join(x.text for x, keep in zip(lines, content_lines(lines)) if keep)
+    return "\n\n".join(x.text for x, keep in zip(lines, content_lines(lines)) if keep)
 
 
 def extract(
@@ -308,7 +347,9 @@ def extract(
 ) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages``.
 
-    The whole html is parsed, malformed markup as browsers would roughly. NULL
+    The whole html is parsed, malformed markup as browsers would roughly: a head
+    without an end tag ends where the body begins, and an unwanted element without
+    one holds a line. NULL
     and empty html, and pages without article text, give an empty text.
     Repeated rows give repeated rows, an empty table an empty one; NULL ids and
     urls and further columns play no part.

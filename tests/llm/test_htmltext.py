@@ -28,10 +28,10 @@ PLAIN = (
         ("", ""),
         ("<p>", ""),
         ("just text", "just text"),
-        (PAGE, "Title & x\nOne two three\na\nb\nx y\nq\nr"),
-        (PLAIN, "\n".join(["Heading", PARAGRAPH.strip(), "Short.", PARAGRAPH.strip()])),
+        (PAGE, "Title & x\n\nOne two three\n\na\n\nb\n\nx y\n\nq\n\nr"),
+        (PLAIN, "\n\n".join(["Heading", PARAGRAPH.strip(), "Short.", PARAGRAPH.strip()])),
         ("<div class='layout has-sidebar'><p>kept</p></div>", "kept"),
-        ("<article><p>a</b></p>b</i><div>c</article>d", "a\nb\nc"),
+        ("<article><p>a</b></p>b</i><div>c</article>d", "a\n\nb\n\nc"),
         ("<nav>x</nav><script>if (a</b) {}</script>", ""),
     ],
 )
@@ -45,7 +45,7 @@ def test_smoothing_keeps_a_constant():
 
 def test_long_page():
     page = "<article>" + f"<p>{PARAGRAPH}</p>" * 3000 + "</article>" + "<div>" * 3000
-    assert htmltext.main_text(page) == "\n".join([PARAGRAPH.strip()] * 3000)
+    assert htmltext.main_text(page) == "\n\n".join([PARAGRAPH.strip()] * 3000)
 
 
 def test_rows(spark):
@@ -67,7 +67,7 @@ def test_query_on_given_pages(spark, sf_dir):
         article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1].replace("<br>", " ")
         blocks = re.split(r"</?(?:p|h1)>", article)
         blocks = [html.unescape(re.sub(r"<[^>]+>", "", b)).split() for b in blocks]
-        text = "\n".join(" ".join(b) for b in blocks if b)
+        text = "\n\n".join(" ".join(b) for b in blocks if b)
         assert got[r.page_id].text == text and got[r.page_id].n_chars == len(text)
         assert got[r.page_id].url == r.url
 
@@ -84,7 +84,7 @@ def test_query_on_given_pages(spark, sf_dir):
     ],
 )
 def test_method_decides_beside_stated_regions(page, kept, gone):
-    blocks = htmltext.main_text(page).split("\n")
+    blocks = htmltext.main_text(page).split("\n\n")
     assert blocks.count(PARAGRAPH.strip()) == kept and gone not in blocks
 
 
@@ -101,9 +101,50 @@ def test_method_decides_beside_stated_regions(page, kept, gone):
 )
 def test_wrappers_with_the_article_stay(start, end):
     page = f"<nav><a href=x>Home</a></nav>{start}<h1>T</h1>" + f"<p>{PARAGRAPH}</p>" * 5 + f"{end}<footer>f</footer>"
-    assert htmltext.main_text(page) == "\n".join(["T"] + [PARAGRAPH.strip()] * 5)
+    assert htmltext.main_text(page) == "\n\n".join(["T"] + [PARAGRAPH.strip()] * 5)
 
 
 def test_longer_comments_stay_out():
     page = f"<article><p>{PARAGRAPH}</p></article><div class=comments>" + f"<p>{PARAGRAPH}</p>" * 2 + "</div>"
     assert htmltext.main_text(page) == PARAGRAPH.strip()
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        "<html><head><title>x</title><meta charset=utf-8><body><article>",
+        "<head><style>p{}</style><div><article>",
+        "<body><iframe src=x><article>",
+        "<body><article><button>Buy",
+        "<body><select><option>a<option>b<article>",
+        "<body><main><p><button>one<button>two</button>",
+        "<div><iframe src=x></div><article>",
+    ],
+)
+def test_elements_left_open_do_not_swallow_the_page(start):
+    page = start + f"<p>{PARAGRAPH}</p>" * 3
+    assert htmltext.main_text(page) == "\n\n".join([PARAGRAPH.strip()] * 3)
+
+
+def test_text_ends_a_head():
+    assert htmltext.main_text(f"<head><title>t</title> {PARAGRAPH}") == PARAGRAPH.strip()
+
+
+def test_an_aside_left_open_holds_one_line():
+    page = f"<article><p>{PARAGRAPH}</p><aside>Note.<p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></article>"
+    assert htmltext.main_text(page) == "\n\n".join([PARAGRAPH.strip()] * 3)
+
+
+def test_formulas_stay():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> hold.</p></article>"
+    assert htmltext.main_text(page) == "Let x=1 hold."
+
+
+def test_a_paragraph_of_one_link_between_paragraphs_stays():
+    page = f"<body><p>{PARAGRAPH}</p><p><a href=x>The whole report.</a></p><p>{PARAGRAPH}</p>"
+    assert htmltext.main_text(page).split("\n\n")[1] == "The whole report."
+
+
+def test_related_work_is_no_list_of_related_pages():
+    page = f"<article><p>{PARAGRAPH}</p><section id='related-work'><p>{PARAGRAPH}</p></section></article>"
+    assert htmltext.main_text(page).count(PARAGRAPH.strip()) == 2
