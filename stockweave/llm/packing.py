@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.llm.nearcopies import near_copies
+from stockweave.llm.nearcopies import near_copies, sketched
+from stockweave.session import materialize
 
 CAPACITY = 2048
 SHARD_DOCS = 4096
@@ -130,10 +131,19 @@ def token_estimate(text: Column) -> Column:
     return F.ceil(F.octet_length(text) / F.lit(BYTES_PER_TOKEN)).cast("long")
 
 
-def normal_text_cluster(text: Column) -> Column:
-    """Key of the texts that are equal but for case and white space; NULL for NULL."""
-    key = F.xxhash64(F.lower(F.regexp_replace(F.trim(text), r"\s+", " ")))
-    return F.when(text.isNotNull(), key)
+def _with_clusters(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` (a text last, its hash ``raw`` before it) with ``cluster`` in place of both.
+
+    The texts are read once for nodes and bands, and those that have a candidate
+    once more. Rows without a text go round the join: they have no node.
+    """
+    found = materialize(sketched(rows))
+    near = near_copies(docs, found.select("raw", "node", "bands"))
+    plain = found.drop("raw", "bands")
+    met = plain.where("node is not null").join(near, "node", "left")
+    met = met.withColumn("cluster", F.coalesce("component", "node")).drop("component", "node")
+    none = plain.where("node is null").withColumnRenamed("node", "cluster")
+    return met.unionByName(none)
 
 
 def pack(
@@ -150,29 +160,29 @@ def pack(
     A row longer than ``capacity`` is cut into parts 0, 1, ... of full capacity
     and a rest; shorter ones are part 0 whole. Sizes default to an estimate from
     the bytes of ``text``, sources to ``source``, clusters to the components of
-    near copies of ``text`` (0.8 of the five-word shingles; case and white space
-    play no part). NULL sources and clusters conflict with nothing; NULL
+    near copies of ``text`` (0.8 of the five-word shingles, compared; case and white
+    space play no part; blank texts are copies of each other). NULL sources and clusters conflict with nothing; NULL
     texts and ids are packed like others, a size under 1 takes one place.
     Repeated rows are separate pieces of one cluster. Every row comes out; an
     empty table gives an empty one.
     """
     size = token_estimate(F.col("text")) if size is None else size
     source = F.col("source") if source is None else source
-    near = cluster is None
-    cluster = normal_text_cluster(F.col("text")) if near else cluster
-    shards = max(1, -(-docs.count() // shard_docs))
-    whole = docs.select(
+    named = [
         F.col(f"`{id_col}`").alias("id"),
         F.coalesce(size, F.lit(0)).cast("long").alias("total"),
         source.cast("string").alias("source"),
-        cluster.alias("cluster"),
-        F.xxhash64(f"`{id_col}`", size, cluster).alias("key"),
-    )
-    if near:
-        found = near_copies(docs, cluster).withColumnRenamed("node", "cluster")
-        whole = whole.join(found, "cluster", "left").withColumn(
-            "cluster", F.coalesce("component", "cluster")
-        )
+    ]
+    if cluster is None:
+        text = F.col("text").cast("string")
+        raw = F.xxhash64(text).alias("raw")
+        key = F.xxhash64(f"`{id_col}`", size, raw).alias("key")
+        whole = _with_clusters(docs.select(*named, key, raw, text.alias("text")), docs)
+        whole = materialize(whole)
+    else:
+        key = F.xxhash64(f"`{id_col}`", size, cluster).alias("key")
+        whole = docs.select(*named, key, cluster.alias("cluster"))
+    shards = max(1, -(-whole.count() // shard_docs))
     last = F.greatest(F.floor((F.col("total") - 1) / capacity), F.lit(0)).cast("int")
     pieces = whole.select(
         "id", "total", "source", "cluster", "key", F.explode(F.sequence(F.lit(0), last)).alias("part")

@@ -58,6 +58,27 @@ def test_conflicts_and_successors():
         assert total <= 100 and len(set(sources)) == len(sources) and len(set(clusters)) == len(clusters)
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_tightest_bin_under_conflicts(seed):
+    """Each choice is the tightest of all compatible bins as they stand, whichever of equal ones."""
+    rng, capacity = random.Random(seed), 100
+    sources, clusters = [-1, 0, 0, 0, 1, 2, 3], [-1, -1, 0, 1, 2]
+    pieces = [(rng.randrange(1, 70), rng.choice(sources), rng.choice(clusters)) for _ in range(600)]
+    bins = {}
+    for b, (size, source, cluster) in zip(packing.best_fit(pieces, capacity), pieces):
+        fit = [
+            left for left, s, c in bins.values()
+            if left >= size and left > 0 and (source < 0 or source not in s) and (cluster < 0 or cluster not in c)
+        ]
+        if b in bins:
+            assert bins[b][0] == min(fit)
+        else:
+            assert not fit
+        left, s, c = bins.setdefault(b, (capacity, set(), set()))
+        assert left >= size and not (source >= 0 and source in s) and not (cluster >= 0 and cluster in c)
+        bins[b] = (left - size, s | {source}, c | {cluster})
+
+
 def checked(docs, packed, capacity):
     """Every piece once, parts as long as the text, no bin over capacity or in conflict."""
     rows = packed.collect()
@@ -117,11 +138,29 @@ def test_near_copies_of_other_sources_stay_apart(spark, sf_dir):
     for k in range(60):
         assert len({group[4 * k + c] for c in range(4)}) == 1 and len({bins[4 * k + c] for c in range(4)}) == 4
     assert len(set(group.values())) == 61 and group[1000] is None
-    # all pairs of the given documents by brute force
+    # the given documents: clusters are the components of all pairs at 0.8, by brute force
     given = spark.read.parquet(f"{sf_dir}/documents.parquet")
     own = {r.id: r.cluster for r in packing.pack(given).collect()}
     sets = sorted((r.doc_id, shingles(r.text)) for r in given.collect() if r.text and r.text.split())
+    root = {a: a for a, _ in sets}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
     for i, (a, x) in enumerate(sets):
         for b, y in sets[:i]:
             if len(x & y) >= 0.8 * len(x | y):
-                assert own[a] == own[b]
+                root[find(a)] = find(b)
+    named = {}
+    for a, _ in sets:
+        assert named.setdefault(find(a), own[a]) == own[a]
+    assert len(set(named.values())) == len(named)
+
+
+def test_clashing_columns(spark):
+    ddl = "doc_id long, text string, source string, cluster long, shard long, component long, node long, raw long"
+    rows = [(k, f"text number {k} of some words", "s", 1, 1, 1, 1, 1) for k in range(5)]
+    got = packing.pack(spark.createDataFrame(rows, ddl)).collect()
+    assert sorted(r.id for r in got) == list(range(5)) and len({r.cluster for r in got}) == 5
