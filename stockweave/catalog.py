@@ -17,20 +17,24 @@ from stockweave.operators import changes, quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
 from stockweave.plans.registry import MODELS, Models, run_layer
-from stockweave.sources.ingest import LANDING, ingest
+from stockweave.sources.ingest import LANDING, ingest, ingest_checked
 from stockweave.session import materialize, prepare, run_folder
 from stockweave.sources.landing import given_table, landing_table
+from stockweave.sources.facts import LAYER as FACT_LAYER
+from stockweave.sources.facts import MONTH, advance_tracked_fact, create_tracked_fact
 from stockweave.sources.publish import Lakehouse
 from stockweave.sources.readers import read_csv
 from stockweave.sources.tables import TABLES
 from stockweave.streaming.funnel import LAYER as FUNNEL_LAYER
 from stockweave.streaming.funnel import current_counts, daily_counts, funnel_stream
 from stockweave.streaming.upsert import upsert_stream
+from stockweave.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2001-08-01"
 PLAN_DAY = "2024-01-05"
+LOAD_ENDS = ("2024-01-11", "2024-01-21")
 FIRST_LOAD_UNTIL = "1998-12-31"
 RUNS = ("2001-06-01 00:00:00", "2001-07-01 00:00:00", "2001-08-01 00:00:00")
 SETTINGS = planning.PlanSettings(
@@ -219,6 +223,30 @@ def incremental_order_fulfillment(m: Models) -> DataFrame:
     return marts.incremental(loaded, marts.fct_order_fulfillment, later, *others)
 
 
+@query
+def incremental_late_orders(m: Models) -> DataFrame:
+    """A fact advanced by digests: old orders and items that were edited late are rebuilt.
+
+    Every seventh order gets another status and the items of every eleventh one
+    more piece, whatever their date; later orders are new. ``built_in_run`` tells
+    which orders the second run has built: those and no others.
+    """
+    lake = _temporary_lake(m.spark)
+    orders, items = m.ref("stg_orders"), m.ref("int_order_items_discounted")
+    first = orders.where(F.col("order_date") <= literal_date(FIRST_LOAD_UNTIL))
+    status = F.when(F.col("order_id") % 7 == 0, F.concat("order_status", F.lit("-late")))
+    later = orders.withColumn("order_status", F.coalesce(status, F.col("order_status")))
+    more = (F.col("order_id") % 11 == 0).cast("int")
+    edited = items.withColumn("quantity", (F.col("quantity") + more).cast(items.schema["quantity"].dataType))
+
+    def build(run: int):
+        return lambda *sources: marts.fct_sales_orders(*sources).withColumn("built_in_run", F.lit(run))
+
+    create_tracked_fact(lake, "sales", build(1), first, items.join(first.select("order_id"), "order_id", "left_semi"))
+    advance_tracked_fact(lake, "sales", build(2), later, edited)
+    return _rows_of(lake, FACT_LAYER, "sales").drop(MONTH, changes.DIGEST)
+
+
 def _three_snapshots(first: DataFrame, second: DataFrame, key: str, check: list[str]) -> DataFrame:
     """First load, changed load, and a rerun of the changed load that must add nothing."""
     history = changes.scd2_apply(changes.scd2_empty(first), first, key, check, RUNS[0])
@@ -682,6 +710,36 @@ def landing_roundtrip(m: Models) -> DataFrame:
     return _rows_of(lake, LANDING, spec.landing_name)
 
 
+@query
+def landing_rejects(m: Models) -> DataFrame:
+    """Orders written as CSV with malformed dates and customers: loaded and rejected lines.
+
+    A rejected line is known by its first value, the order.
+    """
+    lake = _temporary_lake(m.spark)
+    spec = TABLES["orders"]
+    folder = f"{lake.root}/{spec.name}.csv"
+    order, text = F.col("order_id"), {f.name: F.col(f.name).cast("string") for f in spec.schema}
+    text["order_date"] = F.when(order % 50 == 0, F.lit("no date")).otherwise(text["order_date"])
+    text["customer_id"] = F.when(order % 70 == 1, F.lit("c-17")).otherwise(text["customer_id"])
+    m.ref("orders").select(*[text[f.name].alias(f.name) for f in spec.schema]).write.csv(
+        folder, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    ingest_checked(lake, spec, folder)
+    bad = lake.read(LANDING, f"{spec.landing_name}_rejects")
+    good = _rows_of(lake, LANDING, spec.landing_name)
+    of_line = F.split("line", ",")[0].cast("bigint").alias("order_id")
+    none = F.lit(None)
+    return good.select("order_id", "order_date", "customer_id", F.lit(0).alias("rejected")).unionByName(
+        bad.select(
+            of_line,
+            none.cast("date").alias("order_date"),
+            none.cast(good.schema["customer_id"].dataType).alias("customer_id"),
+            F.lit(1).alias("rejected"),
+        )
+    )
+
+
 @query
 def published_layer(m: Models) -> DataFrame:
     """Customers by layer on a branch, tested before publishing, then merged into main."""
@@ -690,12 +748,27 @@ def published_layer(m: Models) -> DataFrame:
     dev = lake.create_branch("dev")
     stored = Models(m.spark, m.ref, lambda name: dev.read(MODELS[name].layer, name))
     key = quality.DataTest("dim_customers", "unique", "customer_id", severity="error")
+    # Taken while a table is written; only the unique test needs a pass of its own.
+    observed = [
+        quality.DataTest("stg_customers", "not_null", "customer_id", severity="error"),
+        quality.DataTest("stg_geography", "not_null", "zip", severity="error"),
+        quality.DataTest("dim_customers", "range", "customer_tenure_days", least=0),
+        quality.DataTest("dim_customers", "freshness", "signup_date", max_age_days=3650),
+    ]
 
     def write(name: str, df: DataFrame) -> None:
         def audit(written: DataFrame) -> DataFrame:
             return quality.audit([key], lambda _: written, literal_date(AS_OF))
 
-        dev.publish(df, MODELS[name].layer, name, audit if name == key.table else None)
+        tests = [t for t in observed if t.table == name]
+        dev.publish(
+            df,
+            MODELS[name].layer,
+            name,
+            audit if name == key.table else None,
+            tests=tests,
+            as_of=literal_date(AS_OF),
+        )
 
     run_layer(stored, "staging", write, ["stg_customers", "stg_geography"])
     run_layer(stored, "dim", write, ["dim_customers"])
@@ -819,5 +892,27 @@ def _register_funnel() -> None:
 
     QUERIES["stream_daily_funnel"] = stream_daily_funnel
 
+    def stream_windowed_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Closed daily windows of events that arrive in three loads, a tenth of them late.
+
+        The loads are two decades of the month and the rest; every tenth event
+        comes with the last load, whatever its time.
+        """
+        ready(spark, sf_dir)
+        lake = _temporary_lake(spark)
+        events = given_table(spark, sf_dir, "events")
+        load = F.when(F.col("event_id") % 10 == 0, 2)
+        for k, end in enumerate(LOAD_ENDS):
+            load = load.when(F.col("ts") < F.lit(end).cast("timestamp"), k)
+        loads = events.withColumn("_load", load.otherwise(2))
+        for k in range(3):
+            loads.where(F.col("_load") == k).drop("_load").write.mode("append").parquet(f"{lake.root}/events")
+            arriving = spark.readStream.schema(events.schema).parquet(f"{lake.root}/events")
+            windows.split_stream(arriving, lake.root, f"{lake.root}/split").awaitTermination()
+            windows.count_stream(spark, lake.root, f"{lake.root}/count").awaitTermination()
+        return windows.closed_counts(spark, lake.root)
+
+    QUERIES["stream_windowed_funnel"] = stream_windowed_funnel
+
 
 _register_funnel()

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from stockweave.session import materialize
 
 EPOCH = "1900-01-01"
+# What a fact keeps of the source rows it was built from.
+DIGEST = "source_digest"
 
 
 def checked_batch(source: DataFrame, key: str) -> DataFrame:
@@ -70,6 +72,34 @@ def since_mark(
     return source.where(F.col(column) >= F.date_sub(mark, lookback_days))
 
 
+def _row_text(df: DataFrame) -> Column:
+    """A row as text in which NULL and empty, and every column, stay apart."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+
+
+def source_digests(main: DataFrame, key: str, *details: DataFrame) -> DataFrame:
+    """(key, source_digest): a digest of the row of ``main`` and of its rows in each detail.
+
+    The rows of a detail are added up as hashes per key, so their order plays no
+    part and repeated rows count; a hot key is one row per task before the shuffle.
+    """
+    parts = [F.md5(_row_text(main))]
+    found = main.select(key, parts[0].alias("_d0"))
+    for i, detail in enumerate(details, 1):
+        hashed = F.xxhash64(_row_text(detail)).cast("decimal(38,0)")
+        sums = detail.groupBy(key).agg(F.sum(hashed).cast("string").alias(f"_d{i}"))
+        found = found.join(sums, key, "left")
+    columns = [F.coalesce(f"_d{i}", F.lit("")) for i in range(len(details) + 1)]
+    return found.select(key, F.md5(F.concat_ws("|", *columns)).alias(DIGEST))
+
+
+def changed_keys(digests: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Keys that the target lacks or holds with another digest, however old they are."""
+    held = target.select(key, F.col(DIGEST).alias("_held"))
+    known = digests.join(held, key, "left")
+    return known.where(~F.col(DIGEST).eqNullSafe(F.col("_held"))).select(key)
+
+
 def scd2_empty(source: DataFrame) -> DataFrame:
     """An empty history with the columns ``scd2_apply`` keeps."""
     return source.where(F.lit(False)).select(

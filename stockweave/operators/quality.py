@@ -160,6 +160,7 @@ class DataTest:
       ``lookback_days``
     * ``freshness``: 1 if the newest date is older than ``max_age_days``, or there is none
     * ``mass``: groups whose probabilities do not sum to one
+    * ``range``: rows whose value lies outside ``least`` to ``most``; NULL does not
     """
 
     table: str
@@ -176,6 +177,8 @@ class DataTest:
     threshold: int = 0
     lookback_days: int | None = None
     max_age_days: int = 0
+    least: float | None = None
+    most: float | None = None
 
     @property
     def name(self) -> str:
@@ -210,6 +213,52 @@ def _key_counts(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def observed_failures(test: DataTest, as_of: Column | None = None) -> Column:
+    """The failures of a test as one aggregate over the table, for ``Dataset.observe``."""
+    c = F.col(test.column)
+    inside = F.lit(True) if test.where is None else F.coalesce(F.expr(test.where), F.lit(False))
+    if test.kind == "not_null":
+        return F.count_if(inside & c.isNull())
+    if test.kind == "range":
+        return F.count_if(inside & F.coalesce(_outside(test), F.lit(False)))
+    newest = F.max(F.when(inside, c).cast("date"))
+    if test.kind == "freshness":
+        return F.when(F.date_diff(as_of, newest) <= test.max_age_days, 0).otherwise(1)
+    if test.kind == "max_update":
+        # A look-back without rows has no newest date and does not fail, as in ``stale_since``.
+        start = month_start(as_of, test.lookback_months)
+        days = test.lookback_days
+        cutoff = start if days is None else F.date_sub(as_of, days)
+        newest = F.max(F.when(inside & (c >= start), c).cast("date"))
+        return F.when(newest < cutoff, 1).otherwise(0)
+    raise ValueError(f"a {test.kind} test cannot be taken from one pass of the rows")
+
+
+def outcomes_of(tests: Sequence[DataTest], failures: Sequence[int]) -> list[dict]:
+    """The rows ``audit`` would give for counted failures."""
+    rows = []
+    for test, n in zip(tests, failures):
+        bad = "fail" if test.severity == "error" else "warn"
+        status = bad if n > test.threshold else "pass"
+        rows.append(
+            {
+                "test_name": test.name,
+                "table_name": test.table,
+                "severity": test.severity,
+                "failures": n,
+                "status": status,
+            }
+        )
+    return rows
+
+
+def _outside(test: DataTest) -> Column:
+    wrong = F.lit(False)
+    if test.least is not None:
+        wrong = wrong | (F.col(test.column) < test.least)
+    return wrong if test.most is None else wrong | (F.col(test.column) > test.most)
+
+
 def _single(test: DataTest, ref, as_of: Column) -> DataFrame:
     """(failures) of a test that shares its scan with no other."""
     df = ref(test.table)
@@ -231,6 +280,8 @@ def _single(test: DataTest, ref, as_of: Column) -> DataFrame:
     if test.kind == "freshness":
         age = freshness(df, test.column, as_of, test.max_age_days, test.max_age_days)
         return age.select((F.col("status") != "pass").cast("int").alias("failures"))
+    if test.kind == "range":
+        return df.where(_outside(test)).agg(n_rows)
     if test.kind == "mass":
         return mass_check(df, test.column).agg(F.count_if(F.col("is_valid") == 0).alias("failures"))
     raise ValueError(f"unknown test kind {test.kind}")

@@ -282,6 +282,20 @@ from fct_sales_orders, load_mark""",
 select * exclude (mark) replace (
          case when order_date >= mark then order_status || '*' else order_status end as order_status)
 from fct_order_fulfillment, load_mark""",
+    "incremental_late_orders": f"""
+with t as (
+    select order_id, cast(sum(q) as bigint) as items, {money("q * original_unit_price")} as gross,
+           {money("calculated_discount_amount")} as off, {money("net_line_total")} as net
+    from (select *, quantity + case when order_id % 11 = 0 then 1 else 0 end as q from int_order_items_discounted) i
+    group by order_id
+)
+select o.* replace (case when order_id % 7 = 0 then order_status || '-late' else order_status end as order_status),
+       coalesce(t.items, 0) as total_items, coalesce(t.gross, 0e0) as gross_order_value,
+       coalesce(t.off, 0e0) as total_discount, coalesce(t.net, 0e0) as net_order_value,
+       cast(case when (order_date <= date '1998-12-31') is not true
+                   or (order_id % 7 = 0 and order_status is not null)
+                   or (order_id % 11 = 0 and t.items is not null) then 2 else 1 end as integer) as built_in_run
+from stg_orders o left join t using (order_id)""",
     "scd2_products": """
 with a as (select * exclude (supplier_id) from l_products where segment <> 'Brand#25'),
 b as (select * exclude (supplier_id)
@@ -680,6 +694,10 @@ select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) a
 from split_rows where held""",
     # --- loads and stored layers -----------------------------------------------------------
     "landing_roundtrip": "select * from l_orders",
+    "landing_rejects": """
+select order_id, case when not bad then order_date end as order_date,
+       case when not bad then customer_id end as customer_id, cast(bad as integer) as rejected
+from (select *, coalesce(order_id % 50 = 0, false) or coalesce(order_id % 70 = 1, false) as bad from l_orders)""",
     "published_layer": "select * from dim_customers",
     "features_stored_point_in_time": "select * from features_point_in_time",
     # --- streams ---------------------------------------------------------------------------
@@ -691,6 +709,18 @@ from (select *, cast(date_trunc('month', order_date) as date) as month,
              case when order_id % 5 = 0 then 2 else 3 end as change_no
       from stg_orders)""",
     "upsert_orders_partitioned": "select * from upsert_orders",
+    "stream_windowed_funnel": """
+with a as (
+    select cast(ts as date) as day, ts, event_type,
+           case when event_id % 10 = 0 then 2 when ts < timestamp '2024-01-11' then 0
+                when ts < timestamp '2024-01-21' then 1 else 2 end as load
+    from events
+), m as (select load, max(ts) as newest from a group by load),
+b as (select a.*, (select max(newest) from m where m.load < a.load) as before from a)
+select day as traffic_date, event_type as traffic_source, count(*) as sessions,
+       count(*) filter (day is null or day + interval 1 day <= before - interval 1 day) as late_sessions
+from b where day is null or day + interval 1 day <= (select max(ts) from a) - interval 1 day
+group by all""",
     "stream_daily_funnel": """
 select cast(ts as date) as traffic_date, event_type as traffic_source, count(*) as sessions
 from events group by all""",

@@ -77,6 +77,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 @contextmanager
 def run_scope(spark: SparkSession) -> Iterator[str]:
     """A run: cut points made inside go to its own folder, deleted when it ends.

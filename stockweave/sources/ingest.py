@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stockweave.session import prepare
 from stockweave.sources.publish import Lakehouse
-from stockweave.sources.readers import JdbcSource, conform, read_csv
+from stockweave.sources.readers import JdbcSource, conform, read_csv, read_csv_checked
 from stockweave.sources.tables import DAILY_LOAD, TABLES, TableSpec
 
 log = logging.getLogger(__name__)
@@ -28,6 +28,25 @@ def ingest(
     return lake.publish(conform(df, spec), LANDING, spec.landing_name)
 
 
+class TooManyRejects(RuntimeError):
+    """More lines of a file were malformed than the load allows."""
+
+
+def ingest_checked(lake: Lakehouse, spec: TableSpec, path: str, most: float = 0.05) -> DataFrame:
+    """Full refresh from a CSV that may have malformed lines.
+
+    Malformed lines go to ``<table>_rejects`` beside the landing table. If their
+    share is above ``most`` only the rejects are published, and the landing table
+    stays as it was.
+    """
+    rows, rejects = read_csv_checked(lake.spark, path, spec)
+    n_rejects, n_rows = rejects.count(), rows.count()
+    lake.publish(rejects, LANDING, f"{spec.landing_name}_rejects")
+    if n_rejects > most * (n_rows + n_rejects):
+        raise TooManyRejects(f"{spec.name}: {n_rejects} of {n_rows + n_rejects} lines")
+    return lake.publish(conform(rows, spec), LANDING, spec.landing_name)
+
+
 def ingest_upsert(lake: Lakehouse, spec: TableSpec, changes: DataFrame) -> DataFrame:
     """Merge changed rows into a landing table by its declared key."""
     if len(spec.key) != 1:

@@ -17,12 +17,13 @@ import uuid
 from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stockweave.operators.changes import checked_batch, merged, not_older
-from stockweave.session import delete_folder, materialize
+from stockweave.operators.quality import DataTest, observed_failures, outcomes_of
+from stockweave.session import delete_folder, materialize, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -80,15 +81,29 @@ class Lakehouse:
         return self.spark.read.schema(StructType.fromJson(found["schema"])).parquet(found["path"])
 
     def stage(
-        self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
-    ) -> str:
-        """Write a run's folder without publishing it."""
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        partition_by: Sequence[str] = (),
+        observed: Sequence[Column] = (),
+    ) -> tuple[str, list[int]]:
+        """Write a run's folder without publishing it; (path, values of ``observed``).
+
+        ``observed`` are aggregates taken from the rows while they are written.
+        """
         path = f"{self.root}/{layer}/{table}/run={uuid.uuid4().hex}"
         # One task per partition value would make a single file of a hot month;
         # rebalancing splits large partitions and merges small ones.
-        writer = df.hint("rebalance", *partition_by).write if partition_by else df.write
-        writer.partitionBy(*partition_by).parquet(path)
-        return path
+        df = df.hint("rebalance", *partition_by) if partition_by else df
+        if not observed:
+            df.write.partitionBy(*partition_by).parquet(path)
+            return path, []
+        # The last step before the write, so the rows of a task count once, with its commit.
+        seen = Observation()
+        named = [c.alias(f"m{i}") for i, c in enumerate(observed)]
+        df.observe(seen, *named).write.partitionBy(*partition_by).parquet(path)
+        return path, [int(seen.get[f"m{i}"] or 0) for i in range(len(observed))]
 
     def point(self, layer: str, table: str, location: str) -> None:
         """Make the view of a table show what ``location`` names."""
@@ -120,25 +135,36 @@ class Lakehouse:
         table: str,
         audit: Callable[[DataFrame], DataFrame] | None = None,
         partition_by: Sequence[str] = (),
+        tests: Sequence[DataTest] = (),
+        as_of: Column | None = None,
     ) -> DataFrame:
         """Write, test what was written, then move the pointer.
 
-        ``audit`` maps the written frame to (test_name, severity, failures,
-        status) rows. Warnings are logged; a failed error-severity test raises
-        and leaves the published version as it was.
+        ``tests`` are observed while the rows are written and take no scan of
+        their own: kinds ``not_null``, ``range``, ``freshness`` and
+        ``max_update``. ``audit`` is for all others; it maps the written frame to
+        (test_name, severity, failures, status) rows. Warnings are logged; a
+        failed error-severity test raises and leaves the published version as it
+        was.
         """
-        path = self.stage(df, layer, table, partition_by)
+        measures = [observed_failures(t, as_of) for t in tests]
+        path, failures = self.stage(df, layer, table, partition_by, measures)
+        self._judge(table, outcomes_of(tests, failures))
         if audit is not None:
             # One row per declared test: small by construction.
-            for row in audit(self.spark.read.parquet(path)).collect():
-                if row["status"] == "fail":
-                    raise AuditFailed(f"{table}: {row['test_name']} found {row['failures']} rows")
-                if row["status"] == "warn":
-                    log.warning("%s: %s found %s rows", table, row["test_name"], row["failures"])
+            self._judge(table, [r.asDict() for r in audit(self.spark.read.parquet(path)).collect()])
         column = partition_by[0] if len(partition_by) == 1 else None
         self.point(layer, table, self._location(df.schema, column, path))
         return self.read(layer, table)
 
+    @staticmethod
+    def _judge(table: str, results: Sequence[dict]) -> None:
+        for row in results:
+            if row["status"] == "fail":
+                raise AuditFailed(f"{table}: {row['test_name']} found {row['failures']} rows")
+            if row["status"] == "warn":
+                log.warning("%s: %s found %s rows", table, row["test_name"], row["failures"])
+
     def upsert(self, source: DataFrame, layer: str, table: str, key: str) -> DataFrame:
         """Merge ``source`` into the published table as a new version.
 
@@ -205,8 +231,7 @@ class Lakehouse:
     def _put_in_place(self, found: dict) -> None:
         """Overwrite the partitions written aside, if any; a second time changes nothing."""
         aside, column = self._aside(found), found["partition"]
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{aside}/touched/_SUCCESS")
-        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+        if not path_exists(self.spark, f"{aside}/touched/_SUCCESS"):
             return
         schema = StructType.fromJson(found["schema"])
         rows = self.spark.read.schema(schema).parquet(f"{aside}/rows")

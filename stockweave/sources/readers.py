@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockweave.session import materialize
 from stockweave.sources.tables import TableSpec
 
 log = logging.getLogger(__name__)
@@ -36,6 +37,28 @@ def read_csv(
     return df.select(*columns) if columns else df
 
 
+# Where the permissive reader puts a line it cannot parse, and the file the line is from.
+CORRUPT = "_corrupt_record"
+SOURCE_FILE = "_source_file"
+
+
+def read_csv_checked(spark: SparkSession, path: str, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a headed CSV: lines that do not fit the declared types are set aside.
+
+    A line with a value of another type, or with too many or too few values, is a
+    reject: (source_file, line). The file is parsed once, with all columns, and
+    the parsed rows are written down, so both frames tell of the same parse.
+    """
+    schema = T.StructType([*spec.schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = spark.read.csv(
+        path, header=True, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
+    )
+    stored = materialize(parsed.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE)))
+    good = stored.where(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE_FILE)
+    bad = stored.where(F.col(CORRUPT).isNotNull())
+    return good, bad.select(F.col(SOURCE_FILE).alias("source_file"), F.col(CORRUPT).alias("line"))
+
+
 def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
     """Scan a headed CSV as strings. Repeated headers keep the first of each.
 

@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from stockweave.catalog import models_over
 from stockweave.operators import quality
@@ -12,12 +13,29 @@ from stockweave.operators.joins import literal_date
 from stockweave.plans import marts
 from stockweave.plans.registry import MODELS, Models, layer_order, run_layer
 from stockweave.plans.staging import harmonise_cross_reference, harmonise_maintenance
-from stockweave.sources.facts import advance_fact, create_fact
-from stockweave.sources.ingest import ingest, ingest_all, ingest_upsert
+from stockweave.sources.facts import (
+    advance_fact,
+    advance_tracked_fact,
+    create_fact,
+    create_tracked_fact,
+)
+from stockweave.sources.ingest import (
+    TooManyRejects,
+    ingest,
+    ingest_all,
+    ingest_checked,
+    ingest_upsert,
+)
 from stockweave.sources.publish import AuditFailed, Lakehouse
-from stockweave.sources.readers import JdbcSource, lower_columns, read_csv, read_csv_raw
+from stockweave.sources.readers import (
+    JdbcSource,
+    lower_columns,
+    read_csv,
+    read_csv_checked,
+    read_csv_raw,
+)
 from stockweave.sources.tables import DAILY_LOAD, TABLES
-from stockweave.streaming import funnel
+from stockweave.streaming import funnel, windows
 from stockweave.streaming.upsert import last_per_key, upsert_stream
 
 
@@ -303,3 +321,99 @@ def test_last_change_per_key(spark):
 def test_models_only_use_declared_names():
     for m in MODELS.values():
         assert all(r in MODELS or r in TABLES for r in m.refs)
+
+
+def test_malformed_lines_are_set_aside(lake, spark, tmp_path):
+    path = tmp_path / "geography.csv"
+    path.write_text("zip,city,region,district\n1,A,R,D\nx,B,R,D\n3,C\n4,D,R,D,more\n5,,R,D\n")
+    spec = TABLES["geography"]
+    good, bad = read_csv_checked(spark, str(path), spec)
+    assert sorted(r["zip"] for r in good.collect()) == [1, 5]
+    assert sorted(r["line"] for r in bad.collect()) == ["3,C", "4,D,R,D,more", "x,B,R,D"]
+    assert {r["source_file"] for r in bad.collect()} == {"geography.csv"}
+    ingest_checked(lake, spec, str(path), most=0.9)
+    assert lake.read("landing", spec.landing_name).count() == 2
+    path.write_text("zip,city,region,district\n7,A,R,D\nx,B,R,D\n")
+    with pytest.raises(TooManyRejects):
+        ingest_checked(lake, spec, str(path), most=0.2)
+    assert lake.read("landing", spec.landing_name).count() == 2
+    assert lake.read("landing", f"{spec.landing_name}_rejects").count() == 1
+
+
+def test_observed_tests_take_no_scan(lake, spark, monkeypatch):
+    ddl = "k int, v double, d date"
+    rows = [(1, 1.0, dt.date(2000, 1, 1)), (None, 9.0, dt.date(2000, 1, 5)), (3, None, None)]
+    df = spark.createDataFrame(rows, ddl)
+    as_of = literal_date("2000-01-10")
+
+    def found(kind, column, **more):
+        test = quality.DataTest("t", kind, column, severity="error", **more)
+        _, counted = lake.stage(df, "marts", "x", (), [quality.observed_failures(test, as_of)])
+        by_scan = quality.audit([test], lambda _: df, as_of).first()["failures"]
+        assert counted == [by_scan]
+        return by_scan
+
+    assert found("not_null", "k") == 1 and found("not_null", "k", where="v > 5") == 1
+    assert found("range", "v", least=2, most=8) == 2 and found("range", "v", most=10) == 0
+    assert found("freshness", "d", max_age_days=5) == 0 and found("freshness", "d", max_age_days=4) == 1
+    assert found("max_update", "d", lookback_days=5) == 0 and found("max_update", "d", lookback_days=4) == 1
+    with pytest.raises(ValueError):
+        quality.observed_failures(quality.DataTest("t", "unique", "k"))
+    # the written folder is not read before the pointer moves
+    monkeypatch.setattr(Lakehouse, "read", lambda *a: None)
+    monkeypatch.setattr(quality, "audit", lambda *a: 1 / 0)
+    tests = [quality.DataTest("t", "not_null", "k", severity="error", threshold=1)]
+    lake.publish(df, "marts", "t", tests=tests, partition_by=("d",))
+    before = lake.location("marts", "t")
+    with pytest.raises(AuditFailed, match="not_null_t_k found 1"):
+        lake.publish(df, "marts", "t", tests=[quality.DataTest("t", "not_null", "k", severity="error")])
+    assert lake.location("marts", "t") == before
+
+
+def test_late_changes_of_old_orders(lake, spark):
+    orders = spark.createDataFrame(
+        [(1, "a", None, dt.date(2000, 1, 1)), (2, "b", "", dt.date(2000, 2, 1)), (3, None, "a", dt.date(2000, 3, 1))],
+        "order_id int, x string, y string, order_date date",
+    )
+    items = spark.createDataFrame([(1, "p", 1), (1, "q", 2), (2, "p", 1)], "order_id int, sku string, n int")
+
+    def build(orders, items):
+        totals = items.groupBy("order_id").agg(F.sum("n").alias("n"))
+        return orders.join(totals, "order_id", "left")
+
+    create_tracked_fact(lake, "f", build, orders, items)
+    assert advance_tracked_fact(lake, "f", build, orders, items) == []
+    # the same rows in another order change nothing; values that swap columns do
+    assert advance_tracked_fact(lake, "f", build, orders, items.orderBy(F.desc("sku"))) == []
+    swapped = orders.withColumns({"x": F.when(F.col("order_id") == 3, F.col("y")).otherwise(F.col("x")),
+                                  "y": F.when(F.col("order_id") == 3, F.lit(None)).otherwise(F.col("y"))})
+    assert [m.month for m in advance_tracked_fact(lake, "f", build, swapped, items)] == [3]
+    # a repeated item, and an item that goes
+    again = items.unionByName(items.where("sku = 'q'"))
+    assert [m.month for m in advance_tracked_fact(lake, "f", build, swapped, again)] == [1]
+    assert [m.month for m in advance_tracked_fact(lake, "f", build, swapped, again.where("order_id = 1"))] == [2]
+    got = {r["order_id"]: (r["x"], r["y"], r["n"]) for r in lake.read("fact", "f").collect()}
+    assert got == {1: ("a", None, 5), 2: ("b", "", None), 3: ("a", None, None)}
+
+
+def test_late_rows_are_counted_beside_closed_windows(spark, tmp_path):
+    ddl = "ts timestamp_ntz, event_type string"
+    root = str(tmp_path / "w")
+
+    def arrive(*times):
+        rows = [(t, "view") for t in times]
+        if rows:
+            spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(ddl).parquet(f"{root}/in")
+        windows.split_stream(stream, root, f"{root}/ck1").awaitTermination()
+        windows.count_stream(spark, root, f"{root}/ck2").awaitTermination()
+        found = windows.closed_counts(spark, root).collect()
+        return sorted((r.traffic_date and r.traffic_date.day, r.sessions, r.late_sessions) for r in found)
+
+    assert arrive(D(2024, 1, 1), D(2024, 1, 2)) == []
+    # the first day closes with the second one over, and what comes for it then is late
+    assert arrive(D(2024, 1, 3), D(2024, 1, 1, 5)) == [(1, 2, 0)]
+    assert arrive(D(2024, 1, 1, 9), D(2024, 1, 2, 9)) == [(1, 3, 1)]
+    assert arrive() == [(1, 3, 1)]
+    assert arrive(D(2024, 1, 6)) == [(1, 3, 1), (2, 2, 0), (3, 1, 0)]
+    assert (tmp_path / "w" / "passed" / "batch=0" / "_SUCCESS").exists()
