@@ -103,7 +103,7 @@ class Lists:
         found = rows @ anchor
         if rows is self.rows:
             found = found[at]
-        return np.rint(found).astype(np.int64) if found.dtype.kind == "f" else found
+        return np.rint(found).astype(np.int64) if found.dtype.kind == "f" else np.clip(found, *_LONG)
 
 
 def _best(scores: np.ndarray, at: np.ndarray, k: int) -> tuple[list[int], np.ndarray, np.ndarray]:
@@ -157,7 +157,7 @@ def threshold_search(
                 least = low
             order, s, at = _best(scores[inside], places[inside], k)
             found.append((order, s, at))
-            enough = len(order) == k and bound < s[order[-1]]
+            enough = len(order) == k and min(max(bound, _LONG[0]), _LONG[1]) < s[order[-1]]
             beyond = least is not None and 100 * int(bound) < least
             done = done and (enough or beyond)
         if done or depth == n:
@@ -198,8 +198,7 @@ def _loaded(anchors: pa.Table, rows: pa.Table):
 
 def _table(found: Iterator[tuple], names: list[str]) -> pa.Table:
     columns = list(zip(*found)) or [()] * len(names)
-    clipped = [[min(max(x, _LONG[0]), _LONG[1]) for x in c] for c in columns]
-    return pa.table({n: pa.array(c, type=pa.int64()) for n, c in zip(names, clipped)})
+    return pa.table({n: pa.array(c, type=pa.int64()) for n, c in zip(names, columns)})
 
 
 def positives_of(anchors: DataFrame, rows: DataFrame, shards: int, blocks: int, k: int) -> DataFrame:
@@ -262,8 +261,8 @@ def mine(
     Negatives are the first ``negatives`` rows of another label with
     low * positive <= 100 * negative <= high * positive; a positive without one
     has no row. A positive with a negative score has an empty window. Vectors of
-    different length meet on the components both have. Scores outside a long are
-    compared exactly and returned as its end. An empty table gives an empty one.
+    different length meet on the components both have. A score beyond a long is
+    that end of it, and ties there go by id. An empty table gives an empty one.
     """
     rows = materialize(rows)
     anchors = materialize(rows.where(is_anchor))
