@@ -20,8 +20,14 @@ from stockweave.plans.registry import MODELS, Models, run_layer
 from stockweave.sources.ingest import LANDING, ingest, ingest_checked
 from stockweave.session import materialize, prepare, run_folder
 from stockweave.sources.landing import given_table, landing_table
+from stockweave.sources.buckets import store_bucketed
 from stockweave.sources.facts import LAYER as FACT_LAYER
 from stockweave.sources.facts import MONTH, advance_tracked_fact, create_tracked_fact
+from stockweave.sources.feature_store import (
+    advance_demand_features,
+    create_demand_features,
+    read_demand_features,
+)
 from stockweave.sources.publish import Lakehouse
 from stockweave.sources.readers import read_csv
 from stockweave.sources.tables import TABLES
@@ -35,6 +41,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-08-01"
 PLAN_DAY = "2024-01-05"
 LOAD_ENDS = ("2024-01-11", "2024-01-21")
+# Where the runs that advance the demand features end.
+FEATURE_RUNS = ("1998-01-01", "2000-03-01", "2002-01-01")
 FIRST_LOAD_UNTIL = "1998-12-31"
 RUNS = ("2001-06-01 00:00:00", "2001-07-01 00:00:00", "2001-08-01 00:00:00")
 SETTINGS = planning.PlanSettings(
@@ -247,6 +255,42 @@ def incremental_late_orders(m: Models) -> DataFrame:
     return _rows_of(lake, FACT_LAYER, "sales").drop(MONTH, changes.DIGEST)
 
 
+@query
+def fct_order_fulfillment_bucketed(m: Models) -> DataFrame:
+    """``fct_order_fulfillment`` from tables bucketed by order: five joins, no exchange."""
+    lake = _temporary_lake(m.spark)
+    names = ("orders", "payments", "shipments", "returns", "reviews")
+    buckets = m.spark.sparkContext.defaultParallelism
+    stored = [
+        store_bucketed(m.ref(f"stg_{t}"), lake.database("fact"), t, "order_id", lake.root, buckets)
+        for t in names
+    ]
+    fact = marts.fct_order_fulfillment(*stored)
+    m.spark.sql(f"DROP DATABASE {lake.database('fact')} CASCADE")
+    return fact
+
+
+@query
+def demand_features_advanced(m: Models) -> DataFrame:
+    """``demand_features`` built in three runs, each on the state the one before left.
+
+    The orders are stored by month, so a run reads the partitions of its months.
+    """
+    lake = _temporary_lake(m.spark)
+    orders = m.ref("stg_orders").withColumn("month", F.trunc("order_date", "MM"))
+    orders = lake.publish(orders, "landing", "orders", partition_by=("month",))
+    items, *others = [
+        m.ref(f"stg_{t}") for t in ("order_items", "products", "web_traffic", "inventory")
+    ]
+    create_demand_features(lake, FEATURE_RUNS[0], items, orders, *others)
+    for since, until in zip(FEATURE_RUNS, FEATURE_RUNS[1:]):
+        advance_demand_features(lake, since, until, items, orders, *others)
+    rows = read_demand_features(lake)
+    for layer in ("landing", "features"):
+        m.spark.sql(f"DROP DATABASE {lake.database(layer)} CASCADE")
+    return rows
+
+
 def _three_snapshots(first: DataFrame, second: DataFrame, key: str, check: list[str]) -> DataFrame:
     """First load, changed load, and a rerun of the changed load that must add nothing."""
     history = changes.scd2_apply(changes.scd2_empty(first), first, key, check, RUNS[0])

@@ -694,6 +694,8 @@ select count(*) as n_scored, cast(0 as bigint) as n_missing, cast(0 as bigint) a
 from split_rows where held""",
     # --- loads and stored layers -----------------------------------------------------------
     "landing_roundtrip": "select * from l_orders",
+    "fct_order_fulfillment_bucketed": "select * from fct_order_fulfillment",
+    "demand_features_advanced": "select * from demand_features",
     "landing_rejects": """
 select order_id, case when not bad then order_date end as order_date,
        case when not bad then customer_id end as customer_id, cast(bad as integer) as rejected

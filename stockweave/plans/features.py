@@ -49,6 +49,8 @@ DEMAND_FEATURES = (
     "promo_active_flag",
     "stockout_flag_previous_day",
 )
+# Sale days a feature looks back on, the day itself included.
+HISTORY_DAYS = 30
 OEE_FEATURES = (
     "avg_oee_last_14d",
     "avg_changeover_duration_min",
@@ -134,6 +136,13 @@ def demand_features(
     the current day. Items shrink to (product, day) before any other table is
     joined, so a window holds at most one row per day however hot the product.
     """
+    return with_history(demand_days(items, orders, products, traffic, inventory), created)
+
+
+def demand_days(
+    items: DataFrame, orders: DataFrame, products: DataFrame, traffic: DataFrame, inventory: DataFrame
+) -> DataFrame:
+    """One row per product and sale day with what that day tells by itself."""
     sold = delivered_items(
         items, orders, "quantity", "unit_price", "discount_amount", "promo_id"
     )
@@ -156,12 +165,30 @@ def demand_features(
     flags = inventory.groupBy(
         "product_id", F.add_months(month_of("snapshot_date"), 1).alias("_month")
     ).agg(F.max("stockout_flag").alias("_flag"))
-    joined = (
+    return (
         daily.withColumn("_month", month_of("order_date"))
         .join(listed, "product_id", "left")
         .join(views, "order_date", "left")
         .join(flags, ["product_id", "_month"], "left")
     )
+
+
+def last_days(days: DataFrame, n: int = HISTORY_DAYS) -> DataFrame:
+    """(product_id, order_date, quantity) of the last ``n`` sale days of every product."""
+    newest = Window.partitionBy("product_id").orderBy(F.desc("order_date"))
+    numbered = days.select("product_id", "order_date", "quantity", F.row_number().over(newest).alias("_n"))
+    return numbered.where(F.col("_n") <= n).drop("_n")
+
+
+def with_history(days: DataFrame, created: str, carried: DataFrame | None = None) -> DataFrame:
+    """The features of the sale days ``days``, with lags and rolling figures.
+
+    ``carried`` are the last sale days before them, as ``last_days`` gives them;
+    they are looked back on and not returned.
+    """
+    joined = days.withColumn("_new", F.lit(True))
+    if carried is not None:
+        joined = joined.unionByName(carried.withColumn("_new", F.lit(False)), allowMissingColumns=True)
     days = Window.partitionBy("product_id").orderBy("order_date")
 
     def last_rows(n: int):
@@ -195,8 +222,9 @@ def demand_features(
         ],
         "promo_active_flag",
         F.coalesce("_flag", F.lit(0)).alias("stockout_flag_previous_day"),
+        "_new",
     )
-    return features.dropna()
+    return features.where("_new").drop("_new").dropna()
 
 
 @model("features", "production_logs")

@@ -224,6 +224,26 @@ class Lakehouse:
         self._put_in_place(found)
         return touched
 
+    def replace_partitions(self, source: DataFrame, layer: str, table: str, column: str) -> None:
+        """Put the rows of ``source`` in place of the partitions they fall into; others stay."""
+        found = self.version(layer, table)
+        if found is None or found["partition"] != column:
+            raise ValueError(f"{table} is not partitioned by {column}")
+        self._put_in_place(found)
+        source = source.select(*[f["name"] for f in found["schema"]["fields"]])
+        if found["owner"] != self.branch:
+            fresh = materialize(source)
+            known = fresh.select(column).distinct()
+            same = F.col(f"t.{column}").eqNullSafe(F.col(f"k.{column}"))
+            rest = self.read(layer, table).alias("t").join(known.alias("k"), same, "left_anti")
+            self.publish(rest.unionByName(fresh), layer, table, partition_by=(column,))
+            return
+        aside = self._aside(found)
+        source.write.mode("overwrite").parquet(f"{aside}/rows")
+        written = self.spark.read.schema(source.schema).parquet(f"{aside}/rows")
+        written.select(column).distinct().coalesce(1).write.mode("overwrite").parquet(f"{aside}/touched")
+        self._put_in_place(found)
+
     @staticmethod
     def _aside(found: dict) -> str:
         return f"{found['path']}-aside"

@@ -11,6 +11,14 @@ from stockweave.catalog import QUERIES
 from stockweave.operators import joins
 from stockweave.operators.running import ordinal, running_total
 from stockweave.plans import risk
+from stockweave.plans.features import demand_features
+from stockweave.sources import feature_store
+from stockweave.sources.feature_store import (
+    advance_demand_features,
+    create_demand_features,
+    read_demand_features,
+)
+from stockweave.sources.publish import Lakehouse
 
 
 def rows(df):
@@ -148,3 +156,49 @@ def test_scan_is_pruned_and_filtered(spark, sf_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderpriority:string>" in plan
     assert "GreaterThan(o_orderkey,10)" in plan
+
+
+def test_bucketed_facts_join_without_an_exchange(spark, sf_dir, no_broadcast):
+    plan = QUERIES["fct_order_fulfillment_bucketed"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 4 and "Exchange" not in plan
+
+
+def test_a_run_reads_its_own_partitions(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path / "lake"), environment="t_pruned")
+    days = [(k % 3, dt.date(2000, 1, 1) + dt.timedelta(9 * k), 1 + k % 5) for k in range(90)]
+    orders = spark.createDataFrame(
+        [(k, d, "delivered", d.replace(day=1)) for k, (_, d, _) in enumerate(days)],
+        "order_id long, order_date date, order_status string, month date",
+    )
+    items = spark.createDataFrame(
+        [(k, p, q, 2.0, 0.0, None) for k, (p, _, q) in enumerate(days)],
+        "order_id long, product_id long, quantity int, unit_price double, discount_amount double, promo_id string",
+    )
+    others = [
+        spark.createDataFrame([(0, 3.0, 1.0)], "product_id long, price double, cogs double"),
+        spark.createDataFrame([], "traffic_date date, page_views int"),
+        spark.createDataFrame([], "product_id long, snapshot_date date, stockout_flag int"),
+    ]
+    orders = lake.publish(orders, "landing", "orders", partition_by=("month",))
+    whole = demand_features(items, orders, *others)
+    create_demand_features(lake, "2000-06-01", items, orders, *others)
+    ends = ["2000-06-01", "2001-01-01", "2002-01-01", "2003-01-01"]
+    for since, until in zip(ends, ends[1:]):
+        advance_demand_features(lake, since, until, items, orders, *others)
+    assert rows(read_demand_features(lake)) == rows(whole)
+    # the last run again, and one that does not fit to any before it
+    advance_demand_features(lake, *ends[-2:], items, orders, *others)
+    assert rows(read_demand_features(lake)) == rows(whole)
+    with pytest.raises(ValueError):
+        advance_demand_features(lake, "2001-05-01", "2001-06-01", items, orders, *others)
+
+    def pruned(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.split("PartitionFilters: [")[1].split("]")[0]
+
+    assert "state_month" in pruned(feature_store.carried_days(lake, "2001-01-01"))
+    assert "month" in pruned(feature_store._within(orders, "2001-01-01", "2001-02-01"))
+    # another branch replaces partitions in its own folder
+    dev = lake.create_branch("dev")
+    dev.replace_partitions(dev.read("features", "demand_history").limit(1), "features", "demand_history", "state_month")
+    assert lake.read("features", "demand_history").count() > dev.read("features", "demand_history").count()
