@@ -2,16 +2,21 @@
 
 Every template is a sequence of plain words. Of its runs of three words the
 winnowed ones (the least hash in each window of two runs) form an inverted
-index. A text's runs of three are looked up in it; hits of one template on nearby
-diagonals are one candidate, which is aligned with the template in a band around
-them. The alignment gives the words matched, hence the coverage of the template,
-and the span of the text from the first matched word to the last.
+index; of a short template all runs of two do, as one changed word leaves few
+runs of it whole. A text's runs are looked up; hits of one template on nearby
+diagonals are one piece, which is aligned with the template in a band around
+them. Pieces that follow each other are chained as well, where words were put
+between them, over a stretch of at most ``STRETCH`` times the template, and
+aligned through the bands of all. The matches give the coverage of the template, and
+the span of the text from the first matched word to the last.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -23,7 +28,15 @@ from stockweave.llm.license_texts import TEMPLATES
 
 RUN = 3
 WINNOW = 2
+# Templates under so many words are indexed by all their runs of two.
+SHORT_WORDS = 40
+SHORT_RUN = 2
+# Words that may be put in or left out within a piece. More of them at one place split it in two.
 BAND = 12
+# Pieces a chain looks back on for the one before; a place has fewer.
+MAX_LOOK = 64
+# Longest stretch of text that is one place, as a multiple of the template's words.
+STRETCH = 2
 MIN_COVERAGE = 0.75
 _CACHED = 200_000
 _MARKS = ".,;:!?()[]{}\"'«»“”‘’…#*$%&|<>/-"
@@ -64,32 +77,53 @@ class Words(dict):
 
 @dataclass
 class Index:
-    """Templates as word numbers; ``keys`` are the fingerprints, sorted, one per entry."""
+    """Templates as word numbers; ``runs`` has the sorted fingerprints of each run length.
+
+    An entry of ``runs`` is (keys, template of each, position of each in it).
+    """
 
     names: list[str]
     templates: list[list[int]]
     known: dict[str, int]
-    keys: np.ndarray
-    template_of: np.ndarray
-    position_of: np.ndarray
+    runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     min_coverage: float
 
     def __post_init__(self) -> None:
         self.words = Words(self.known)
+        self.places: list[dict[int, list[int]]] = [{} for _ in self.templates]
+        for own, template in zip(self.places, self.templates):
+            for i, word in enumerate(template):
+                own.setdefault(word, []).append(i)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "words"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("words", "places")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self.__post_init__()
 
-
-def _run_keys(ids: np.ndarray, n_words: int) -> np.ndarray:
-    """A number for each run of three words, -1 where a word is unknown."""
-    a, b, c = ids[:-2], ids[1:-1], ids[2:]
-    keys = (a * n_words + b) * n_words + c
-    keys[(a < 0) | (b < 0) | (c < 0)] = -1
+    def least_hits(self, template: int) -> int:
+        """Positions of a template that a place with its coverage has at least among the hits.
+
+        Of n words m may be missing, and each breaks two runs of two; half of the
+        rest may be broken by words put in. A long template needs one run.
+        """
+        n = len(self.templates[template])
+        if n >= SHORT_WORDS:
+            return 1
+        missing = n - int(np.ceil(self.min_coverage * n))
+        return max(1, (n - 1 - 2 * missing) // 2)
+
+
+def _run_keys(ids: np.ndarray, n_words: int, run: int) -> np.ndarray:
+    """A number for each run of words, -1 where a word is unknown."""
+    n = max(0, len(ids) - run + 1)
+    keys, known = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    for k in range(run):
+        own = ids[k : k + n]
+        keys = keys * n_words + own
+        known &= own >= 0
+    keys[~known] = -1
     return keys
 
 
@@ -100,50 +134,35 @@ def build(templates: dict[str, str], min_coverage: float = MIN_COVERAGE) -> Inde
     if short:
         raise ValueError(f"templates under {RUN} words: {short}")
     known = {w: k for k, w in enumerate(sorted({w for ws in split.values() for w in ws}))}
-    entries = []
+    entries: dict[int, list] = {SHORT_RUN: [], RUN: []}
     numbered = [[known[w] for w in ws] for ws in split.values()]
     for t, ws in enumerate(split.values()):
-        keys = _run_keys(np.array(numbered[t], dtype=np.int64), len(known))
-        entries += [(int(keys[p]), t, p) for p in winnowed(ws)]
-    entries.sort()
-    columns = np.array(entries, dtype=np.int64).reshape(-1, 3)
-    return Index(list(split), numbered, known, *columns.T.copy(), min_coverage)
-
-
-def align(template: list[int], words: list[int], diagonal: int, band: int) -> list[int]:
-    """Positions in ``words`` matched by a longest common subsequence within the band.
-
-    Cell (i, j) lies in the band if ``j - i`` is within ``band`` of ``diagonal``.
-    Of equal alignments the one that matches later words of the template first
-    in the trace is taken.
+        run = SHORT_RUN if len(ws) < SHORT_WORDS else RUN
+        keys = _run_keys(np.array(numbered[t], dtype=np.int64), len(known), run)
+        places = range(len(keys)) if run == SHORT_RUN else winnowed(ws)
+        entries[run] += [(int(keys[p]), t, p) for p in places]
+    runs = {
+        run: tuple(np.array(sorted(own), dtype=np.int64).reshape(-1, 3).T.copy())
+        for run, own in entries.items()
+    }
+    return Index(list(split), numbered, known, runs, min_coverage)
+
+
+def cells(
+    places: dict[int, list[int]], ids: list[int], offset: int, diagonal: int, band: int
+) -> list[tuple[int, int]]:
+    """(position in the text, in the template) of all equal words in a band.
+
+    ``ids`` begins at ``offset`` of the text; ``places`` lists where the template
+    has a word. A cell lies in the band if position less place is within ``band`` of
+    ``diagonal``.
     """
-    width = 2 * band + 1
-    rows = [[0] * (width + 2)]
-    for i in range(1, len(template) + 1):
-        before, row, own = rows[-1], [0] * (width + 2), template[i - 1]
-        shift = i + diagonal - band  # column of slot 1
-        for s in range(1, width + 1):
-            j = shift + s - 1
-            best = before[s + 1] if s < width else 0  # template word left out
-            if row[s - 1] > best:  # text word left out
-                best = row[s - 1]
-            if 1 <= j <= len(words) and words[j - 1] == own and before[s] + 1 > best:
-                best = before[s] + 1
-            row[s] = best
-        rows.append(row)
-    i = len(template)
-    s = max(range(1, width + 1), key=lambda k: (rows[i][k], -k))
-    found = []
-    while i > 0 and 1 <= s <= width and rows[i][s] > 0:
-        j = i + diagonal - band + s - 1
-        if s > 1 and rows[i][s - 1] == rows[i][s]:
-            s -= 1
-        elif s < width and rows[i - 1][s + 1] == rows[i][s]:
-            i, s = i - 1, s + 1
-        else:
-            found.append(j - 1)
-            i -= 1
-    return found[::-1]
+    out = []
+    for j, word in enumerate(ids, offset):
+        for i in places.get(word, ()):
+            if -band <= j - i - diagonal <= band:
+                out.append((j, i))
+    return out
 
 
 def band_of(length: int) -> int:
@@ -151,52 +170,156 @@ def band_of(length: int) -> int:
     return min(BAND, max(2, length // 3))
 
 
-def _candidates(positions: np.ndarray, diagonals: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """(first, last, diagonal): hits close in the text and on diagonals within half the band."""
+@dataclass
+class Piece:
+    """Hits close in the text and on diagonals within half the band."""
+
+    first: int  # in the text
+    last: int
+    diagonal: int
+    places: list[int]  # in the template
+
+    @property
+    def hits(self) -> int:
+        return len(self.places)
+
+    @cached_property
+    def centre(self) -> float:
+        """The middle place: a few hits of common words at its ends do not move it."""
+        return sorted(self.places)[len(self.places) // 2]
+
+
+def _pieces(positions: list[int], places: list[int], length: int) -> list[Piece]:
+    """The pieces of hits given in order of the text."""
     near = band_of(length) // 2
-    out = []
-    order = np.lexsort((diagonals, positions))
-    for p, d in zip(positions[order].tolist(), diagonals[order].tolist()):
-        for k in range(len(out) - 1, max(-1, len(out) - 5), -1):
-            first, last, own = out[k]
-            if p - last <= length and abs(d - own) <= near:
-                out[k] = (first, p, own)
+    out: list[Piece] = []
+    for p, place in zip(positions, places):
+        d = p - place
+        for own in out[: -5 : -1]:
+            if p - own.last <= length and abs(d - own.diagonal) <= near:
+                own.last = p
+                own.places.append(place)
                 break
         else:
-            out.append((p, p, d))
+            out.append(Piece(p, p, d, [place]))
     return out
 
 
+def _chains(pieces: list[Piece], length: int) -> list[list[Piece]]:
+    """Pieces that follow each other in the text and in the template, with the most hits.
+
+    Two copies of a template have their centres at the same place, so they are no chain.
+    """
+    stretch, apart = STRETCH * length, length / 8
+    best: list[tuple[int, int, int]] = []  # hits, piece before, first word of the chain
+    followed = set()
+    for k, own in enumerate(pieces):
+        hits, before, first = own.hits, -1, own.first
+        for j in range(k - 1, max(-1, k - 1 - MAX_LOOK), -1):
+            other, (n, _, begin) = pieces[j], best[j]
+            follows = other.centre + apart <= own.centre and other.first < own.last
+            if follows and own.last - begin <= stretch and n + own.hits > hits:
+                hits, before, first = n + own.hits, j, begin
+        best.append((hits, before, first))
+        followed.add(before)
+    out = []
+    for k in range(len(pieces)):
+        if k not in followed and best[k][1] >= 0:
+            chain = [k]
+            while best[chain[-1]][1] >= 0:
+                chain.append(best[chain[-1]][1])
+            out.append([pieces[i] for i in reversed(chain)])
+    return out
+
+
+def align(matches: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The most (position in the text, in the template) that rise in both.
+
+    The longest common subsequence through the given cells. Of equal ones it is a
+    short stretch of the text: it begins late, and goes on with the next cell.
+    """
+    matches = sorted(set(matches), key=lambda m: (m[0], -m[1]))
+    ends: list[int] = []  # least template position that ends a chain of each length
+    owner: list[int] = []
+    before = [-1] * len(matches)
+    for k, (_, at) in enumerate(matches):
+        n = bisect.bisect_left(ends, at)
+        before[k] = owner[n - 1] if n else -1
+        ends[n : n + 1], owner[n : n + 1] = [at], [k]
+    chain, k = [], owner[-1] if owner else -1
+    while k >= 0:
+        chain.append(matches[k])
+        k = before[k]
+    chain.reverse()
+    spots: dict[int, list[int]] = {}
+    for j, i in matches:
+        spots.setdefault(i, []).append(j)
+    for k in range(1, len(chain)):
+        own = spots[chain[k][1]]
+        chain[k] = own[bisect.bisect_right(own, chain[k - 1][0])], chain[k][1]
+    return chain
+
+
+def _hits(index: Index, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in the text, template, place in it) of all runs of the text in the index."""
+    out = []
+    for run, (keys, templates, places) in index.runs.items():
+        own = _run_keys(ids, len(index.known), run)
+        at = np.flatnonzero(own >= 0)
+        low = np.searchsorted(keys, own[at], "left")
+        count = np.searchsorted(keys, own[at], "right") - low
+        entry = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        out.append((np.repeat(at, count), templates[entry], places[entry]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _places(index: Index, t: int, ids: np.ndarray, position: np.ndarray, place: np.ndarray):
+    """Matches of each place of template ``t``, from its hits."""
+    words, length = index.places[t], len(index.templates[t])
+    least, need = index.min_coverage * length, index.least_hits(t)
+    band = band_of(length)
+    # Hits further apart than a stretch belong to different places.
+    order = np.argsort(position, kind="stable")
+    position, place = position[order], place[order]
+    cuts = np.flatnonzero(np.diff(position) > STRETCH * length) + 1
+    for own, of in zip(np.split(position, cuts), np.split(place, cuts)):
+        if len(set(of.tolist())) < need:
+            continue
+        pieces = _pieces(own.tolist(), of.tolist(), length)
+        known: dict[int, list[tuple[int, int]]] = {}
+
+        def of_piece(piece: Piece) -> list[tuple[int, int]]:
+            found = known.get(id(piece))
+            if found is None:
+                d = piece.diagonal
+                lo = max(0, min(piece.first, d) - band)
+                hi = min(len(ids), max(piece.last + RUN, d + length) + band)
+                found = known[id(piece)] = cells(words, ids[lo:hi].tolist(), lo, d, band)
+            return found
+
+        for chain in [*[[x] for x in pieces], *_chains(pieces, length)]:
+            if sum(x.hits for x in chain) >= need:
+                matched = align([cell for piece in chain for cell in of_piece(piece)])
+                if len(matched) >= least:
+                    yield matched
+
+
 def scan_ids(index: Index, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(template, matched words, first word, last word) of one text, covered ones left out."""
-    keys = _run_keys(ids, len(index.known))
-    at = np.flatnonzero(keys >= 0)
-    if not len(at):
-        return []
-    low = np.searchsorted(index.keys, keys[at], "left")
-    count = np.searchsorted(index.keys, keys[at], "right") - low
-    if not count.any():
-        return []
-    entry = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    position = np.repeat(at, count)
-    template = index.template_of[entry]
-    diagonal = position - index.position_of[entry]
-    found = []
+    position, template, place = _hits(index, ids)
+    found = set()
     for t in np.unique(template).tolist():
         own = template == t
-        words = index.templates[t]
-        for first, last, d in _candidates(position[own], diagonal[own], len(words)):
-            band = band_of(len(words))
-            lo = max(0, min(first, d) - band)
-            hi = min(len(ids), max(last + RUN, d + len(words)) + band)
-            matched = align(words, ids[lo:hi].tolist(), d - lo, band)
-            if len(matched) >= index.min_coverage * len(words):
-                found.append((t, len(matched), lo + matched[0], lo + matched[-1]))
+        for matched in _places(index, t, ids, position[own], place[own]):
+            found.add((t, len(matched), matched[0][0], matched[-1][0]))
     # The most words first; what lies inside a better match is part of it.
-    found.sort(key=lambda x: (-x[1], x[3] - x[2], index.names[x[0]], x[2]))
+    ordered = sorted(found, key=lambda x: (-x[1], x[3] - x[2], index.names[x[0]], x[2]))
     kept: list[tuple[int, int, int, int]] = []
-    for x in found:
-        if not any(k[2] <= x[2] and x[3] <= k[3] for k in kept):
+    for x in ordered:
+        inside = any(k[2] <= x[2] and x[3] <= k[3] for k in kept)
+        # a chain over a better match of its own template is that match once more
+        again = any(k[0] == x[0] and k[1] >= x[1] and k[2] <= x[3] and x[2] <= k[3] for k in kept)
+        if not inside and not again:
             kept.append(x)
     return sorted(kept, key=lambda x: (x[2], x[3], x[0]))
 
@@ -207,7 +330,7 @@ def scan(index: Index, texts: list[str | None]) -> list[list[dict]]:
     out = []
     for text in texts:
         ids = np.fromiter(map(look, (text or "").lower().split()), dtype=np.int64)
-        found = scan_ids(index, ids) if len(ids) >= RUN else []
+        found = scan_ids(index, ids) if len(ids) >= SHORT_RUN else []
         places = [m.span() for m in _WORD.finditer(text)] if found else []
         out.append(
             [
@@ -234,8 +357,11 @@ def matches(
 
     A license is (license, coverage, matched_words, start, end), by start; one is
     listed for each place where at least ``min_coverage`` of the template's words
-    stand in order, unless a match of more words covers the place. NULL, blank
-    and short texts have none. Repeated rows give repeated rows, an empty table
+    stand in order, unless a match of more words covers the place. A place is at
+    most ``STRETCH`` times as long as the template; within a piece of it up to
+    ``BAND`` words may be put in or left out, and any number between pieces. It needs
+    one run of words unbroken: three of a template of ``SHORT_WORDS`` or more, two
+    of a shorter one. NULL, blank and short texts have none. Repeated rows give repeated rows, an empty table
     an empty one.
     """
     index = build(templates or TEMPLATES, min_coverage)
