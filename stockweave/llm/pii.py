@@ -41,7 +41,7 @@ LOOK_ALIKES = {
     "А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "К": "K", "М": "M", "О": "O",
     "Р": "P", "Ѕ": "S", "Т": "T", "Х": "X", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v",
     "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "‐": "-", "‑": "-", "‒": "-", "–": "-",
-    "−": "-", "․": ".", "。": ".", "٠": "0", "۰": "0",
+    "−": "-", "․": ".", "。": ".",
 }
 INVISIBLE = "­​‌‍⁠﻿"
 # Spelled digits in the languages of the corpus.
@@ -57,8 +57,21 @@ SPELLED = {
 }
 AT_WORDS = ("at", "ät", "arroba", "arobase", "klammeraffe", "@")
 DOT_WORDS = ("dot", "punkt", "punto", "point", ".")
-# Words that stand for the signs without brackets, together only: "at this point" is no address.
-WORD_PAIRS = (("at|ät|klammeraffe", "dot|punkt"), ("arroba", "punto"), ("arobase", "point"))
+# "at" is a word of its own, so without brackets it needs a dot of its language spelled before the
+# last label, or a known last label. The others mean nothing but the sign and go with any dot.
+WORD_PAIRS = (("at|ät", "dot|punkt"),)
+SIGN_WORDS = ("arroba", "arobase", "klammeraffe")
+# Last labels that are no words of the corpus' languages.
+KNOWN_ENDS = (
+    "com org net edu gov mil int info biz io dev app ai co uk de fr es nl pl ch eu us ca au jp cn "
+    "ru br mx ar se dk fi cz pt gr ie nz kr za"
+).split()
+# What stands before "at" a site rather than before "at" an address.
+NO_LOCAL_PARTS = frozenset(
+    "us me you him her them it is are was were be been look looks looking meet met meets see seen "
+    "visit visits find found available here there live online site website page shop more posted "
+    "hosted arrive arrived works worked and or".split()
+)
 PLUS_WORDS = ("plus", "más")
 
 _AT = "|".join(map(re.escape, AT_WORDS))
@@ -73,14 +86,27 @@ _BRACKETED = re.compile(
 )
 # The words, where a local part and a domain of at least two labels stand around them.
 _LABEL = r"[a-z0-9-]{1,63}"
+_ANY_DOT = rf"(?:\x20+(?:{_WORD_DOT})\x20+|\.)"
 _WORDED = [
     re.compile(
-        rf"[a-z0-9._%+-]{{1,64}}(?P<at>\x20+(?:{at})\x20+|\x20?@\x20?)"
+        rf"[a-z0-9._%+-]{{1,64}}(?P<at>\x20+(?:{at})\x20+)"
         rf"{_LABEL}(?:(?:\x20+(?:{dot})\x20+|\.){_LABEL})*\x20+(?:{dot})\x20+[a-z]{{2,24}}\b",
         re.IGNORECASE,
     )
     for at, dot in WORD_PAIRS
 ]
+# From the at on; what stands before it is looked at only where this matches.
+_SIGN = re.compile(
+    rf"(?:(?<=\x20)(?:{'|'.join(SIGN_WORDS)})\x20+|(?<=\x20)@\x20*|@\x20+)"
+    rf"(?={_LABEL}(?:{_ANY_DOT}{_LABEL})*{_ANY_DOT}[a-z]{{2,24}}\b)",
+    re.IGNORECASE,
+)
+_PLAIN_AT = re.compile(
+    rf"(?<=\x20)(?:at|ät)\x20+(?={_LABEL}(?:{_ANY_DOT}{_LABEL})*{_ANY_DOT}(?P<end>{'|'.join(KNOWN_ENDS)})\b(?![.-]?\w))",
+    re.IGNORECASE,
+)
+_DOMAIN_WORDS = re.compile(rf"{_LABEL}(?:{_ANY_DOT}{_LABEL})*{_ANY_DOT}[a-z]{{2,24}}\b", re.IGNORECASE)
+_LOCAL_BEFORE = re.compile(r"(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}\x20*$", re.IGNORECASE)
 _WORDED_DOT = re.compile(rf"\x20+(?:{_WORD_DOT})\x20+", re.IGNORECASE)
 # Runs of spelled and plain digits, at least four, with the signs and words between them.
 _BETWEEN = rf"(?:[\x20,;/()-]|\b(?:{_WORD_DOT})\b|\.){{0,4}}"
@@ -96,6 +122,7 @@ _RUN_PART = re.compile(
 _SPELLED_WORD = re.compile(rf"\b(?:{_SPELLED})\b", re.IGNORECASE)
 _DISGUISED = re.compile(
     "[" + "".join(map(re.escape, [*LOOK_ALIKES, *INVISIBLE])) + "！-～\U0001d400-\U0001d7ff①-⑨⓪⁰-⁹₀-₉]"
+    r"|[^\D0-9]"  # decimal digits of any script
 )
 
 
@@ -187,6 +214,8 @@ def plain_character(c: str) -> str:
         return ""
     if c in LOOK_ALIKES:
         return LOOK_ALIKES[c]
+    if c.isdecimal():
+        return str(unicodedata.digit(c))
     form = unicodedata.normalize("NFKC", c)
     return form if len(form) == 1 and form.isascii() else c
 
@@ -218,8 +247,34 @@ def _words(text: str, low: str) -> list[tuple[int, int, str]]:
             out.append((m.start("at"), m.end("at"), "@"))
             for d in _WORDED_DOT.finditer(text, m.end("at"), m.end()):
                 out.append((d.start(), d.end(), "."))
+    if any(w in low for w in SIGN_WORDS) or " @" in low or "@ " in low:
+        out += _addresses(text, _SIGN)
+    if " at " in low or " ät " in low:
+        out += _addresses(text, _PLAIN_AT)
     out.sort()
-    return [x for k, x in enumerate(out) if not k or out[k - 1][1] <= x[0]]
+    kept: list[tuple[int, int, str]] = []
+    for x in out:
+        if not kept or kept[-1][1] <= x[0]:
+            kept.append(x)
+    return kept
+
+
+def _addresses(text: str, pattern: re.Pattern) -> list[tuple[int, int, str]]:
+    """Edits of the ats of ``pattern`` with a local part before them, and of the dots behind."""
+    out = []
+    for m in pattern.finditer(text):
+        before = _LOCAL_BEFORE.search(text, max(0, m.start() - 67), m.start())
+        if before is None:
+            continue
+        domain = _DOMAIN_WORDS.match(text, m.end())
+        if pattern is _PLAIN_AT:
+            # a sentence that ends without a space ("at home.It") is no domain
+            end = m["end"]
+            if before[0].strip().lower() in NO_LOCAL_PARTS or not (end.islower() or m[0].strip().isupper()):
+                continue
+        out.append((before.start() + len(before[0].rstrip()), m.end(), "@"))
+        out += [(d.start(), d.end(), ".") for d in _WORDED_DOT.finditer(text, m.end(), domain.end())]
+    return out
 
 
 def _may_spell(low: str) -> bool:
