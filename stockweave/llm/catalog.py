@@ -53,7 +53,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as archives and read back."""
     folder = f"{run_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(table(spark, sf_dir, "pages"), folder)
-    return warc.page_digests(warc.read(spark, folder))
+    return warc.stored_pages(spark, folder)
 
 
 ORACLES["op2_warc"] = """

@@ -5,7 +5,8 @@ written as text with ``\\r\\n\\r\\n`` between rows is an archive: bytes go from
 JVM to the file system with Spark's own commit protocol, on any store it can
 write to. Reading plans one partition per archive, reads the header of a record
 first, and skips the block of every record that the pushed filters refuse or
-whose payload is not asked for.
+whose payload is not asked for. Archives are listed and read by pyarrow: local paths
+and the stores it has a file system for (hdfs, s3, gs, abfs).
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ from stockweave.session import materialize
 
 # Payloads shorter than this are stored again rather than referred to.
 REVISIT_BYTES = 1000
-RECORDS_PER_FILE = 50_000
+# An archive is read by one task, so files are kept small enough for one.
+RECORDS_PER_FILE = 5_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BATCH_BYTES = 4 * 1024 * 1024
@@ -322,7 +324,8 @@ def page_digests(archives: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) per record.
 
     Of a response both figures are taken from the payload as read, of a revisit
-    from its header.
+    from its header. Records of other writers, without the page's own header
+    lines, have a NULL page, and NULL figures where they are no responses.
     """
     response = F.col("record_type") == "response"
     stated = F.regexp_replace("payload_digest", "^sha1:", "")
@@ -337,3 +340,15 @@ def page_digests(archives: DataFrame) -> DataFrame:
             "refers_to"
         ),
     )
+
+
+def stored_pages(spark: SparkSession, path: str) -> DataFrame:
+    """``page_digests`` of all responses and revisits under ``path``, each read for what it needs.
+
+    The record type is pushed down, so a read skips the blocks of the other kind;
+    revisits are read without payload, so no block of theirs is read at all.
+    Records of other types do not come out.
+    """
+    responses = read(spark, path).where("record_type = 'response'")
+    revisits = read(spark, path, payload=False).where("record_type = 'revisit'")
+    return page_digests(responses).unionByName(page_digests(revisits))

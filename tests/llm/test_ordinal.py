@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -41,6 +42,36 @@ def test_likelihood_falls_and_thresholds_order():
         assert max(range(3), key=p.__getitem__) == g and math.isclose(sum(p), 1)
 
 
+def test_fit_is_the_optimum_of_the_plain_likelihood():
+    """The penalised likelihood, stated in plain Python, has no slope where the fit ends."""
+    rng = random.Random(3)
+    rows = []
+    for _ in range(900):
+        g = rng.choice([0, 1, 1, 2])
+        own = [b for b in range(5) if rng.random() < (0.8 if b % 3 == g else 0.15)]
+        rows.append((own, [rng.random() for _ in range(7)] + [1.0 if rng.random() < 0.1 else 0.0], g))
+    model = ordinal.fit(rows)
+    used = [b for b in range(5) if model.weights[b]]
+    assert used
+    params = [model.weights[b] / ordinal._UNIT for b in used] + list(model.shape_weights) + list(model.thresholds)
+
+    def loss(p):
+        w, v, t = dict(zip(used, p)), p[len(used) : len(used) + 8], p[len(used) + 8 :]
+        total = 0.0
+        for own, shape, g in rows:
+            index = sum(w.get(b, 0.0) for b in own) + sum(a * b for a, b in zip(v, shape))
+            below = [0.0] + [1 / (1 + math.exp(index - x)) for x in t] + [1.0]
+            total -= math.log(below[g + 1] - below[g])
+        return total / len(rows) + ordinal.RIDGE / 2 * sum(x * x for x in p[: len(used) + 8])
+
+    here = loss(params)
+    for k in range(len(params)):
+        for step in (0.05, -0.05):
+            assert loss(params[:k] + [params[k] + step] + params[k + 1 :]) > here - 1e-6
+        up, down = (loss(params[:k] + [params[k] + e] + params[k + 1 :]) for e in (1e-4, -1e-4))
+        assert abs(up - down) / 2e-4 < 2e-3, k
+
+
 def test_no_model_keeps_all(spark):
     docs = spark.createDataFrame([(1, None, 5.0), (2, "text", 5.0)], "doc_id long, text string, grade double")
     labels = spark.createDataFrame([(1, 1, 0), (None, 0, 0), (2, None, 1)], "doc_id long, quality int, toxic int")

@@ -5,6 +5,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, ROOT)
@@ -95,6 +96,19 @@ def test_whole_run_and_odd_rows(spark, docs, sf_dir, tmp_path):
     assert all(r.used <= packing.CAPACITY for r in bins)
 
 
+def test_extra_columns_with_the_names_inside(spark, docs, sf_dir):
+    """Columns called as what the stages add come through all but the last as they were."""
+    names = ["row", "grade", "p_top", "kept", "id", "fp", "root", "hits", "base", "all_spans", "merged", "node", "cluster", "shard", "raw", "key", "total"]
+    more = docs.limit(60).select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    step = more = spark.createDataFrame(more.collect(), more.schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        step = stage(spark, step, sf_dir)
+        assert step.columns == more.columns
+        assert all(r[n] == f"{n}-{r.doc_id}" for r in step.collect() for n in names)
+    bins = corpus_pipeline.STAGES[-1][1](spark, step, sf_dir).collect()
+    assert {d for r in bins for d in r.doc_ids} == {r.doc_id for r in step.collect()}
+
+
 def test_empty_tables(spark, docs, sf_dir, tmp_path):
     root = tmp_path / "sf"
     for t in ("documents", "labels", "benchmark"):
@@ -107,7 +121,7 @@ def test_registered_and_guarded(tmp_path):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
     class Missing:
         def find_spec(self, name, path=None, target=None):

@@ -79,6 +79,20 @@ def test_filters_are_pushed_and_blocks_skipped(spark, archived):
     assert [r[0] for r in rows] == ["response"] and rows[0][-1] == b"012345678" and Counting.got == 9
 
 
+def test_stored_pages_push_their_record_type(spark, archived, tmp_path):
+    """The reader is handed the predicates, and what the query returns is what a full read gives."""
+    got = warc.stored_pages(spark, archived)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 2 and "Filter (" not in plan
+    assert sorted(map(str, got.collect())) == sorted(map(str, warc.page_digests(warc.read(spark, archived)).collect()))
+    # a record of another writer and type
+    foreign = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    foreign += b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "f.warc").write_bytes(foreign)
+    (row,) = warc.stored_pages(spark, str(tmp_path)).collect()
+    assert (row.page_id, row.payload_bytes, row.record_type) == (None, 3, "response")
+
+
 def test_gzip_folded_lines_and_broken_files(spark, tmp_path):
     head = b"WARC/1.0\r\nWARC-Type: resource\r\nX-Long: a\r\n b\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     (tmp_path / "a.warc.gz").write_bytes(gzip.compress(head) + gzip.compress(head))
