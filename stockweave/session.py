@@ -82,6 +82,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def changed_at(spark: SparkSession, path: str) -> int:
+    """When a file or folder was changed last, as its file system says."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getFileStatus(where).getModificationTime()
+
+
 @contextmanager
 def run_scope(spark: SparkSession) -> Iterator[str]:
     """A run: cut points made inside go to its own folder, deleted when it ends.

@@ -16,6 +16,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from stockweave.session import changed_at
 
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -210,14 +211,14 @@ def inputs_of(statement: str) -> list[str]:
 
 
 @functools.lru_cache(maxsize=256)
-def _schema(spark: SparkSession, path: str) -> StructType:
+def _schema(spark: SparkSession, path: str, changed: int) -> StructType:
     return spark.read.parquet(path).schema
 
 
 def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; its footer is read once per session."""
+    """One of the given tables; its footer is read once per session and state of the file."""
     path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    return spark.read.schema(_schema(spark, path, changed_at(spark, path))).parquet(path)
 
 
 def landing_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
