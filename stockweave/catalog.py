@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,11 @@ from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
 from stockweave.plans.registry import MODELS, Models, run_layer
 from stockweave.sources.ingest import LANDING, ingest, ingest_checked
+from stockweave.sources.ingest import main as landing_job
 from stockweave.session import materialize, prepare, run_folder
 from stockweave.sources.landing import given_table, landing_table
 from stockweave.sources.buckets import store_bucketed
+from stockweave.sources.chain import run_chain
 from stockweave.sources.facts import LAYER as FACT_LAYER
 from stockweave.sources.facts import MONTH, advance_tracked_fact, create_tracked_fact
 from stockweave.sources.feature_store import (
@@ -30,7 +33,7 @@ from stockweave.sources.feature_store import (
 )
 from stockweave.sources.publish import Lakehouse
 from stockweave.sources.readers import read_csv
-from stockweave.sources.tables import TABLES
+from stockweave.sources.tables import DAILY_LOAD, TABLES
 from stockweave.streaming.funnel import LAYER as FUNNEL_LAYER
 from stockweave.streaming.funnel import current_counts, daily_counts, funnel_stream
 from stockweave.streaming.upsert import upsert_stream
@@ -754,6 +757,72 @@ def landing_roundtrip(m: Models) -> DataFrame:
     return _rows_of(lake, LANDING, spec.landing_name)
 
 
+# The file the daily load does not find.
+MISSING_FILE = "promotions"
+
+
+@query
+def daily_load(m: Models) -> DataFrame:
+    """The landing job over a folder of CSV files, one of them missing.
+
+    One row per table of the load: its rows and the distinct values of its first
+    column as landed, NULL for the table whose file is missing.
+    """
+    lake = _temporary_lake(m.spark)
+    folder = f"{lake.root}/csv"
+    names = [name for group in DAILY_LOAD.values() for name in group]
+    for name in names:
+        if name != MISSING_FILE:
+            m.ref(name).write.csv(
+                f"{folder}/{name}.csv",
+                header=True,
+                ignoreLeadingWhiteSpace=False,
+                ignoreTrailingWhiteSpace=False,
+            )
+    landing_job(["--root", lake.root, "--csv-dir", folder, "--environment", lake.environment])
+    landed = []
+    for name in names:
+        spec = TABLES[name]
+        table = lake.read(LANDING, spec.landing_name)
+        if table is None:
+            none = F.lit(None).cast("bigint")
+            table = m.spark.range(1).select(none.alias("n_rows"), none.alias("n_values"))
+        else:
+            first = spec.columns[0]
+            table = table.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(first).alias("n_values"))
+        landed.append(table.select(F.lit(spec.landing_name).alias("table_name"), "n_rows", "n_values"))
+    m.spark.sql(f"DROP DATABASE {lake.database(LANDING)} CASCADE")
+    return reduce(DataFrame.unionByName, landed)
+
+
+CHAIN_LAYERS = ("staging", "intermediate", "dim", "fact", "daily_reports")
+
+
+@query
+def published_chain(m: Models) -> DataFrame:
+    """Source tests, then all layers written, tested and merged: the rows of each table."""
+    lake = _temporary_lake(m.spark)
+    sources = [t for t in DATA_TESTS if t.table in TABLES]
+    names = run_chain(
+        lake,
+        "run",
+        m.ref,
+        [t for t in sources if t.kind in ("unique", "not_null")],
+        [t for t in DATA_TESTS if t.table in MODELS],
+        literal_date(AS_OF),
+        CHAIN_LAYERS,
+    )
+    counts = [
+        lake.read(MODELS[name].layer, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(MODELS[name].layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows"
+        )
+        for name in names
+    ]
+    for layer in CHAIN_LAYERS:
+        m.spark.sql(f"DROP DATABASE {lake.database(layer)} CASCADE")
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def landing_rejects(m: Models) -> DataFrame:
     """Orders written as CSV with malformed dates and customers: loaded and rejected lines.

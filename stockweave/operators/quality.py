@@ -213,6 +213,10 @@ def _key_counts(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+# Kinds one pass over the rows can tell, so that they can be taken while a table is written.
+OBSERVED_KINDS = ("not_null", "range", "freshness", "max_update")
+
+
 def observed_failures(test: DataTest, as_of: Column | None = None) -> Column:
     """The failures of a test as one aggregate over the table, for ``Dataset.observe``."""
     c = F.col(test.column)

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import re
 
+from stockweave.plans.registry import MODELS
 from stockweave.sources.landing import GIVEN, LANDING_SQL
+from stockweave.sources.tables import DAILY_LOAD, TABLES
 
 
 def rnd(expr: str, digits: int) -> str:
@@ -729,6 +731,30 @@ from events group by all""",
 }
 
 
+def _landed_sql(missing: str) -> str:
+    """Rows and first-column values of the landing tables of the daily load."""
+    parts = []
+    for names in DAILY_LOAD.values():
+        for name in names:
+            spec = TABLES[name]
+            figures = f"count(*) as n_rows, count(distinct {spec.columns[0]}) as n_values"
+            if name == missing:
+                none = "cast(null as bigint)"
+                parts.append(f"select '{spec.landing_name}' as table_name, {none} as n_rows, {none} as n_values")
+                continue
+            parts.append(f"select '{spec.landing_name}' as table_name, {figures} from l_{name}")
+    return " union all ".join(parts)
+
+
+def _chain_sql(layers: tuple[str, ...]) -> str:
+    """Rows of every model the write-audit-publish run builds."""
+    return " union all ".join(
+        f"select '{m.layer}' as layer, '{m.name}' as table_name, count(*) as n_rows from {m.name}"
+        for m in MODELS.values()
+        if m.layer in layers
+    )
+
+
 def _test_sql(test) -> str:
     table = test.table if test.table in VIEWS else f"l_{test.table}"
     if test.where is not None:
@@ -801,7 +827,9 @@ def statement(name: str) -> str:
 
 
 def oracle_statements() -> dict[str, str]:
-    from stockweave.catalog import DATA_TESTS, EXTRA_TESTS, QUERIES
+    from stockweave.catalog import CHAIN_LAYERS, DATA_TESTS, EXTRA_TESTS, MISSING_FILE, QUERIES
 
+    VIEWS["daily_load"] = _landed_sql(MISSING_FILE)
+    VIEWS["published_chain"] = _chain_sql(CHAIN_LAYERS)
     VIEWS["audit_results"] = "\nunion all\n".join(_test_sql(t) for t in DATA_TESTS + EXTRA_TESTS)
     return {name: statement(name) for name in QUERIES if name in VIEWS}

@@ -67,6 +67,7 @@ def ingest_all(lake: Lakehouse, read: Callable[[TableSpec], DataFrame | None]) -
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Load landing tables.")
     parser.add_argument("--root", required=True, help="storage root of the tables")
+    parser.add_argument("--environment", default="", help="prefix of the databases")
     parser.add_argument("--schema", help="source group; all when unset")
     parser.add_argument("--table", help="one table; all of the group when unset")
     parser.add_argument("--csv-dir", help="folder with <table>.csv files")
@@ -75,7 +76,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--jdbc-password", default="")
     args = parser.parse_args(argv)
     spark = prepare(SparkSession.builder.appName("landing-load").getOrCreate())
-    lake = Lakehouse(spark, args.root)
+    lake = Lakehouse(spark, args.root, environment=args.environment)
     if args.csv_dir:
 
         def read(spec: TableSpec):

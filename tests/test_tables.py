@@ -13,6 +13,7 @@ from stockweave.operators.joins import literal_date
 from stockweave.plans import marts
 from stockweave.plans.registry import MODELS, Models, layer_order, run_layer
 from stockweave.plans.staging import harmonise_cross_reference, harmonise_maintenance
+from stockweave.sources.chain import run_chain
 from stockweave.sources.facts import (
     advance_fact,
     advance_tracked_fact,
@@ -417,3 +418,19 @@ def test_late_rows_are_counted_beside_closed_windows(spark, tmp_path):
     assert arrive() == [(1, 3, 1)]
     assert arrive(D(2024, 1, 6)) == [(1, 3, 1), (2, 2, 0), (3, 1, 0)]
     assert (tmp_path / "w" / "passed" / "batch=0" / "_SUCCESS").exists()
+
+
+def test_a_failed_chain_leaves_main_as_it_was(lake, spark, sf_dir):
+    inline, as_of = models_over(spark, sf_dir), literal_date("2000-01-01")
+    lake.publish(spark.range(2), "staging", "stg_geography")
+    bad = quality.DataTest("stg_geography", "range", "zip", severity="error", most=0)
+    with pytest.raises(AuditFailed, match="stg_geography"):
+        run_chain(lake, "run", inline.ref, [], [bad], as_of, ["staging"])
+    assert lake.read("staging", "stg_geography").count() == 2
+    assert not spark.catalog.databaseExists(lake.on_branch("run").database("staging"))
+    source = quality.DataTest("orders", "not_null", "order_status", severity="error", threshold=-1)
+    with pytest.raises(AuditFailed, match="sources: not_null_orders_order_status"):
+        run_chain(lake, "run", inline.ref, [source], [], as_of, ["staging"])
+    unique = quality.DataTest("stg_geography", "unique", "zip", severity="error")
+    names = run_chain(lake, "run", inline.ref, [], [unique], as_of, ["staging"])
+    assert len(names) == 13 and lake.read("staging", "stg_geography").count() == inline.ref("stg_geography").count()
