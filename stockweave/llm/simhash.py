@@ -168,18 +168,22 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chosen = (
         components(docs, id_col, text_col)
         .where(F.col("id").eqNullSafe(F.col("component_id")))
+        .groupBy("root", "id", "body")
+        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("root")
-        .agg(F.min(F.struct("id", "body")).alias("of"))
-        .select(F.col("of.id").alias("_keep_id"), F.col("of.body").alias("_keep_body"))
-        .distinct()
+        .agg(F.min(F.struct("id", "body", "n")).alias("of"))
+        .groupBy(F.col("of.id").alias("_keep_id"), F.col("of.body").alias("_keep_body"))
+        .agg((F.sum("of.n") > 1).alias("_many"))
     )
     marked = docs.select(F.struct("*").alias("_row"), F.xxhash64(f"`{text_col}`").alias("_body"))
     same = F.col(f"_row.`{id_col}`").eqNullSafe(F.col("_keep_id")) & (
         F.col("_body") == F.col("_keep_body")
     )
-    kept = marked.join(chosen, same, "left_semi").withColumn("_id", F.col(f"_row.`{id_col}`"))
+    kept = marked.join(chosen, same)
+    # Whole rows are grouped only where a row is repeated.
     # Rows that differ in columns without a hash (maps) only are alike here.
     hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
     order = F.xxhash64(*[F.col(f"_row.`{c}`") for c in hashed])
-    first = F.min_by("_row", order).alias("_row")
-    return kept.groupBy("_id", "_body").agg(first).select("_row.*")
+    repeated = kept.where("_many").groupBy("_keep_id", "_keep_body")
+    first = repeated.agg(F.min_by("_row", order).alias("_row")).select("_row.*")
+    return kept.where(~F.col("_many")).select("_row.*").unionByName(first)
