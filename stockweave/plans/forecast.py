@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressor,
     GeneralizedLinearRegression,
@@ -30,6 +30,8 @@ MAPE_LIMIT = 25.0
 EPSILON = 2.220446049250313e-16
 # Rows a tree of the forest is grown on, in the mean: each draws its own share of the table.
 ROWS_PER_TREE = 10_000
+# Trees that draw from the same rows, where the table has more than they need.
+TREES_PER_GROUP = 10
 LEAST_PER_LEAF = 10
 QUANTILES = (0.1, 0.5, 0.9)
 # Rounds of reweighting, and the residual under which weights stop growing, halved each round.
@@ -54,6 +56,22 @@ def _vector(columns: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="_x", handleInvalid="error")
 
 
+def _forest(trees: int, depth: int, share: float, out: str, seed: int) -> RandomForestRegressor:
+    return RandomForestRegressor(
+        featuresCol="_x",
+        labelCol=TARGET,
+        predictionCol=out,
+        numTrees=trees,
+        maxDepth=depth,
+        minInstancesPerNode=LEAST_PER_LEAF,
+        subsamplingRate=share,
+        featureSubsetStrategy="onethird",
+        seed=seed,
+        # Node statistics of a level are grouped into passes of this size.
+        maxMemoryInMB=1024,
+    )
+
+
 def fit_forest(
     train: DataFrame,
     columns: Sequence[str] = DEMAND_FEATURES,
@@ -63,23 +81,30 @@ def fit_forest(
 ) -> PipelineModel:
     """A forest over binned features; every tree grows on a sample of its own.
 
-    The features are cut into bins once. A tree draws ``rows_per_tree`` rows in
-    the mean out of all of them, so the statistics of a level, which Spark adds
-    up over the executors, follow the trees and not the table.
+    A tree draws ``rows_per_tree`` rows in the mean out of all of them. Spark leads
+    each row through every tree at every level, drawn by the tree or not, so that
+    the time of one forest is that of trees times rows. Over a larger table the
+    trees therefore grow in groups: one pass deals to every group the rows its own
+    trees draw from, and the forecast is the mean of all trees. Work and statistics
+    of a level then follow the trees and not the table.
     """
-    forest = RandomForestRegressor(
-        featuresCol="_x",
-        labelCol=TARGET,
-        predictionCol="prediction",
-        numTrees=trees,
-        maxDepth=depth,
-        minInstancesPerNode=LEAST_PER_LEAF,
-        subsamplingRate=min(1.0, rows_per_tree / max(1, train.count())),
-        seed=SEED,
-        # Node statistics of a level are grouped into passes of this size.
-        maxMemoryInMB=1024,
-    )
-    return Pipeline(stages=[_vector(columns), forest]).fit(train)
+    rows, dealt = max(1, train.count()), TREES_PER_GROUP * rows_per_tree
+    if rows <= dealt:
+        forest = _forest(trees, depth, min(1.0, rows_per_tree / rows), "prediction", SEED)
+        return Pipeline(stages=[_vector(columns), forest]).fit(train)
+    sizes = [min(TREES_PER_GROUP, trees - k) for k in range(0, trees, TREES_PER_GROUP)]
+    draws = [F.when(F.rand(SEED + g) < dealt / rows, F.lit(g)) for g in range(len(sizes))]
+    pools = train.select(*columns, TARGET, F.explode(F.array_compact(F.array(*draws))).alias("_group"))
+    vector, cores = _vector(columns), train.sparkSession.sparkContext.defaultParallelism
+    pools = materialize(vector.transform(pools).select("_group", "_x", TARGET).repartition(cores))
+    groups = [
+        _forest(size, depth, 1.0 / TREES_PER_GROUP, f"_p{g}", SEED + g).fit(pools.where(F.col("_group") == g))
+        for g, size in enumerate(sizes)
+    ]
+    total = " + ".join(f"{size} * _p{g}" for g, size in enumerate(sizes))
+    parts = ", ".join(f"_p{g}" for g in range(len(sizes)))
+    mean = f"SELECT * EXCEPT ({parts}), ({total}) / {trees}D AS prediction FROM __THIS__"
+    return PipelineModel([vector, *groups, SQLTransformer(statement=mean)])
 
 
 def fit_poisson(train: DataFrame, columns: Sequence[str] = DEMAND_FEATURES) -> PipelineModel:
