@@ -20,8 +20,8 @@ from stockweave.plans import features, forecast, marts, planning, risk, segmenta
 from stockweave.plans.registry import MODELS, Models, run_layer
 from stockweave.sources.ingest import LANDING, ingest, ingest_checked
 from stockweave.sources.ingest import main as landing_job
-from stockweave.session import materialize, prepare, run_folder
-from stockweave.sources.landing import given_table, landing_table
+from stockweave.session import materialize, prepare, run_folder, size_shuffles
+from stockweave.sources.landing import GIVEN, given_table, landing_table
 from stockweave.sources.buckets import store_bucketed
 from stockweave.sources.chain import run_chain
 from stockweave.sources.facts import LAYER as FACT_LAYER
@@ -129,7 +129,8 @@ def models_over(spark: SparkSession, sf_dir: str) -> Models:
 
 
 def ready(spark: SparkSession, sf_dir: str) -> Models:
-    return models_over(prepare(spark), sf_dir)
+    size_shuffles(prepare(spark), [f"{sf_dir}/{name}.parquet" for name in GIVEN])
+    return models_over(spark, sf_dir)
 
 
 def query(fn: Callable[[Models], DataFrame]) -> Callable[[Models], DataFrame]:

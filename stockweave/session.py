@@ -7,7 +7,7 @@ import math
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +23,17 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # What small partitions are merged up to, compressed; a task that joins several
+    # sorted inputs holds some twenty times that.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
 
+# Compressed input bytes for which a shuffle starts with one more partition.
+INPUT_BYTES_PER_PARTITION = 4 * 1024 * 1024
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# The number ``size_shuffles`` has set last, None if the caller's settings stand.
+_sized: str | None = None
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings, leaving anything the caller chose untouched."""
@@ -32,9 +41,36 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in _SETTINGS.items():
         if key not in chosen:
             spark.conf.set(key, value)
+    _unsize(spark)
     return spark
 
 
+def _unsize(spark: SparkSession) -> None:
+    global _sized
+    if _sized is not None and spark.conf.get(_INITIAL, None) == _sized:
+        spark.conf.unset(_INITIAL)
+    _sized = None
+
+
+def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Let shuffles start with partitions by the size of the input files ``paths``.
+
+    Adaptive execution merges small partitions but never adds any, so with a fixed
+    number a task's share, and the memory it sorts and joins it in, would grow with
+    the input. Never fewer than ``spark.sql.shuffle.partitions``; a number the
+    caller chose stands. The next ``prepare`` takes it back.
+    """
+    global _sized
+    _unsize(spark)
+    if spark.conf.get(_INITIAL, None) is not None:
+        return
+    total = sum(file_bytes(spark, p) for p in paths if path_exists(spark, p))
+    wanted = math.ceil(total / INPUT_BYTES_PER_PARTITION)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        _sized = str(wanted)
+        spark.conf.set(_INITIAL, _sized)
+
+
 def suggested_partitions(*inputs: DataFrame) -> int:
     """Shuffle partitions for a job over these inputs, about a gigabyte each.
 
@@ -82,6 +118,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
 def changed_at(spark: SparkSession, path: str) -> int:
     """When a file or folder was changed last, as its file system says."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
