@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressor,
     GeneralizedLinearRegression,
-    LinearRegression,
-    LinearRegressionModel,
     RandomForestRegressor,
 )
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -174,22 +176,68 @@ def sku_quantiles(monthly: DataFrame) -> DataFrame:
 
 @dataclass
 class QuantileModel:
-    """One linear model of the logarithm per quantile, with the shift of its intercept."""
+    """One linear model of the logarithm per quantile: a weight per column and, last, the intercept."""
 
     columns: tuple[str, ...]
-    models: list[LinearRegressionModel]
-    shifts: list[float]
+    weights: list[list[float]]
 
 
-def _residual_quantiles(rows: DataFrame, columns: Sequence[str], quantiles: Sequence[float]) -> list[float]:
-    """The quantile of ``_y`` minus each column, one for each of ``quantiles``; one pass."""
+def _line(columns: Sequence[str], weights: Sequence[float]) -> Column:
+    terms = [F.lit(float(w)) * F.col(c).cast("double") for c, w in zip(columns, weights)]
+    return reduce(add, terms, F.lit(float(weights[-1])))
+
+
+def _residual_quantiles(
+    rows: DataFrame, lines: Sequence[Column], quantiles: Sequence[float]
+) -> list[float]:
+    """The quantile of ``_y`` minus each line, one for each of ``quantiles``; one pass."""
     parts = [
-        F.percentile_approx(F.col("_y") - F.col(c), q, 10_000).alias(f"_{i}")
-        for i, (c, q) in enumerate(zip(columns, quantiles))
+        F.percentile_approx(F.col("_y") - line, q, 10_000).alias(f"_{i}")
+        for i, (line, q) in enumerate(zip(lines, quantiles))
     ]
     return [0.0 if x is None else x for x in rows.agg(*parts).first()]
 
 
+def _least_squares(
+    rows: DataFrame, columns: Sequence[str], reweighted: Sequence[tuple[Sequence[float], float] | None], e: float
+) -> list[np.ndarray]:
+    """Least-squares lines of ``_y``, one for each of ``reweighted``; one pass for all of them.
+
+    None asks for the plain fit. (weights, q) asks for the one that lowers the pinball
+    loss of ``q`` from the line of these weights on. A task hands on its sums of
+    products, a few kilobytes however many its rows.
+    """
+    p = len(columns) + 1
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(reweighted), p, p + 1))
+        for batch in batches:
+            values = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+            x = np.column_stack([*values, np.ones(batch.num_rows)])
+            y = batch.column("_y").to_numpy(zero_copy_only=False)
+            for i, old in enumerate(reweighted):
+                wx, z = x, y
+                if old is not None:
+                    reach = np.abs(y - x @ np.asarray(old[0])) + e
+                    wx, z = x / reach[:, None], y + (2 * old[1] - 1) * reach
+                total[i, :, :p] += wx.T @ x
+                total[i, :, p] += wx.T @ z
+        yield pa.RecordBatch.from_pydict({"sums": [total.ravel().tolist()]})
+
+    total = np.zeros((len(reweighted), p, p + 1))
+    for row in rows.select(*columns, "_y").mapInArrow(sums, "sums array<double>").collect():
+        total += np.reshape(row["sums"], total.shape)
+    if not np.isfinite(total).all():
+        raise ValueError("a feature or the demand is missing or not finite")
+    fits = []
+    for products in total:
+        # Columns of one size; of columns that hang together the least weights count.
+        size = np.sqrt(np.maximum(np.diag(products), np.finfo(float).tiny))
+        scaled = products[:, :p] / np.outer(size, size)
+        fits.append(np.linalg.lstsq(scaled, products[:, p] / size, rcond=1e-12)[0] / size)
+    return fits
+
+
 def fit_quantiles(
     train: DataFrame,
     columns: Sequence[str] = DEMAND_FEATURES,
@@ -201,36 +249,23 @@ def fit_quantiles(
     Quantiles keep under a monotone transform, so the logarithm costs nothing.
     The loss of a residual r is majorised at the current fit by a parabola: with
     reach a = |r| + e a weighted least-squares fit of y + (2q - 1) a under
-    weights 1 / a lowers it. Each round is one pass whose sums Spark adds up over
-    the executors; e is halved from round to round. The intercept is then moved
-    to the residuals' own quantile, which is the exact minimum in that direction.
+    weights 1 / a lowers it. A round is one pass for all quantiles, whose sums are
+    added up over the tasks; e is halved from round to round. The intercept is then
+    moved to the residuals' own quantile, which is the exact minimum in that direction.
     """
     seen = materialize(
-        _vector(columns).transform(train).select("_x", F.log1p(TARGET).alias("_y"))
-    )
-    fitter = LinearRegression(
-        featuresCol="_x", labelCol="_z", weightCol="_w", predictionCol="_p", solver="normal"
+        train.select(*[F.col(c).cast("double").alias(c) for c in columns], F.log1p(TARGET).alias("_y"))
     )
-    start = fitter.fit(seen.withColumns({"_z": F.col("_y"), "_w": F.lit(1.0)}))
-    shifts = _residual_quantiles(start.transform(seen), ["_p"] * len(quantiles), quantiles)
-    models = []
-    for q, shift in zip(quantiles, shifts):
-        fitted = start
-        for k in range(rounds):
-            e = max(FIRST_REACH * 0.5**k, LEAST_REACH)
-            residual = F.col("_y") - F.col("_p") - F.lit(shift if k == 0 else 0.0)
-            reach = F.abs(residual) + e
-            fitted = fitter.fit(
-                fitted.transform(seen)
-                .withColumns({"_w": 1 / reach, "_z": F.col("_y") + (2 * q - 1) * reach})
-                .drop("_p")
-            )
-        models.append(fitted)
-    scored, names = seen, []
-    for i, fitted in enumerate(models):
-        names.append(f"_p{i}")
-        scored = fitted.transform(scored).withColumnRenamed("_p", names[-1])
-    return QuantileModel(tuple(columns), models, _residual_quantiles(scored, names, quantiles))
+
+    def moved(fits: Sequence[np.ndarray]) -> list[list[float]]:
+        shifts = _residual_quantiles(seen, [_line(columns, w) for w in fits], quantiles)
+        return [[*map(float, w[:-1]), float(w[-1]) + s] for w, s in zip(fits, shifts)]
+
+    weights = moved(_least_squares(seen, columns, [None], 0.0) * len(quantiles))
+    for k in range(rounds):
+        e = max(FIRST_REACH * 0.5**k, LEAST_REACH)
+        weights = _least_squares(seen, columns, list(zip(weights, quantiles)), e)
+    return QuantileModel(tuple(columns), moved(weights))
 
 
 def quantile_forecast(fitted: QuantileModel, rows: DataFrame) -> DataFrame:
@@ -239,11 +274,9 @@ def quantile_forecast(fitted: QuantileModel, rows: DataFrame) -> DataFrame:
     Lines of different quantiles may cross far from the data; sorting the three
     values is the usual remedy and loses no coverage.
     """
-    scored = _vector(fitted.columns).transform(rows)
-    for i, (model, shift) in enumerate(zip(fitted.models, fitted.shifts)):
-        scored = model.transform(scored).withColumn(f"_p{i}", F.col("_p") + F.lit(shift)).drop("_p")
-    sized = [F.greatest(F.expm1(f"_p{i}"), F.lit(0.0)) for i in range(len(fitted.models))]
-    ordered = scored.withColumn("_q", F.array_sort(F.array(*sized)))
+    lines = [_line(fitted.columns, w) for w in fitted.weights]
+    sized = [F.greatest(F.expm1(line), F.lit(0.0)) for line in lines]
+    ordered = rows.withColumn("_q", F.array_sort(F.array(*sized)))
     names = [f"P{math.floor(100 * q + 0.5)}" for q in QUANTILES]
     return ordered.select(
         *rows.columns, *[F.element_at("_q", i + 1).alias(name) for i, name in enumerate(names)]
