@@ -20,7 +20,7 @@ from stockweave.plans import features, forecast, marts, planning, risk, segmenta
 from stockweave.plans.registry import MODELS, Models, run_layer
 from stockweave.sources.ingest import LANDING, ingest, ingest_checked
 from stockweave.sources.ingest import main as landing_job
-from stockweave.session import materialize, prepare, run_folder, size_shuffles
+from stockweave.session import materialize, prepare, run_folder, size_shuffles, sized_buckets
 from stockweave.sources.landing import GIVEN, given_table, landing_table
 from stockweave.sources.buckets import store_bucketed
 from stockweave.sources.chain import run_chain
@@ -278,14 +278,22 @@ def fct_order_fulfillment_bucketed(m: Models) -> DataFrame:
 def demand_features_advanced(m: Models) -> DataFrame:
     """``demand_features`` built in three runs, each on the state the one before left.
 
-    The orders are stored by month, so a run reads the partitions of its months.
+    The orders are stored by month, so a run reads the partitions of its months. The
+    items are stored in buckets by order and the months out of stock once, so that a
+    run shuffles neither: only the orders of its months go to the buckets.
     """
     lake = _temporary_lake(m.spark)
     orders = m.ref("stg_orders").withColumn("month", F.trunc("order_date", "MM"))
     orders = lake.publish(orders, "landing", "orders", partition_by=("month",))
-    items, *others = [
-        m.ref(f"stg_{t}") for t in ("order_items", "products", "web_traffic", "inventory")
-    ]
+    sold = m.ref("stg_order_items").select(
+        "order_id", "product_id", "quantity", "unit_price", "discount_amount", "promo_id"
+    )
+    items = store_bucketed(
+        sold, lake.database("landing"), "order_items", "order_id", lake.root, sized_buckets(m.spark)
+    )
+    stock = m.ref("stg_inventory").select("product_id", "snapshot_date", "stockout_flag")
+    stock = materialize(stock.where(F.col("stockout_flag") > 0))
+    others = [m.ref("stg_products"), m.ref("stg_web_traffic"), stock]
     create_demand_features(lake, FEATURE_RUNS[0], items, orders, *others)
     for since, until in zip(FEATURE_RUNS, FEATURE_RUNS[1:]):
         advance_demand_features(lake, since, until, items, orders, *others)

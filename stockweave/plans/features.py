@@ -161,8 +161,10 @@ def demand_days(
     views = traffic.groupBy(F.col("traffic_date").alias("order_date")).agg(
         F.sum("page_views").cast("double").alias("daily_page_views")
     )
-    # The stock-out flag of the month before the sale.
-    flags = inventory.groupBy(
+    # The stock-out flag of the month before the sale. A month without a row counts as
+    # not flagged, so only flagged rows are shuffled.
+    flagged = inventory.where(F.col("stockout_flag") > 0)
+    flags = flagged.groupBy(
         "product_id", F.add_months(month_of("snapshot_date"), 1).alias("_month")
     ).agg(F.max("stockout_flag").alias("_flag"))
     return (

@@ -33,6 +33,8 @@ INPUT_BYTES_PER_PARTITION = 4 * 1024 * 1024
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # The number ``size_shuffles`` has set last, None if the caller's settings stand.
 _sized: str | None = None
+# Partitions by the size of the inputs named last, whether set or not.
+_wanted = 1
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -60,17 +62,22 @@ def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> None:
     the input. Never fewer than ``spark.sql.shuffle.partitions``; a number the
     caller chose stands. The next ``prepare`` takes it back.
     """
-    global _sized
+    global _sized, _wanted
     _unsize(spark)
+    total = sum(file_bytes(spark, p) for p in paths if path_exists(spark, p))
+    _wanted = math.ceil(total / INPUT_BYTES_PER_PARTITION)
     if spark.conf.get(_INITIAL, None) is not None:
         return
-    total = sum(file_bytes(spark, p) for p in paths if path_exists(spark, p))
-    wanted = math.ceil(total / INPUT_BYTES_PER_PARTITION)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        _sized = str(wanted)
+    if _wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        _sized = str(_wanted)
         spark.conf.set(_INITIAL, _sized)
 
 
+def sized_buckets(spark: SparkSession) -> int:
+    """Buckets for a table stored from the inputs ``size_shuffles`` was called with last."""
+    return max(spark.sparkContext.defaultParallelism, _wanted)
+
+
 def suggested_partitions(*inputs: DataFrame) -> int:
     """Shuffle partitions for a job over these inputs, about a gigabyte each.
 

@@ -37,6 +37,25 @@ def _month_before(day: str):
     return F.add_months(literal_date(day), -1)
 
 
+def _looked_up(inventory: DataFrame, since: str | None, until: str) -> DataFrame:
+    """The stock of the months before those: a sale looks up the month before its own."""
+    inventory = inventory.where(F.col("snapshot_date") < _month_before(until))
+    return inventory if since is None else inventory.where(F.col("snapshot_date") >= _month_before(since))
+
+
+def _days(
+    since: str | None,
+    until: str,
+    items: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    traffic: DataFrame,
+    inventory: DataFrame,
+) -> DataFrame:
+    stock = _looked_up(inventory, since, until)
+    return materialize(demand_days(items, _within(orders, since, until), products, traffic, stock))
+
+
 def _save(lake: Lakehouse, days: DataFrame, carried: DataFrame | None, until: str, created: str) -> None:
     features = with_history(days, created, carried).withColumn(EVENT_MONTH, F.trunc("event_timestamp", "MM"))
     seen = days.select("product_id", "order_date", "quantity")
@@ -53,7 +72,7 @@ def create_demand_features(
     lake: Lakehouse, until: str, items: DataFrame, orders: DataFrame, *others: DataFrame, created: str = CREATED
 ) -> None:
     """First load: all months before the first of a month ``until``."""
-    days = materialize(demand_days(items, _within(orders, None, until), *others))
+    days = _days(None, until, items, orders, *others)
     _save(lake, days, None, until, created)
 
 
@@ -80,7 +99,7 @@ def advance_demand_features(
     carried = carried_days(lake, since)
     if carried.isEmpty():
         raise ValueError(f"no run ended at {since}")
-    days = materialize(demand_days(items, _within(orders, since, until), *others))
+    days = _days(since, until, items, orders, *others)
     _save(lake, days, materialize(carried), until, created)
 
 

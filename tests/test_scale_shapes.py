@@ -11,7 +11,7 @@ from stockweave.catalog import QUERIES
 from stockweave.operators import joins
 from stockweave.operators.running import ordinal, running_total
 from stockweave.plans import risk
-from stockweave.plans.features import demand_features
+from stockweave.plans.features import delivered_items, demand_days, demand_features
 from stockweave.sources import feature_store
 from stockweave.sources.feature_store import (
     advance_demand_features,
@@ -202,3 +202,26 @@ def test_a_run_reads_its_own_partitions(spark, tmp_path):
     dev = lake.create_branch("dev")
     dev.replace_partitions(dev.read("features", "demand_history").limit(1), "features", "demand_history", "state_month")
     assert lake.read("features", "demand_history").count() > dev.read("features", "demand_history").count()
+
+
+def test_advanced_runs_shuffle_neither_items_nor_other_months(spark, sf_dir, no_broadcast, monkeypatch):
+    plans, months = [], []
+
+    def spied(items, orders, products, traffic, inventory):
+        sold = delivered_items(items, orders, "quantity")
+        plans.append(sold._jdf.queryExecution().executedPlan().toString())
+        months.append({d.strftime("%Y-%m") for (d,) in inventory.select("snapshot_date").distinct().collect()})
+        return demand_days(items, orders, products, traffic, inventory)
+
+    monkeypatch.setattr(feature_store, "demand_days", spied)
+    QUERIES["demand_features_advanced"](spark, sf_dir)
+    # only the orders of a run go to the items' buckets, and no month of the stock is read twice
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 1, 1]
+    assert all(months) and len(set.union(*months)) == sum(map(len, months))
+
+
+def test_stock_that_is_there_is_not_added_up(spark, sf_dir):
+    """Months with stock drop out where orders meet items, before the stock is grouped."""
+    optimized = QUERIES["demand_features"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    joins_on_order = [x for x in optimized.splitlines() if "Join Inner" in x and "l_orderkey" in x]
+    assert any("% 9" in x for x in joins_on_order), joins_on_order
