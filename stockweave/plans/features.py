@@ -162,16 +162,22 @@ def demand_days(
         F.sum("page_views").cast("double").alias("daily_page_views")
     )
     # The stock-out flag of the month before the sale. A month without a row counts as
-    # not flagged, so only flagged rows are shuffled.
+    # not flagged, so only flagged rows are shuffled. A product has at most the calendar's
+    # months; in one row they are joined by product, as all else from here on.
     flagged = inventory.where(F.col("stockout_flag") > 0)
     flags = flagged.groupBy(
         "product_id", F.add_months(month_of("snapshot_date"), 1).alias("_month")
     ).agg(F.max("stockout_flag").alias("_flag"))
+    flags = flags.groupBy("product_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("_month", "_flag"))).alias("_flags")
+    )
     return (
         daily.withColumn("_month", month_of("order_date"))
         .join(listed, "product_id", "left")
         .join(views, "order_date", "left")
-        .join(flags, ["product_id", "_month"], "left")
+        .join(flags, "product_id", "left")
+        .withColumn("_flag", F.col("_flags")[F.col("_month")])
+        .drop("_flags")
     )
 
 

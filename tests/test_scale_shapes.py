@@ -225,3 +225,9 @@ def test_stock_that_is_there_is_not_added_up(spark, sf_dir):
     optimized = QUERIES["demand_features"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     joins_on_order = [x for x in optimized.splitlines() if "Join Inner" in x and "l_orderkey" in x]
     assert any("% 9" in x for x in joins_on_order), joins_on_order
+
+
+def test_sale_days_do_not_move_for_their_flags(spark, sf_dir, no_broadcast):
+    plan = QUERIES["demand_features"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    by_month = [x for x in plan.splitlines() if "Exchange hashpartitioning(product_id" in x and "add_months" in x or "hashpartitioning" in x and "_month#" in x]
+    assert len(by_month) <= 1, by_month  # the flags' own grouping only
