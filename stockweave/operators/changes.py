@@ -30,19 +30,32 @@ def checked_batch(source: DataFrame, key: str) -> DataFrame:
     return stored
 
 
-def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """``upsert`` with a batch that is checked already."""
-    return target.join(batch.select(key), key, "left_anti").unionByName(batch)
+def merged(target: DataFrame, batch: DataFrame, key: str, keys: DataFrame | None = None) -> DataFrame:
+    """``upsert`` with a batch that is checked already; ``keys`` are its keys, if they are stored."""
+    keys = batch if keys is None else keys
+    return target.join(keys.select(key), key, "left_anti").unionByName(batch)
 
 
-def not_older(target: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
-    """The rows of ``batch`` that are not older than the target's row of their key.
+def moves(target: DataFrame, batch: DataFrame, key: str, column: str) -> DataFrame:
+    """``batch`` with ``_held``, whether the target has a row of its key, and that row's ``_from``.
+
+    ``_from`` is the old value of ``column``. Of the target only keys and the column move.
+    """
+    old = target.select(key, F.lit(True).alias("_held"), F.col(column).alias("_from"))
+    return batch.join(old, key, "left").withColumn("_held", F.coalesce("_held", F.lit(False)))
+
+
+def newer_moves(target: DataFrame, batch: DataFrame, key: str, column: str, order: str) -> DataFrame:
+    """``moves`` of the rows of ``batch`` that are not older than the target's row of their key.
 
     A NULL order is older than any other; of equal ones the batch's row counts.
     """
-    old = target.join(batch.select(key), key, "left_semi").select(key, F.col(order).alias("_at"))
+    old = target.select(
+        key, F.lit(True).alias("_held"), F.col(column).alias("_from"), F.col(order).alias("_at")
+    )
     newer = F.coalesce(F.col(order) >= F.col("_at"), F.col("_at").isNull())
-    return batch.join(old, key, "left").where(newer).select(*batch.columns)
+    joined = batch.join(old, key, "left").where(newer).drop("_at")
+    return joined.withColumn("_held", F.coalesce("_held", F.lit(False)))
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

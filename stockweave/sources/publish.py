@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stockweave.operators.changes import checked_batch, merged, not_older
+from stockweave.operators.changes import checked_batch, merged, moves, newer_moves
 from stockweave.operators.quality import DataTest, observed_failures, outcomes_of
 from stockweave.session import delete_folder, materialize, path_exists
 
@@ -180,15 +180,23 @@ class Lakehouse:
         return self.publish(batch if current is None else merged(current, batch, key), layer, table)
 
     def upsert_partitions(
-        self, source: DataFrame, layer: str, table: str, key: str, column: str, order: str | None = None
+        self,
+        source: DataFrame,
+        layer: str,
+        table: str,
+        key: str,
+        column: str,
+        order: str | None = None,
+        reduced: bool = False,
     ) -> list:
         """Upsert into a table partitioned by ``column``; only touched partitions are written.
 
         A row may move to another partition, so the one its old version sits in
         is touched as well. With an ``order`` column of the table, a row replaces
         its old version only if that is not newer, whatever batch it came in; a
-        NULL order is older than any. Repeated and NULL keys are refused. Returns
-        the touched values; there are at most as many as partitions.
+        NULL order is older than any. Repeated and NULL keys are refused; a source
+        that is ``reduced`` has one row per key by an aggregate, and is not tested for
+        repeats. Returns the touched values; there are at most as many as partitions.
 
         The new rows of the touched partitions (NULL's included) are written
         aside, then put in place by dynamic partition overwrite. A crash before
@@ -196,8 +204,11 @@ class Lakehouse:
         new, and the next upsert first puts the rest in place. One writer at a
         time; readers that start in between see the partitions done so far.
         """
-        batch = checked_batch(source, key)
         found = self.version(layer, table)
+        # A reduced source goes straight into the join with the target: its aggregate has
+        # brought it in place by key, and it is written once, by what the join leaves.
+        direct = reduced and order is not None and found is not None
+        batch = source if direct else checked_batch(source, key)
         if found is None:
             self.publish(batch, layer, table, partition_by=(column,))
             return [row[0] for row in batch.select(column).distinct().collect()]
@@ -206,20 +217,25 @@ class Lakehouse:
         self._put_in_place(found)
         target = self.read(layer, table)
         batch = batch.select(*target.columns)
-        if order is not None:
-            batch = materialize(not_older(target, batch, key, order))
-        left = target.join(batch.select(key), key, "left_semi").select(column)
-        touched = [r[0] for r in left.unionByName(batch.select(column)).distinct().collect()]
+        # Written once: it says which rows count, and the partitions they leave and enter.
+        if order is None:
+            moved = materialize(moves(target, batch.select(key, column), key, column))
+        else:
+            moved = materialize(newer_moves(target, batch, key, column, order))
+            batch = moved.select(*target.columns)
+        if direct and not moved.where(F.col(key).isNull()).isEmpty():
+            raise ValueError(f"source row without {key}")
+        left = moved.where("_held").select(F.col("_from").alias(column))
+        values = left.unionByName(moved.select(column)).distinct()
+        touched = [r[0] for r in values.collect()]
         if not touched:
             return []
         if found["owner"] != self.branch:
-            self.publish(merged(target, batch, key), layer, table, partition_by=(column,))
+            self.publish(merged(target, batch, key, moved), layer, table, partition_by=(column,))
             return touched
         aside = self._aside(found)
-        merged(target.where(self._within(column, touched)), batch, key).write.mode("overwrite").parquet(
-            f"{aside}/rows"
-        )
-        values = left.unionByName(batch.select(column)).distinct()
+        rows = merged(target.where(self._within(column, touched)), batch, key, moved)
+        rows.write.mode("overwrite").parquet(f"{aside}/rows")
         values.coalesce(1).write.mode("overwrite").parquet(f"{aside}/touched")
         self._put_in_place(found)
         return touched

@@ -43,7 +43,7 @@ def upsert_stream(
     def apply(batch: DataFrame, batch_id: int) -> None:
         own = Lakehouse(batch.sparkSession, lake.root, lake.branch, lake.environment)
         batch = last_per_key(batch, key, order) if order else batch
-        own.upsert_partitions(batch, layer, table, key, partition_column, order)
+        own.upsert_partitions(batch, layer, table, key, partition_column, order, order is not None)
 
     return (
         changes.writeStream.foreachBatch(apply)

@@ -434,3 +434,44 @@ def test_a_failed_chain_leaves_main_as_it_was(lake, spark, sf_dir):
     unique = quality.DataTest("stg_geography", "unique", "zip", severity="error")
     names = run_chain(lake, "run", inline.ref, [], [unique], as_of, ["staging"])
     assert len(names) == 13 and lake.read("staging", "stg_geography").count() == inline.ref("stg_geography").count()
+
+
+def test_an_ordered_batch_is_written_once(spark, tmp_path, monkeypatch):
+    from stockweave.operators import changes
+    from stockweave.sources import publish
+
+    ddl, cuts = "k long, v string, at int, p int", []
+    for module in (changes, publish):
+        real = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, real=real: cuts.append(df.columns) or real(df))
+    lake = Lakehouse(spark, str(tmp_path / "lake"), environment="t_once")
+    lake.publish(spark.createDataFrame([(1, "a", 5, 1), (2, "b", None, 1)], ddl), "fact", "t", partition_by=("p",))
+    batch = [(1, "old", 4, 2), (2, "new", 1, 2), (3, "c", 1, 3)]
+    lake.upsert_partitions(spark.createDataFrame(batch, ddl), "fact", "t", "k", "p", "at", reduced=True)
+    assert len(cuts) == 1
+    got = sorted(tuple(r[c] for c in ("k", "v", "p")) for r in lake.read("fact", "t").collect())
+    assert got == [(1, "a", 1), (2, "new", 2), (3, "c", 3)]
+    with pytest.raises(ValueError, match="without k"):
+        lake.upsert_partitions(spark.createDataFrame([(None, "x", 9, 9)], ddl), "fact", "t", "k", "p", "at", reduced=True)
+
+
+def test_late_orders_meet_in_buckets(spark, sf_dir, monkeypatch):
+    from stockweave import catalog
+    from stockweave.operators import changes
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans, real = [], changes.source_digests
+
+        def spied(*sources):
+            digests = real(*sources)
+            plans.append(digests._jdf.queryExecution().executedPlan().toString())
+            return digests
+
+        from stockweave.sources import facts
+
+        monkeypatch.setattr(facts, "source_digests", spied)
+        catalog.QUERIES["incremental_late_orders"](spark, sf_dir)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
