@@ -18,7 +18,7 @@ from stockweave.operators import changes, quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
 from stockweave.plans.registry import MODELS, Models, run_layer
-from stockweave.sources.ingest import LANDING, ingest, ingest_checked
+from stockweave.sources.ingest import LANDING, at_once, ingest, ingest_checked
 from stockweave.sources.ingest import main as landing_job
 from stockweave.session import materialize, prepare, run_folder, size_shuffles, sized_buckets
 from stockweave.sources.landing import GIVEN, given_table, landing_table
@@ -787,14 +787,16 @@ def daily_load(m: Models) -> DataFrame:
     lake = _temporary_lake(m.spark)
     folder = f"{lake.root}/csv"
     names = [name for group in DAILY_LOAD.values() for name in group]
-    for name in names:
-        if name != MISSING_FILE:
-            m.ref(name).write.csv(
-                f"{folder}/{name}.csv",
-                header=True,
-                ignoreLeadingWhiteSpace=False,
-                ignoreTrailingWhiteSpace=False,
-            )
+
+    def write(name: str) -> None:
+        m.ref(name).write.csv(
+            f"{folder}/{name}.csv",
+            header=True,
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
+
+    at_once(write, [name for name in names if name != MISSING_FILE])
     landing_job(["--root", lake.root, "--csv-dir", folder, "--environment", lake.environment])
     landed = []
     for name in names:

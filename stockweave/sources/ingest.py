@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import argparse
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,8 @@ from stockweave.sources.tables import DAILY_LOAD, TABLES, TableSpec
 log = logging.getLogger(__name__)
 
 LANDING = "landing"
+# Tables loaded at a time: what is left of one's last tasks, other tables' tasks fill.
+LOADS_AT_ONCE = 4
 
 
 def ingest(
@@ -54,14 +57,25 @@ def ingest_upsert(lake: Lakehouse, spec: TableSpec, changes: DataFrame) -> DataF
     return lake.upsert(conform(changes, spec), LANDING, spec.landing_name, spec.key[0])
 
 
-def ingest_all(lake: Lakehouse, read: Callable[[TableSpec], DataFrame | None]) -> list[str]:
-    """The daily load: every table of every source group."""
-    loaded = []
-    for names in DAILY_LOAD.values():
-        for name in names:
-            if ingest(lake, TABLES[name], read) is not None:
-                loaded.append(name)
-    return loaded
+def at_once(load: Callable[[str], object], names: Iterable[str]) -> list:
+    """``load`` of every name, several at a time; results in order, the first error is raised."""
+    with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+        return list(pool.map(load, names))
+
+
+def ingest_all(
+    lake: Lakehouse,
+    read: Callable[[TableSpec], DataFrame | None],
+    names: Iterable[str] | None = None,
+) -> list[str]:
+    """The daily load: every table of every source group, or those of ``names``.
+
+    Tables do not depend on each other; one that fails keeps no other from loading,
+    and its error is raised when all are done.
+    """
+    names = [n for group in DAILY_LOAD.values() for n in group] if names is None else list(names)
+    loaded = at_once(lambda name: ingest(lake, TABLES[name], read) is not None, names)
+    return [name for name, there in zip(names, loaded) if there]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -91,9 +105,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         parser.error("name a source: --csv-dir or --jdbc-url")
     groups = [args.schema] if args.schema else list(DAILY_LOAD)
-    for group in groups:
-        for name in [args.table] if args.table else DAILY_LOAD[group]:
-            ingest(lake, TABLES[name], read)
+    names = [args.table] if args.table else [name for group in groups for name in DAILY_LOAD[group]]
+    ingest_all(lake, read, names)
 
 
 if __name__ == "__main__":

@@ -475,3 +475,22 @@ def test_late_orders_meet_in_buckets(spark, sf_dir, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+
+
+def test_tables_load_side_by_side(spark, tmp_path):
+    import threading
+
+    from stockweave.sources.ingest import ingest_all
+    from stockweave.sources.tables import TABLES
+
+    both = threading.Barrier(2, timeout=20)
+
+    def read(spec):
+        both.wait()  # broken unless two loads run at a time
+        if spec.name == "orders":
+            return None
+        return spark.createDataFrame([], spec.schema)
+
+    lake = Lakehouse(spark, str(tmp_path / "lake"), environment="t_loads")
+    assert ingest_all(lake, read, ["customers", "orders"]) == ["customers"]
+    assert lake.read("landing", TABLES["customers"].landing_name).count() == 0
