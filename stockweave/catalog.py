@@ -18,9 +18,9 @@ from stockweave.operators import changes, quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
 from stockweave.plans.registry import MODELS, Models, run_layer
-from stockweave.sources.ingest import LANDING, at_once, ingest, ingest_checked
+from stockweave.sources.ingest import LANDING, ingest, ingest_checked
 from stockweave.sources.ingest import main as landing_job
-from stockweave.session import materialize, prepare, run_folder, size_shuffles, sized_buckets
+from stockweave.session import at_once, materialize, prepare, run_folder, size_shuffles, sized_buckets
 from stockweave.sources.landing import GIVEN, given_table, landing_table
 from stockweave.sources.buckets import store_bucketed
 from stockweave.sources.chain import run_chain

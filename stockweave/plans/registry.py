@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.session import materialize
+from stockweave.session import at_once, materialize
 from stockweave.sources.tables import TABLES
 
 # Build order of the layers; reports come last because they read facts.
@@ -95,14 +95,26 @@ def layer_order(layer: str) -> list[str]:
 
 
 def run_layer(
-    models: Models, layer: str, write: Callable[[str, DataFrame], None], only: Iterable[str] = ()
+    models: Models,
+    layer: str,
+    write: Callable[[str, DataFrame], None],
+    only: Iterable[str] = (),
+    also_after: Callable[[str], Iterable[str]] = lambda name: (),
 ) -> list[str]:
-    """Build and write every model of a layer; returns the names written."""
+    """Build and write every model of a layer; returns the names written.
+
+    Models that read none of each other are written side by side; a model waits for
+    those of the layer it reads and for ``also_after`` of its name, if they come
+    before it in ``layer_order``.
+    """
     wanted = set(only)
-    written = []
-    for name in layer_order(layer):
-        if wanted and name not in wanted:
-            continue
-        write(name, models.build(name))
-        written.append(name)
-    return written
+    left = [name for name in layer_order(layer) if not wanted or name in wanted]
+    names = list(left)
+    while left:
+        ready: list[str] = []
+        for k, name in enumerate(left):
+            if not {*MODELS[name].refs, *also_after(name)} & set(left[:k]):
+                ready.append(name)
+        at_once(lambda name: write(name, models.build(name)), ready)
+        left = [name for name in left if name not in ready]
+    return names

@@ -7,7 +7,8 @@ import math
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,9 @@ _SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
 
+# Tables written at a time: cores that one's last tasks leave idle take another's.
+WRITES_AT_ONCE = 4
+
 # Compressed input bytes for which a shuffle starts with one more partition.
 INPUT_BYTES_PER_PARTITION = 4 * 1024 * 1024
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -73,6 +77,12 @@ def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> None:
         spark.conf.set(_INITIAL, _sized)
 
 
+def at_once(write: Callable[[str], object], names: Iterable[str]) -> list:
+    """``write`` of every name, several at a time; results in order, the first error is raised."""
+    with ThreadPoolExecutor(WRITES_AT_ONCE) as pool:
+        return list(pool.map(write, names))
+
+
 def sized_buckets(spark: SparkSession) -> int:
     """Buckets for a table stored from the inputs ``size_shuffles`` was called with last."""
     return max(spark.sparkContext.defaultParallelism, _wanted)

@@ -62,11 +62,14 @@ def run_chain(
             df, MODELS[name].layer, name, audit if later else None, tests=observed, as_of=as_of
         )
 
+    def helpers(name: str) -> list[str]:
+        return [t.helper for t in tests if t.table == name and t.helper]
+
     models = Models(lake.spark, source, written)
     names: list[str] = []
     try:
         for layer in layers:
-            names += run_layer(models, layer, write)
+            names += run_layer(models, layer, write, also_after=helpers)
         lake.merge_branch(branch)
     finally:
         lake.drop_branch(branch)

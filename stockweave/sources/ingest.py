@@ -5,11 +5,10 @@ from __future__ import annotations
 import argparse
 import logging
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.session import prepare
+from stockweave.session import at_once, prepare
 from stockweave.sources.publish import Lakehouse
 from stockweave.sources.readers import JdbcSource, conform, read_csv, read_csv_checked
 from stockweave.sources.tables import DAILY_LOAD, TABLES, TableSpec
@@ -17,8 +16,6 @@ from stockweave.sources.tables import DAILY_LOAD, TABLES, TableSpec
 log = logging.getLogger(__name__)
 
 LANDING = "landing"
-# Tables loaded at a time: what is left of one's last tasks, other tables' tasks fill.
-LOADS_AT_ONCE = 4
 
 
 def ingest(
@@ -57,12 +54,6 @@ def ingest_upsert(lake: Lakehouse, spec: TableSpec, changes: DataFrame) -> DataF
     return lake.upsert(conform(changes, spec), LANDING, spec.landing_name, spec.key[0])
 
 
-def at_once(load: Callable[[str], object], names: Iterable[str]) -> list:
-    """``load`` of every name, several at a time; results in order, the first error is raised."""
-    with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
-        return list(pool.map(load, names))
-
-
 def ingest_all(
     lake: Lakehouse,
     read: Callable[[TableSpec], DataFrame | None],

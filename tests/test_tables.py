@@ -494,3 +494,21 @@ def test_tables_load_side_by_side(spark, tmp_path):
     lake = Lakehouse(spark, str(tmp_path / "lake"), environment="t_loads")
     assert ingest_all(lake, read, ["customers", "orders"]) == ["customers"]
     assert lake.read("landing", TABLES["customers"].landing_name).count() == 0
+
+
+def test_models_that_read_none_of_each_other_are_written_side_by_side(spark, sf_dir):
+    import threading
+
+    both, seen = threading.Barrier(2, timeout=20), []
+
+    def write(name, df):
+        if not also_after:
+            both.wait()  # broken unless two writes run at a time
+        seen.append(name)
+
+    also_after, only = {}, ["stg_orders", "stg_products"]
+    assert set(run_layer(models_over(spark, sf_dir), "staging", write, only)) == set(only)
+    first, second = [n for n in layer_order("staging") if n in only]
+    also_after, seen = {second: [first]}, []
+    run_layer(models_over(spark, sf_dir), "staging", write, only, lambda n: also_after.get(n, ()))
+    assert seen == [first, second]
