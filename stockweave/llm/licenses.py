@@ -373,4 +373,6 @@ def matches(
         return pd.Series(scan(index, texts.tolist()), dtype=object)
 
     rows = docs.select(F.struct("*").alias("row"))
+    # Named so, it is not copied into filters on its result: a second scan, in a second worker of each task.
+    found = found.asNondeterministic()
     return rows.withColumn("licenses", found(F.col(f"row.`{text_col}`").cast("string")))

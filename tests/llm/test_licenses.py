@@ -145,3 +145,9 @@ def test_empty_blank_and_very_long_texts(spark):
     docs = spark.createDataFrame([(1, ""), (2, " \n\t "), (3, long + note), (4, None)], "id long, text string")
     got = {r.row.id: r.licenses for r in licenses.matches(docs).collect()}
     assert [len(got[k]) for k in (1, 2, 4)] == [0, 0, 0] and got[3][-1].end >= len(long) + len(note) - 1
+
+
+def test_query_scans_every_text_once(spark, sf_dir):
+    found = QUERIES["op4_license_scans"](spark, sf_dir)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
