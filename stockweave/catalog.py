@@ -643,9 +643,9 @@ def latest_model_version(m: Models) -> DataFrame:
 
 
 def _stored_split(m: Models) -> tuple[DataFrame, DataFrame]:
-    """The split over a written feature table: training passes over it many times."""
-    table = materialize(m.ref("demand_features"))
-    return forecast.train_test(table, "product_id", "event_timestamp")
+    """The split over a written feature table, its hashes too: training passes over it many times."""
+    bucket = forecast.split_bucket("product_id", "event_timestamp").cast("int")
+    return forecast.by_bucket(materialize(m.ref("demand_features").withColumn("_bucket", bucket)))
 
 
 @query

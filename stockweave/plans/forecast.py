@@ -12,15 +12,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import (
-    GBTRegressor,
-    GeneralizedLinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave.functions.exprs import round_half_up
+from stockweave.plans.boosting import BoostedTrees, fit_boosted_trees
 from stockweave.plans.features import DEMAND_FEATURES, TARGET
 from stockweave.session import materialize
 
@@ -49,7 +46,11 @@ def split_bucket(*key: str) -> Column:
 
 def train_test(features: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
     """80/20 split by key hash."""
-    bucketed = features.withColumn("_bucket", split_bucket(*key))
+    return by_bucket(features.withColumn("_bucket", split_bucket(*key)))
+
+
+def by_bucket(bucketed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of a table that has its ``_bucket``, without it."""
     test = F.col("_bucket") < TEST_SHARE_OF_TEN
     return bucketed.where(~test).drop("_bucket"), bucketed.where(test).drop("_bucket")
 
@@ -131,26 +132,16 @@ def poisson_lambda(fitted: PipelineModel, rows: DataFrame) -> DataFrame:
 
 def fit_log_trees(
     train: DataFrame, columns: Sequence[str] = DEMAND_FEATURES, rounds: int = 20
-) -> PipelineModel:
+) -> BoostedTrees:
     """Boosted trees on ``log1p`` of the demand: relative errors count alike at every size."""
-    trees = GBTRegressor(
-        featuresCol="_x",
-        labelCol="_log",
-        predictionCol="_log_prediction",
-        maxIter=rounds,
-        stepSize=0.1,
-        maxDepth=5,
-        seed=SEED,
-    )
-    logged = train.withColumn("_log", F.log1p(TARGET))
-    return Pipeline(stages=[_vector(columns), trees]).fit(logged)
+    return fit_boosted_trees(train.withColumn("_log", F.log1p(TARGET)), columns, "_log", rounds)
 
 
-def boosted_rate(fitted: PipelineModel, rows: DataFrame) -> DataFrame:
+def boosted_rate(fitted: BoostedTrees, rows: DataFrame) -> DataFrame:
     """The demand rate, ``expm1`` of the boosted logarithm and never below the floor."""
     rate = F.greatest(F.expm1("_log_prediction"), F.lit(LAMBDA_FLOOR))
-    scored = fitted.transform(rows).withColumn("boosted_rate", rate)
-    return scored.drop("_x", "_log_prediction")
+    scored = fitted.transform(rows, "_log_prediction").withColumn("boosted_rate", rate)
+    return scored.drop("_log_prediction")
 
 
 def sku_quantiles(monthly: DataFrame) -> DataFrame:

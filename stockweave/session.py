@@ -27,6 +27,8 @@ _SETTINGS = {
     # What small partitions are merged up to, compressed; a task that joins several
     # sorted inputs holds some twenty times that.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+    # Arrow batches to Python by bytes: a row may be a block of many.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
 }
 
 # Tables written at a time: cores that one's last tasks leave idle take another's.
