@@ -17,13 +17,13 @@ from stockweave.functions.exprs import exact_sum
 from stockweave.operators import changes, quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans import features, forecast, marts, planning, risk, segmentation, staging
-from stockweave.plans.registry import MODELS, Models, run_layer
+from stockweave.plans.registry import LAYERS, MODELS, Models, run_layer
 from stockweave.sources.ingest import LANDING, ingest, ingest_checked
 from stockweave.sources.ingest import main as landing_job
 from stockweave.session import at_once, materialize, prepare, run_folder, size_shuffles, sized_buckets
 from stockweave.sources.landing import GIVEN, given_table, landing_table
 from stockweave.sources.buckets import store_bucketed
-from stockweave.sources.chain import run_chain
+from stockweave.sources.chain import SNAPSHOT_LAYER, SNAPSHOTS, run_chain
 from stockweave.sources.facts import LAYER as FACT_LAYER
 from stockweave.sources.facts import MONTH, advance_tracked_fact, create_tracked_fact
 from stockweave.sources.feature_store import (
@@ -813,30 +813,30 @@ def daily_load(m: Models) -> DataFrame:
     return reduce(DataFrame.unionByName, landed)
 
 
-CHAIN_LAYERS = ("staging", "intermediate", "dim", "fact", "daily_reports")
+CHAIN_LAYERS = LAYERS
 
 
 @query
 def published_chain(m: Models) -> DataFrame:
-    """Source tests, then all layers written, tested and merged: the rows of each table."""
+    """Source tests, snapshots, then all layers written, tested and merged: the rows of each table."""
     lake = _temporary_lake(m.spark)
-    sources = [t for t in DATA_TESTS if t.table in TABLES]
     names = run_chain(
         lake,
         "run",
         m.ref,
-        [t for t in sources if t.kind in ("unique", "not_null")],
+        [t for t in DATA_TESTS if t.table in TABLES],
         [t for t in DATA_TESTS if t.table in MODELS],
         literal_date(AS_OF),
         CHAIN_LAYERS,
     )
+    tables = [(SNAPSHOT_LAYER, s.name) for s in SNAPSHOTS] + [(MODELS[name].layer, name) for name in names]
     counts = [
-        lake.read(MODELS[name].layer, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(MODELS[name].layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows"
+        lake.read(layer, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows"
         )
-        for name in names
+        for layer, name in tables
     ]
-    for layer in CHAIN_LAYERS:
+    for layer in (SNAPSHOT_LAYER, *CHAIN_LAYERS):
         m.spark.sql(f"DROP DATABASE {lake.database(layer)} CASCADE")
     return reduce(DataFrame.unionByName, counts)
 

@@ -124,8 +124,24 @@ def scd2_empty(source: DataFrame) -> DataFrame:
     )
 
 
+def _scd_id(key: str, run_ts: str | Column) -> Column:
+    return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(run_ts)))
+
+
+def scd2_open(source: DataFrame, key: str, run_ts: str | Column) -> DataFrame:
+    """The history a first snapshot starts: every row open, keys as they are."""
+    now = F.lit(run_ts).cast("timestamp_ntz")
+    return source.select(
+        "*",
+        _scd_id(key, run_ts).alias("scd_id"),
+        now.alias("valid_from"),
+        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
+        now.alias("updated_at"),
+    )
+
+
 def scd2_apply(
-    history: DataFrame, source: DataFrame, key: str, check: Sequence[str], run_ts: str
+    history: DataFrame, source: DataFrame, key: str, check: Sequence[str], run_ts: str | Column
 ) -> DataFrame:
     """Fold one snapshot of ``source`` into a type-2 history.
 
@@ -151,10 +167,9 @@ def scd2_apply(
     has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     changed = has_old & has_new & ~same
 
-    scd_id = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(run_ts)))
     opened = F.struct(
         *[F.col(f"_new.{c}").alias(c) for c in columns],
-        scd_id.alias("scd_id"),
+        _scd_id(key, run_ts).alias("scd_id"),
         now.alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
         now.alias("updated_at"),

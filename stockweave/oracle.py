@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from stockweave.plans.registry import MODELS
+from stockweave.sources.chain import SNAPSHOT_LAYER, SNAPSHOTS
 from stockweave.sources.landing import GIVEN, LANDING_SQL
 from stockweave.sources.tables import DAILY_LOAD, TABLES
 
@@ -747,11 +748,12 @@ def _landed_sql(missing: str) -> str:
 
 
 def _chain_sql(layers: tuple[str, ...]) -> str:
-    """Rows of every model the write-audit-publish run builds."""
+    """Rows of every first snapshot and every model the write-audit-publish run builds."""
+    tables = [(SNAPSHOT_LAYER, s.name, f"l_{s.source}") for s in SNAPSHOTS]
+    tables += [(m.layer, m.name, m.name) for m in MODELS.values() if m.layer in layers]
     return " union all ".join(
-        f"select '{m.layer}' as layer, '{m.name}' as table_name, count(*) as n_rows from {m.name}"
-        for m in MODELS.values()
-        if m.layer in layers
+        f"select '{layer}' as layer, '{name}' as table_name, count(*) as n_rows from {rows}"
+        for layer, name, rows in tables
     )
 
 

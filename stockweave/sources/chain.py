@@ -1,4 +1,4 @@
-"""The whole write-audit-publish run: source tests, all layers on a branch, then main.
+"""The whole write-audit-publish run: source tests, snapshots and all layers on a branch, then main.
 
 Nothing of a run shows on main before its last test has passed. Tests of one pass are
 taken while a table is written; the others read what was written, on the branch.
@@ -6,25 +6,66 @@ taken while a table is written; the others read what was written, on the branch.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from stockweave.operators import quality
+from stockweave.operators import changes, quality
 from stockweave.operators.quality import OBSERVED_KINDS, DataTest
 from stockweave.plans.registry import LAYERS, MODELS, Models, run_layer
+from stockweave.session import at_once
 from stockweave.sources.publish import AuditFailed, Lakehouse
 
 
+log = logging.getLogger(__name__)
+
+# The layer of the type-2 histories.
+SNAPSHOT_LAYER = "snapshots"
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """A type-2 history of a landing table; a change in one of ``check`` opens a new row."""
+
+    name: str
+    source: str
+    key: str
+    check: tuple[str, ...]
+
+
+SNAPSHOTS = (
+    Snapshot("snp_customers", "customers", "customer_id", ("city", "zip", "age_group", "acquisition_channel")),
+    Snapshot("snp_products", "products", "product_id", ("product_name", "category", "segment", "price", "cogs")),
+)
+
+
 def check_sources(tests: Sequence[DataTest], source: Callable[[str], DataFrame], as_of: Column) -> None:
-    """Raise if an error-severity test of a source fails: no layer is built then."""
+    """Raise if an error-severity test of a source fails: no layer is built then. Warnings are logged.
+
+    All outcomes are collected: a filter on the status would let Catalyst leave out
+    the tests that can only warn.
+    """
     if not tests:
         return
-    failed = quality.audit(tests, source, as_of).where(F.col("status") == "fail").collect()
+    results = quality.audit(tests, source, as_of).collect()
+    for row in results:
+        if row["status"] == "warn":
+            log.warning("%s: %s found %s rows", row["table_name"], row["test_name"], row["failures"])
+    failed = ", ".join(sorted(r["test_name"] for r in results if r["status"] == "fail"))
     if failed:
-        names = ", ".join(sorted(r["test_name"] for r in failed))
-        raise AuditFailed(f"sources: {names}")
+        raise AuditFailed(f"sources: {failed}")
+
+
+def take_snapshot(lake: Lakehouse, snapshot: Snapshot, source: Callable[[str], DataFrame], as_of: Column) -> None:
+    """Fold the source as it is into its history; the first snapshot takes it whole."""
+    history, rows = lake.read(SNAPSHOT_LAYER, snapshot.name), source(snapshot.source)
+    if history is None:
+        rows = changes.scd2_open(rows, snapshot.key, as_of)
+    else:
+        rows = changes.scd2_apply(history, rows, snapshot.key, snapshot.check, as_of)
+    lake.publish(rows, SNAPSHOT_LAYER, snapshot.name)
 
 
 def run_chain(
@@ -35,11 +76,13 @@ def run_chain(
     tests: Sequence[DataTest],
     as_of: Column,
     layers: Sequence[str] = LAYERS,
+    snapshots: Sequence[Snapshot] = SNAPSHOTS,
 ) -> list[str]:
     """Build, test and publish all models of ``layers``; returns their names.
 
-    ``source`` gives the landing tables. Every model reads what was written on the
-    branch before it. If a test fails the branch goes and main is as it was.
+    ``source`` gives the landing tables. The sources are tested, then their histories
+    advanced, then every model reads what was written on the branch before it. If a
+    test fails the branch goes and main is as it was.
     """
     check_sources(source_tests, source, as_of)
     dev = lake.create_branch(branch)
@@ -67,7 +110,10 @@ def run_chain(
 
     models = Models(lake.spark, source, written)
     names: list[str] = []
+    # Histories are dated to the second; the same text names their rows.
+    now = as_of.cast("timestamp_ntz").cast("string")
     try:
+        at_once(lambda s: take_snapshot(dev, s, source, now), snapshots)
         for layer in layers:
             names += run_layer(models, layer, write, also_after=helpers)
         lake.merge_branch(branch)
