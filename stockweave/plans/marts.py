@@ -459,22 +459,39 @@ def fct_supplier_replenishment_alert(inventory: DataFrame, products: DataFrame)
 def rpt_daily_category_sales_performance(
     items: DataFrame, orders: DataFrame, products: DataFrame
 ) -> DataFrame:
-    """Sales per day, category and segment."""
-    cost = F.col("quantity") * F.col("cogs")
-    revenue, profit = exact_sum("net_line_total"), exact_sum(F.col("net_line_total") - cost)
+    """Sales per day, category and segment.
+
+    Products come first and orders last, so items lie by order when they have all of
+    their group: orders are counted there, and only sums per group are dealt again. That
+    needs both sides dealt by order, however small, hence the hint.
+    """
+    measures = {
+        "category_gross_revenue": F.col("quantity") * F.col("original_unit_price"),
+        "category_total_discount": F.col("calculated_discount_amount"),
+        "category_net_revenue": F.col("net_line_total"),
+        "category_gross_profit": F.col("net_line_total") - F.col("quantity") * F.col("cogs"),
+    }
+    group = ["report_date", "category", "segment"]
+    placed = orders.select("order_id", F.col("order_date").alias("report_date")).hint("merge")
+    sold = (
+        items.join(products.select("product_id", "category", "segment", "cogs"), "product_id")
+        .select(
+            "order_id",
+            "category",
+            "segment",
+            "quantity",
+            *[fixed(value).alias(name) for name, value in measures.items()],
+        )
+        .join(placed, "order_id")
+    )
     return (
-        items.join(orders.select("order_id", F.col("order_date").alias("report_date")), "order_id")
-        .join(products.select("product_id", "category", "segment", "cogs"), "product_id")
-        .groupBy("report_date", "category", "segment")
+        sold.groupBy(*group, "order_id")
+        .agg(F.sum("quantity").alias("quantity"), *[F.sum(name).alias(name) for name in measures])
+        .groupBy(*group)
         .agg(
-            F.countDistinct("order_id").alias("orders_containing_category"),
+            F.count("order_id").alias("orders_containing_category"),
             F.sum("quantity").alias("total_units_sold"),
-            exact_sum(F.col("quantity") * F.col("original_unit_price")).alias(
-                "category_gross_revenue"
-            ),
-            exact_sum("calculated_discount_amount").alias("category_total_discount"),
-            revenue.alias("category_net_revenue"),
-            profit.alias("category_gross_profit"),
+            *[unfixed(F.sum(name)).cast("double").alias(name) for name in measures],
         )
         .withColumn(
             "category_profit_margin_pct",

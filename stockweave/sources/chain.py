@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from stockweave.operators import changes, quality
 from stockweave.operators.quality import OBSERVED_KINDS, DataTest
 from stockweave.plans.registry import LAYERS, MODELS, Models, run_layer
-from stockweave.session import at_once
+from stockweave.session import at_once, lean_disk
 from stockweave.sources.publish import AuditFailed, Lakehouse
 
 
@@ -84,7 +84,21 @@ def run_chain(
     advanced, then every model reads what was written on the branch before it. If a
     test fails the branch goes and main is as it was.
     """
-    check_sources(source_tests, source, as_of)
+    with lean_disk(lake.spark):
+        check_sources(source_tests, source, as_of)
+        return _built(lake, branch, source, tests, as_of, layers, snapshots)
+
+
+def _built(
+    lake: Lakehouse,
+    branch: str,
+    source: Callable[[str], DataFrame],
+    tests: Sequence[DataTest],
+    as_of: Column,
+    layers: Sequence[str],
+    snapshots: Sequence[Snapshot],
+) -> list[str]:
+    """The part of ``run_chain`` after the source tests."""
     dev = lake.create_branch(branch)
 
     def written(name: str) -> DataFrame | None:

@@ -5,7 +5,7 @@ import logging
 import pytest
 from pyspark.sql import functions as F
 
-from stockweave.catalog import CHAIN_LAYERS, DATA_TESTS, models_over
+from stockweave.catalog import CHAIN_LAYERS, DATA_TESTS, QUERIES, models_over
 from stockweave.operators import quality
 from stockweave.operators.joins import literal_date
 from stockweave.plans.registry import LAYERS
@@ -69,3 +69,33 @@ def test_histories_are_kept_from_run_to_run(lake, spark, sf_dir):
 
 def test_the_published_chain_is_whole():
     assert CHAIN_LAYERS == LAYERS and len(SNAPSHOTS) == 2
+
+
+def test_files_of_a_run_take_less_disk(lake, spark, sf_dir):
+    settings = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.parquet.compression.codec")
+    before = [spark.conf.get(s) for s in settings]
+    inside = []
+
+    def source(name):
+        inside.append([spark.conf.get(s) for s in settings])
+        return models_over(spark, sf_dir).ref(name)
+
+    run_chain(lake, "run", source, [], [], literal_date(AS_OF), ["dim"])
+    assert inside and all(found == ["true", "zstd"] for found in inside)
+    assert [spark.conf.get(s) for s in settings] == before
+    path = lake.version("snapshots", "snp_products")["path"]
+    assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(path).inputFiles())
+
+
+def test_a_report_deals_items_once_by_order(spark, sf_dir):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        report = QUERIES["rpt_daily_category_sales_performance"](spark, sf_dir)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    # promotions, products and orders, two sides each, then the sums per group
+    assert len(exchanges) == 7 and not any("category" in e and "order_id" in e for e in exchanges)
