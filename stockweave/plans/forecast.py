@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from stockweave.functions.exprs import round_half_up
 from stockweave.plans.boosting import BoostedTrees, fit_boosted_trees
 from stockweave.plans.features import DEMAND_FEATURES, TARGET
+from stockweave.plans.forest import fit_whole_forest
 from stockweave.session import materialize
 
 SEED = 42
@@ -27,9 +28,7 @@ LAMBDA_FLOOR = 0.1
 MAPE_LIMIT = 25.0
 # The floor of a relative error's denominator: the double epsilon.
 EPSILON = 2.220446049250313e-16
-# Rows a tree of the forest is grown on, in the mean: each draws its own share of the table.
-ROWS_PER_TREE = 10_000
-# Trees that draw from the same rows, where the table has more than they need.
+# Trees that draw from the same rows, where a caller asks for fewer than the table has.
 TREES_PER_GROUP = 10
 LEAST_PER_LEAF = 10
 QUANTILES = (0.1, 0.5, 0.9)
@@ -80,17 +79,19 @@ def fit_forest(
     columns: Sequence[str] = DEMAND_FEATURES,
     trees: int = 100,
     depth: int = 12,
-    rows_per_tree: int = ROWS_PER_TREE,
+    rows_per_tree: int | None = None,
 ) -> PipelineModel:
-    """A forest over binned features; every tree grows on a sample of its own.
+    """A forest over binned features; every tree grows on a draw of the whole table.
 
-    A tree draws ``rows_per_tree`` rows in the mean out of all of them. Spark leads
+    A caller may ask for trees of ``rows_per_tree`` rows each, in the mean. Spark leads
     each row through every tree at every level, drawn by the tree or not, so that
-    the time of one forest is that of trees times rows. Over a larger table the
+    the time of one forest is that of trees times rows. Over a larger table such
     trees therefore grow in groups: one pass deals to every group the rows its own
-    trees draw from, and the forecast is the mean of all trees. Work and statistics
-    of a level then follow the trees and not the table.
+    trees draw from, and the forecast is the mean of all trees.
     """
+    if rows_per_tree is None:
+        like = _forest(trees, depth, 1.0, "prediction", SEED)
+        return PipelineModel([_vector(columns), fit_whole_forest(train, columns, like)])
     rows, dealt = max(1, train.count()), TREES_PER_GROUP * rows_per_tree
     if rows <= dealt:
         forest = _forest(trees, depth, min(1.0, rows_per_tree / rows), "prediction", SEED)
