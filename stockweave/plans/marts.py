@@ -21,7 +21,7 @@ from stockweave.functions.exprs import (
 )
 from stockweave.operators.changes import since_mark, upsert
 from stockweave.operators.joins import left_join_spread, literal_date
-from stockweave.plans.registry import model
+from stockweave.plans.registry import Sliced, model
 
 # Tenure is counted to this day unless the caller names one.
 AS_OF = "2001-08-01"
@@ -455,23 +455,28 @@ def fct_supplier_replenishment_alert(inventory: DataFrame, products: DataFrame)
 # --- daily reports --------------------------------------------------------
 
 
-@model("daily_reports", "int_order_items_discounted", "stg_orders", "dim_products")
-def rpt_daily_category_sales_performance(
-    items: DataFrame, orders: DataFrame, products: DataFrame
-) -> DataFrame:
-    """Sales per day, category and segment.
+_CATEGORY_DAY = ("report_date", "category", "segment")
+_CATEGORY_MONEY = (
+    "category_gross_revenue",
+    "category_total_discount",
+    "category_net_revenue",
+    "category_gross_profit",
+)
+
+
+def category_sales_sums(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Orders, units and money, as whole numbers, per day, category and segment.
 
     Products come first and orders last, so items lie by order when they have all of
     their group: orders are counted there, and only sums per group are dealt again. That
     needs both sides dealt by order, however small, hence the hint.
     """
-    measures = {
-        "category_gross_revenue": F.col("quantity") * F.col("original_unit_price"),
-        "category_total_discount": F.col("calculated_discount_amount"),
-        "category_net_revenue": F.col("net_line_total"),
-        "category_gross_profit": F.col("net_line_total") - F.col("quantity") * F.col("cogs"),
-    }
-    group = ["report_date", "category", "segment"]
+    values = (
+        F.col("quantity") * F.col("original_unit_price"),
+        F.col("calculated_discount_amount"),
+        F.col("net_line_total"),
+        F.col("net_line_total") - F.col("quantity") * F.col("cogs"),
+    )
     placed = orders.select("order_id", F.col("order_date").alias("report_date")).hint("merge")
     sold = (
         items.join(products.select("product_id", "category", "segment", "cogs"), "product_id")
@@ -480,26 +485,54 @@ def rpt_daily_category_sales_performance(
             "category",
             "segment",
             "quantity",
-            *[fixed(value).alias(name) for name, value in measures.items()],
+            *[fixed(value).alias(name) for name, value in zip(_CATEGORY_MONEY, values)],
         )
         .join(placed, "order_id")
     )
     return (
-        sold.groupBy(*group, "order_id")
-        .agg(F.sum("quantity").alias("quantity"), *[F.sum(name).alias(name) for name in measures])
-        .groupBy(*group)
+        sold.groupBy(*_CATEGORY_DAY, "order_id")
+        .agg(F.sum("quantity").alias("quantity"), *[F.sum(name).alias(name) for name in _CATEGORY_MONEY])
+        .groupBy(*_CATEGORY_DAY)
         .agg(
             F.count("order_id").alias("orders_containing_category"),
             F.sum("quantity").alias("total_units_sold"),
-            *[unfixed(F.sum(name)).cast("double").alias(name) for name in measures],
-        )
-        .withColumn(
-            "category_profit_margin_pct",
-            pct(F.col("category_gross_profit"), F.col("category_net_revenue")),
+            *[F.sum(name).alias(name) for name in _CATEGORY_MONEY],
         )
     )
 
 
+def _category_sales(sums: DataFrame) -> DataFrame:
+    return sums.select(
+        *_CATEGORY_DAY,
+        "orders_containing_category",
+        "total_units_sold",
+        *[unfixed(F.col(name)).cast("double").alias(name) for name in _CATEGORY_MONEY],
+    ).withColumn(
+        "category_profit_margin_pct",
+        pct(F.col("category_gross_profit"), F.col("category_net_revenue")),
+    )
+
+
+def _category_sales_of_slices(sums: DataFrame) -> DataFrame:
+    """An order lies in one slice, so orders of the slices add up."""
+    added = ("orders_containing_category", "total_units_sold", *_CATEGORY_MONEY)
+    return _category_sales(sums.groupBy(*_CATEGORY_DAY).agg(*[F.sum(c).alias(c) for c in added]))
+
+
+@model(
+    "daily_reports",
+    "int_order_items_discounted",
+    "stg_orders",
+    "dim_products",
+    sliced=Sliced("order_id", category_sales_sums, _category_sales_of_slices),
+)
+def rpt_daily_category_sales_performance(
+    items: DataFrame, orders: DataFrame, products: DataFrame
+) -> DataFrame:
+    """Sales per day, category and segment."""
+    return _category_sales(category_sales_sums(items, orders, products))
+
+
 @model("daily_reports", "fct_sales_orders", "stg_shipments", "stg_returns")
 def rpt_daily_executive_kpi(
     sales: DataFrame, shipments: DataFrame, returns: DataFrame

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockweave.session import at_once, materialize
 from stockweave.sources.tables import TABLES
@@ -16,22 +18,36 @@ LAYERS = ("staging", "intermediate", "dim", "fact", "daily_reports", "features")
 Ref = Callable[[str], DataFrame]
 
 
+@dataclass(frozen=True)
+class Sliced:
+    """A model as sums that may be taken over slices of its rows by ``key`` and then be added up.
+
+    ``sums`` gives them for the frames of ``refs``, those with the key cut down to a
+    slice; ``total`` makes the model of the sums of all slices.
+    """
+
+    key: str
+    sums: Callable[..., DataFrame]
+    total: Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Model:
     name: str
     layer: str
     build: Callable[..., DataFrame]
     refs: tuple[str, ...]
+    sliced: Sliced | None = None
 
 
 MODELS: dict[str, Model] = {}
 
 
-def model(layer: str, *refs: str):
+def model(layer: str, *refs: str, sliced: Sliced | None = None):
     """Register ``fn(*frames)``; its arguments are the models or tables in ``refs``."""
 
     def register(fn):
-        MODELS[fn.__name__] = Model(fn.__name__, layer, fn, refs)
+        MODELS[fn.__name__] = Model(fn.__name__, layer, fn, refs, sliced)
         return fn
 
     return register
@@ -41,7 +57,9 @@ class Models:
     """Resolves names to frames: landing tables from ``source``, models by building.
 
     ``stored`` may give the written version of a model; where it returns None
-    the model is planned inline, so Catalyst prunes and pushes through it.
+    the model is planned inline, so Catalyst prunes and pushes through it. With more
+    than one of ``slices`` a model that can be is built slice by slice, each of them
+    written: what one shuffles may go before the next.
     """
 
     def __init__(
@@ -49,10 +67,12 @@ class Models:
         spark: SparkSession,
         source: Callable[[str], DataFrame],
         stored: Callable[[str], DataFrame | None] = lambda name: None,
+        slices: int = 1,
     ):
         self.spark = spark
         self._source = source
         self._stored = stored
+        self._slices = slices
         self._frames: dict[str, DataFrame] = {}
 
     def ref(self, name: str) -> DataFrame:
@@ -75,7 +95,15 @@ class Models:
 
     def build(self, name: str) -> DataFrame:
         declared = MODELS[name]
-        return declared.build(*[self.ref(r) for r in declared.refs])
+        frames = [self.ref(r) for r in declared.refs]
+        if declared.sliced is None or self._slices == 1:
+            return declared.build(*frames)
+        key, parts = declared.sliced.key, []
+        for k in range(self._slices):
+            own = F.pmod(F.xxhash64(key), F.lit(self._slices)) == k
+            cut = [df.where(own) if key in df.columns else df for df in frames]
+            parts.append(materialize(declared.sliced.sums(*cut)))
+        return declared.sliced.total(reduce(DataFrame.unionByName, parts))
 
 
 def layer_order(layer: str) -> list[str]:

@@ -32,10 +32,12 @@ _SETTINGS = {
 }
 
 # For runs that store much more than they read. Shuffle files go when the action that
-# wrote them ends, not when the driver's memory is next collected.
+# wrote them ends, not when the driver's memory is next collected. Files of zstd are so
+# small that a table of millions of rows would pass for one to broadcast, hence the factor.
 _LEAN_DISK = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 # Tables written at a time: cores that one's last tasks leave idle take another's.
@@ -43,6 +45,8 @@ WRITES_AT_ONCE = 4
 
 # Compressed input bytes for which a shuffle starts with one more partition.
 INPUT_BYTES_PER_PARTITION = 4 * 1024 * 1024
+# Input bytes a model that can be built in slices takes at a time.
+INPUT_BYTES_PER_SLICE = 512 * 1024 * 1024
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # The number ``size_shuffles`` has set last, None if the caller's settings stand.
 _sized: str | None = None
@@ -110,6 +114,11 @@ def sized_buckets(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, _wanted)
 
 
+def sized_slices() -> int:
+    """Slices for a model built from the inputs ``size_shuffles`` was called with last."""
+    return max(1, math.ceil(_wanted * INPUT_BYTES_PER_PARTITION / INPUT_BYTES_PER_SLICE))
+
+
 def suggested_partitions(*inputs: DataFrame) -> int:
     """Shuffle partitions for a job over these inputs, about a gigabyte each.
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from stockweave.operators import changes, quality
 from stockweave.operators.quality import OBSERVED_KINDS, DataTest
 from stockweave.plans.registry import LAYERS, MODELS, Models, run_layer
-from stockweave.session import at_once, lean_disk
+from stockweave.session import at_once, lean_disk, sized_slices
 from stockweave.sources.publish import AuditFailed, Lakehouse
 
 
@@ -122,7 +122,7 @@ def _built(
     def helpers(name: str) -> list[str]:
         return [t.helper for t in tests if t.table == name and t.helper]
 
-    models = Models(lake.spark, source, written)
+    models = Models(lake.spark, source, written, sized_slices())
     names: list[str] = []
     # Histories are dated to the second; the same text names their rows.
     now = as_of.cast("timestamp_ntz").cast("string")

@@ -5,10 +5,11 @@ import logging
 import pytest
 from pyspark.sql import functions as F
 
-from stockweave.catalog import CHAIN_LAYERS, DATA_TESTS, QUERIES, models_over
+from stockweave import session
+from stockweave.catalog import CHAIN_LAYERS, DATA_TESTS, QUERIES, models_over, ready
 from stockweave.operators import quality
 from stockweave.operators.joins import literal_date
-from stockweave.plans.registry import LAYERS
+from stockweave.plans.registry import LAYERS, Models
 from stockweave.sources.chain import SNAPSHOTS, check_sources, run_chain
 from stockweave.sources.publish import AuditFailed, Lakehouse
 from stockweave.sources.tables import TABLES
@@ -99,3 +100,19 @@ def test_a_report_deals_items_once_by_order(spark, sf_dir):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     # promotions, products and orders, two sides each, then the sums per group
     assert len(exchanges) == 7 and not any("category" in e and "order_id" in e for e in exchanges)
+
+
+def test_a_model_built_in_slices_has_the_same_rows(spark, sf_dir):
+    name = "rpt_daily_category_sales_performance"
+    whole = models_over(spark, sf_dir)
+    slices = Models(spark, whole.ref, slices=3).build(name)
+    assert slices.schema.simpleString() == whole.build(name).schema.simpleString()
+    got, expected = ([tuple(r) for r in df.collect()] for df in (slices, whole.build(name)))
+    assert sorted(map(repr, got)) == sorted(map(repr, expected)) and got
+
+
+def test_slices_follow_the_input(spark, sf_dir, monkeypatch):
+    ready(spark, sf_dir)
+    assert session.sized_slices() == 1
+    monkeypatch.setattr(session, "_wanted", 6 * 256)
+    assert session.sized_slices() == 12
